@@ -106,3 +106,150 @@ def station_text_from_events(events: DataFrame) -> DataFrame:
         "source_stem",
         F.concat(header, F.lit("\n"), units, F.lit("\n"), body, F.lit("\n")).alias("value"),
     )
+
+
+def _fixed3(thousandths: Column) -> Column:
+    """Non-negative integer thousandths -> text such as ``48.126``."""
+    return F.concat(
+        (thousandths / 1000).cast("long").cast("string"), F.lit("."), F.lpad((thousandths % 1000).cast("string"), 3, "0")
+    )
+
+
+def station_pages_from_customer(customer: DataFrame) -> DataFrame:
+    """One landed station page per customer ``(buoy_id, html)``.
+
+    The position text sits in bold item 4, 3, 2 or 5 of the first metadata
+    paragraph (``c_custkey % 7`` = 0..3), or is absent (4), integers only
+    (5) or an empty item 5 (6). A second paragraph carries a decoy position
+    that must never be read.
+    """
+    k = F.col("c_custkey")
+    case = k % 7
+    lat = (k * 37) % 90000
+    lon = (k * 53) % 180000
+    ns = F.when(F.col("c_nationkey") % 2 == 0, F.lit("N")).otherwise(F.lit("S"))
+    ew = F.when(F.col("c_nationkey") % 3 == 0, F.lit("E")).otherwise(F.lit("W"))
+    coord = F.concat_ws(
+        " ", _fixed3(lat), ns, _fixed3(lon), ew,
+        F.concat(F.lit("("), (lat / 1000).cast("long").cast("string"), F.lit("°"), (lat % 60).cast("string"), F.lit("' "), ns, F.lit(")")),
+    )
+    integers = F.concat_ws(" ", (lat / 1000).cast("long").cast("string"), ns, (lon / 1000).cast("long").cast("string"), ew)
+    b1 = F.concat(F.lit("Owned and maintained by "), F.col("c_name"))
+    b2 = F.when(case == 2, coord).otherwise(F.concat(F.lit("Station "), k.cast("string")))
+    b3 = F.when(case == 1, coord).otherwise(F.col("c_mktsegment"))
+    b4 = F.when(case == 0, coord).otherwise(F.concat(F.lit("Site elevation: "), (k % 50).cast("string"), F.lit(" m")))
+    b5 = (
+        F.when(case == 3, coord)
+        .when(case == 5, integers)
+        .when(case == 6, F.lit(""))
+        .otherwise(F.concat(F.lit("Water depth: "), (k % 4000).cast("string"), F.lit(" m")))
+    )
+    bold = lambda c: F.concat(F.lit("<b>"), c, F.lit("</b><br>"))
+    items = F.concat(bold(b1), bold(b2), bold(b3), bold(b4), F.when(case == 4, F.lit("")).otherwise(bold(b5)))
+    html = F.concat(
+        F.lit("<html><body><h1>Station "), k.cast("string"), F.lit("</h1><div id=\"stn_metadata\"><p>"),
+        items, F.lit("</p><p><b>10.500 N 20.250 W</b></p></div></body></html>"),
+    )
+    return customer.select(F.lpad(k.cast("string"), 5, "0").alias("buoy_id"), html.alias("html"))
+
+
+def download_links_from_orders(orders: DataFrame) -> DataFrame:
+    """Archive download links ``(buoy_id, url)``, one per order: the file of
+    the customer's order year. Urgent pending orders get a link without a
+    ``filename`` parameter (an unknown year)."""
+    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    y = F.year("o_orderdate").cast("string")
+    odd = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    url = F.when(
+        odd,
+        F.concat(F.lit("/historical_data/download_data.php?dir=data/historical/stdmet/&ref="), F.col("o_orderkey").cast("string")),
+    ).otherwise(
+        F.concat(F.lit("/historical_data/download_data.php?filename="), buoy, F.lit("h"), y, F.lit(".txt.gz&dir=data/historical/stdmet/"))
+    )
+    return orders.select(buoy.alias("buoy_id"), url.alias("url"))
+
+
+def bronze_cache_from_orders(orders: DataFrame) -> DataFrame:
+    """Bronze files already on disk ``(buoy_id, year, source_stem, usable)``:
+    fulfilled orders' (customer, year) files; a file holding any low-priority
+    order is unreadable."""
+    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    y = F.year("o_orderdate").cast("string")
+    return (
+        orders.where(F.col("o_orderstatus") == "F")
+        .select(buoy.alias("buoy_id"), y.alias("year"), (F.col("o_orderpriority") != "5-LOW").alias("ok"))
+        .groupBy("buoy_id", "year")
+        .agg(F.bool_and("ok").alias("usable"))
+        .withColumn("source_stem", F.concat("buoy_id", F.lit("h"), "year"))
+    )
+
+
+def file_inventory_from_orders(orders: DataFrame, year_text: Column | None = None) -> DataFrame:
+    """Bronze file inventory ``(path, buoy_id, year, modificationTime)``:
+    one file per order, modified ``o_orderkey % 86400`` seconds after the
+    order date."""
+    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    y = year_text if year_text is not None else F.year("o_orderdate").cast("string")
+    mtime = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 86400) * 1_000_000)
+    return orders.select(
+        F.concat(F.lit("observations/buoy_id="), buoy, F.lit("/year="), y, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".parquet")).alias("path"),
+        buoy.alias("buoy_id"),
+        y.alias("year"),
+        mtime.alias("modificationTime"),
+    )
+
+
+def ledger_from_orders(orders: DataFrame) -> DataFrame:
+    """Append-only year ledger: one row per order, run = status-priority."""
+    return orders.select(
+        F.year("o_orderdate").alias("year"),
+        F.concat(F.lit("fp-"), F.col("o_custkey").cast("string")).alias("bronze_fingerprint"),
+        (F.col("o_orderkey") % 1000).alias("rows_loaded"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderkey") % 5).otherwise(F.lit(0).cast("long")).alias("rows_rejected"),
+        F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 86400) * 1_000_000)
+        .cast("timestamp_ntz").alias("loaded_at"),
+        F.concat(F.col("o_orderstatus"), F.lit("-"), F.col("o_orderpriority")).alias("run_token"),
+    )
+
+
+def runs_from_events(events: DataFrame) -> DataFrame:
+    """Run log rows, one per event. ``view`` events are scrape runs, ``error``
+    events silver runs; every ninth run is still running; a run whose crawl
+    ended for any reason but ``finished`` failed."""
+    from tidewater.operators.monitoring import run_status_from_reason
+
+    eid = F.col("event_id")
+    stage = (
+        F.when(F.col("event_type") == "view", F.lit("scrape"))
+        .when(F.col("event_type") == "error", F.lit("silver"))
+        .otherwise(F.col("event_type"))
+    )
+    reason = F.when(F.col("value") < 50, F.lit("shutdown")).otherwise(F.lit("finished"))
+    running = eid % 9 == 0
+    started = F.col("ts").cast("timestamp_ntz")
+    finished = F.when(
+        ~running,
+        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + (eid % 3600) * 1_000_000).cast("timestamp_ntz"),
+    )
+    return events.select(
+        F.concat(F.lit("run-"), F.lpad(eid.cast("string"), 10, "0")).alias("run_token"),
+        stage.alias("stage"),
+        F.when(running, F.lit("running")).otherwise(run_status_from_reason(reason)).alias("status"),
+        started.alias("started_at"),
+        finished.alias("finished_at"),
+        (eid % 1000).alias("rows_loaded"),
+        (F.col("user_id") % 5).cast("int").alias("years_loaded"),
+        (eid % 7).alias("rows_rejected"),
+    )
+
+
+def coordinate_rows_from_supplier(supplier: DataFrame) -> DataFrame:
+    """Bronze coordinate rows ``(buoy_id, path, latitude, longitude)``: one
+    per supplier, grouped into stations by nation, with NULLs injected."""
+    k = F.col("s_suppkey")
+    return supplier.select(
+        F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.concat(F.lit("coordinates/buoy_id="), F.lpad(F.col("s_nationkey").cast("string"), 5, "0"), F.lit("/part-"), F.lpad(k.cast("string"), 8, "0"), F.lit(".parquet")).alias("path"),
+        F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("s_acctbal") / 100).cast("double").alias("latitude"),
+        F.when(k % 4 == 1, F.lit(None)).otherwise(k.cast("double") / 10).cast("double").alias("longitude"),
+    )

@@ -129,8 +129,384 @@ ranked AS (
 SELECT {_OBS_COLUMNS} FROM ranked WHERE rn = 1
 """
 
+
+_YEAR_PIVOT = """
+SELECT l_orderkey, l_linenumber,
+  CAST(y4 AS VARCHAR) AS year4,
+  CASE WHEN l_linenumber * 4 <= 23 THEN try(make_timestamp(
+    y4, month(l_shipdate), CASE WHEN l_linenumber = 7 THEN 31 ELSE day(l_shipdate) END,
+    l_linenumber * 4, l_partkey % 60, 0)) END AS datetime
+FROM (
+  SELECT *, CASE WHEN year(l_shipdate) % 100 < 50 THEN 2000 + year(l_shipdate) % 100
+                 ELSE 1900 + year(l_shipdate) % 100 END AS y4
+  FROM lineitem
+)
+"""
+
+_SCHEMA_DRIFT = """
+WITH a AS (
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS source_stem,
+    lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+    make_timestamp(year(o_orderdate), month(o_orderdate), day(o_orderdate), 0, 0, 0) AS datetime,
+    CASE WHEN o_totalprice = 9999.0 THEN NULL ELSE o_totalprice END AS pressure
+  FROM orders
+),
+b AS (
+  SELECT 'l' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS source_stem,
+    lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS buoy_id,
+    make_timestamp(year(l_shipdate), month(l_shipdate), day(l_shipdate), l_linenumber, l_partkey % 60, 0) AS datetime,
+    CASE WHEN l_quantity = 99.0 THEN NULL ELSE l_quantity END AS wind_speed,
+    CASE WHEN l_tax = 99.0 THEN NULL ELSE l_tax END AS pressure_tendency
+  FROM lineitem
+)
+SELECT source_stem, buoy_id, datetime, pressure, wind_speed, pressure_tendency, CAST(NULL AS DOUBLE) AS tide
+FROM (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)
+"""
+
+_ADMISSION = """
+WITH t AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL ELSE o_orderdate END AS datetime,
+    CAST(year(o_orderdate) + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS load_year
+  FROM orders
+),
+d AS (SELECT DISTINCT load_year, buoy_id, datetime FROM t)
+SELECT load_year, count(*) AS rows_total,
+  count(*) FILTER (WHERE ok) AS rows_loaded,
+  count(*) - count(*) FILTER (WHERE ok) AS rows_rejected
+FROM (
+  SELECT *, buoy_id IS NOT NULL AND datetime IS NOT NULL
+    AND datetime >= make_timestamp(CAST(load_year AS INTEGER), 1, 1, 0, 0, 0)
+    AND datetime < make_timestamp(CAST(load_year AS INTEGER) + 1, 1, 1, 0, 0, 0) AS ok
+  FROM d
+)
+GROUP BY load_year
+"""
+
+
+def _fp(n: str, us: str) -> str:
+    return (
+        f"CAST({n} AS VARCHAR) || ':' || CAST({us} // 1000000 AS VARCHAR) || '.' "
+        f"|| lpad(CAST({us} % 1000000 AS VARCHAR), 6, '0')"
+    )
+
+
+_FINGERPRINT = f"""
+WITH files AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS year,
+    epoch_us(o_orderdate) + (o_orderkey % 86400) * 1000000 AS mtime_us
+  FROM orders
+),
+fp AS (SELECT year, count(*) AS n, max(mtime_us) AS newest FROM files GROUP BY year),
+years AS (
+  SELECT CAST(unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 2)) AS VARCHAR) AS year
+  FROM orders
+)
+SELECT years.year, coalesce({_fp('fp.n', 'fp.newest')}, 'empty') AS bronze_fingerprint,
+  coalesce(fp.n, 0) AS file_count
+FROM years LEFT JOIN fp ON years.year = fp.year
+"""
+
+_CHANGED = f"""
+WITH inv AS (
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'unknown'
+              ELSE CAST(year(o_orderdate) AS VARCHAR) END AS year,
+    epoch_us(o_orderdate) + (o_orderkey % 86400) * 1000000 AS mtime_us,
+    o_orderdate
+  FROM orders
+),
+cur AS (SELECT year, {_fp('count(*)', 'max(mtime_us)')} AS fp FROM inv GROUP BY year),
+old AS (
+  SELECT year, {_fp('count(*)', 'max(mtime_us)')} AS fp FROM inv
+  WHERE o_orderdate < TIMESTAMP '1999-07-01 00:00:00' GROUP BY year
+)
+SELECT c.year, c.fp AS bronze_fingerprint, CASE WHEN o.year IS NULL THEN 'new' ELSE 'changed' END AS reason
+FROM cur c LEFT JOIN old o ON c.year = o.year AND regexp_matches(o.year, '^[0-9]{{4}}$')
+WHERE regexp_matches(c.year, '^[0-9]{{4}}$') AND (o.fp IS NULL OR o.fp <> c.fp)
+"""
+
+_FETCH = """
+WITH src AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+    CAST(year(o_orderdate) AS VARCHAR) AS y,
+    o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AS odd,
+    o_orderkey
+  FROM orders
+),
+l AS (
+  SELECT DISTINCT buoy_id,
+    CASE WHEN odd THEN 'unknown' ELSE y END AS year,
+    CASE WHEN odd THEN 'unknown-' || substr(sha1(url), 1, 12) ELSE buoy_id || 'h' || y END AS source_stem,
+    url
+  FROM (
+    SELECT *, CASE WHEN odd
+      THEN '/historical_data/view_text_file.php?dir=data/historical/stdmet/&ref=' || CAST(o_orderkey AS VARCHAR)
+      ELSE '/historical_data/view_text_file.php?filename=' || buoy_id || 'h' || y || '.txt.gz&dir=data/historical/stdmet/'
+      END AS url
+    FROM src
+  )
+),
+c AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id, CAST(year(o_orderdate) AS VARCHAR) AS year,
+    bool_and(o_orderpriority <> '5-LOW') AS usable
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2
+),
+keep AS (
+  SELECT buoy_id, year, buoy_id || 'h' || year AS source_stem FROM c
+  WHERE usable AND regexp_matches(year, '^[0-9]{4}$') AND CAST(year AS INTEGER) < 2000
+)
+SELECT buoy_id, year, source_stem, url FROM l
+WHERE NOT EXISTS (
+  SELECT 1 FROM keep k WHERE k.buoy_id = l.buoy_id AND k.year = l.year AND k.source_stem = l.source_stem
+)
+"""
+
+_SOURCE_IDENTITY = """
+SELECT event_id, url,
+  CASE WHEN event_id % 5 = 0 THEN 'unknown-' || substr(sha1(url), 1, 12)
+       WHEN event_id % 5 = 2 THEN buoy
+       ELSE buoy || 'h' || y END AS source_stem,
+  CASE WHEN event_id % 5 IN (0, 2) THEN 'unknown' ELSE y END AS year
+FROM (
+  SELECT event_id, buoy, y,
+    CASE WHEN event_id % 5 = 0 THEN '/view_text_file.php?dir=data/historical/stdmet/&ref=' || CAST(event_id AS VARCHAR)
+         WHEN event_id % 5 = 1 THEN '/view_text_file.php?filename=' || buoy || 'h' || y || '%2Etxt%2Egz&dir=x'
+         WHEN event_id % 5 = 2 THEN '/view_text_file.php?filename=' || buoy || '.txt.gz'
+         ELSE '/view_text_file.php?filename=' || buoy || 'h' || y || '.txt.gz&dir=data/historical/stdmet/' END AS url
+  FROM (SELECT event_id, lpad(CAST(user_id AS VARCHAR), 5, '0') AS buoy, CAST(year(ts) AS VARCHAR) AS y FROM events)
+)
+"""
+
+_PAGE_LINKS = r"""
+WITH p AS (
+  SELECT page_id,
+    regexp_extract_all(regexp_extract(html, '(?s)<nav[^>]*>\s*<ul[^>]*>(.*?)</ul>', 1), '(?s)<li[^>]*>(.*?)</li>', 1) AS items
+  FROM pages
+),
+i AS (
+  SELECT page_id, items[n] AS item, CAST(n - 1 AS INTEGER) AS item_pos
+  FROM p, unnest(generate_series(1, len(items))) AS t(n)
+),
+h AS (
+  SELECT page_id, item_pos, hrefs[m] AS href, CAST(m - 1 AS INTEGER) AS link_pos
+  FROM (SELECT page_id, item_pos, regexp_extract_all(item, '<a[^>]*href\s*=\s*["'']([^"'']*)["'']', 1) AS hrefs FROM i),
+       unnest(generate_series(1, len(hrefs))) AS t(m)
+),
+l AS (
+  SELECT page_id, item_pos, link_pos, link,
+    url_decode(regexp_extract(link, '[?&]filename=([^&#]*)', 1)) AS fname
+  FROM (SELECT *, replace(href, 'download_data', 'view_text_file') AS link FROM h)
+),
+f AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, item_pos, link_pos) AS rn FROM l)
+SELECT link, page_id, item_pos,
+  lpad(CAST(page_id AS VARCHAR), 5, '0') AS buoy_id,
+  CASE WHEN fname <> '' THEN regexp_replace(fname, '\.txt\.gz$', '')
+       ELSE 'unknown-' || substr(sha1(link), 1, 12) END AS source_stem,
+  coalesce(nullif(regexp_extract(fname, 'h(\d{4})\.txt', 1), ''), 'unknown') AS year,
+  'https://www.ndbc.noaa.gov/station_page.php?station=' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS station_url
+FROM f WHERE rn = 1
+"""
+
+_COORDS = """
+coords AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS buoy_id,
+    CASE WHEN c_custkey % 7 <= 3 THEN CAST((c_custkey * 37) % 90000 AS DOUBLE) / 1000
+         * CASE WHEN c_nationkey % 2 = 0 THEN 1 ELSE -1 END END AS latitude,
+    CASE WHEN c_custkey % 7 <= 3 THEN CAST((c_custkey * 53) % 180000 AS DOUBLE) / 1000
+         * CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE -1 END END AS longitude,
+    CASE WHEN c_custkey % 7 <= 3 THEN 'ok' WHEN c_custkey % 7 = 5 THEN 'unparseable' ELSE 'missing' END AS status
+  FROM customer
+)"""
+
+_COORDINATE_PARSE = f"""
+WITH {_COORDS.strip()}
+SELECT buoy_id, latitude, longitude, status FROM coords
+"""
+
+_DIMENSION = """
+WITH r AS (
+  SELECT lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS buoy_id,
+    'coordinates/buoy_id=' || lpad(CAST(s_nationkey AS VARCHAR), 5, '0') || '/part-'
+      || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') || '.parquet' AS path,
+    CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal / 100 END AS latitude,
+    CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) / 10 END AS longitude
+  FROM supplier
+)
+SELECT buoy_id,
+  arg_min(latitude, path) FILTER (WHERE latitude IS NOT NULL) AS latitude,
+  arg_min(longitude, path) FILTER (WHERE longitude IS NOT NULL) AS longitude
+FROM r GROUP BY buoy_id
+"""
+
+_FACT_POSITION = f"""
+WITH {_TYPED.strip()},
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY buoy_id, datetime ORDER BY event_id) AS rn FROM typed
+),
+{_COORDS.strip()}
+SELECT r.buoy_id, datetime, wind_direction, wind_speed, gust, significant_wave_height,
+  dominant_wave_period, average_wave_period, mean_wave_direction, pressure, air_temperature,
+  sea_surface_temperature, dew_point_temperature, visibility, pressure_tendency, tide,
+  c.latitude, c.longitude
+FROM ranked r LEFT JOIN coords c ON r.buoy_id = c.buoy_id
+WHERE rn = 1
+"""
+
+_EVENTS_AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
+
+_FRESHNESS = f"""
+SELECT max(ts) AS newest,
+  (epoch_us({_EVENTS_AS_OF}) - epoch_us(max(ts))) / 3.6e9 AS age_hours,
+  coalesce((epoch_us({_EVENTS_AS_OF}) - epoch_us(max(ts))) / 3.6e9 > 36.0, true) AS is_stale
+FROM events
+"""
+
+_RUNS = """
+runs AS (
+  SELECT 'run-' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS run_token,
+    CASE event_type WHEN 'view' THEN 'scrape' WHEN 'error' THEN 'silver' ELSE event_type END AS stage,
+    CASE WHEN event_id % 9 = 0 THEN 'running' WHEN value < 50 THEN 'failed' ELSE 'ok' END AS status,
+    ts AS started_at,
+    CASE WHEN event_id % 9 = 0 THEN NULL
+         ELSE make_timestamp(epoch_us(ts) + (event_id % 3600) * 1000000) END AS finished_at,
+    event_id % 1000 AS rows_loaded,
+    CAST(user_id % 5 AS INTEGER) AS years_loaded,
+    event_id % 7 AS rows_rejected
+  FROM events
+)"""
+
+_LATEST_RUN = f"""
+WITH {_RUNS.strip()},
+r AS (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY started_at DESC, run_token DESC) AS rn FROM runs)
+SELECT stage, run_token, status, started_at, finished_at FROM r WHERE rn = 1
+"""
+
+_STUCK = f"""
+WITH {_RUNS.strip()}
+SELECT stage, count(*) AS runs,
+  count(*) FILTER (WHERE status = 'running'
+    AND epoch_us(started_at) < epoch_us(TIMESTAMP '2024-01-20 00:00:00') - 43200000000) AS stuck_runs,
+  max((epoch_us(finished_at) - epoch_us(started_at)) / 1e6) AS max_duration_sec
+FROM runs GROUP BY stage
+"""
+
+_LAST_TEN = f"""
+WITH {_RUNS.strip()}
+SELECT run_token, stage, status, started_at, finished_at,
+  (epoch_us(finished_at) - epoch_us(started_at)) / 1e6 AS duration_sec,
+  rows_loaded, years_loaded, rows_rejected
+FROM runs ORDER BY started_at DESC, run_token DESC LIMIT 10
+"""
+
+_LEDGER = """
+ledger AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
+    'fp-' || CAST(o_custkey AS VARCHAR) AS bronze_fingerprint,
+    o_orderkey % 1000 AS rows_loaded,
+    CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey % 5 ELSE 0 END AS rows_rejected,
+    make_timestamp(epoch_us(o_orderdate) + (o_orderkey % 86400) * 1000000) AS loaded_at,
+    o_orderstatus || '-' || o_orderpriority AS run_token
+  FROM orders
+),
+current_ledger AS (
+  SELECT year, bronze_fingerprint, rows_loaded, rows_rejected, loaded_at, run_token FROM (
+    SELECT *, row_number() OVER (PARTITION BY year ORDER BY loaded_at DESC, run_token DESC) AS rn FROM ledger
+  ) WHERE rn = 1
+)"""
+
+_LEDGER_LATEST = f"WITH {_LEDGER.strip()}\nSELECT * FROM current_ledger\n"
+
+_REJECTS = f"""WITH {_LEDGER.strip()}
+SELECT year, rows_loaded, rows_rejected, loaded_at FROM current_ledger WHERE rows_rejected > 0 ORDER BY year
+"""
+
+_RUN_COUNTERS = f"""WITH {_LEDGER.strip()}
+SELECT run_token, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded,
+  CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, count(*) AS years_loaded
+FROM ledger GROUP BY run_token
+"""
+
+_PARTITIONS = f"""WITH {_LEDGER.strip()}
+SELECT count(DISTINCT year) AS partitions FROM current_ledger
+"""
+
+_HEALTH = f"""
+WITH {_RUNS.strip()},
+{_LEDGER.strip()},
+fresh AS (
+  SELECT max(ts) AS newest, (epoch_us({_EVENTS_AS_OF}) - epoch_us(max(ts))) / 3.6e9 AS age FROM events
+),
+latest AS (
+  SELECT stage, status, started_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY stage ORDER BY started_at DESC, run_token DESC) AS rn FROM runs
+  ) WHERE rn = 1
+),
+wanted AS (SELECT * FROM (VALUES ('scrape'), ('silver')) AS t(stage)),
+problems AS (
+  SELECT 1 AS seq, 'FRESHNESS' AS "check",
+    CASE WHEN newest IS NULL THEN 'observations are empty'
+         WHEN age > 36.0 THEN 'newest observation is over 36h old' END AS detail,
+    age AS value
+  FROM fresh
+  UNION ALL
+  SELECT 2, 'RUNS',
+    CASE WHEN l.stage IS NULL THEN 'no ' || w.stage || ' run has ever been recorded'
+         WHEN l.status = 'failed' THEN 'last ' || w.stage || ' run failed at ' || strftime(l.started_at, '%Y-%m-%d %H:%M:%S') END,
+    CAST(NULL AS DOUBLE)
+  FROM wanted w LEFT JOIN latest l ON w.stage = l.stage
+  UNION ALL
+  SELECT 3, 'RUNS', CASE WHEN n > 0 THEN 'runs stuck in ''running'' for over 12h' END, CAST(n AS DOUBLE)
+  FROM (
+    SELECT count(*) AS n FROM runs
+    WHERE status = 'running' AND epoch_us(started_at) < epoch_us({_EVENTS_AS_OF}) - 43200000000
+  )
+  UNION ALL
+  SELECT 4, 'SCHEMA', CASE WHEN p = 0 THEN 'no year partitions published' END, CAST(p AS DOUBLE)
+  FROM (SELECT count(DISTINCT year) AS p FROM current_ledger)
+)
+SELECT * FROM problems WHERE detail IS NOT NULL
+"""
+
+_INTEGRITY = """
+SELECT 'unique_key' AS "check", count(*) AS violations
+FROM (SELECT o_custkey, o_orderdate FROM orders GROUP BY ALL HAVING count(*) > 1)
+UNION ALL
+SELECT 'not_null', count(*) FILTER (WHERE l_orderkey IS NULL OR l_shipdate IS NULL) FROM lineitem
+UNION ALL
+SELECT 'in_year_range', count(*) FILTER (
+  WHERE l_shipdate < make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0)
+     OR l_shipdate >= make_timestamp(year(o_orderdate) + 1, 1, 1, 0, 0, 0))
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL
+SELECT 'status_domain', count(*) FILTER (
+  WHERE CASE o_orderstatus WHEN 'F' THEN 'ok' WHEN 'O' THEN 'running' ELSE 'pending' END
+        NOT IN ('running', 'ok', 'failed'))
+FROM orders
+"""
+
 ORACLES: dict[str, str] = {
     "station_text_decode": _DECODE,
     "sentinel_nullify": _SENTINEL,
     "dedup_keep_first": _DEDUP,
+    "year_pivot": _YEAR_PIVOT,
+    "schema_drift_union": _SCHEMA_DRIFT,
+    "partition_admission": _ADMISSION,
+    "year_fingerprint": _FINGERPRINT,
+    "changed_years": _CHANGED,
+    "fetch_plan": _FETCH,
+    "source_identity": _SOURCE_IDENTITY,
+    "page_links_explode": _PAGE_LINKS,
+    "coordinate_parse": _COORDINATE_PARSE,
+    "dimension_collapse": _DIMENSION,
+    "fact_with_position": _FACT_POSITION,
+    "freshness": _FRESHNESS,
+    "latest_run_per_stage": _LATEST_RUN,
+    "stuck_runs": _STUCK,
+    "last_ten_runs": _LAST_TEN,
+    "ledger_latest": _LEDGER_LATEST,
+    "rejects_report": _REJECTS,
+    "run_counters": _RUN_COUNTERS,
+    "partition_count": _PARTITIONS,
+    "health_report": _HEALTH,
+    "integrity_checks": _INTEGRITY,
 }

@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions import coordinates as coords
+from tidewater.functions import links
+from tidewater.operators import admission, checks, incremental, monitoring, stations
 from tidewater.operators import observations as obs
 from tidewater.plans import derived
 from tidewater.plans.tables import table
@@ -44,8 +47,313 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs.clean_observations(_bronze_from_events(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {
+
+
+# Fixed "now" of the registered queries: the events span January 2024 and
+# the orders 1995-2001, so the clock is a parameter, never the wall clock.
+EVENTS_AS_OF = "2024-02-01 00:00:00"
+ORDERS_AS_OF_YEAR = 2000
+LEDGER_CUTOFF = "1999-07-01"
+
+
+def year_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ5, PRJ6: two-digit years pivot at 50; impossible dates -> NULL."""
+    li = table(spark, sf_dir, "lineitem")
+    ship = F.col("l_shipdate")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    year_text = two(F.year(ship) % 100)
+    day_text = F.when(F.col("l_linenumber") == 7, F.lit("31")).otherwise(two(F.dayofmonth(ship)))
+    hour_text = two(F.col("l_linenumber") * 4)
+    minute_text = two(F.col("l_partkey") % 60)
+    y4 = obs.four_digit_year(year_text)
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        y4.alias("year4"),
+        obs.build_timestamp(y4, two(F.month(ship)), day_text, hour_text, minute_text).alias("datetime"),
+    )
+
+
+def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SET1, PRJ2, PRJ3: files with different headers unioned by name; the
+    year spelling is coalesced and absent measurements read as NULL."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.year("o_orderdate").cast("string").alias("year"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("source_stem"),
+        F.lit(2).alias("line_no"),
+        F.year("o_orderdate").cast("string").alias("yy_hash"),
+        F.lpad(F.month("o_orderdate").cast("string"), 2, "0").alias("month_raw"),
+        F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, "0").alias("day_raw"),
+        F.lit("00").alias("hour_raw"),
+        F.col("o_totalprice").cast("string").alias("PRES"),
+    )
+    items = table(spark, sf_dir, "lineitem").select(
+        F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.year("l_shipdate").cast("string").alias("year"),
+        F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("source_stem"),
+        F.lit(2).alias("line_no"),
+        F.year("l_shipdate").cast("string").alias("yyyy"),
+        F.lpad(F.month("l_shipdate").cast("string"), 2, "0").alias("month_raw"),
+        F.lpad(F.dayofmonth("l_shipdate").cast("string"), 2, "0").alias("day_raw"),
+        F.lpad(F.col("l_linenumber").cast("string"), 2, "0").alias("hour_raw"),
+        F.lpad((F.col("l_partkey") % 60).cast("string"), 2, "0").alias("minute_raw"),
+        F.col("l_quantity").cast("string").alias("WSPD"),
+        F.col("l_tax").cast("string").alias("PTDY"),
+    )
+    union = orders.unionByName(items, allowMissingColumns=True)
+    typed = obs.normalize(union)
+    return typed.select(
+        "source_stem", "buoy_id", "datetime", "pressure", "wind_speed", "pressure_tendency", "tide"
+    )
+
+
+def partition_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT2, AGG1, DT1: rows admitted into / rejected from their year, after
+    the year-scoped dedup. Every tenth order is misfiled into the next
+    year's directory; urgent pending orders carry a corrupt hour."""
+    o = table(spark, sf_dir, "orders")
+    corrupt = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    load_year = (F.year("o_orderdate") + F.when(F.col("o_orderkey") % 10 == 0, 1).otherwise(0)).cast("string")
+    typed = o.select(
+        F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.when(~corrupt, F.col("o_orderdate").cast("timestamp_ntz")).alias("datetime"),
+        load_year.alias("load_year"),
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("source_stem"),
+        F.lit(2).alias("line_no"),
+    )
+    deduped = obs.dedup_keep_first(typed, ["load_year"])
+    return admission.admission_counts(deduped)
+
+
+def year_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG3: ``count:newest-mtime`` per year, ``empty`` for a year without files."""
+    o = table(spark, sf_dir, "orders")
+    inv = derived.file_inventory_from_orders(o)
+    bounds = o.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
+    years = bounds.select(F.explode(F.sequence("lo", F.col("hi") + 1)).alias("y")).select(
+        F.col("y").cast("string").alias("year")
+    )
+    return incremental.year_fingerprints(inv, years)
+
+
+def _orders_year_text() -> F.Column:
+    odd = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    return F.when(odd, F.lit("unknown")).otherwise(F.year("o_orderdate").cast("string"))
+
+
+def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN2, FLT3, FLT5, SORT1: years to rebuild. The ledger holds the
+    fingerprints of the bronze as it stood before the cut-off (each behind
+    an older, stale row); the current bronze is the whole table."""
+    o = table(spark, sf_dir, "orders")
+    inv = derived.file_inventory_from_orders(o, _orders_year_text())
+    current = incremental.year_fingerprints(inv)
+    old_inv = derived.file_inventory_from_orders(o.where(F.col("o_orderdate") < F.lit(LEDGER_CUTOFF)), _orders_year_text())
+    old = incremental.year_fingerprints(old_inv).where(incremental.is_loadable_year("year"))
+    ledger = old.select(
+        F.col("year").cast("int").alias("year"), "bronze_fingerprint",
+        F.lit("2000-01-01 00:00:00").cast("timestamp_ntz").alias("loaded_at"), F.lit("r2").alias("run_token"),
+    ).unionByName(old.select(
+        F.col("year").cast("int").alias("year"), F.lit("stale").alias("bronze_fingerprint"),
+        F.lit("1999-01-01 00:00:00").cast("timestamp_ntz").alias("loaded_at"), F.lit("r1").alias("run_token"),
+    ))
+    latest = monitoring.ledger_latest(ledger)
+    return incremental.changed_years(current, latest).select("year", "bronze_fingerprint", "reason").orderBy("year")
+
+
+def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN3, FLT4, SET2: download links minus closed, readable years
+    already in bronze; each URL once."""
+    o = table(spark, sf_dir, "orders")
+    raw = derived.download_links_from_orders(o)
+    rewritten = raw.select("buoy_id", links.text_view_link("url").alias("url"))
+    with_id = links.with_source_identity(rewritten, "url")
+    cache = derived.bronze_cache_from_orders(o)
+    return incremental.fetch_plan(with_id, cache, ORDERS_AS_OF_YEAR).select("buoy_id", "year", "source_stem", "url")
+
+
+def source_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR7: (source stem, year) from every event's download link."""
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    buoy = F.lpad(F.col("user_id").cast("string"), 5, "0")
+    y = F.year("ts").cast("string")
+    url = (
+        F.when(eid % 5 == 0, F.concat(F.lit("/view_text_file.php?dir=data/historical/stdmet/&ref="), eid.cast("string")))
+        .when(eid % 5 == 1, F.concat(F.lit("/view_text_file.php?filename="), buoy, F.lit("h"), y, F.lit("%2Etxt%2Egz&dir=x")))
+        .when(eid % 5 == 2, F.concat(F.lit("/view_text_file.php?filename="), buoy, F.lit(".txt.gz")))
+        .otherwise(F.concat(F.lit("/view_text_file.php?filename="), buoy, F.lit("h"), y, F.lit(".txt.gz&dir=data/historical/stdmet/")))
+    )
+    return ev.select("event_id", url.alias("url")).select(
+        "event_id", "url", links.source_stem("url").alias("source_stem"), links.source_year("url").alias("year")
+    )
+
+
+NAV_LIST_PATTERN = r"(?s)<nav[^>]*>\s*<ul[^>]*>(.*?)</ul>"
+
+
+def page_links_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6, STR4-STR6, STR8, SET2: list links of every landed page, one row
+    per distinct link (kept from the lowest page id)."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    exploded = links.explode_archive_index(pages, NAV_LIST_PATTERN, keep=["page_id"])
+    # Navigation items carry no station label; the page itself is the station.
+    named = exploded.withColumn(
+        "buoy_id", F.coalesce("buoy_id", F.lpad(F.col("page_id").cast("string"), 5, "0"))
+    ).withColumn("station_url", links.station_page_url("buoy_id"))
+    unique = stations.distinct_by_url(named, "link", order_cols=["page_id", "item_pos", "link_pos"])
+    return unique.select("link", "page_id", "item_pos", "buoy_id", "source_stem", "year", "station_url")
+
+
+def coordinate_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1-STR3: position and status from each landed station page."""
+    pages = derived.station_pages_from_customer(table(spark, sf_dir, "customer"))
+    return coords.positions_from_pages(pages)
+
+
+def dimension_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG2: one coordinate row per station, first non-NULL value per column."""
+    raw = derived.coordinate_rows_from_supplier(table(spark, sf_dir, "supplier"))
+    return stations.collapse_coordinates(raw, "path")
+
+
+def fact_with_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN1: clean observations (flagship transform) with station position."""
+    observations = obs.clean_observations(_bronze_from_events(spark, sf_dir))
+    positions = coords.positions_from_pages(derived.station_pages_from_customer(table(spark, sf_dir, "customer")))
+    return stations.with_position(observations, positions)
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.runs_from_events(table(spark, sf_dir, "events"))
+
+
+def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG4, DT2: newest observation and its age at the fixed clock."""
+    ev = table(spark, sf_dir, "events").select(F.col("ts").alias("datetime"))
+    return monitoring.freshness(ev, EVENTS_AS_OF)
+
+
+def latest_run_per_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN2: latest run of each stage."""
+    runs = _runs(spark, sf_dir).select("stage", "run_token", "status", "started_at", "finished_at")
+    return monitoring.latest_run_per_stage(runs)
+
+
+def stuck_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG5, DT3: per stage, runs, stuck runs and the longest finished run."""
+    runs = _runs(spark, sf_dir)
+    stuck_ids = monitoring.stuck_runs(runs, "2024-01-20 00:00:00").select("run_token").withColumn("stuck", F.lit(True))
+    dur = monitoring.duration_seconds(F.col("started_at"), F.col("finished_at"))
+    return (
+        runs.join(stuck_ids, "run_token", "left")
+        .groupBy("stage")
+        .agg(
+            F.count(F.lit(1)).alias("runs"),
+            F.count_if(F.col("stuck")).alias("stuck_runs"),
+            F.max(dur).alias("max_duration_sec"),
+        )
+    )
+
+
+def last_ten_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOP1: the ten newest runs with their duration."""
+    return monitoring.last_runs(_runs(spark, sf_dir), 10)
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.ledger_from_orders(table(spark, sf_dir, "orders"))
+
+
+def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5 read side: the current ledger row per year."""
+    return monitoring.ledger_latest(_ledger(spark, sf_dir))
+
+
+def rejects_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT6: current years with rejected rows, in year order."""
+    return monitoring.rejects_report(monitoring.ledger_latest(_ledger(spark, sf_dir)))
+
+
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG7: loaded, rejected and years per run."""
+    return monitoring.run_counters(_ledger(spark, sf_dir))
+
+
+def partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG6: published year partitions."""
+    return monitoring.partition_count(monitoring.ledger_latest(_ledger(spark, sf_dir)))
+
+
+def health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MON1, MON2: one row per problem at the fixed clock."""
+    ev = table(spark, sf_dir, "events").select(F.col("ts").alias("datetime"))
+    ledger_current = monitoring.ledger_latest(_ledger(spark, sf_dir))
+    return monitoring.health_report(spark, ev, _runs(spark, sf_dir), ledger_current, EVENTS_AS_OF)
+
+
+def integrity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CHK1-CHK4 over orders and lineitem: violations per check."""
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    unique = checks.duplicate_keys(o, ["o_custkey", "o_orderdate"]).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("unique_key").alias("check"), "violations"
+    )
+    nulls = li.agg(F.count_if(F.col("l_orderkey").isNull() | F.col("l_shipdate").isNull()).alias("violations")).select(
+        F.lit("not_null").alias("check"), "violations"
+    )
+    joined = li.select("l_orderkey", "l_shipdate").join(
+        o.select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("order_year")), "l_orderkey"
+    )
+    rng = joined.agg(
+        F.count_if(checks.outside_year(F.col("l_shipdate").cast("timestamp_ntz"), F.col("order_year"))).alias("violations")
+    ).select(F.lit("in_year_range").alias("check"), "violations")
+    status = F.when(F.col("o_orderstatus") == "F", "ok").when(F.col("o_orderstatus") == "O", "running").otherwise("pending")
+    dom = o.agg(F.count_if(checks.status_outside_domain(status)).alias("violations")).select(
+        F.lit("status_domain").alias("check"), "violations"
+    )
+    return unique.unionByName(nulls).unionByName(rng).unionByName(dom)
+
+
+def _configured(fn: Query) -> Query:
+    """Every query runs under the engine's session settings (UTC clock,
+    text partition values, AQE)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_REGISTRY: dict[str, Query] = {
     "station_text_decode": station_text_decode,
     "sentinel_nullify": sentinel_nullify,
     "dedup_keep_first": dedup_keep_first,
+    "year_pivot": year_pivot,
+    "schema_drift_union": schema_drift_union,
+    "partition_admission": partition_admission,
+    "year_fingerprint": year_fingerprint,
+    "changed_years": changed_years,
+    "fetch_plan": fetch_plan,
+    "source_identity": source_identity,
+    "page_links_explode": page_links_explode,
+    "coordinate_parse": coordinate_parse,
+    "dimension_collapse": dimension_collapse,
+    "fact_with_position": fact_with_position,
+    "freshness": freshness,
+    "latest_run_per_stage": latest_run_per_stage,
+    "stuck_runs": stuck_runs,
+    "last_ten_runs": last_ten_runs,
+    "ledger_latest": ledger_latest,
+    "rejects_report": rejects_report,
+    "run_counters": run_counters,
+    "partition_count": partition_count,
+    "health_report": health_report,
+    "integrity_checks": integrity_checks,
 }
+
+QUERIES: dict[str, Query] = {name: _configured(fn) for name, fn in _REGISTRY.items()}
