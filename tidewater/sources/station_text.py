@@ -43,7 +43,9 @@ def _token(tokens: Column, header: Column, name: Column | str) -> Column:
     return F.when(~tok.isin(*NA_TOKENS), tok)
 
 
-def decode_station_text(text: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def decode_station_text(
+    text: DataFrame, keep: list[str] | None = None, keep_header: bool = False
+) -> DataFrame:
     """Mechanical decode of landed station text into bronze-shaped rows.
 
     Input columns: ``buoy_id``, ``year``, ``source_stem``, ``value`` (plus any
@@ -52,7 +54,8 @@ def decode_station_text(text: DataFrame, keep: list[str] | None = None) -> DataF
     ``extra`` map for other header names and ``decode_error`` (NULL when the
     line is fine). A line longer than its header, or a file whose header
     repeats a name, is flagged instead of shifted. A header-only file yields
-    no rows; an empty file yields none either.
+    no rows (one row, the header itself, with ``keep_header``); an empty
+    file yields none.
     """
     keep = keep or []
     lines = F.filter(F.split(F.col("value"), r"\r?\n"), lambda l: ~l.rlike(_BLANK_LINE))
@@ -62,22 +65,25 @@ def decode_station_text(text: DataFrame, keep: list[str] | None = None) -> DataF
         "source_stem",
         *keep,
         F.split(F.trim(F.get(lines, 0)), r"\s+").alias("header"),
-        F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("body"),
+        lines.alias("lines"),
     )
-    rows = files.select(
+    exploded = files.select(
         "buoy_id",
         "year",
         "source_stem",
         *keep,
         "header",
-        F.posexplode("body").alias("pos", "line"),
-    ).select(
+        F.posexplode("lines").alias("pos", "line"),
+    )
+    if not keep_header:
+        exploded = exploded.where(F.col("pos") > 0)
+    rows = exploded.select(
         "buoy_id",
         "year",
         "source_stem",
         *keep,
         "header",
-        (F.col("pos") + 1).cast("int").alias("line_no"),
+        F.col("pos").cast("int").alias("line_no"),
         F.split(F.trim(F.col("line")), r"\s+").alias("tokens"),
     )
     header, tokens = F.col("header"), F.col("tokens")
