@@ -84,34 +84,55 @@ def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     columns ``load_year`` (hive year text), ``source_stem`` and ``line_no``
     used by the dedup order, plus any ``keep`` columns. Rows flagged by the
     decoder are dropped here; count them from bronze.
+
+    Written as a short chain of projections in which every parsed value is
+    referenced once per step: Catalyst keeps a non-trivial expression in its
+    own projection when the next one uses it twice, so each regex / cast
+    runs once per row and the generated code stays small enough to JIT.
     """
     keep = keep or []
     cols = bronze.columns
-    yr = year_raw(cols)
     src = bronze
     if "decode_error" in cols:
         src = src.where(F.col("decode_error").isNull())
-    src = src.where(is_data_row(yr))
-
-    minute = F.coalesce(F.col("minute_raw"), F.lit("0")) if "minute_raw" in cols else F.lit("0")
 
     def raw(name: str) -> Column:
         return F.col(name) if name in cols else F.lit(None).cast("string")
 
-    measurements = [
-        nullify_sentinel(safe_double(raw(code)), name).alias(name)
-        for code, name in MEASUREMENT_NAMES.items()
-    ]
-    return src.select(
+    lineage = [F.col("year").alias("load_year"), "source_stem", "line_no", *keep]
+    codes = list(MEASUREMENT_NAMES)
+    step1 = src.select(
         F.col("buoy_id").cast("string").alias("buoy_id"),
-        build_timestamp(
-            four_digit_year(yr), raw("month_raw"), raw("day_raw"), raw("hour_raw"), minute
+        year_raw(cols).alias("_year"),
+        raw("month_raw").alias("_month"),
+        raw("day_raw").alias("_day"),
+        raw("hour_raw").alias("_hour"),
+        (F.coalesce(F.col("minute_raw"), F.lit("0")) if "minute_raw" in cols else F.lit("0")).alias("_minute"),
+        *[raw(code).alias(f"_{code}") for code in codes],
+        *lineage,
+    ).where(is_data_row(F.col("_year")))
+    lineage_cols = ["load_year", "source_stem", "line_no", *keep]
+    step2 = step1.select(
+        "buoy_id",
+        four_digit_year(F.col("_year")).alias("_year4"),
+        *[safe_int(F.col(c)).alias(c) for c in ("_month", "_day", "_hour", "_minute")],
+        *[safe_double(F.col(f"_{code}")).alias(f"_{code}") for code in codes],
+        *lineage_cols,
+    )
+    step3 = step2.select(
+        "buoy_id",
+        safe_int(F.col("_year4")).alias("_y"),
+        "_month", "_day", "_hour", "_minute",
+        *[nullify_sentinel(F.col(f"_{code}"), name).alias(name) for code, name in MEASUREMENT_NAMES.items()],
+        *lineage_cols,
+    )
+    return step3.select(
+        "buoy_id",
+        F.try_make_timestamp_ntz(
+            F.col("_y"), F.col("_month"), F.col("_day"), F.col("_hour"), F.col("_minute"), F.lit(0)
         ).alias("datetime"),
-        *measurements,
-        F.col("year").alias("load_year"),
-        "source_stem",
-        "line_no",
-        *keep,
+        *MEASUREMENT_NAMES.values(),
+        *lineage_cols,
     )
 
 

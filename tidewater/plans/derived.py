@@ -35,9 +35,24 @@ def _decimal_text(tenths: Column) -> Column:
 
 
 def event_station_lines(events: DataFrame) -> DataFrame:
-    """One text line per event plus its file coordinates."""
-    e = events.select("event_id", "ts", "user_id", "value")
-    variant = F.col("user_id") % 4
+    """One text line per event plus its file coordinates.
+
+    Rows are hash-partitioned by file right after the scan (cheap key
+    columns only), so the text formatting runs after the exchange, in
+    parallel, and the per-file grouping that follows reuses this
+    partitioning instead of shuffling again.
+    """
+    buoy = F.lpad(F.col("user_id").cast("string"), 5, "0")
+    y = F.year("ts")
+    block = F.lpad(F.floor(F.col("event_id") / FILE_BLOCK).cast("string"), 10, "0")
+    e = events.select(
+        buoy.alias("buoy_id"),
+        y.cast("string").alias("year"),
+        F.concat(buoy, F.lit("h"), y.cast("string"), F.lit("b"), block).alias("source_stem"),
+        (F.col("user_id") % 4).alias("variant"),
+        "event_id", "ts", "value",
+    ).repartition("buoy_id", "year", "source_stem", "variant")
+    variant = F.col("variant")
     eid = F.col("event_id")
     y = F.year("ts")
     year_text = F.when(variant == 2, F.lpad((y % 100).cast("string"), 2, "0")).otherwise(y.cast("string"))
@@ -57,16 +72,7 @@ def event_station_lines(events: DataFrame) -> DataFrame:
         .when(variant == 3, F.concat_ws(" ", *fields_with_minute[:4], *measures, tide))
         .otherwise(F.concat_ws(" ", *fields_with_minute, *measures, tide))
     )
-    buoy = F.lpad(F.col("user_id").cast("string"), 5, "0")
-    block = F.lpad(F.floor(eid / FILE_BLOCK).cast("string"), 10, "0")
-    return e.select(
-        buoy.alias("buoy_id"),
-        y.cast("string").alias("year"),
-        F.concat(buoy, F.lit("h"), y.cast("string"), F.lit("b"), block).alias("source_stem"),
-        variant.alias("variant"),
-        eid.alias("event_id"),
-        line.alias("line"),
-    )
+    return e.select("buoy_id", "year", "source_stem", "variant", eid.alias("event_id"), line.alias("line"))
 
 
 def _header_and_units(variant: Column) -> tuple[Column, Column]:

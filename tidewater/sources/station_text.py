@@ -35,11 +35,13 @@ def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _token(tokens: Column, header: Column, name: Column | str) -> Column:
-    """Token under header ``name``; NULL when the header lacks it, the line
-    is short, or the token is a missing-value word. Header names are matched
-    case-sensitively (``MM`` != ``mm``)."""
+    """Token under header ``name``; NULL when the header lacks it or the line
+    is short. Header names are matched case-sensitively (``MM`` != ``mm``)."""
     name_col = F.lit(name) if isinstance(name, str) else name
-    tok = F.get(tokens, F.array_position(header, name_col).cast("int") - 1)
+    return F.get(tokens, F.array_position(header, name_col).cast("int") - 1)
+
+
+def _missing_to_null(tok: Column) -> Column:
     return F.when(~tok.isin(*NA_TOKENS), tok)
 
 
@@ -58,14 +60,27 @@ def decode_station_text(
     file yields none.
     """
     keep = keep or []
+    # Per file (not per line): split into non-blank lines, parse the header,
+    # and derive everything that depends on the header alone.
     lines = F.filter(F.split(F.col("value"), r"\r?\n"), lambda l: ~l.rlike(_BLANK_LINE))
-    files = text.select(
+    with_lines = text.select("buoy_id", "year", "source_stem", *keep, lines.alias("lines"))
+    header = F.split(F.trim(F.get(F.col("lines"), 0)), r"\s+")
+    with_header = with_lines.select("*", header.alias("header"))
+    files = with_header.select(
         "buoy_id",
         "year",
         "source_stem",
         *keep,
-        F.split(F.trim(F.get(lines, 0)), r"\s+").alias("header"),
-        lines.alias("lines"),
+        "lines",
+        "header",
+        F.size("header").alias("n_header"),
+        (F.size(F.array_distinct("header")) < F.size("header")).alias("dup_header"),
+        F.filter("header", lambda h: ~h.isin(*_KNOWN_HEADERS)).alias("unknown"),
+        # Position of every known header name in this file (-1 when absent),
+        # computed once per file rather than once per line.
+        F.struct(
+            *[(F.array_position("header", F.lit(h)).cast("int") - 1).alias(f"i{k}") for k, h in enumerate(_KNOWN_HEADERS)]
+        ).alias("idx"),
     )
     exploded = files.select(
         "buoy_id",
@@ -73,6 +88,10 @@ def decode_station_text(
         "source_stem",
         *keep,
         "header",
+        "n_header",
+        "dup_header",
+        "unknown",
+        "idx",
         F.posexplode("lines").alias("pos", "line"),
     )
     if not keep_header:
@@ -83,30 +102,38 @@ def decode_station_text(
         "source_stem",
         *keep,
         "header",
+        "n_header",
+        "dup_header",
+        "unknown",
+        "idx",
         F.col("pos").cast("int").alias("line_no"),
         F.split(F.trim(F.col("line")), r"\s+").alias("tokens"),
     )
     header, tokens = F.col("header"), F.col("tokens")
-    unknown = F.filter(header, lambda h: ~h.isin(*_KNOWN_HEADERS))
-    duplicate_header = F.size(F.array_distinct(header)) < F.size(header)
+    unknown, duplicate_header = F.col("unknown"), F.col("dup_header")
     error = (
         F.when(duplicate_header, F.lit("duplicate header name"))
-        .when(F.size(tokens) > F.size(header), F.lit("more fields than header"))
+        .when(F.size(tokens) > F.col("n_header"), F.lit("more fields than header"))
     )
     extra = F.when(
         ~duplicate_header & (F.size(unknown) > 0),
         F.map_from_entries(
             F.transform(
                 unknown,
-                lambda h: F.struct(h.alias("key"), _token(tokens, header, h).alias("value")),
+                lambda h: F.struct(h.alias("key"), _missing_to_null(_token(tokens, header, h)).alias("value")),
             )
         ),
     )
+    def _field(raw: str) -> Column:
+        # Missing-value words (NA, nan, ...) stay text here; the typed stage
+        # turns every non-numeric token into NULL.
+        return F.get(tokens, F.col("idx")[f"i{_KNOWN_HEADERS.index(raw)}"])
+
     return rows.select(
         "source_stem",
         "line_no",
-        *[_token(tokens, header, raw).alias(col) for raw, col in STRUCTURAL_COLUMNS.items()],
-        *[_token(tokens, header, raw).alias(raw) for raw in MEASUREMENT_NAMES],
+        *[_field(raw).alias(col) for raw, col in STRUCTURAL_COLUMNS.items()],
+        *[_field(raw).alias(raw) for raw in MEASUREMENT_NAMES],
         extra.alias("extra"),
         error.alias("decode_error"),
         "buoy_id",
