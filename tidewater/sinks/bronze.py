@@ -24,7 +24,6 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
     The header line is kept as row 0, so a header-only file still lands as
     a readable one-row directory and counts as already fetched.
     """
-    counters = Observation("bronze_write")
     file_counters = Observation("bronze_files")
     # Files are counted where they are read (a map stage: a retried stage
     # may count again; these are run statistics, the data stays exact).
@@ -34,6 +33,14 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
         F.count_if(F.col("_empty")).alias("bronze_skipped_no_schema"),
     )
     decoded = decode_station_text(files.where(~F.col("_empty")).drop("_empty"), keep_header=True)
+    counters = write_bronze_frame(decoded, root)
+    return {**file_counters.get, **counters}
+
+
+def write_bronze_frame(decoded: DataFrame, root: str) -> dict:
+    """Write bronze-shaped rows, one directory per source file, replacing
+    only the directories present in ``decoded``."""
+    counters = Observation("bronze_write")
     # One task per source file, so each directory gets one file. The
     # counters are observed after the exchange, in the writing stage, so a
     # retried map stage cannot count twice.
@@ -51,7 +58,7 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
         .partitionBy("buoy_id", "year", "source_stem")
         .parquet(observations_path(root))
     )
-    return {**file_counters.get, **counters.get}
+    return dict(counters.get)
 
 
 def write_bronze_coordinates(positions: DataFrame, root: str) -> dict:
