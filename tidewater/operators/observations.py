@@ -77,6 +77,26 @@ def nullify_sentinel(value: Column, semantic_name: str) -> Column:
     return F.when(~value.isin(*sentinels), value)
 
 
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _safe_int_sql(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE {_sql_literal(_INTEGER)} THEN try_cast({c} AS INT) END"
+
+
+def _safe_double_sql(c: str) -> str:
+    return f"CASE WHEN {c} RLIKE {_sql_literal(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
+
+
+def _sentinel_sql(c: str, semantic_name: str) -> str:
+    sentinels = SENTINELS.get(semantic_name, ())
+    if not sentinels:
+        return c
+    values = ", ".join(repr(float(v)) for v in sentinels)
+    return f"CASE WHEN NOT ({c} IN ({values})) THEN {c} END"
+
+
 def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed rows from bronze-shaped rows (one per decoded line).
 
@@ -89,6 +109,7 @@ def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     referenced once per step: Catalyst keeps a non-trivial expression in its
     own projection when the next one uses it twice, so each regex / cast
     runs once per row and the generated code stays small enough to JIT.
+    The steps are SQL expressions (one parse each on the JVM side).
     """
     keep = keep or []
     cols = bronze.columns
@@ -96,43 +117,48 @@ def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     if "decode_error" in cols:
         src = src.where(F.col("decode_error").isNull())
 
-    def raw(name: str) -> Column:
-        return F.col(name) if name in cols else F.lit(None).cast("string")
+    def raw(name: str) -> str:
+        return f"`{name}`" if name in cols else "CAST(NULL AS STRING)"
 
-    lineage = [F.col("year").alias("load_year"), "source_stem", "line_no", *keep]
+    years = [f"`{STRUCTURAL_COLUMNS[h]}`" for h in YEAR_HEADERS if STRUCTURAL_COLUMNS[h] in cols]
+    year_sql = f"coalesce({', '.join(years)})" if len(years) > 1 else (years[0] if years else "CAST(NULL AS STRING)")
+    minute_sql = "coalesce(`minute_raw`, '0')" if "minute_raw" in cols else "'0'"
+    keep_sql = [f"`{k}`" for k in keep]
+    lineage = ["`load_year`", "`source_stem`", "`line_no`", *keep_sql]
     codes = list(MEASUREMENT_NAMES)
-    step1 = src.select(
-        F.col("buoy_id").cast("string").alias("buoy_id"),
-        year_raw(cols).alias("_year"),
-        raw("month_raw").alias("_month"),
-        raw("day_raw").alias("_day"),
-        raw("hour_raw").alias("_hour"),
-        (F.coalesce(F.col("minute_raw"), F.lit("0")) if "minute_raw" in cols else F.lit("0")).alias("_minute"),
-        *[raw(code).alias(f"_{code}") for code in codes],
-        *lineage,
-    ).where(is_data_row(F.col("_year")))
-    lineage_cols = ["load_year", "source_stem", "line_no", *keep]
-    step2 = step1.select(
+    step1 = src.selectExpr(
+        "CAST(buoy_id AS STRING) AS buoy_id",
+        f"{year_sql} AS _year",
+        f"{raw('month_raw')} AS _month",
+        f"{raw('day_raw')} AS _day",
+        f"{raw('hour_raw')} AS _hour",
+        f"{minute_sql} AS _minute",
+        *[f"{raw(code)} AS `_{code}`" for code in codes],
+        "`year` AS load_year",
+        "`source_stem`",
+        "`line_no`",
+        *keep_sql,
+    ).where(f"_year RLIKE {_sql_literal(_YEAR_TEXT)}")
+    step2 = step1.selectExpr(
         "buoy_id",
-        four_digit_year(F.col("_year")).alias("_year4"),
-        *[safe_int(F.col(c)).alias(c) for c in ("_month", "_day", "_hour", "_minute")],
-        *[safe_double(F.col(f"_{code}")).alias(f"_{code}") for code in codes],
-        *lineage_cols,
+        "CASE WHEN length(_year) = 2 THEN CASE WHEN try_cast(_year AS INT) < "
+        f"{YEAR_PIVOT} THEN concat('20', _year) ELSE concat('19', _year) END ELSE _year END AS _year4",
+        *[f"{_safe_int_sql(c)} AS {c}" for c in ("_month", "_day", "_hour", "_minute")],
+        *[f"{_safe_double_sql(f'`_{code}`')} AS `_{code}`" for code in codes],
+        *lineage,
     )
-    step3 = step2.select(
+    step3 = step2.selectExpr(
         "buoy_id",
-        safe_int(F.col("_year4")).alias("_y"),
+        f"{_safe_int_sql('_year4')} AS _y",
         "_month", "_day", "_hour", "_minute",
-        *[nullify_sentinel(F.col(f"_{code}"), name).alias(name) for code, name in MEASUREMENT_NAMES.items()],
-        *lineage_cols,
+        *[f"{_sentinel_sql(f'`_{code}`', name)} AS {name}" for code, name in MEASUREMENT_NAMES.items()],
+        *lineage,
     )
-    return step3.select(
+    return step3.selectExpr(
         "buoy_id",
-        F.try_make_timestamp_ntz(
-            F.col("_y"), F.col("_month"), F.col("_day"), F.col("_hour"), F.col("_minute"), F.lit(0)
-        ).alias("datetime"),
+        "try_make_timestamp_ntz(_y, _month, _day, _hour, _minute, 0) AS datetime",
         *MEASUREMENT_NAMES.values(),
-        *lineage_cols,
+        *lineage,
     )
 
 

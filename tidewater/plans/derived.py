@@ -29,9 +29,9 @@ _UNITS = {
 }
 
 
-def _decimal_text(tenths: Column) -> Column:
+def _tenths_sql(expr: str) -> str:
     """Non-negative integer tenths -> text such as ``12.3``."""
-    return F.concat((tenths / 10).cast("long").cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    return f"concat(CAST(({expr}) DIV 10 AS STRING), '.', CAST(({expr}) % 10 AS STRING))"
 
 
 def event_station_lines(events: DataFrame) -> DataFrame:
@@ -42,37 +42,32 @@ def event_station_lines(events: DataFrame) -> DataFrame:
     parallel, and the per-file grouping that follows reuses this
     partitioning instead of shuffling again.
     """
-    buoy = F.lpad(F.col("user_id").cast("string"), 5, "0")
-    y = F.year("ts")
-    block = F.lpad(F.floor(F.col("event_id") / FILE_BLOCK).cast("string"), 10, "0")
-    e = events.select(
-        buoy.alias("buoy_id"),
-        y.cast("string").alias("year"),
-        F.concat(buoy, F.lit("h"), y.cast("string"), F.lit("b"), block).alias("source_stem"),
-        (F.col("user_id") % 4).alias("variant"),
+    buoy = "lpad(CAST(user_id AS STRING), 5, '0')"
+    year = "CAST(year(ts) AS STRING)"
+    block = f"lpad(CAST(event_id DIV {FILE_BLOCK} AS STRING), 10, '0')"
+    keyed = events.selectExpr(
+        f"{buoy} AS buoy_id",
+        f"{year} AS year",
+        f"concat({buoy}, 'h', {year}, 'b', {block}) AS source_stem",
+        "user_id % 4 AS variant",
         "event_id", "ts", "value",
     ).repartition("buoy_id", "year", "source_stem", "variant")
-    variant = F.col("variant")
-    eid = F.col("event_id")
-    y = F.year("ts")
-    year_text = F.when(variant == 2, F.lpad((y % 100).cast("string"), 2, "0")).otherwise(y.cast("string"))
-    minute_text = F.lpad(((F.minute("ts") / 30).cast("int") * 30).cast("string"), 2, "0")
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    wdir = F.when(eid % 7 == 0, F.lit("999")).otherwise(F.lpad((eid % 360).cast("string"), 3, "0"))
-    wspd = F.when(eid % 11 == 0, F.lit("99.0")).otherwise(_decimal_text(eid % 250))
-    gst = F.when(eid % 13 == 0, F.lit("MM")).otherwise(_decimal_text(eid % 300))
-    pres = F.when(eid % 17 == 0, F.lit("9999.0")).otherwise(_decimal_text(9500 + eid % 700))
-    atmp = F.when(eid % 19 == 0, F.lit("999.0")).otherwise(F.col("value").cast("string"))
-    ptdy = F.when(eid % 23 == 0, F.lit("99.0")).otherwise(_decimal_text(eid % 50))
-    tide = F.when(eid % 29 == 0, F.lit("99.00")).otherwise(_decimal_text(eid % 30))
-    fields_with_minute = [year_text, two(F.month("ts")), two(F.dayofmonth("ts")), two(F.hour("ts")), minute_text]
-    measures = [wdir, F.lpad(wspd, 5, " "), gst, F.lpad(pres, 7, " "), atmp]
-    line = (
-        F.when(variant == 1, F.concat_ws(" ", *fields_with_minute, *measures, ptdy, tide))
-        .when(variant == 3, F.concat_ws(" ", *fields_with_minute[:4], *measures, tide))
-        .otherwise(F.concat_ws(" ", *fields_with_minute, *measures, tide))
-    )
-    return e.select("buoy_id", "year", "source_stem", "variant", eid.alias("event_id"), line.alias("line"))
+    two = lambda e: f"lpad(CAST({e} AS STRING), 2, '0')"
+    year_text = f"CASE WHEN variant = 2 THEN {two('year(ts) % 100')} ELSE CAST(year(ts) AS STRING) END"
+    date_fields = [year_text, two("month(ts)"), two("day(ts)"), two("hour(ts)")]
+    minute = two("(minute(ts) DIV 30) * 30")
+    wdir = "CASE WHEN event_id % 7 = 0 THEN '999' ELSE lpad(CAST(event_id % 360 AS STRING), 3, '0') END"
+    wspd = f"lpad(CASE WHEN event_id % 11 = 0 THEN '99.0' ELSE {_tenths_sql('event_id % 250')} END, 5, ' ')"
+    gst = f"CASE WHEN event_id % 13 = 0 THEN 'MM' ELSE {_tenths_sql('event_id % 300')} END"
+    pres = f"lpad(CASE WHEN event_id % 17 = 0 THEN '9999.0' ELSE {_tenths_sql('9500 + event_id % 700')} END, 7, ' ')"
+    atmp = "CASE WHEN event_id % 19 = 0 THEN '999.0' ELSE CAST(value AS STRING) END"
+    ptdy = f"CASE WHEN event_id % 23 = 0 THEN '99.0' ELSE {_tenths_sql('event_id % 50')} END"
+    tide = f"CASE WHEN event_id % 29 = 0 THEN '99.00' ELSE {_tenths_sql('event_id % 30')} END"
+    # Layout by variant: minute column absent for 3, PTDY present for 1.
+    minute_part = f"CASE WHEN variant = 3 THEN NULL ELSE {minute} END"
+    ptdy_part = f"CASE WHEN variant = 1 THEN {ptdy} END"
+    line = f"concat_ws(' ', {', '.join(date_fields)}, {minute_part}, {wdir}, {wspd}, {gst}, {pres}, {atmp}, {ptdy_part}, {tide})"
+    return keyed.selectExpr("buoy_id", "year", "source_stem", "variant", "event_id", f"{line} AS line")
 
 
 def _header_and_units(variant: Column) -> tuple[Column, Column]:

@@ -78,8 +78,10 @@ def decode_station_text(
         F.filter("header", lambda h: ~h.isin(*_KNOWN_HEADERS)).alias("unknown"),
         # Position of every known header name in this file (-1 when absent),
         # computed once per file rather than once per line.
-        F.struct(
-            *[(F.array_position("header", F.lit(h)).cast("int") - 1).alias(f"i{k}") for k, h in enumerate(_KNOWN_HEADERS)]
+        F.expr(
+            "named_struct("
+            + ", ".join(f"'i{k}', CAST(array_position(header, '{h}') AS INT) - 1" for k, h in enumerate(_KNOWN_HEADERS))
+            + ")"
         ).alias("idx"),
     )
     exploded = files.select(
@@ -127,7 +129,7 @@ def decode_station_text(
     def _field(raw: str) -> Column:
         # Missing-value words (NA, nan, ...) stay text here; the typed stage
         # turns every non-numeric token into NULL.
-        return F.get(tokens, F.col("idx")[f"i{_KNOWN_HEADERS.index(raw)}"])
+        return F.expr(f"get(tokens, idx.i{_KNOWN_HEADERS.index(raw)})")
 
     return rows.select(
         "source_stem",
