@@ -1,0 +1,9 @@
+"""Deliberately empty.
+
+The pipeline being rebuilt has no streaming part: both stages are batch and
+incrementality comes from per-year bronze fingerprints and the year ledger
+(``tidewater.operators.incremental``). A Structured Streaming file source is
+not a substitute here: it does not read a rewritten file of the same name
+again, while the in-progress year's file is rewritten in place on every
+crawl, so a stream would silently freeze the current year.
+"""
