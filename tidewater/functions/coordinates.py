@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import sql
 from tidewater.schema import COORDINATE_PATTERN, POSITION_ITEM_ORDER
 
 
@@ -75,11 +76,43 @@ def position_from_page(html: Column | str) -> Column:
 
 
 def positions_from_pages(pages: DataFrame, buoy_col: str = "buoy_id") -> DataFrame:
-    """``(buoy_id, latitude, longitude, status)`` per landed station page."""
-    p = position_from_page("html")
-    return pages.select(
-        F.col(buoy_col).alias("buoy_id"),
-        p["latitude"].alias("latitude"),
-        p["longitude"].alias("longitude"),
-        p["status"].alias("status"),
+    """``(buoy_id, latitude, longitude, status)`` per landed station page.
+
+    Same rules as ``position_from_page``, as staged SQL projections: the
+    bold items are extracted once per page, each candidate is tested once.
+    """
+    pat = sql.literal(COORDINATE_PATTERN)
+    items = pages.selectExpr(
+        f"{sql.ident(buoy_col)} AS buoy_id",
+        f"regexp_extract_all(regexp_extract(html, {sql.literal(_METADATA_PARAGRAPH)}, 1), "
+        f"{sql.literal(_BOLD_TEXT)}, 1) AS _items",
+    )
+    order = list(POSITION_ITEM_ORDER)
+    cands = items.selectExpr("buoy_id", *[f"get(_items, {k - 1}) AS _c{k}" for k in order])
+    valid = cands.selectExpr(
+        "buoy_id",
+        *[f"_c{k}" for k in order],
+        *[f"size(regexp_extract_all(coalesce(_c{k}, ''), {pat}, 0)) >= 2 AS _v{k}" for k in order],
+    )
+    last = order[-1]
+    chosen = valid.selectExpr(
+        "buoy_id",
+        "CASE " + " ".join(f"WHEN _v{k} THEN _c{k}" for k in order) + " END AS _chosen",
+        f"_c{last} IS NOT NULL AND _c{last} <> '' AS _has_last",
+    )
+    matches = chosen.selectExpr(
+        "buoy_id",
+        f"regexp_extract_all(_chosen, {pat}, 0) AS _m",
+        "CASE WHEN _chosen IS NOT NULL THEN 'ok' WHEN _has_last THEN 'unparseable' ELSE 'missing' END AS status",
+    )
+
+    def signed(i: int, negative: str) -> str:
+        number = f"CAST(regexp_extract(_m[{i}], {pat}, 1) AS DOUBLE)"
+        return (
+            f"CASE WHEN size(_m) >= 2 THEN CASE WHEN regexp_extract(_m[{i}], {pat}, 2) = '{negative}' "
+            f"THEN -{number} ELSE {number} END END"
+        )
+
+    return matches.selectExpr(
+        "buoy_id", f"{signed(0, 'S')} AS latitude", f"{signed(1, 'W')} AS longitude", "status"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import sql
 from tidewater.schema import (
     DOWNLOAD_PATH_TOKEN,
     FILENAME_SUFFIX_PATTERN,
@@ -46,8 +47,22 @@ def source_year(url: Column | str) -> Column:
 
 
 def with_source_identity(df: DataFrame, url_col: str = "url") -> DataFrame:
-    """Adds ``source_stem`` and ``year`` derived from ``url_col``."""
-    return df.withColumn("source_stem", source_stem(url_col)).withColumn("year", source_year(url_col))
+    """Adds ``source_stem`` and ``year`` derived from ``url_col`` (the same
+    rules as ``source_stem`` / ``source_year``, as two SQL projections so the
+    query parameter is parsed once per row)."""
+    url = sql.ident(url_col)
+    raw = f"try_parse_url({url}, 'QUERY', 'filename')"
+    with_name = df.selectExpr(
+        "*", f"nullif(coalesce(try_url_decode({raw}), {raw}), '') AS _fname"
+    )
+    year = f"regexp_extract(coalesce(_fname, ''), {sql.literal(FILENAME_YEAR_PATTERN)}, 1)"
+    keep = [sql.ident(c) for c in df.columns if c not in ("source_stem", "year")]
+    return with_name.selectExpr(
+        *keep,
+        f"coalesce(regexp_replace(_fname, {sql.literal(FILENAME_SUFFIX_PATTERN)}, ''), "
+        f"concat('unknown-', substring(sha1(encode({url}, 'UTF-8')), 1, 12))) AS source_stem",
+        f"CASE WHEN {year} <> '' THEN {year} ELSE 'unknown' END AS year",
+    )
 
 
 def text_view_link(link: Column | str) -> Column:

@@ -56,27 +56,24 @@ def discover_years(inventory: DataFrame) -> DataFrame:
 
 def changed_years(current: DataFrame, ledger_latest: DataFrame, force: bool = False) -> DataFrame:
     """Loadable years whose fingerprint is new or differs from the ledger's
-    latest row for that year. ``force`` ignores the ledger."""
+    latest row for that year (one row per year on both sides, so a single
+    left join decides both). ``force`` ignores the ledger."""
     candidates = current.where(is_loadable_year("year"))
     if force:
         return candidates.withColumn("reason", F.lit("forced"))
     led = ledger_latest.select(
         F.col("year").cast("string").alias("year"), F.col("bronze_fingerprint").alias("_loaded_fp")
     )
-    changed = candidates.join(
-        led,
-        (candidates["year"] == led["year"]) & (candidates["bronze_fingerprint"] == led["_loaded_fp"]),
-        "left_anti",
-    )
-    known = led.select("year").withColumn("_known", F.lit(True))
+    loaded = F.col("_loaded_fp")
     return (
-        changed.join(known, "year", "left")
-        .withColumn("reason", F.when(F.col("_known"), F.lit("changed")).otherwise(F.lit("new")))
-        .drop("_known")
+        candidates.join(led, "year", "left")
+        .where(loaded.isNull() | (loaded != F.col("bronze_fingerprint")))
+        .withColumn("reason", F.when(loaded.isNull(), F.lit("new")).otherwise(F.lit("changed")))
+        .drop("_loaded_fp")
     )
 
 
-def reusable_cache(cache: DataFrame, as_of_year: int, full_refresh: bool = False) -> Column | DataFrame:
+def reusable_cache(cache: DataFrame, as_of_year: int, full_refresh: bool = False) -> DataFrame:
     """Bronze files that never need fetching again: not a full refresh, a
     numeric year before the current (UTC) year, and a readable file."""
     if full_refresh:

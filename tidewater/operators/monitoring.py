@@ -65,11 +65,16 @@ def latest_run_rows(run_log: DataFrame) -> DataFrame:
     return latest_per_key(run_log, "run_token", ["recorded_at"])
 
 
-def stuck_runs(runs: DataFrame, as_of, stale_hours: float = STALE_RUN_HOURS) -> DataFrame:
-    """Runs still ``running`` that started more than ``stale_hours`` ago."""
+def is_stuck(as_of, stale_hours: float = STALE_RUN_HOURS) -> Column:
+    """Still ``running`` and started more than ``stale_hours`` before ``as_of``."""
     started = F.unix_micros(F.col("started_at").cast("timestamp"))
     limit = F.unix_micros(_ts(as_of).cast("timestamp")) - F.lit(int(stale_hours * 3_600_000_000))
-    return runs.where((F.col("status") == "running") & (started < limit))
+    return (F.col("status") == "running") & (started < limit)
+
+
+def stuck_runs(runs: DataFrame, as_of, stale_hours: float = STALE_RUN_HOURS) -> DataFrame:
+    """Runs still ``running`` that started more than ``stale_hours`` ago."""
+    return runs.where(is_stuck(as_of, stale_hours))
 
 
 def last_runs(runs: DataFrame, n: int = 10) -> DataFrame:

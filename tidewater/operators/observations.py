@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.sql import literal as _sql_literal
 from tidewater.schema import (
     MEASUREMENT_NAMES,
     OBSERVATION_COLUMNS,
@@ -77,10 +78,6 @@ def nullify_sentinel(value: Column, semantic_name: str) -> Column:
     return F.when(~value.isin(*sentinels), value)
 
 
-def _sql_literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _safe_int_sql(c: str) -> str:
     return f"CASE WHEN {c} RLIKE {_sql_literal(_INTEGER)} THEN try_cast({c} AS INT) END"
 

@@ -244,16 +244,11 @@ def latest_run_per_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stuck_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG5, DT3: per stage, runs, stuck runs and the longest finished run."""
     runs = _runs(spark, sf_dir)
-    stuck_ids = monitoring.stuck_runs(runs, "2024-01-20 00:00:00").select("run_token").withColumn("stuck", F.lit(True))
     dur = monitoring.duration_seconds(F.col("started_at"), F.col("finished_at"))
-    return (
-        runs.join(stuck_ids, "run_token", "left")
-        .groupBy("stage")
-        .agg(
-            F.count(F.lit(1)).alias("runs"),
-            F.count_if(F.col("stuck")).alias("stuck_runs"),
-            F.max(dur).alias("max_duration_sec"),
-        )
+    return runs.groupBy("stage").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.count_if(monitoring.is_stuck("2024-01-20 00:00:00")).alias("stuck_runs"),
+        F.max(dur).alias("max_duration_sec"),
     )
 
 
