@@ -164,8 +164,14 @@ def health_report(
         .alias("detail"),
         F.col("age_hours").alias("value"),
     )
+    # One pass over the run log: latest run and stuck count per stage. The
+    # two consumers below read the same aggregate (its exchange is reused).
+    per_stage = runs.groupBy("stage").agg(
+        F.max_by(F.struct("run_token", "status", "started_at"), F.struct("started_at", "run_token")).alias("_latest"),
+        F.count_if(is_stuck(as_of, stale_hours)).alias("_stuck"),
+    )
     wanted = spark.createDataFrame([(s,) for s in stages], "stage string")
-    latest = latest_run_per_stage(runs.select("stage", "run_token", "status", "started_at"))
+    latest = per_stage.select("stage", "_latest.*")
     p_runs = wanted.join(latest, "stage", "left").select(
         F.lit(2).alias("seq"),
         F.lit("RUNS").alias("check"),
@@ -180,7 +186,7 @@ def health_report(
         .alias("detail"),
         F.lit(None).cast("double").alias("value"),
     )
-    stuck = stuck_runs(runs, as_of, stale_hours).agg(F.count(F.lit(1)).alias("n"))
+    stuck = per_stage.agg(F.coalesce(F.sum("_stuck"), F.lit(0)).alias("n"))
     p_stuck = stuck.select(
         F.lit(3).alias("seq"),
         F.lit("RUNS").alias("check"),

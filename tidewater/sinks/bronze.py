@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidewater.functions.sql import observed
 from tidewater.schema import BRONZE_VALUE_COLUMNS
 from tidewater.sources.bronze import coordinates_path, observations_path
 from tidewater.sources.station_text import decode_station_text
@@ -34,7 +35,15 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
     )
     decoded = decode_station_text(files.where(~F.col("_empty")).drop("_empty"), keep_header=True)
     counters = write_bronze_frame(decoded, root)
-    return {**file_counters.get, **counters}
+    file_stats = observed(file_counters, ["files_seen", "bronze_skipped_no_schema"])
+    if not file_stats["files_seen"]:
+        # Nothing reached the writer, so adaptive execution may have pruned the
+        # observed stage; count directly (the input is empty or all blank).
+        row = files.agg(
+            F.count(F.lit(1)).alias("files_seen"), F.count_if(F.col("_empty")).alias("bronze_skipped_no_schema")
+        ).collect()[0]
+        file_stats = row.asDict()
+    return {**file_stats, **counters}
 
 
 def write_bronze_frame(decoded: DataFrame, root: str) -> dict:
@@ -47,18 +56,18 @@ def write_bronze_frame(decoded: DataFrame, root: str) -> dict:
     shaped = decoded.select(
         "line_no", *BRONZE_VALUE_COLUMNS, "extra", "decode_error", "buoy_id", "year", "source_stem"
     ).repartition("buoy_id", "year", "source_stem")
-    observed = shaped.observe(
+    watched = shaped.observe(
         counters,
         F.count(F.lit(1)).alias("rows_written"),
         F.count_if(F.col("decode_error").isNotNull()).alias("lines_flagged"),
     )
     (
-        observed.write.mode("overwrite")
+        watched.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("buoy_id", "year", "source_stem")
         .parquet(observations_path(root))
     )
-    return dict(counters.get)
+    return observed(counters, ["rows_written", "lines_flagged"])
 
 
 def write_bronze_coordinates(positions: DataFrame, root: str) -> dict:
@@ -66,16 +75,16 @@ def write_bronze_coordinates(positions: DataFrame, root: str) -> dict:
     directory. Returns missing / unparseable counters (same job)."""
     counters = Observation("coordinates_write")
     shaped = positions.select("latitude", "longitude", "status", "buoy_id").repartition("buoy_id")
-    observed = shaped.observe(
+    watched = shaped.observe(
         counters,
         F.count(F.lit(1)).alias("stations"),
         F.count_if(F.col("status") == "missing").alias("coordinates_missing"),
         F.count_if(F.col("status") == "unparseable").alias("coordinates_unparseable"),
     )
     (
-        observed.write.mode("overwrite")
+        watched.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("buoy_id")
         .parquet(coordinates_path(root))
     )
-    return dict(counters.get)
+    return observed(counters, ["stations", "coordinates_missing", "coordinates_unparseable"])

@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.sql import observed
 from tidewater.operators import admission
 from tidewater.operators.monitoring import ledger_latest
 from tidewater.schema import LEDGER, OBSERVATION_COLUMNS, SILVER_COORDINATES, SILVER_OBSERVATIONS
@@ -73,16 +74,16 @@ def publish_years(
         metrics.append(F.count_if(in_year & ok).alias(f"loaded_{y}"))
     counters = Observation(f"publish_{run_token}")
     scoped = typed_deduped.where(F.col("load_year").isin(years))
-    observed = scoped.observe(counters, *metrics) if metrics else scoped
+    watched = scoped.observe(counters, *metrics) if metrics else scoped
     out = f"{silver_root.rstrip('/')}/{OBSERVATIONS}/run={run_token}"
     (
-        observed.where(ok)
+        watched.where(ok)
         .select(*OBSERVATION_COLUMNS, "load_year")
         .write.mode("errorifexists")
         .partitionBy("load_year")
         .parquet(out)
     )
-    got = counters.get if metrics else {}
+    got = observed(counters, [m for y in years for m in (f"total_{y}", f"loaded_{y}")]) if metrics else {}
     now = dt.datetime.now(dt.timezone.utc)
     result, rows = {}, []
     for y in years:
@@ -100,7 +101,7 @@ def publish_coordinates(spark: SparkSession, coordinates: DataFrame, silver_root
     coordinates.select(*SILVER_COORDINATES.fieldNames()).observe(
         counters, F.count(F.lit(1)).alias("rows")
     ).write.mode("errorifexists").parquet(out)
-    n = int(counters.get.get("rows", 0))
+    n = int(observed(counters, ["rows"])["rows"])
     append_ledger(
         spark, silver_root, [(0, "", n, 0, dt.datetime.now(dt.timezone.utc), out, run_token, COORDINATES)]
     )
