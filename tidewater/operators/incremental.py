@@ -84,6 +84,24 @@ def reusable_cache(cache: DataFrame, as_of_year: int, full_refresh: bool = False
     )
 
 
+def fetch_counts(links: DataFrame, cache: DataFrame, as_of_year: int, full_refresh: bool = False) -> DataFrame:
+    """One row: distinct links, links skipped because their closed year is
+    already in bronze, and links to fetch (the crawl's skip counter)."""
+    keep = (
+        reusable_cache(cache, as_of_year, full_refresh)
+        .select("buoy_id", "year", "source_stem")
+        .distinct()
+        .withColumn("_cached", F.lit(True))
+    )
+    unique = links.dropDuplicates(["url"])
+    flagged = unique.join(keep, ["buoy_id", "year", "source_stem"], "left")
+    return flagged.agg(
+        F.count(F.lit(1)).alias("links"),
+        F.count_if(F.col("_cached")).alias("skipped_cached"),
+        F.count_if(F.col("_cached").isNull()).alias("to_fetch"),
+    )
+
+
 def fetch_plan(links: DataFrame, cache: DataFrame, as_of_year: int, full_refresh: bool = False) -> DataFrame:
     """Links still to fetch: each URL once, minus closed, readable years
     already in bronze (matched on buoy, year and source stem)."""

@@ -225,7 +225,7 @@ FROM cur c LEFT JOIN old o ON c.year = o.year AND regexp_matches(o.year, '^[0-9]
 WHERE regexp_matches(c.year, '^[0-9]{{4}}$') AND (o.fp IS NULL OR o.fp <> c.fp)
 """
 
-_FETCH = """
+_FETCH_CTES = """
 WITH src AS (
   SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
     CAST(year(o_orderdate) AS VARCHAR) AS y,
@@ -255,12 +255,19 @@ keep AS (
   SELECT buoy_id, year, buoy_id || 'h' || year AS source_stem FROM c
   WHERE usable AND regexp_matches(year, '^[0-9]{4}$') AND CAST(year AS INTEGER) < 2000
 )
-SELECT buoy_id, year, source_stem, url FROM l
+"""
+
+_FETCH = _FETCH_CTES + """SELECT buoy_id, year, source_stem, url FROM l
 WHERE NOT EXISTS (
   SELECT 1 FROM keep k WHERE k.buoy_id = l.buoy_id AND k.year = l.year AND k.source_stem = l.source_stem
 )
 """
 
+_FETCH_COUNTS = _FETCH_CTES + """SELECT count(*) AS links, count(k.buoy_id) AS skipped_cached,
+  count(*) - count(k.buoy_id) AS to_fetch
+FROM l LEFT JOIN keep k ON k.buoy_id = l.buoy_id AND k.year = l.year AND k.source_stem = l.source_stem
+"""
+
 _SOURCE_IDENTITY = """
 SELECT event_id, url,
   CASE WHEN event_id % 5 = 0 THEN 'unknown-' || substr(sha1(url), 1, 12)
@@ -494,6 +501,7 @@ ORACLES: dict[str, str] = {
     "year_fingerprint": _FINGERPRINT,
     "changed_years": _CHANGED,
     "fetch_plan": _FETCH,
+    "fetch_counts": _FETCH_COUNTS,
     "source_identity": _SOURCE_IDENTITY,
     "page_links_explode": _PAGE_LINKS,
     "coordinate_parse": _COORDINATE_PARSE,

@@ -162,15 +162,24 @@ def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.changed_years(current, latest).select("year", "bronze_fingerprint", "reason").orderBy("year")
 
 
-def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JOIN3, FLT4, SET2: download links minus closed, readable years
-    already in bronze; each URL once."""
+def _links_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = table(spark, sf_dir, "orders")
     raw = derived.download_links_from_orders(o)
     rewritten = raw.select("buoy_id", links.text_view_link("url").alias("url"))
-    with_id = links.with_source_identity(rewritten, "url")
-    cache = derived.bronze_cache_from_orders(o)
-    return incremental.fetch_plan(with_id, cache, ORDERS_AS_OF_YEAR).select("buoy_id", "year", "source_stem", "url")
+    return links.with_source_identity(rewritten, "url"), derived.bronze_cache_from_orders(o)
+
+
+def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN3, FLT4, SET2: download links minus closed, readable years
+    already in bronze; each URL once."""
+    wanted, cache = _links_and_cache(spark, sf_dir)
+    return incremental.fetch_plan(wanted, cache, ORDERS_AS_OF_YEAR).select("buoy_id", "year", "source_stem", "url")
+
+
+def fetch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG9: links seen, skipped as already cached, left to fetch."""
+    wanted, cache = _links_and_cache(spark, sf_dir)
+    return incremental.fetch_counts(wanted, cache, ORDERS_AS_OF_YEAR)
 
 
 def source_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +343,7 @@ _REGISTRY: dict[str, Query] = {
     "year_fingerprint": year_fingerprint,
     "changed_years": changed_years,
     "fetch_plan": fetch_plan,
+    "fetch_counts": fetch_counts,
     "source_identity": source_identity,
     "page_links_explode": page_links_explode,
     "coordinate_parse": coordinate_parse,

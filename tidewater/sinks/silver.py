@@ -79,6 +79,10 @@ def publish_years(
     (
         watched.where(ok)
         .select(*OBSERVATION_COLUMNS, "load_year")
+        # Local sort only (no shuffle): files ordered by station and instant
+        # carry tight min/max statistics, so readers filtering on buoy_id or
+        # datetime skip row groups.
+        .sortWithinPartitions("load_year", "buoy_id", "datetime")
         .write.mode("errorifexists")
         .partitionBy("load_year")
         .parquet(out)
