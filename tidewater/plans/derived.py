@@ -6,7 +6,8 @@ download links from ``orders``. Each derivation is a DataFrame plan over the
 whole table, so the work grows with the table.
 
 Landed text: one file per (buoy, year, id block). A buoy is
-``lpad(user_id, 5, '0')``; ``event_id div FILE_BLOCK`` is the block, so no
+``user_id`` zero-padded to at least five digits (never truncated);
+``event_id div FILE_BLOCK`` is the block, so no
 file ever holds more than ``FILE_BLOCK`` lines however skewed the users are.
 Within a file lines follow ``event_id``; block numbers are zero-padded so
 stem order equals id order.
@@ -42,9 +43,9 @@ def event_station_lines(events: DataFrame) -> DataFrame:
     parallel, and the per-file grouping that follows reuses this
     partitioning instead of shuffling again.
     """
-    buoy = "lpad(CAST(user_id AS STRING), 5, '0')"
+    buoy = "format_string('%05d', user_id)"
     year = "CAST(year(ts) AS STRING)"
-    block = f"lpad(CAST(event_id DIV {FILE_BLOCK} AS STRING), 10, '0')"
+    block = f"format_string('%010d', event_id DIV {FILE_BLOCK})"
     keyed = events.selectExpr(
         f"{buoy} AS buoy_id",
         f"{year} AS year",
@@ -57,9 +58,9 @@ def event_station_lines(events: DataFrame) -> DataFrame:
     date_fields = [year_text, two("month(ts)"), two("day(ts)"), two("hour(ts)")]
     minute = two("(minute(ts) DIV 30) * 30")
     wdir = "CASE WHEN event_id % 7 = 0 THEN '999' ELSE lpad(CAST(event_id % 360 AS STRING), 3, '0') END"
-    wspd = f"lpad(CASE WHEN event_id % 11 = 0 THEN '99.0' ELSE {_tenths_sql('event_id % 250')} END, 5, ' ')"
+    wspd = f"format_string('%5s', CASE WHEN event_id % 11 = 0 THEN '99.0' ELSE {_tenths_sql('event_id % 250')} END)"
     gst = f"CASE WHEN event_id % 13 = 0 THEN 'MM' ELSE {_tenths_sql('event_id % 300')} END"
-    pres = f"lpad(CASE WHEN event_id % 17 = 0 THEN '9999.0' ELSE {_tenths_sql('9500 + event_id % 700')} END, 7, ' ')"
+    pres = f"format_string('%7s', CASE WHEN event_id % 17 = 0 THEN '9999.0' ELSE {_tenths_sql('9500 + event_id % 700')} END)"
     atmp = "CASE WHEN event_id % 19 = 0 THEN '999.0' ELSE CAST(value AS STRING) END"
     ptdy = f"CASE WHEN event_id % 23 = 0 THEN '99.0' ELSE {_tenths_sql('event_id % 50')} END"
     tide = f"CASE WHEN event_id % 29 = 0 THEN '99.00' ELSE {_tenths_sql('event_id % 30')} END"
@@ -151,14 +152,14 @@ def station_pages_from_customer(customer: DataFrame) -> DataFrame:
         F.lit("<html><body><h1>Station "), k.cast("string"), F.lit("</h1><div id=\"stn_metadata\"><p>"),
         items, F.lit("</p><p><b>10.500 N 20.250 W</b></p></div></body></html>"),
     )
-    return customer.select(F.lpad(k.cast("string"), 5, "0").alias("buoy_id"), html.alias("html"))
+    return customer.select(F.format_string("%05d", k).alias("buoy_id"), html.alias("html"))
 
 
 def download_links_from_orders(orders: DataFrame) -> DataFrame:
     """Archive download links ``(buoy_id, url)``, one per order: the file of
     the customer's order year. Urgent pending orders get a link without a
     ``filename`` parameter (an unknown year)."""
-    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    buoy = F.format_string("%05d", F.col("o_custkey"))
     y = F.year("o_orderdate").cast("string")
     odd = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     url = F.when(
@@ -174,7 +175,7 @@ def bronze_cache_from_orders(orders: DataFrame) -> DataFrame:
     """Bronze files already on disk ``(buoy_id, year, source_stem, usable)``:
     fulfilled orders' (customer, year) files; a file holding any low-priority
     order is unreadable."""
-    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    buoy = F.format_string("%05d", F.col("o_custkey"))
     y = F.year("o_orderdate").cast("string")
     return (
         orders.where(F.col("o_orderstatus") == "F")
@@ -189,7 +190,7 @@ def file_inventory_from_orders(orders: DataFrame, year_text: Column | None = Non
     """Bronze file inventory ``(path, buoy_id, year, modificationTime)``:
     one file per order, modified ``o_orderkey % 86400`` seconds after the
     order date."""
-    buoy = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    buoy = F.format_string("%05d", F.col("o_custkey"))
     y = year_text if year_text is not None else F.year("o_orderdate").cast("string")
     mtime = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 86400) * 1_000_000)
     return orders.select(
@@ -233,7 +234,7 @@ def runs_from_events(events: DataFrame) -> DataFrame:
         F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + (eid % 3600) * 1_000_000).cast("timestamp_ntz"),
     )
     return events.select(
-        F.concat(F.lit("run-"), F.lpad(eid.cast("string"), 10, "0")).alias("run_token"),
+        F.concat(F.lit("run-"), F.format_string("%010d", eid)).alias("run_token"),
         stage.alias("stage"),
         F.when(running, F.lit("running")).otherwise(run_status_from_reason(reason)).alias("status"),
         started.alias("started_at"),
@@ -249,8 +250,8 @@ def coordinate_rows_from_supplier(supplier: DataFrame) -> DataFrame:
     per supplier, grouped into stations by nation, with NULLs injected."""
     k = F.col("s_suppkey")
     return supplier.select(
-        F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("buoy_id"),
-        F.concat(F.lit("coordinates/buoy_id="), F.lpad(F.col("s_nationkey").cast("string"), 5, "0"), F.lit("/part-"), F.lpad(k.cast("string"), 8, "0"), F.lit(".parquet")).alias("path"),
+        F.format_string("%05d", F.col("s_nationkey")).alias("buoy_id"),
+        F.concat(F.lit("coordinates/buoy_id="), F.format_string("%05d", F.col("s_nationkey")), F.lit("/part-"), F.format_string("%08d", k), F.lit(".parquet")).alias("path"),
         F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("s_acctbal") / 100).cast("double").alias("latitude"),
         F.when(k % 4 == 1, F.lit(None)).otherwise(k.cast("double") / 10).cast("double").alias("longitude"),
     )

@@ -13,11 +13,11 @@ _EVENT_FIELDS = """
 ev AS (
   SELECT
     event_id, ts, user_id, value,
-    lpad(CAST(user_id AS VARCHAR), 5, '0') AS buoy_id,
+    printf('%05d', user_id) AS buoy_id,
     CAST(year(ts) AS VARCHAR) AS load_year,
     user_id % 4 AS variant,
-    lpad(CAST(user_id AS VARCHAR), 5, '0') || 'h' || CAST(year(ts) AS VARCHAR) || 'b'
-      || lpad(CAST(event_id // 4096 AS VARCHAR), 10, '0') AS source_stem,
+    printf('%05d', user_id) || 'h' || CAST(year(ts) AS VARCHAR) || 'b'
+      || printf('%010d', event_id // 4096) AS source_stem,
     CASE WHEN user_id % 4 = 2 THEN lpad(CAST(year(ts) % 100 AS VARCHAR), 2, '0')
          ELSE CAST(year(ts) AS VARCHAR) END AS year_text,
     CASE WHEN user_id % 4 = 3 THEN 0 ELSE (minute(ts) // 30) * 30 END AS minute_val
@@ -146,14 +146,14 @@ FROM (
 _SCHEMA_DRIFT = """
 WITH a AS (
   SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS source_stem,
-    lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+    printf('%05d', o_custkey) AS buoy_id,
     make_timestamp(year(o_orderdate), month(o_orderdate), day(o_orderdate), 0, 0, 0) AS datetime,
     CASE WHEN o_totalprice = 9999.0 THEN NULL ELSE o_totalprice END AS pressure
   FROM orders
 ),
 b AS (
   SELECT 'l' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS source_stem,
-    lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS buoy_id,
+    printf('%05d', l_suppkey) AS buoy_id,
     make_timestamp(year(l_shipdate), month(l_shipdate), day(l_shipdate), l_linenumber, l_partkey % 60, 0) AS datetime,
     CASE WHEN l_quantity = 99.0 THEN NULL ELSE l_quantity END AS wind_speed,
     CASE WHEN l_tax = 99.0 THEN NULL ELSE l_tax END AS pressure_tendency
@@ -165,7 +165,7 @@ FROM (SELECT * FROM a UNION ALL BY NAME SELECT * FROM b)
 
 _ADMISSION = """
 WITH t AS (
-  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+  SELECT printf('%05d', o_custkey) AS buoy_id,
     CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL ELSE o_orderdate END AS datetime,
     CAST(year(o_orderdate) + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS load_year
   FROM orders
@@ -227,7 +227,7 @@ WHERE regexp_matches(c.year, '^[0-9]{{4}}$') AND (o.fp IS NULL OR o.fp <> c.fp)
 
 _FETCH_CTES = """
 WITH src AS (
-  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id,
+  SELECT printf('%05d', o_custkey) AS buoy_id,
     CAST(year(o_orderdate) AS VARCHAR) AS y,
     o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AS odd,
     o_orderkey
@@ -247,7 +247,7 @@ l AS (
   )
 ),
 c AS (
-  SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS buoy_id, CAST(year(o_orderdate) AS VARCHAR) AS year,
+  SELECT printf('%05d', o_custkey) AS buoy_id, CAST(year(o_orderdate) AS VARCHAR) AS year,
     bool_and(o_orderpriority <> '5-LOW') AS usable
   FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2
 ),
@@ -280,7 +280,7 @@ FROM (
          WHEN event_id % 5 = 1 THEN '/view_text_file.php?filename=' || buoy || 'h' || y || '%2Etxt%2Egz&dir=x'
          WHEN event_id % 5 = 2 THEN '/view_text_file.php?filename=' || buoy || '.txt.gz'
          ELSE '/view_text_file.php?filename=' || buoy || 'h' || y || '.txt.gz&dir=data/historical/stdmet/' END AS url
-  FROM (SELECT event_id, lpad(CAST(user_id AS VARCHAR), 5, '0') AS buoy, CAST(year(ts) AS VARCHAR) AS y FROM events)
+  FROM (SELECT event_id, printf('%05d', user_id) AS buoy, CAST(year(ts) AS VARCHAR) AS y FROM events)
 )
 """
 
@@ -306,17 +306,17 @@ l AS (
 ),
 f AS (SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, item_pos, link_pos) AS rn FROM l)
 SELECT link, page_id, item_pos,
-  lpad(CAST(page_id AS VARCHAR), 5, '0') AS buoy_id,
+  printf('%05d', page_id) AS buoy_id,
   CASE WHEN fname <> '' THEN regexp_replace(fname, '\.txt\.gz$', '')
        ELSE 'unknown-' || substr(sha1(link), 1, 12) END AS source_stem,
   coalesce(nullif(regexp_extract(fname, 'h(\d{4})\.txt', 1), ''), 'unknown') AS year,
-  'https://www.ndbc.noaa.gov/station_page.php?station=' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS station_url
+  'https://www.ndbc.noaa.gov/station_page.php?station=' || printf('%05d', page_id) AS station_url
 FROM f WHERE rn = 1
 """
 
 _COORDS = """
 coords AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS buoy_id,
+  SELECT printf('%05d', c_custkey) AS buoy_id,
     CASE WHEN c_custkey % 7 <= 3 THEN CAST((c_custkey * 37) % 90000 AS DOUBLE) / 1000
          * CASE WHEN c_nationkey % 2 = 0 THEN 1 ELSE -1 END END AS latitude,
     CASE WHEN c_custkey % 7 <= 3 THEN CAST((c_custkey * 53) % 180000 AS DOUBLE) / 1000
@@ -332,9 +332,9 @@ SELECT buoy_id, latitude, longitude, status FROM coords
 
 _DIMENSION = """
 WITH r AS (
-  SELECT lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS buoy_id,
-    'coordinates/buoy_id=' || lpad(CAST(s_nationkey AS VARCHAR), 5, '0') || '/part-'
-      || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') || '.parquet' AS path,
+  SELECT printf('%05d', s_nationkey) AS buoy_id,
+    'coordinates/buoy_id=' || printf('%05d', s_nationkey) || '/part-'
+      || printf('%08d', s_suppkey) || '.parquet' AS path,
     CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal / 100 END AS latitude,
     CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) / 10 END AS longitude
   FROM supplier
@@ -370,7 +370,7 @@ FROM events
 
 _RUNS = """
 runs AS (
-  SELECT 'run-' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS run_token,
+  SELECT 'run-' || printf('%010d', event_id) AS run_token,
     CASE event_type WHEN 'view' THEN 'scrape' WHEN 'error' THEN 'silver' ELSE event_type END AS stage,
     CASE WHEN event_id % 9 = 0 THEN 'running' WHEN value < 50 THEN 'failed' ELSE 'ok' END AS status,
     ts AS started_at,

@@ -78,7 +78,7 @@ def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SET1, PRJ2, PRJ3: files with different headers unioned by name; the
     year spelling is coalesced and absent measurements read as NULL."""
     orders = table(spark, sf_dir, "orders").select(
-        F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.format_string("%05d", F.col("o_custkey")).alias("buoy_id"),
         F.year("o_orderdate").cast("string").alias("year"),
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("source_stem"),
         F.lit(2).alias("line_no"),
@@ -89,7 +89,7 @@ def schema_drift_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("string").alias("PRES"),
     )
     items = table(spark, sf_dir, "lineitem").select(
-        F.lpad(F.col("l_suppkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.format_string("%05d", F.col("l_suppkey")).alias("buoy_id"),
         F.year("l_shipdate").cast("string").alias("year"),
         F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("source_stem"),
         F.lit(2).alias("line_no"),
@@ -116,10 +116,10 @@ def partition_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     corrupt = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     load_year = (F.year("o_orderdate") + F.when(F.col("o_orderkey") % 10 == 0, 1).otherwise(0)).cast("string")
     typed = o.select(
-        F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("buoy_id"),
+        F.format_string("%05d", F.col("o_custkey")).alias("buoy_id"),
         F.when(~corrupt, F.col("o_orderdate").cast("timestamp_ntz")).alias("datetime"),
         load_year.alias("load_year"),
-        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("source_stem"),
+        F.format_string("%012d", F.col("o_orderkey")).alias("source_stem"),
         F.lit(2).alias("line_no"),
     )
     deduped = obs.dedup_keep_first(typed, ["load_year"])
@@ -186,7 +186,7 @@ def source_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR7: (source stem, year) from every event's download link."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    buoy = F.lpad(F.col("user_id").cast("string"), 5, "0")
+    buoy = F.format_string("%05d", F.col("user_id"))
     y = F.year("ts").cast("string")
     url = (
         F.when(eid % 5 == 0, F.concat(F.lit("/view_text_file.php?dir=data/historical/stdmet/&ref="), eid.cast("string")))
@@ -209,7 +209,7 @@ def page_links_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     exploded = links.explode_archive_index(pages, NAV_LIST_PATTERN, keep=["page_id"])
     # Navigation items carry no station label; the page itself is the station.
     named = exploded.withColumn(
-        "buoy_id", F.coalesce("buoy_id", F.lpad(F.col("page_id").cast("string"), 5, "0"))
+        "buoy_id", F.coalesce("buoy_id", F.format_string("%05d", F.col("page_id")))
     ).withColumn("station_url", links.station_page_url("buoy_id"))
     unique = stations.distinct_by_url(named, "link", order_cols=["page_id", "item_pos", "link_pos"])
     return unique.select("link", "page_id", "item_pos", "buoy_id", "source_stem", "year", "station_url")
