@@ -57,3 +57,20 @@ def test_crawl_status_recorded(spark, root):
     row = current_runs(spark, root).collect()[0]
     assert (row["stage"], row["status"], row["rows_loaded"]) == ("scrape", "failed", 3)
     assert row["error"] == "finish_reason=memusage_exceeded"
+
+
+def test_landed_files_layout(spark, tmp_path):
+    import gzip
+    import os
+
+    from tidewater.sources.station_text import landed_station_files
+
+    land = tmp_path / "landed"
+    (land / "buoy_id=41001").mkdir(parents=True)
+    (land / "buoy_id=41001" / "41001h2020.txt").write_text(S.SENTINELS.strip() + "\n")
+    (land / "buoy_id=0042").mkdir(parents=True)
+    with gzip.open(os.path.join(land, "buoy_id=0042", "0042h2021.txt.gz"), "wt") as fh:
+        fh.write(S.WITH_PTDY.strip() + "\n")
+    (land / "buoy_id=0042" / "notes.txt").write_text(S.NO_MINUTE.strip() + "\n")
+    files = {r["source_stem"]: (r["buoy_id"], r["year"]) for r in landed_station_files(spark, str(land)).collect()}
+    assert files == {"41001h2020": ("41001", "2020"), "0042h2021": ("0042", "2021"), "notes": ("0042", "unknown")}

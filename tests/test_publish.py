@@ -131,3 +131,15 @@ def test_health_report(spark, root):
         spark.createDataFrame([(2024,)], "year int"), "2024-01-01 12:00:00",
     )
     assert healthy.count() == 0
+
+
+def test_superseded_snapshots(spark, root):
+    bronze_root = _bronze(spark, root)
+    silver_root = os.path.join(root, "silver")
+    run_silver(spark, bronze_root, silver_root)
+    run_silver(spark, bronze_root, silver_root, force=True)
+    old = silver.superseded_snapshots(spark, silver_root).collect()
+    # First run's three years and its coordinate snapshot are superseded.
+    assert len(old) == 4
+    current = {r["path"] for r in silver.current_ledger(spark, silver_root).collect()}
+    assert not current & {r["path"] for r in old}

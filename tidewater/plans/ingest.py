@@ -16,6 +16,7 @@ from tidewater.sinks import bronze as bronze_sink
 from tidewater.sinks.runs import RunTracker, crawl_status
 from tidewater.session import configure
 from tidewater.sources import bronze
+from tidewater.sources.station_text import landed_station_files
 
 
 def landed_text_frame(responses: DataFrame) -> DataFrame:
@@ -30,6 +31,12 @@ def ingest_station_text(spark: SparkSession, responses: DataFrame, bronze_root:
     return bronze_sink.write_bronze_observations(landed_text_frame(responses), bronze_root)
 
 
+def ingest_landed_files(spark: SparkSession, landed_root: str, bronze_root: str) -> dict:
+    """Landed files ``<landed_root>/buoy_id=<id>/<stem>.txt[.gz]`` -> bronze."""
+    configure(spark)
+    return bronze_sink.write_bronze_observations(landed_station_files(spark, landed_root), bronze_root)
+
+
 def ingest_station_pages(spark: SparkSession, pages: DataFrame, bronze_root: str) -> dict:
     """Station pages ``(buoy_id, html)`` -> bronze coordinates."""
     configure(spark)

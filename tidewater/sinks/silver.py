@@ -135,6 +135,19 @@ def read_published_coordinates(spark: SparkSession, silver_root: str) -> DataFra
     return spark.read.schema(SILVER_COORDINATES).parquet(*paths)
 
 
+def superseded_snapshots(spark: SparkSession, silver_root: str) -> DataFrame:
+    """Snapshot directories no reader resolves any more (every ledger row
+    that is not the latest for its dataset and year). The explicit clean-up
+    step deletes these; nothing is removed automatically."""
+    rows = read_ledger(spark, silver_root)
+    current = (
+        rows.groupBy("dataset", "year")
+        .agg(F.max_by("path", F.struct("loaded_at", "run_token")).alias("path"))
+        .select("path")
+    )
+    return rows.select("dataset", "year", "path", "run_token").join(current, "path", "left_anti")
+
+
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
     """Append to an external serving database. Spark's JDBC writer inserts
     by column name, so column order cannot corrupt the load."""

@@ -24,13 +24,35 @@ _BLANK_LINE = r"^\s*$"
 
 
 def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: ``(path, value)``.
+    """One row per landed file: ``(path, value)`` (gzip is decompressed by
+    the text source).
 
     ``wholetext`` must be passed to ``text()`` itself; as an option it is
     overridden by the method's default.
     """
     return spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("path"), "value"
+        F.col("_metadata.file_path").alias("path"), "value"
+    )
+
+
+_LANDED_STEM = r"([^/]+?)(\.txt)?(\.gz)?$"
+
+
+def landed_station_files(spark: SparkSession, root: str) -> DataFrame:
+    """Landed files laid out as ``<root>/buoy_id=<id>/<stem>.txt[.gz]`` ->
+    ``(buoy_id, year, source_stem, value)``: the stem is the file name
+    without extensions, the year comes from ``h<yyyy>`` in it (else
+    ``unknown``), as for download links."""
+    from tidewater.schema import FILENAME_YEAR_PATTERN
+
+    files = spark.read.option("basePath", root).text(root, wholetext=True)
+    stem = F.regexp_extract(F.col("_metadata.file_name"), _LANDED_STEM, 1)
+    year = F.regexp_extract(F.concat(stem, F.lit(".txt")), FILENAME_YEAR_PATTERN, 1)
+    return files.select(
+        F.col("buoy_id").cast("string").alias("buoy_id"),
+        F.when(year != "", year).otherwise(F.lit("unknown")).alias("year"),
+        stem.alias("source_stem"),
+        "value",
     )
 
 
