@@ -74,3 +74,21 @@ def test_landed_files_layout(spark, tmp_path):
     (land / "buoy_id=0042" / "notes.txt").write_text(S.NO_MINUTE.strip() + "\n")
     files = {r["source_stem"]: (r["buoy_id"], r["year"]) for r in landed_station_files(spark, str(land)).collect()}
     assert files == {"41001h2020": ("41001", "2020"), "0042h2021": ("0042", "2021"), "notes": ("0042", "unknown")}
+
+
+def test_rescraped_station_replaces_position(spark, root):
+    from tidewater.plans.ingest import ingest_station_pages
+    from tidewater.sinks.bronze import write_bronze_coordinates
+    from tidewater.sources.bronze import read_coordinates
+
+    def page(pos):
+        return f'<div id="stn_metadata"><p><b>a</b><b>b</b><b>c</b><b>{pos}</b></p></div>'
+
+    first = spark.createDataFrame([("41001", page("1.000 N 2.000 E")), ("41002", page("3.000 S 4.000 W"))], "buoy_id string, html string")
+    ingest_station_pages(spark, first, root)
+    second = spark.createDataFrame([("41001", page("no position"))], "buoy_id string, html string")
+    ingest_station_pages(spark, second, root)
+    got = {r["buoy_id"]: (r["latitude"], r["longitude"]) for r in read_coordinates(spark, root).collect()}
+    assert got == {"41001": (None, None), "41002": (-3.0, -4.0)}
+    empty = write_bronze_coordinates(spark.createDataFrame([], "buoy_id string, latitude double, longitude double, status string"), root)
+    assert empty["stations"] == 0

@@ -41,3 +41,18 @@ def test_convert_mixed_types(spark, tmp_path):
     assert rows[("41006", dt.datetime(2021, 7, 4, 12, 0))]["pressure_tendency"] == pytest.approx(0.5)
     assert rows[("41001", dt.datetime(2020, 1, 15, 10, 30))]["wind_speed"] is None
     assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
+def test_convert_legacy_coordinates(spark, tmp_path):
+    from tidewater.sources.bronze import read_coordinates
+    from tidewater.sources.legacy import convert_legacy_coordinates
+
+    legacy = tmp_path / "legacy"
+    for buoy, lat, lon in [("41001", 12.3, -45.6), ("0042", None, None)]:
+        d = legacy / "coordinates" / f"buoy_id={buoy}"
+        d.mkdir(parents=True)
+        pd.DataFrame([{"latitude": lat, "longitude": lon}]).to_parquet(d / "part.parquet", index=False)
+    counters = convert_legacy_coordinates(spark, str(legacy), str(tmp_path / "bronze"))
+    assert counters["stations"] == 2 and counters["coordinates_missing"] == 1
+    got = {r["buoy_id"]: (r["latitude"], r["longitude"]) for r in read_coordinates(spark, str(tmp_path / "bronze")).collect()}
+    assert got == {"41001": (12.3, -45.6), "0042": (None, None)}

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FILE_BLOCK = 4096
+FILE_BLOCK = 65536
 
 # Header layout per buoy, by ``user_id % 4``: 0 -> "#YY" with minute,
 # 1 -> "YYYY" with minute and the newer PTDY column, 2 -> two-digit "YY",

@@ -17,7 +17,7 @@ ev AS (
     CAST(year(ts) AS VARCHAR) AS load_year,
     user_id % 4 AS variant,
     printf('%05d', user_id) || 'h' || CAST(year(ts) AS VARCHAR) || 'b'
-      || printf('%010d', event_id // 4096) AS source_stem,
+      || printf('%010d', event_id // 65536) AS source_stem,
     CASE WHEN user_id % 4 = 2 THEN lpad(CAST(year(ts) % 100 AS VARCHAR), 2, '0')
          ELSE CAST(year(ts) AS VARCHAR) END AS year_text,
     CASE WHEN user_id % 4 = 3 THEN 0 ELSE (minute(ts) // 30) * 30 END AS minute_val

@@ -75,9 +75,11 @@ def run_silver(
             typed = obs.dedup_keep_first(obs.normalize(raw), ["load_year"])
             report.rows = publish.publish_years(spark, typed, silver_root, tracker.token, to_load)
             report.years_loaded = sorted(to_load)
-        report.coordinates = publish.publish_coordinates(
-            spark, bronze.read_coordinates(spark, bronze_root), silver_root, tracker.token
-        )
+        if bronze.has_dataset(spark, bronze_root, "coordinates"):
+            report.coordinates = publish.publish_coordinates(
+                spark, bronze.read_coordinates(spark, bronze_root), silver_root, tracker.token
+            )
+        # else: no station pages landed yet; the published dimension (if any) stays.
         if track:
             tracker.finish(
                 "ok",

@@ -115,9 +115,11 @@ BRONZE_OBSERVATIONS = T.StructType(
 
 BRONZE_COORDINATES = T.StructType(
     [
+        T.StructField("buoy_id", T.StringType()),
         T.StructField("latitude", T.DoubleType()),
         T.StructField("longitude", T.DoubleType()),
-        T.StructField("buoy_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 

@@ -8,6 +8,8 @@ nothing else -- the idempotence of a file-per-source landing zone.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -70,21 +72,30 @@ def write_bronze_frame(decoded: DataFrame, root: str) -> dict:
     return observed(counters, ["rows_written", "lines_flagged"])
 
 
-def write_bronze_coordinates(positions: DataFrame, root: str) -> dict:
-    """One coordinate row per station page, replacing that station's
-    directory. Returns missing / unparseable counters (same job)."""
+def ingest_batch_id() -> str:
+    """Sortable id of one ingest run (UTC, microseconds)."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
+def write_bronze_coordinates(positions: DataFrame, root: str, batch: str | None = None) -> dict:
+    """Append one row per scraped station page, tagged with the ingest
+    batch. The dimension is one small unpartitioned table: readers take each
+    station's latest batch, so a re-scraped page replaces the old position
+    without a directory per station. Returns missing / unparseable counters
+    (same job)."""
     counters = Observation("coordinates_write")
-    shaped = positions.select("latitude", "longitude", "status", "buoy_id").repartition("buoy_id")
+    shaped = positions.select(
+        F.col("buoy_id").cast("string").alias("buoy_id"),
+        F.col("latitude").cast("double").alias("latitude"),
+        F.col("longitude").cast("double").alias("longitude"),
+        F.col("status").cast("string").alias("status"),
+        F.lit(batch or ingest_batch_id()).alias("batch"),
+    )
     watched = shaped.observe(
         counters,
         F.count(F.lit(1)).alias("stations"),
         F.count_if(F.col("status") == "missing").alias("coordinates_missing"),
         F.count_if(F.col("status") == "unparseable").alias("coordinates_unparseable"),
     )
-    (
-        watched.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("buoy_id")
-        .parquet(coordinates_path(root))
-    )
+    watched.write.mode("append").parquet(coordinates_path(root))
     return observed(counters, ["stations", "coordinates_missing", "coordinates_unparseable"])

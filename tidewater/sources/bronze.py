@@ -3,7 +3,7 @@
 Bronze layout (written by ``tidewater.sinks.bronze``)::
 
     <root>/observations/buoy_id=<id>/year=<yyyy|unknown>/source_stem=<stem>/*.parquet
-    <root>/coordinates/buoy_id=<id>/*.parquet
+    <root>/coordinates/*.parquet          (one table, appended per ingest batch)
 
 Every partition value is text: the session turns partition type inference
 off, and the readers pass explicit schemas, so ``0041`` stays ``0041``.
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators import observations as obs
@@ -29,6 +29,14 @@ def coordinates_path(root: str) -> str:
     return f"{root.rstrip('/')}/coordinates"
 
 
+def has_dataset(spark: SparkSession, root: str, dataset: str) -> bool:
+    """Whether ``<root>/<dataset>`` exists (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{dataset}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path))
+
+
 def read_bronze_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
     """Bronze rows with their hive keys as text. ``year`` narrows the scan
     by partition filter (only that year's directories are listed/read)."""
@@ -46,15 +54,20 @@ def read_bronze_observations(spark: SparkSession, root: str, year: str | None =
 def read_bronze_coordinates(spark: SparkSession, root: str) -> DataFrame:
     """Raw coordinate rows plus the file they came from (for a
     deterministic first value)."""
-    path = coordinates_path(root)
     return (
         spark.read.schema(BRONZE_COORDINATES)
-        .option("basePath", path)
-        .parquet(path)
+        .parquet(coordinates_path(root))
         .withColumn("path", F.col("_metadata.file_path"))
     )
 
 
+def latest_coordinate_rows(raw: DataFrame) -> DataFrame:
+    """Rows of each station's latest ingest batch (a re-scrape replaces the
+    earlier position). The dimension is small: one window over it."""
+    latest = F.max("batch").over(Window.partitionBy("buoy_id"))
+    return raw.withColumn("_latest", latest).where(F.col("batch") == F.col("_latest")).drop("_latest")
+
+
 def read_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
     """Library entry point: bronze -> clean silver rows (contract schema).
     A year-scoped read dedups within that year; a whole-tree read globally."""
@@ -62,8 +75,8 @@ def read_observations(spark: SparkSession, root: str, year: str | None = None) -
 
 
 def read_coordinates(spark: SparkSession, root: str) -> DataFrame:
-    """One row per buoy from the bronze coordinate files."""
-    return collapse_coordinates(read_bronze_coordinates(spark, root), "path")
+    """One row per buoy: its latest batch, first non-NULL value per column."""
+    return collapse_coordinates(latest_coordinate_rows(read_bronze_coordinates(spark, root)), "path")
 
 
 def bronze_inventory(spark: SparkSession, root: str, dataset: str = "observations") -> DataFrame:

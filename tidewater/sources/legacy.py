@@ -78,3 +78,24 @@ def convert_legacy_bronze(spark: SparkSession, legacy_root: str, bronze_root: st
     finally:
         spark.conf.set("spark.sql.caseSensitive", previous)
     return {"files": sum(len(p) for p in groups.values()), "groups": len(groups), **counters}
+
+
+def convert_legacy_coordinates(spark: SparkSession, legacy_root: str, bronze_root: str) -> dict:
+    """Legacy ``coordinates/buoy_id=<id>/part.parquet`` (hive key read as
+    text, values cast strictly to double) -> one appended coordinate batch."""
+    from tidewater.sinks.bronze import write_bronze_coordinates
+
+    configure(spark)
+    base = f"{legacy_root.rstrip('/')}/coordinates"
+    # Explicit schema: a page without a position was written with all-NULL
+    # columns (no float type in the file), so the files' own types disagree.
+    raw = spark.read.schema("latitude double, longitude double, buoy_id string").option("basePath", base).parquet(base)
+    positions = raw.select(
+        F.col("buoy_id").cast("string").alias("buoy_id"),
+        F.col("latitude").cast("double").alias("latitude"),
+        F.col("longitude").cast("double").alias("longitude"),
+    ).withColumn(
+        "status",
+        F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.lit("ok")).otherwise(F.lit("missing")),
+    )
+    return write_bronze_coordinates(positions, bronze_root)
