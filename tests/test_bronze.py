@@ -32,7 +32,8 @@ def test_header_only_file_is_readable_and_empty_in_silver(spark, root):
 def test_schema_less_file_writes_nothing_and_is_counted(spark, root):
     counters = write_bronze_observations(landed(spark, [("47072", "2003", "47072h2003", "")]), root)
     assert counters["bronze_skipped_no_schema"] == 1
-    assert not os.path.exists(os.path.join(root, "observations", "buoy_id=47072"))
+    assert counters["rows_written"] == 0
+    assert not os.path.exists(os.path.join(root, "observations", "year=2003"))
 
 
 def test_refetched_file_replaces_only_itself(spark, root):
@@ -42,3 +43,17 @@ def test_refetched_file_replaces_only_itself(spark, root):
     stems = {r["source_stem"] for r in read_bronze_observations(spark, root).collect()}
     assert stems == {"a", "b"}
     assert read_observations(spark, root).count() == 2
+
+
+def test_compaction_keeps_current_rows(spark, root):
+    from tidewater.sources.bronze import compact_bronze, read_bronze_batches
+
+    write_text(spark, root, "41001", "2020", S.SENTINELS, stem="a")
+    write_text(spark, root, "41002", "2020", S.NO_MINUTE, stem="b")
+    write_text(spark, root, "41001", "2020", S.MONTH_MINUTE.replace("2023", "2020"), stem="a")
+    before = sorted(tuple(r) for r in read_observations(spark, root).collect())
+    assert read_bronze_batches(spark, root, "2020").select("batch").distinct().count() == 3
+    counters = compact_bronze(spark, root, "2020")
+    assert counters["batches_removed"] == 3
+    assert read_bronze_batches(spark, root, "2020").select("batch").distinct().count() == 1
+    assert sorted(tuple(r) for r in read_observations(spark, root).collect()) == before

@@ -64,11 +64,9 @@ def plan_fetch(
     fetched; ``full_refresh`` fetches everything."""
     configure(spark)
     wanted = archive_links(index_pages).select("buoy_id", "year", "source_stem", F.col("link").alias("url"))
-    try:
-        inv = bronze.bronze_inventory(spark, bronze_root)
-        probed = bronze.probe_usable(inv)
-        cache = probed.groupBy("buoy_id", "year", "source_stem").agg(F.bool_and("usable").alias("usable"))
-    except Exception:  # empty bronze: nothing cached yet
+    if bronze.has_dataset(spark, bronze_root, "observations"):
+        cache = bronze.current_sources(spark, bronze_root)
+    else:  # nothing landed yet
         cache = spark.createDataFrame([], "buoy_id string, year string, source_stem string, usable boolean")
     return incremental.fetch_plan(wanted, cache, as_of_year, full_refresh)
 

@@ -100,16 +100,18 @@ COORDINATE_COLUMNS: list[str] = ["buoy_id", "latitude", "longitude"]
 
 BRONZE_VALUE_COLUMNS: list[str] = [*STRUCTURAL_COLUMNS.values(), *MEASUREMENT_NAMES.keys()]
 
-# Bronze observations: one row per data line of a landed file.
+# Bronze observations: one row per line of a landed file (header = line 0).
+# ``year`` and ``batch`` are directory keys; the rest are data columns.
 BRONZE_OBSERVATIONS = T.StructType(
     [
+        T.StructField("buoy_id", T.StringType()),
         T.StructField("source_stem", T.StringType()),
         T.StructField("line_no", T.IntegerType()),
         *[T.StructField(c, T.StringType()) for c in BRONZE_VALUE_COLUMNS],
         T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
         T.StructField("decode_error", T.StringType()),
-        T.StructField("buoy_id", T.StringType()),
         T.StructField("year", T.StringType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 

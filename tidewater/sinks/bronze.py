@@ -1,9 +1,9 @@
 """Bronze writers: decoded observation files and station coordinates.
 
-Observations are laid out one directory per landed source file
-(``buoy_id=/year=/source_stem=``) and written with dynamic partition
-overwrite, so a re-fetched file replaces exactly its own directory and
-nothing else -- the idempotence of a file-per-source landing zone.
+Both are append-only, one batch per ingest job. Observations land under
+``year=<y>/batch=<id>/``; a re-fetched source file appears again in a later
+batch and replaces its earlier version for every reader, so re-running an
+ingest is idempotent without a directory (or a file) per source.
 """
 
 from __future__ import annotations
@@ -48,25 +48,30 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
     return {**file_stats, **counters}
 
 
-def write_bronze_frame(decoded: DataFrame, root: str) -> dict:
-    """Write bronze-shaped rows, one directory per source file, replacing
-    only the directories present in ``decoded``."""
+def write_bronze_frame(decoded: DataFrame, root: str, batch: str | None = None) -> dict:
+    """Append bronze-shaped rows as one ingest batch:
+    ``observations/year=<y>/batch=<id>/part-*.parquet``.
+
+    No shuffle and no directory per source: each task writes one file per
+    year it holds, locally sorted by (station, source, line) so the repeated
+    key columns compress to runs. A source written again in a later batch
+    supersedes its earlier version at read time (``read_bronze_observations``);
+    the batch only becomes visible when Spark commits the job.
+    """
     counters = Observation("bronze_write")
-    # One task per source file, so each directory gets one file. The
-    # counters are observed after the exchange, in the writing stage, so a
-    # retried map stage cannot count twice.
     shaped = decoded.select(
-        "line_no", *BRONZE_VALUE_COLUMNS, "extra", "decode_error", "buoy_id", "year", "source_stem"
-    ).repartition("buoy_id", "year", "source_stem")
+        "buoy_id", "source_stem", "line_no", *BRONZE_VALUE_COLUMNS, "extra", "decode_error", "year",
+        F.lit(batch or ingest_batch_id()).alias("batch"),
+    )
     watched = shaped.observe(
         counters,
         F.count(F.lit(1)).alias("rows_written"),
         F.count_if(F.col("decode_error").isNotNull()).alias("lines_flagged"),
     )
     (
-        watched.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("buoy_id", "year", "source_stem")
+        watched.sortWithinPartitions("year", "buoy_id", "source_stem", "line_no")
+        .write.mode("append")
+        .partitionBy("year", "batch")
         .parquet(observations_path(root))
     )
     return observed(counters, ["rows_written", "lines_flagged"])

@@ -2,7 +2,7 @@
 
 Bronze layout (written by ``tidewater.sinks.bronze``)::
 
-    <root>/observations/buoy_id=<id>/year=<yyyy|unknown>/source_stem=<stem>/*.parquet
+    <root>/observations/year=<yyyy|unknown>/batch=<ingest id>/*.parquet
     <root>/coordinates/*.parquet          (one table, appended per ingest batch)
 
 Every partition value is text: the session turns partition type inference
@@ -37,20 +37,61 @@ def has_dataset(spark: SparkSession, root: str, dataset: str) -> bool:
     return bool(fs.exists(path))
 
 
-def read_bronze_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
-    """Bronze rows with their hive keys as text. ``year`` narrows the scan
-    by partition filter (only that year's directories are listed/read)."""
+_SOURCE_KEY = ["year", "buoy_id", "source_stem"]
+
+
+def read_bronze_batches(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
+    """Every bronze row of every batch (superseded versions included).
+    ``year`` is a partition filter: only that year's directories are read."""
     path = observations_path(root)
-    df = (
-        spark.read.schema(BRONZE_OBSERVATIONS)
-        .option("basePath", path)
-        .parquet(path)
-    )
+    df = spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", path).parquet(path)
     if year is not None:
         df = df.where(F.col("year") == F.lit(str(year)))
     return df
 
 
+def superseded_versions(batches: DataFrame) -> DataFrame:
+    """(year, buoy_id, source_stem, batch) of every source version that a
+    later batch replaced. Reads only the key columns; the distinct is a
+    partial aggregate, and the result holds only re-fetched sources (kept
+    small by ``compact_bronze``)."""
+    versions = batches.select(*_SOURCE_KEY, "batch").distinct()
+    newest = F.max("batch").over(Window.partitionBy(*_SOURCE_KEY))
+    return versions.withColumn("_newest", newest).where(F.col("batch") < F.col("_newest")).drop("_newest")
+
+
+def read_bronze_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
+    """Current bronze rows: each source's newest batch only."""
+    batches = read_bronze_batches(spark, root, year)
+    return batches.join(superseded_versions(batches), [*_SOURCE_KEY, "batch"], "left_anti")
+
+
+def current_sources(spark: SparkSession, root: str) -> DataFrame:
+    """``(buoy_id, year, source_stem, batch, usable)`` of every source file
+    held in bronze. Files appear only on job commit, so they are readable."""
+    batches = read_bronze_batches(spark, root)
+    versions = batches.select(*_SOURCE_KEY, "batch").distinct()
+    return versions.groupBy(*_SOURCE_KEY).agg(F.max("batch").alias("batch")).withColumn("usable", F.lit(True))
+
+
+def compact_bronze(spark: SparkSession, root: str, year: str) -> dict:
+    """Rewrite one year's current rows as a single batch, then drop the
+    year's older batch directories. Until the drop, the new batch already
+    supersedes every older version, so readers see the same rows throughout;
+    a crash in between only leaves extra superseded files."""
+    from tidewater.sinks.bronze import ingest_batch_id, write_bronze_frame
+
+    old_batches = [r["batch"] for r in read_bronze_batches(spark, root, year).select("batch").distinct().collect()]
+    new_batch = ingest_batch_id()
+    counters = write_bronze_frame(read_bronze_observations(spark, root, year).drop("batch"), root, new_batch)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for b in old_batches:
+        path = jvm.org.apache.hadoop.fs.Path(f"{observations_path(root)}/year={year}/batch={b}")
+        path.getFileSystem(conf).delete(path, True)
+    return {**counters, "batches_removed": len(old_batches)}
+
+
 def read_bronze_coordinates(spark: SparkSession, root: str) -> DataFrame:
     """Raw coordinate rows plus the file they came from (for a
     deterministic first value)."""
@@ -93,7 +134,7 @@ def bronze_inventory(spark: SparkSession, root: str, dataset: str = "observation
         .option("basePath", path)
         .load(path)
     )
-    keys = [c for c in ("buoy_id", "year", "source_stem") if c in df.columns]
+    keys = [c for c in ("buoy_id", "year", "source_stem", "batch") if c in df.columns]
     return df.select("path", "length", "modificationTime", *[F.col(k).cast("string").alias(k) for k in keys])
 
 
