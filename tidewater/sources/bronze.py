@@ -52,12 +52,15 @@ def read_bronze_batches(spark: SparkSession, root: str, year: str | None = None)
 
 def superseded_versions(batches: DataFrame) -> DataFrame:
     """(year, buoy_id, source_stem, batch) of every source version that a
-    later batch replaced. Reads only the key columns; the distinct is a
-    partial aggregate, and the result holds only re-fetched sources (kept
-    small by ``compact_bronze``)."""
-    versions = batches.select(*_SOURCE_KEY, "batch").distinct()
-    newest = F.max("batch").over(Window.partitionBy(*_SOURCE_KEY))
-    return versions.withColumn("_newest", newest).where(F.col("batch") < F.col("_newest")).drop("_newest")
+    later batch replaced. Reads only the key columns; one aggregate per
+    source (partial map-side: the batch set per source is tiny, and kept so
+    by ``compact_bronze``); the result holds only re-fetched sources."""
+    per_source = batches.groupBy(*_SOURCE_KEY).agg(
+        F.max("batch").alias("_newest"), F.collect_set("batch").alias("_batches")
+    )
+    return per_source.select(
+        *_SOURCE_KEY, F.explode(F.array_remove("_batches", F.col("_newest"))).alias("batch")
+    )
 
 
 def read_bronze_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
