@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import sql
+
 FILE_BLOCK = 65536
 
 # Header layout per buoy, by ``user_id % 4``: 0 -> "#YY" with minute,
@@ -110,11 +112,9 @@ def station_text_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _fixed3(thousandths: Column) -> Column:
+def _fixed3_sql(expr: str) -> str:
     """Non-negative integer thousandths -> text such as ``48.126``."""
-    return F.concat(
-        (thousandths / 1000).cast("long").cast("string"), F.lit("."), F.lpad((thousandths % 1000).cast("string"), 3, "0")
-    )
+    return f"concat(CAST(({expr}) DIV 1000 AS STRING), '.', lpad(CAST(({expr}) % 1000 AS STRING), 3, '0'))"
 
 
 def station_pages_from_customer(customer: DataFrame) -> DataFrame:
@@ -125,34 +125,34 @@ def station_pages_from_customer(customer: DataFrame) -> DataFrame:
     (5) or an empty item 5 (6). A second paragraph carries a decoy position
     that must never be read.
     """
-    k = F.col("c_custkey")
-    case = k % 7
-    lat = (k * 37) % 90000
-    lon = (k * 53) % 180000
-    ns = F.when(F.col("c_nationkey") % 2 == 0, F.lit("N")).otherwise(F.lit("S"))
-    ew = F.when(F.col("c_nationkey") % 3 == 0, F.lit("E")).otherwise(F.lit("W"))
-    coord = F.concat_ws(
-        " ", _fixed3(lat), ns, _fixed3(lon), ew,
-        F.concat(F.lit("("), (lat / 1000).cast("long").cast("string"), F.lit("°"), (lat % 60).cast("string"), F.lit("' "), ns, F.lit(")")),
+    lat, lon = "(c_custkey * 37) % 90000", "(c_custkey * 53) % 180000"
+    ns = "CASE WHEN c_nationkey % 2 = 0 THEN 'N' ELSE 'S' END"
+    ew = "CASE WHEN c_nationkey % 3 = 0 THEN 'E' ELSE 'W' END"
+    dms = (
+        f"concat('(', CAST(({lat}) DIV 1000 AS STRING), '°', CAST(({lat}) % 60 AS STRING), "
+        f"{sql.literal(chr(39) + ' ')}, {ns}, ')')"
     )
-    integers = F.concat_ws(" ", (lat / 1000).cast("long").cast("string"), ns, (lon / 1000).cast("long").cast("string"), ew)
-    b1 = F.concat(F.lit("Owned and maintained by "), F.col("c_name"))
-    b2 = F.when(case == 2, coord).otherwise(F.concat(F.lit("Station "), k.cast("string")))
-    b3 = F.when(case == 1, coord).otherwise(F.col("c_mktsegment"))
-    b4 = F.when(case == 0, coord).otherwise(F.concat(F.lit("Site elevation: "), (k % 50).cast("string"), F.lit(" m")))
+    coord = f"concat_ws(' ', {_fixed3_sql(lat)}, {ns}, {_fixed3_sql(lon)}, {ew}, {dms})"
+    integers = f"concat_ws(' ', CAST(({lat}) DIV 1000 AS STRING), {ns}, CAST(({lon}) DIV 1000 AS STRING), {ew})"
+    case = "c_custkey % 7"
+    b1 = "concat('Owned and maintained by ', c_name)"
+    b2 = f"CASE WHEN {case} = 2 THEN {coord} ELSE concat('Station ', CAST(c_custkey AS STRING)) END"
+    b3 = f"CASE WHEN {case} = 1 THEN {coord} ELSE c_mktsegment END"
+    b4 = f"CASE WHEN {case} = 0 THEN {coord} ELSE concat('Site elevation: ', CAST(c_custkey % 50 AS STRING), ' m') END"
     b5 = (
-        F.when(case == 3, coord)
-        .when(case == 5, integers)
-        .when(case == 6, F.lit(""))
-        .otherwise(F.concat(F.lit("Water depth: "), (k % 4000).cast("string"), F.lit(" m")))
-    )
-    bold = lambda c: F.concat(F.lit("<b>"), c, F.lit("</b><br>"))
-    items = F.concat(bold(b1), bold(b2), bold(b3), bold(b4), F.when(case == 4, F.lit("")).otherwise(bold(b5)))
-    html = F.concat(
-        F.lit("<html><body><h1>Station "), k.cast("string"), F.lit("</h1><div id=\"stn_metadata\"><p>"),
-        items, F.lit("</p><p><b>10.500 N 20.250 W</b></p></div></body></html>"),
+        f"CASE WHEN {case} = 3 THEN {coord} WHEN {case} = 5 THEN {integers} WHEN {case} = 6 THEN '' "
+        f"ELSE concat('Water depth: ', CAST(c_custkey % 4000 AS STRING), ' m') END"
     )
-    return customer.select(F.format_string("%05d", k).alias("buoy_id"), html.alias("html"))
+
+    def bold(e: str) -> str:
+        return f"concat('<b>', {e}, '</b><br>')"
+
+    items = f"concat({bold(b1)}, {bold(b2)}, {bold(b3)}, {bold(b4)}, CASE WHEN {case} = 4 THEN '' ELSE {bold(b5)} END)"
+    head = sql.literal('</h1><div id="stn_metadata"><p>')
+    tail = sql.literal("</p><p><b>10.500 N 20.250 W</b></p></div></body></html>")
+    html = f"concat('<html><body><h1>Station ', CAST(c_custkey AS STRING), {head}, {items}, {tail})"
+    return customer.selectExpr("format_string('%05d', c_custkey) AS buoy_id", f"{html} AS html")
+
 
 
 def download_links_from_orders(orders: DataFrame) -> DataFrame:
