@@ -137,3 +137,12 @@ def test_impossible_dates_are_null_not_errors(spark):
     text = "#YY MM DD hh mm WDIR\n2020 13 01 00 00 100\n2020 02 30 00 00 100\n2020 01 01 24 00 100\n"
     typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).collect()
     assert [r["datetime"] for r in typed] == [None, None, None]
+
+
+def test_tabs_and_crlf_are_whitespace(spark):
+    text = "\t#YY MM DD hh mm WDIR\r\n\t2020\t01 01  00 30\t100\r\n\r\n2020 01 01 01 00 200\r\n"
+    typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).orderBy("line_no").collect()
+    assert [(r["datetime"], r["wind_direction"]) for r in typed] == [
+        (dt.datetime(2020, 1, 1, 0, 30), 100.0),
+        (dt.datetime(2020, 1, 1, 1, 0), 200.0),
+    ]

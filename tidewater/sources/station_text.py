@@ -63,6 +63,12 @@ def _token(tokens: Column, header: Column, name: Column | str) -> Column:
     return F.get(tokens, F.array_position(header, name_col).cast("int") - 1)
 
 
+def _strip(line: Column) -> Column:
+    """Remove leading/trailing whitespace of any kind (``trim`` only strips
+    spaces; a tab-indented line would otherwise gain an empty first token)."""
+    return F.regexp_replace(line, r"^\s+|\s+$", "")
+
+
 def _missing_to_null(tok: Column) -> Column:
     return F.when(~tok.isin(*NA_TOKENS), tok)
 
@@ -86,7 +92,7 @@ def decode_station_text(
     # and derive everything that depends on the header alone.
     lines = F.filter(F.split(F.col("value"), r"\r?\n"), lambda l: ~l.rlike(_BLANK_LINE))
     with_lines = text.select("buoy_id", "year", "source_stem", *keep, lines.alias("lines"))
-    header = F.split(F.trim(F.get(F.col("lines"), 0)), r"\s+")
+    header = F.split(_strip(F.get(F.col("lines"), 0)), r"\s+")
     with_header = with_lines.select("*", header.alias("header"))
     files = with_header.select(
         "buoy_id",
@@ -131,7 +137,7 @@ def decode_station_text(
         "unknown",
         "idx",
         F.col("pos").cast("int").alias("line_no"),
-        F.split(F.trim(F.col("line")), r"\s+").alias("tokens"),
+        F.split(_strip(F.col("line")), r"\s+").alias("tokens"),
     )
     header, tokens = F.col("header"), F.col("tokens")
     unknown, duplicate_header = F.col("unknown"), F.col("dup_header")
