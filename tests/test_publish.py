@@ -143,3 +143,17 @@ def test_superseded_snapshots(spark, root):
     assert len(old) == 4
     current = {r["path"] for r in silver.current_ledger(spark, silver_root).collect()}
     assert not current & {r["path"] for r in old}
+
+
+def test_durations_ignore_session_zone(spark):
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        runs = spark.createDataFrame(
+            [(dt.datetime(2024, 3, 10, 1, 0), dt.datetime(2024, 3, 10, 5, 0))],
+            "started_at timestamp_ntz, finished_at timestamp_ntz",
+        )
+        got = runs.select(monitoring.duration_seconds(F.col("started_at"), F.col("finished_at"))).collect()[0][0]
+        assert got == 4 * 3600
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)

@@ -20,14 +20,20 @@ def _ts(value: dt.datetime | str | Column) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
+def _micros_between(earlier: Column, later: Column) -> Column:
+    # Exact for zone-less timestamps whatever the session zone (a cast to a
+    # zoned timestamp would lose or gain an hour across a DST change).
+    return F.timestamp_diff("MICROSECOND", earlier, later)
+
+
 def hours_between(later: Column, earlier: Column) -> Column:
     """(later - earlier) in hours, from exact microseconds."""
-    return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(3.6e9)
+    return _micros_between(earlier, later) / F.lit(3.6e9)
 
 
 def duration_seconds(started: Column, finished: Column) -> Column:
     """finished - started in seconds; NULL while still running."""
-    return (F.unix_micros(finished.cast("timestamp")) - F.unix_micros(started.cast("timestamp"))) / F.lit(1e6)
+    return _micros_between(started, finished) / F.lit(1e6)
 
 
 def freshness(observations: DataFrame, as_of, ts_col: str = "datetime", max_age_hours: float = MAX_AGE_HOURS) -> DataFrame:
@@ -67,9 +73,8 @@ def latest_run_rows(run_log: DataFrame) -> DataFrame:
 
 def is_stuck(as_of, stale_hours: float = STALE_RUN_HOURS) -> Column:
     """Still ``running`` and started more than ``stale_hours`` before ``as_of``."""
-    started = F.unix_micros(F.col("started_at").cast("timestamp"))
-    limit = F.unix_micros(_ts(as_of).cast("timestamp")) - F.lit(int(stale_hours * 3_600_000_000))
-    return (F.col("status") == "running") & (started < limit)
+    age = _micros_between(F.col("started_at"), _ts(as_of))
+    return (F.col("status") == "running") & (age > F.lit(int(stale_hours * 3_600_000_000)))
 
 
 def stuck_runs(runs: DataFrame, as_of, stale_hours: float = STALE_RUN_HOURS) -> DataFrame:

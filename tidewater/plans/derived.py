@@ -203,14 +203,14 @@ def file_inventory_from_orders(orders: DataFrame, year_text: Column | None = Non
 
 def ledger_from_orders(orders: DataFrame) -> DataFrame:
     """Append-only year ledger: one row per order, run = status-priority."""
-    return orders.select(
-        F.year("o_orderdate").alias("year"),
-        F.concat(F.lit("fp-"), F.col("o_custkey").cast("string")).alias("bronze_fingerprint"),
-        (F.col("o_orderkey") % 1000).alias("rows_loaded"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderkey") % 5).otherwise(F.lit(0).cast("long")).alias("rows_rejected"),
-        F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 86400) * 1_000_000)
-        .cast("timestamp_ntz").alias("loaded_at"),
-        F.concat(F.col("o_orderstatus"), F.lit("-"), F.col("o_orderpriority")).alias("run_token"),
+    return orders.selectExpr(
+        "year(o_orderdate) AS year",
+        "concat('fp-', CAST(o_custkey AS STRING)) AS bronze_fingerprint",
+        "o_orderkey % 1000 AS rows_loaded",
+        "CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey % 5 ELSE CAST(0 AS BIGINT) END AS rows_rejected",
+        # Zone-less arithmetic: the same instant whatever the session zone.
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, CAST(o_orderkey % 86400 AS DECIMAL(18, 6))) AS loaded_at",
+        "concat(o_orderstatus, '-', o_orderpriority) AS run_token",
     )
 
 
@@ -220,28 +220,22 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     ended for any reason but ``finished`` failed."""
     from tidewater.operators.monitoring import run_status_from_reason
 
-    eid = F.col("event_id")
-    stage = (
-        F.when(F.col("event_type") == "view", F.lit("scrape"))
-        .when(F.col("event_type") == "error", F.lit("silver"))
-        .otherwise(F.col("event_type"))
-    )
-    reason = F.when(F.col("value") < 50, F.lit("shutdown")).otherwise(F.lit("finished"))
-    running = eid % 9 == 0
-    started = F.col("ts").cast("timestamp_ntz")
-    finished = F.when(
-        ~running,
-        F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + (eid % 3600) * 1_000_000).cast("timestamp_ntz"),
+    base = events.selectExpr(
+        "concat('run-', format_string('%010d', event_id)) AS run_token",
+        "CASE event_type WHEN 'view' THEN 'scrape' WHEN 'error' THEN 'silver' ELSE event_type END AS stage",
+        "event_id % 9 = 0 AS _running",
+        "CASE WHEN value < 50 THEN 'shutdown' ELSE 'finished' END AS _reason",
+        "CAST(ts AS TIMESTAMP_NTZ) AS started_at",
+        "CASE WHEN event_id % 9 <> 0 THEN CAST(ts AS TIMESTAMP_NTZ) "
+        "+ make_dt_interval(0, 0, 0, CAST(event_id % 3600 AS DECIMAL(18, 6))) END AS finished_at",
+        "event_id % 1000 AS rows_loaded",
+        "CAST(user_id % 5 AS INT) AS years_loaded",
+        "event_id % 7 AS rows_rejected",
     )
-    return events.select(
-        F.concat(F.lit("run-"), F.format_string("%010d", eid)).alias("run_token"),
-        stage.alias("stage"),
-        F.when(running, F.lit("running")).otherwise(run_status_from_reason(reason)).alias("status"),
-        started.alias("started_at"),
-        finished.alias("finished_at"),
-        (eid % 1000).alias("rows_loaded"),
-        (F.col("user_id") % 5).cast("int").alias("years_loaded"),
-        (eid % 7).alias("rows_rejected"),
+    status = F.when(F.col("_running"), F.lit("running")).otherwise(run_status_from_reason(F.col("_reason")))
+    return base.select(
+        "run_token", "stage", status.alias("status"), "started_at", "finished_at",
+        "rows_loaded", "years_loaded", "rows_rejected",
     )
 
 
