@@ -155,49 +155,46 @@ def station_pages_from_customer(customer: DataFrame) -> DataFrame:
 
 
 
+_ORDER_BUOY = "format_string('%05d', o_custkey)"
+_ORDER_YEAR = "CAST(year(o_orderdate) AS STRING)"
+
+
 def download_links_from_orders(orders: DataFrame) -> DataFrame:
     """Archive download links ``(buoy_id, url)``, one per order: the file of
     the customer's order year. Urgent pending orders get a link without a
     ``filename`` parameter (an unknown year)."""
-    buoy = F.format_string("%05d", F.col("o_custkey"))
-    y = F.year("o_orderdate").cast("string")
-    odd = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
-    url = F.when(
-        odd,
-        F.concat(F.lit("/historical_data/download_data.php?dir=data/historical/stdmet/&ref="), F.col("o_orderkey").cast("string")),
-    ).otherwise(
-        F.concat(F.lit("/historical_data/download_data.php?filename="), buoy, F.lit("h"), y, F.lit(".txt.gz&dir=data/historical/stdmet/"))
+    odd = "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+    return orders.selectExpr(
+        f"{_ORDER_BUOY} AS buoy_id",
+        f"CASE WHEN {odd} THEN concat('/historical_data/download_data.php?dir=data/historical/stdmet/&ref=', "
+        f"CAST(o_orderkey AS STRING)) ELSE concat('/historical_data/download_data.php?filename=', {_ORDER_BUOY}, "
+        f"'h', {_ORDER_YEAR}, '.txt.gz&dir=data/historical/stdmet/') END AS url",
     )
-    return orders.select(buoy.alias("buoy_id"), url.alias("url"))
 
 
 def bronze_cache_from_orders(orders: DataFrame) -> DataFrame:
     """Bronze files already on disk ``(buoy_id, year, source_stem, usable)``:
     fulfilled orders' (customer, year) files; a file holding any low-priority
     order is unreadable."""
-    buoy = F.format_string("%05d", F.col("o_custkey"))
-    y = F.year("o_orderdate").cast("string")
     return (
-        orders.where(F.col("o_orderstatus") == "F")
-        .select(buoy.alias("buoy_id"), y.alias("year"), (F.col("o_orderpriority") != "5-LOW").alias("ok"))
+        orders.where("o_orderstatus = 'F'")
+        .selectExpr(f"{_ORDER_BUOY} AS buoy_id", f"{_ORDER_YEAR} AS year", "o_orderpriority <> '5-LOW' AS ok")
         .groupBy("buoy_id", "year")
         .agg(F.bool_and("ok").alias("usable"))
         .withColumn("source_stem", F.concat("buoy_id", F.lit("h"), "year"))
     )
 
 
-def file_inventory_from_orders(orders: DataFrame, year_text: Column | None = None) -> DataFrame:
+def file_inventory_from_orders(orders: DataFrame, year_sql: str = _ORDER_YEAR) -> DataFrame:
     """Bronze file inventory ``(path, buoy_id, year, modificationTime)``:
     one file per order, modified ``o_orderkey % 86400`` seconds after the
-    order date."""
-    buoy = F.format_string("%05d", F.col("o_custkey"))
-    y = year_text if year_text is not None else F.year("o_orderdate").cast("string")
-    mtime = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + (F.col("o_orderkey") % 86400) * 1_000_000)
-    return orders.select(
-        F.concat(F.lit("observations/buoy_id="), buoy, F.lit("/year="), y, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".parquet")).alias("path"),
-        buoy.alias("buoy_id"),
-        y.alias("year"),
-        mtime.alias("modificationTime"),
+    order date. ``year_sql`` is the SQL text of the hive year."""
+    return orders.selectExpr(
+        f"concat('observations/buoy_id=', {_ORDER_BUOY}, '/year=', {year_sql}, '/', "
+        "CAST(o_orderkey AS STRING), '.parquet') AS path",
+        f"{_ORDER_BUOY} AS buoy_id",
+        f"{year_sql} AS year",
+        "timestamp_micros(unix_micros(CAST(o_orderdate AS TIMESTAMP)) + (o_orderkey % 86400) * 1000000) AS modificationTime",
     )
 
 
@@ -242,10 +239,10 @@ def runs_from_events(events: DataFrame) -> DataFrame:
 def coordinate_rows_from_supplier(supplier: DataFrame) -> DataFrame:
     """Bronze coordinate rows ``(buoy_id, path, latitude, longitude)``: one
     per supplier, grouped into stations by nation, with NULLs injected."""
-    k = F.col("s_suppkey")
-    return supplier.select(
-        F.format_string("%05d", F.col("s_nationkey")).alias("buoy_id"),
-        F.concat(F.lit("coordinates/buoy_id="), F.format_string("%05d", F.col("s_nationkey")), F.lit("/part-"), F.format_string("%08d", k), F.lit(".parquet")).alias("path"),
-        F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("s_acctbal") / 100).cast("double").alias("latitude"),
-        F.when(k % 4 == 1, F.lit(None)).otherwise(k.cast("double") / 10).cast("double").alias("longitude"),
+    return supplier.selectExpr(
+        "format_string('%05d', s_nationkey) AS buoy_id",
+        "concat('coordinates/buoy_id=', format_string('%05d', s_nationkey), '/part-', "
+        "format_string('%08d', s_suppkey), '.parquet') AS path",
+        "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal / 100 END AS latitude",
+        "CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) / 10 END AS longitude",
     )

@@ -137,9 +137,10 @@ def year_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.year_fingerprints(inv, years)
 
 
-def _orders_year_text() -> F.Column:
-    odd = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
-    return F.when(odd, F.lit("unknown")).otherwise(F.year("o_orderdate").cast("string"))
+_ORDERS_YEAR_TEXT = (
+    "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'unknown' "
+    "ELSE CAST(year(o_orderdate) AS STRING) END"
+)
 
 
 def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +148,9 @@ def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     fingerprints of the bronze as it stood before the cut-off (each behind
     an older, stale row); the current bronze is the whole table."""
     o = table(spark, sf_dir, "orders")
-    inv = derived.file_inventory_from_orders(o, _orders_year_text())
+    inv = derived.file_inventory_from_orders(o, _ORDERS_YEAR_TEXT)
     current = incremental.year_fingerprints(inv)
-    old_inv = derived.file_inventory_from_orders(o.where(F.col("o_orderdate") < F.lit(LEDGER_CUTOFF)), _orders_year_text())
+    old_inv = derived.file_inventory_from_orders(o.where(F.col("o_orderdate") < F.lit(LEDGER_CUTOFF)), _ORDERS_YEAR_TEXT)
     old = incremental.year_fingerprints(old_inv).where(incremental.is_loadable_year("year"))
     ledger = old.select(
         F.col("year").cast("int").alias("year"), "bronze_fingerprint",
