@@ -40,13 +40,18 @@ def has_dataset(spark: SparkSession, root: str, dataset: str) -> bool:
 _SOURCE_KEY = ["year", "buoy_id", "source_stem"]
 
 
-def read_bronze_batches(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
+def read_bronze_batches(
+    spark: SparkSession, root: str, year: str | None = None, years: list[str] | None = None
+) -> DataFrame:
     """Every bronze row of every batch (superseded versions included).
-    ``year`` is a partition filter: only that year's directories are read."""
+    ``year`` / ``years`` are partition filters: only those years'
+    directories are listed and read."""
     path = observations_path(root)
     df = spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", path).parquet(path)
     if year is not None:
         df = df.where(F.col("year") == F.lit(str(year)))
+    if years is not None:
+        df = df.where(F.col("year").isin([str(y) for y in years]))
     return df
 
 
@@ -63,9 +68,12 @@ def superseded_versions(batches: DataFrame) -> DataFrame:
     )
 
 
-def read_bronze_observations(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
-    """Current bronze rows: each source's newest batch only."""
-    batches = read_bronze_batches(spark, root, year)
+def read_bronze_observations(
+    spark: SparkSession, root: str, year: str | None = None, years: list[str] | None = None
+) -> DataFrame:
+    """Current bronze rows: each source's newest batch only. The year
+    filters apply to both the data and the superseded-version side."""
+    batches = read_bronze_batches(spark, root, year, years)
     return batches.join(superseded_versions(batches), [*_SOURCE_KEY, "batch"], "left_anti")
 
 
