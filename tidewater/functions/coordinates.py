@@ -50,36 +50,14 @@ _METADATA_PARAGRAPH = r'(?s)<div[^>]*id="stn_metadata"[^>]*>.*?<p[^>]*>(.*?)</p>
 _BOLD_TEXT = r"(?s)<b(?:\s[^>]*)?>([^<]*)"
 
 
-def bold_items(html: Column | str) -> Column:
-    para = F.regexp_extract(_c(html), _METADATA_PARAGRAPH, 1)
-    return F.regexp_extract_all(para, F.lit(_BOLD_TEXT), F.lit(1))
-
-
-def position_from_page(html: Column | str) -> Column:
-    """Struct ``(latitude, longitude, status)`` from a landed station page.
-
-    Tries bold items 4, 3, 2, 5 and takes the first valid one. Otherwise the
-    status depends on item 5: present with text -> ``unparseable``, empty or
-    absent -> ``missing``; the pair is NULL either way.
-    """
-    items = bold_items(html)
-    candidates = [F.get(items, k - 1) for k in POSITION_ITEM_ORDER]
-    chosen = F.coalesce(*[F.when(is_valid_coordinates(c), c) for c in candidates])
-    last = candidates[-1]
-    status = (
-        F.when(chosen.isNotNull(), F.lit("ok"))
-        .when(last.isNotNull() & (last != ""), F.lit("unparseable"))
-        .otherwise(F.lit("missing"))
-    )
-    parsed = parse_coordinates(chosen)
-    return F.struct(parsed["latitude"].alias("latitude"), parsed["longitude"].alias("longitude"), status.alias("status"))
-
-
 def positions_from_pages(pages: DataFrame, buoy_col: str = "buoy_id") -> DataFrame:
     """``(buoy_id, latitude, longitude, status)`` per landed station page.
 
-    Same rules as ``position_from_page``, as staged SQL projections: the
-    bold items are extracted once per page, each candidate is tested once.
+    Tries bold items 4, 3, 2, 5 of the first metadata paragraph and takes
+    the first valid one. Otherwise the status depends on item 5: present
+    with text -> ``unparseable``, empty or absent -> ``missing``; the pair is
+    NULL either way. Written as staged SQL projections: the bold items are
+    extracted once per page, each candidate is tested once.
     """
     pat = sql.literal(COORDINATE_PATTERN)
     items = pages.selectExpr(
