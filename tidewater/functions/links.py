@@ -19,49 +19,46 @@ def _lit(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def filename_param(url: Column | str) -> Column:
+def _fname_sql(url: str) -> str:
     """Decoded ``filename`` query parameter; NULL when absent or empty.
+    ``try_parse_url`` accepts relative links and yields NULL for a
+    malformed URL instead of failing the job."""
+    raw = f"try_parse_url({url}, 'QUERY', 'filename')"
+    return f"nullif(coalesce(try_url_decode({raw}), {raw}), '')"
 
-    ``try_parse_url`` accepts relative links; a malformed URL yields NULL
-    instead of failing the job.
-    """
-    raw = F.try_parse_url(_lit(url), F.lit("QUERY"), F.lit("filename"))
-    decoded = F.coalesce(F.try_url_decode(raw), raw)
-    return F.when(decoded != "", decoded)
+
+def _stem_sql(url: str, fname: str) -> str:
+    return (
+        f"coalesce(regexp_replace({fname}, {sql.literal(FILENAME_SUFFIX_PATTERN)}, ''), "
+        f"concat('unknown-', substring(sha1(encode({url}, 'UTF-8')), 1, 12)))"
+    )
+
+
+def _year_sql(fname: str) -> str:
+    year = f"regexp_extract(coalesce({fname}, ''), {sql.literal(FILENAME_YEAR_PATTERN)}, 1)"
+    return f"CASE WHEN {year} <> '' THEN {year} ELSE 'unknown' END"
 
 
-def source_stem(url: Column | str) -> Column:
+def source_stem(url_col: str) -> Column:
     """``filename`` without ``.txt.gz``; else ``unknown-`` + 12 hex of SHA-1(url)."""
-    name = filename_param(url)
-    return F.coalesce(
-        F.regexp_replace(name, FILENAME_SUFFIX_PATTERN, ""),
-        F.concat(F.lit("unknown-"), F.substring(F.sha1(F.encode(_lit(url), "UTF-8")), 1, 12)),
-    )
+    url = sql.ident(url_col)
+    return F.expr(_stem_sql(url, _fname_sql(url)))
 
 
-def source_year(url: Column | str) -> Column:
+def source_year(url_col: str) -> Column:
     """Four-digit year from ``h<yyyy>.txt`` in the file name, else ``unknown``."""
-    name = F.coalesce(filename_param(url), F.lit(""))
-    year = F.regexp_extract(name, FILENAME_YEAR_PATTERN, 1)
-    return F.when(year != "", year).otherwise(F.lit("unknown"))
+    return F.expr(_year_sql(_fname_sql(sql.ident(url_col))))
 
 
 def with_source_identity(df: DataFrame, url_col: str = "url") -> DataFrame:
-    """Adds ``source_stem`` and ``year`` derived from ``url_col`` (the same
-    rules as ``source_stem`` / ``source_year``, as two SQL projections so the
-    query parameter is parsed once per row)."""
+    """Adds ``source_stem`` and ``year`` derived from ``url_col`` (the rules
+    of ``source_stem`` / ``source_year``, in two projections so the query
+    parameter is parsed once per row)."""
     url = sql.ident(url_col)
-    raw = f"try_parse_url({url}, 'QUERY', 'filename')"
-    with_name = df.selectExpr(
-        "*", f"nullif(coalesce(try_url_decode({raw}), {raw}), '') AS _fname"
-    )
-    year = f"regexp_extract(coalesce(_fname, ''), {sql.literal(FILENAME_YEAR_PATTERN)}, 1)"
+    with_name = df.selectExpr("*", f"{_fname_sql(url)} AS _fname")
     keep = [sql.ident(c) for c in df.columns if c not in ("source_stem", "year")]
     return with_name.selectExpr(
-        *keep,
-        f"coalesce(regexp_replace(_fname, {sql.literal(FILENAME_SUFFIX_PATTERN)}, ''), "
-        f"concat('unknown-', substring(sha1(encode({url}, 'UTF-8')), 1, 12))) AS source_stem",
-        f"CASE WHEN {year} <> '' THEN {year} ELSE 'unknown' END AS year",
+        *keep, f"{_stem_sql(url, '_fname')} AS source_stem", f"{_year_sql('_fname')} AS year"
     )
 
 
