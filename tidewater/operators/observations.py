@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions.sql import ident
 from tidewater.functions.sql import literal as _sql_literal
 from tidewater.schema import (
     MEASUREMENT_NAMES,
@@ -28,56 +29,32 @@ _INTEGER = r"^[+-]?[0-9]+$"
 _YEAR_TEXT = r"^[0-9]{2,4}$"
 
 
-def year_raw(df_cols: list[str] | None = None) -> Column:
-    """First present spelling of the year field, as text."""
+# Each rule is written once, as SQL text over a column reference; the
+# column functions below wrap it for DataFrame code, ``normalize`` inlines it
+# into its staged projections.
+
+
+def _year_raw_sql(df_cols: list[str] | None = None) -> str:
     names = [STRUCTURAL_COLUMNS[h] for h in YEAR_HEADERS]
     if df_cols is not None:
         names = [n for n in names if n in df_cols]
     if not names:
-        return F.lit(None).cast("string")
-    return F.coalesce(*[F.col(n) for n in names]) if len(names) > 1 else F.col(names[0])
-
-
-def is_data_row(year_text: Column) -> Column:
-    """Units rows (``#yr``, ``yr``) fail this; data rows carry 2-4 digits."""
-    return year_text.rlike(_YEAR_TEXT)
-
+        return "CAST(NULL AS STRING)"
+    refs = [ident(n) for n in names]
+    return f"coalesce({', '.join(refs)})" if len(refs) > 1 else refs[0]
 
-def four_digit_year(year_text: Column) -> Column:
-    """Two characters pivot at 50 (<50 -> 20xx, else 19xx); other lengths pass."""
-    return F.when(
-        F.length(year_text) == 2,
-        F.when(year_text.try_cast("int") < YEAR_PIVOT, F.concat(F.lit("20"), year_text)).otherwise(
-            F.concat(F.lit("19"), year_text)
-        ),
-    ).otherwise(year_text)
 
-
-def safe_int(text: Column) -> Column:
-    """Integer text -> INT; anything else (``XX``, ``10.0``) -> NULL."""
-    return F.when(text.rlike(_INTEGER), text.try_cast("int"))
+def _is_data_row_sql(c: str) -> str:
+    return f"{c} RLIKE {_sql_literal(_YEAR_TEXT)}"
 
 
-def safe_double(text: Column) -> Column:
-    """Numeric text -> DOUBLE; markers such as ``MM`` -> NULL."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
-
-
-def build_timestamp(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:
-    """Zone-less timestamp; NULL when any part is missing or out of range."""
-    return F.try_make_timestamp_ntz(
-        safe_int(year), safe_int(month), safe_int(day), safe_int(hour), safe_int(minute), F.lit(0)
+def _four_digit_year_sql(c: str) -> str:
+    return (
+        f"CASE WHEN length({c}) = 2 THEN CASE WHEN try_cast({c} AS INT) < {YEAR_PIVOT} "
+        f"THEN concat('20', {c}) ELSE concat('19', {c}) END ELSE {c} END"
     )
 
 
-def nullify_sentinel(value: Column, semantic_name: str) -> Column:
-    """NULL where the column's own sentinel matches; other values kept."""
-    sentinels = SENTINELS.get(semantic_name, ())
-    if not sentinels:
-        return value
-    return F.when(~value.isin(*sentinels), value)
-
-
 def _safe_int_sql(c: str) -> str:
     return f"CASE WHEN {c} RLIKE {_sql_literal(_INTEGER)} THEN try_cast({c} AS INT) END"
 
@@ -94,6 +71,43 @@ def _sentinel_sql(c: str, semantic_name: str) -> str:
     return f"CASE WHEN NOT ({c} IN ({values})) THEN {c} END"
 
 
+def year_raw(df_cols: list[str] | None = None) -> Column:
+    """First present spelling of the year field (``#YY``, ``YYYY``, ``YY``)."""
+    return F.expr(_year_raw_sql(df_cols))
+
+
+def is_data_row(year_col: str) -> Column:
+    """Units rows (``#yr``, ``yr``) fail this; data rows carry 2-4 digits."""
+    return F.expr(_is_data_row_sql(ident(year_col)))
+
+
+def four_digit_year(year_col: str) -> Column:
+    """Two characters pivot at 50 (<50 -> 20xx, else 19xx); other lengths pass."""
+    return F.expr(_four_digit_year_sql(ident(year_col)))
+
+
+def safe_int(text_col: str) -> Column:
+    """Integer text -> INT; anything else (``XX``, ``10.0``) -> NULL."""
+    return F.expr(_safe_int_sql(ident(text_col)))
+
+
+def safe_double(text_col: str) -> Column:
+    """Numeric text -> DOUBLE; markers such as ``MM``, ``nan``, ``1d`` -> NULL."""
+    return F.expr(_safe_double_sql(ident(text_col)))
+
+
+def nullify_sentinel(value_col: str, semantic_name: str) -> Column:
+    """NULL where the column's own sentinel matches; other values kept."""
+    return F.expr(_sentinel_sql(ident(value_col), semantic_name))
+
+
+def build_timestamp(year_col: str, month_col: str, day_col: str, hour_col: str, minute_col: str) -> Column:
+    """Zone-less timestamp from integer text parts; NULL when any part is
+    missing, not an integer, or out of range (month 13, Feb 30, hour 24)."""
+    parts = ", ".join(_safe_int_sql(ident(c)) for c in (year_col, month_col, day_col, hour_col, minute_col))
+    return F.expr(f"try_make_timestamp_ntz({parts}, 0)")
+
+
 def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed rows from bronze-shaped rows (one per decoded line).
 
@@ -117,8 +131,7 @@ def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
     def raw(name: str) -> str:
         return f"`{name}`" if name in cols else "CAST(NULL AS STRING)"
 
-    years = [f"`{STRUCTURAL_COLUMNS[h]}`" for h in YEAR_HEADERS if STRUCTURAL_COLUMNS[h] in cols]
-    year_sql = f"coalesce({', '.join(years)})" if len(years) > 1 else (years[0] if years else "CAST(NULL AS STRING)")
+    year_sql = _year_raw_sql(cols)
     minute_sql = "coalesce(`minute_raw`, '0')" if "minute_raw" in cols else "'0'"
     keep_sql = [f"`{k}`" for k in keep]
     lineage = ["`load_year`", "`source_stem`", "`line_no`", *keep_sql]
@@ -135,11 +148,10 @@ def normalize(bronze: DataFrame, keep: list[str] | None = None) -> DataFrame:
         "`source_stem`",
         "`line_no`",
         *keep_sql,
-    ).where(f"_year RLIKE {_sql_literal(_YEAR_TEXT)}")
+    ).where(_is_data_row_sql("_year"))
     step2 = step1.selectExpr(
         "buoy_id",
-        "CASE WHEN length(_year) = 2 THEN CASE WHEN try_cast(_year AS INT) < "
-        f"{YEAR_PIVOT} THEN concat('20', _year) ELSE concat('19', _year) END ELSE _year END AS _year4",
+        f"{_four_digit_year_sql('_year')} AS _year4",
         *[f"{_safe_int_sql(c)} AS {c}" for c in ("_month", "_day", "_hour", "_minute")],
         *[f"{_safe_double_sql(f'`_{code}`')} AS `_{code}`" for code in codes],
         *lineage,

@@ -58,19 +58,18 @@ LEDGER_CUTOFF = "1999-07-01"
 
 def year_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ5, PRJ6: two-digit years pivot at 50; impossible dates -> NULL."""
-    li = table(spark, sf_dir, "lineitem")
-    ship = F.col("l_shipdate")
-    two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    year_text = two(F.year(ship) % 100)
-    day_text = F.when(F.col("l_linenumber") == 7, F.lit("31")).otherwise(two(F.dayofmonth(ship)))
-    hour_text = two(F.col("l_linenumber") * 4)
-    minute_text = two(F.col("l_partkey") % 60)
-    y4 = obs.four_digit_year(year_text)
-    return li.select(
+    texts = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",
-        y4.alias("year4"),
-        obs.build_timestamp(y4, two(F.month(ship)), day_text, hour_text, minute_text).alias("datetime"),
+        "lpad(CAST(year(l_shipdate) % 100 AS STRING), 2, '0') AS y2",
+        "lpad(CAST(month(l_shipdate) AS STRING), 2, '0') AS m",
+        "CASE WHEN l_linenumber = 7 THEN '31' ELSE lpad(CAST(day(l_shipdate) AS STRING), 2, '0') END AS d",
+        "lpad(CAST(l_linenumber * 4 AS STRING), 2, '0') AS h",
+        "lpad(CAST(l_partkey % 60 AS STRING), 2, '0') AS mi",
+    )
+    with_year = texts.select("l_orderkey", "l_linenumber", obs.four_digit_year("y2").alias("year4"), "m", "d", "h", "mi")
+    return with_year.select(
+        "l_orderkey", "l_linenumber", "year4", obs.build_timestamp("year4", "m", "d", "h", "mi").alias("datetime")
     )
 
 
