@@ -9,38 +9,44 @@ from tidewater.functions import sql
 from tidewater.schema import COORDINATE_PATTERN, POSITION_ITEM_ORDER
 
 
-def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_PAIR = sql.literal(COORDINATE_PATTERN)
 
+# Each rule is written once, as SQL text; the column functions wrap it and
+# ``positions_from_pages`` inlines it into staged projections.
 
-def coordinate_matches(text: Column | str) -> Column:
-    """All ``<decimal> <hemisphere>`` pairs as an array of full matches."""
-    return F.regexp_extract_all(F.coalesce(_c(text), F.lit("")), F.lit(COORDINATE_PATTERN), F.lit(0))
 
+def _matches_sql(text: str) -> str:
+    """All ``<decimal> <hemisphere>`` pairs, as full matches."""
+    return f"regexp_extract_all(coalesce({text}, ''), {_PAIR}, 0)"
 
-def is_valid_coordinates(text: Column | str) -> Column:
-    """Not NULL and at least two pairs; integers such as ``48 N`` do not count."""
-    return _c(text).isNotNull() & (F.size(coordinate_matches(text)) >= 2)
+
+def _valid_sql(text: str) -> str:
+    return f"({text} IS NOT NULL AND size({_matches_sql(text)}) >= 2)"
 
 
-def _signed(match: Column, negative: str) -> Column:
-    number = F.regexp_extract(match, COORDINATE_PATTERN, 1).cast("double")
-    hemisphere = F.regexp_extract(match, COORDINATE_PATTERN, 2)
-    return F.when(hemisphere == negative, -number).otherwise(number)
+def _signed_sql(matches: str, i: int, negative: str) -> str:
+    number = f"CAST(regexp_extract({matches}[{i}], {_PAIR}, 1) AS DOUBLE)"
+    return (
+        f"CASE WHEN size({matches}) >= 2 THEN CASE WHEN regexp_extract({matches}[{i}], {_PAIR}, 2) = "
+        f"'{negative}' THEN -{number} ELSE {number} END END"
+    )
 
 
-def parse_coordinates(text: Column | str) -> Column:
+def is_valid_coordinates(text_col: str) -> Column:
+    """Not NULL and at least two pairs; integers such as ``48 N`` do not count."""
+    return F.expr(_valid_sql(sql.ident(text_col)))
+
+
+def parse_coordinates(text_col: str) -> Column:
     """Struct ``(latitude, longitude)`` from the first two pairs.
 
     The first pair is the latitude whatever its letter (negative only for
     S), the second the longitude (negative only for W). Fewer than two pairs
     -> both NULL; the caller records the status.
     """
-    m = coordinate_matches(text)
-    ok = F.size(m) >= 2
-    return F.struct(
-        F.when(ok, _signed(F.get(m, 0), "S")).alias("latitude"),
-        F.when(ok, _signed(F.get(m, 1), "W")).alias("longitude"),
+    m = _matches_sql(sql.ident(text_col))
+    return F.expr(
+        f"named_struct('latitude', {_signed_sql(m, 0, 'S')}, 'longitude', {_signed_sql(m, 1, 'W')})"
     )
 
 
@@ -59,7 +65,6 @@ def positions_from_pages(pages: DataFrame, buoy_col: str = "buoy_id") -> DataFra
     NULL either way. Written as staged SQL projections: the bold items are
     extracted once per page, each candidate is tested once.
     """
-    pat = sql.literal(COORDINATE_PATTERN)
     items = pages.selectExpr(
         f"{sql.ident(buoy_col)} AS buoy_id",
         f"regexp_extract_all(regexp_extract(html, {sql.literal(_METADATA_PARAGRAPH)}, 1), "
@@ -70,7 +75,7 @@ def positions_from_pages(pages: DataFrame, buoy_col: str = "buoy_id") -> DataFra
     valid = cands.selectExpr(
         "buoy_id",
         *[f"_c{k}" for k in order],
-        *[f"size(regexp_extract_all(coalesce(_c{k}, ''), {pat}, 0)) >= 2 AS _v{k}" for k in order],
+        *[f"{_valid_sql(f'_c{k}')} AS _v{k}" for k in order],
     )
     last = order[-1]
     chosen = valid.selectExpr(
@@ -80,17 +85,10 @@ def positions_from_pages(pages: DataFrame, buoy_col: str = "buoy_id") -> DataFra
     )
     matches = chosen.selectExpr(
         "buoy_id",
-        f"regexp_extract_all(_chosen, {pat}, 0) AS _m",
+        f"{_matches_sql('_chosen')} AS _m",
         "CASE WHEN _chosen IS NOT NULL THEN 'ok' WHEN _has_last THEN 'unparseable' ELSE 'missing' END AS status",
     )
 
-    def signed(i: int, negative: str) -> str:
-        number = f"CAST(regexp_extract(_m[{i}], {pat}, 1) AS DOUBLE)"
-        return (
-            f"CASE WHEN size(_m) >= 2 THEN CASE WHEN regexp_extract(_m[{i}], {pat}, 2) = '{negative}' "
-            f"THEN -{number} ELSE {number} END END"
-        )
-
     return matches.selectExpr(
-        "buoy_id", f"{signed(0, 'S')} AS latitude", f"{signed(1, 'W')} AS longitude", "status"
+        "buoy_id", f"{_signed_sql('_m', 0, 'S')} AS latitude", f"{_signed_sql('_m', 1, 'W')} AS longitude", "status"
     )
