@@ -84,6 +84,16 @@ def reusable_cache(cache: DataFrame, as_of_year: int, full_refresh: bool = False
     )
 
 
+def unique_links(links: DataFrame) -> DataFrame:
+    """Each URL once; when one URL is listed under several stations the
+    smallest row wins, so the plan does not depend on task order. A partial
+    aggregate: repeats of a URL collapse map-side."""
+    others = [c for c in links.columns if c != "url"]
+    if not others:
+        return links.distinct()
+    return links.groupBy("url").agg(F.min(F.struct(*others)).alias("_row")).select("url", "_row.*").select(*links.columns)
+
+
 def fetch_counts(links: DataFrame, cache: DataFrame, as_of_year: int, full_refresh: bool = False) -> DataFrame:
     """One row: distinct links, links skipped because their closed year is
     already in bronze, and links to fetch (the crawl's skip counter)."""
@@ -93,8 +103,7 @@ def fetch_counts(links: DataFrame, cache: DataFrame, as_of_year: int, full_refre
         .distinct()
         .withColumn("_cached", F.lit(True))
     )
-    unique = links.dropDuplicates(["url"])
-    flagged = unique.join(keep, ["buoy_id", "year", "source_stem"], "left")
+    flagged = unique_links(links).join(keep, ["buoy_id", "year", "source_stem"], "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("links"),
         F.count_if(F.col("_cached")).alias("skipped_cached"),
@@ -106,5 +115,4 @@ def fetch_plan(links: DataFrame, cache: DataFrame, as_of_year: int, full_refresh
     """Links still to fetch: each URL once, minus closed, readable years
     already in bronze (matched on buoy, year and source stem)."""
     keep = reusable_cache(cache, as_of_year, full_refresh).select("buoy_id", "year", "source_stem")
-    unique = links.dropDuplicates(["url"])
-    return unique.join(keep, ["buoy_id", "year", "source_stem"], "left_anti")
+    return unique_links(links).join(keep, ["buoy_id", "year", "source_stem"], "left_anti")
