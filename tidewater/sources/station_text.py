@@ -154,6 +154,7 @@ def decode_station_text(
             )
         ),
     )
+
     def _field(raw: str) -> Column:
         # Missing-value words (NA, nan, ...) stay text here; the typed stage
         # turns every non-numeric token into NULL.
