@@ -92,3 +92,17 @@ def test_rescraped_station_replaces_position(spark, root):
     assert got == {"41001": (None, None), "41002": (-3.0, -4.0)}
     empty = write_bronze_coordinates(spark.createDataFrame([], "buoy_id string, latitude double, longitude double, status string"), root)
     assert empty["stations"] == 0
+
+
+def test_ingest_compacts_years_with_many_batches(spark, root):
+    from tidewater.sources.bronze import read_bronze_batches, read_observations
+
+    responses = spark.createDataFrame(
+        [("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2020", "2019"))],
+        "buoy_id string, url string, value string",
+    )
+    for _ in range(3):
+        out = ingest_station_text(spark, responses, root, max_batches=2)
+    assert out["compacted_years"] == ["2019"]
+    assert read_bronze_batches(spark, root, "2019").select("batch").distinct().count() == 1
+    assert read_observations(spark, root).count() == 2

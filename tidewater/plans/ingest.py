@@ -26,15 +26,27 @@ def landed_text_frame(responses: DataFrame) -> DataFrame:
     return links.with_source_identity(once, "url").select("buoy_id", "year", "source_stem", "value")
 
 
-def ingest_station_text(spark: SparkSession, responses: DataFrame, bronze_root: str) -> dict:
+MAX_BATCHES_PER_YEAR = 8
+
+
+def ingest_station_text(
+    spark: SparkSession, responses: DataFrame, bronze_root: str, max_batches: int = MAX_BATCHES_PER_YEAR
+) -> dict:
+    """Responses ``(buoy_id, url, value)`` -> one bronze batch; then compact
+    any year that has collected more than ``max_batches`` batches."""
     configure(spark)
-    return bronze_sink.write_bronze_observations(landed_text_frame(responses), bronze_root)
+    counters = bronze_sink.write_bronze_observations(landed_text_frame(responses), bronze_root)
+    return {**counters, "compacted_years": sorted(bronze.compact_where_needed(spark, bronze_root, max_batches))}
 
 
-def ingest_landed_files(spark: SparkSession, landed_root: str, bronze_root: str) -> dict:
-    """Landed files ``<landed_root>/buoy_id=<id>/<stem>.txt[.gz]`` -> bronze."""
+def ingest_landed_files(
+    spark: SparkSession, landed_root: str, bronze_root: str, max_batches: int = MAX_BATCHES_PER_YEAR
+) -> dict:
+    """Landed files ``<landed_root>/buoy_id=<id>/<stem>.txt[.gz]`` -> one
+    bronze batch; then compact years over ``max_batches`` batches."""
     configure(spark)
-    return bronze_sink.write_bronze_observations(landed_station_files(spark, landed_root), bronze_root)
+    counters = bronze_sink.write_bronze_observations(landed_station_files(spark, landed_root), bronze_root)
+    return {**counters, "compacted_years": sorted(bronze.compact_where_needed(spark, bronze_root, max_batches))}
 
 
 def ingest_station_pages(spark: SparkSession, pages: DataFrame, bronze_root: str) -> dict:

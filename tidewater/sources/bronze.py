@@ -85,6 +85,23 @@ def current_sources(spark: SparkSession, root: str) -> DataFrame:
     return versions.groupBy(*_SOURCE_KEY).agg(F.max("batch").alias("batch")).withColumn("usable", F.lit(True))
 
 
+def compact_where_needed(spark: SparkSession, root: str, max_batches: int = 8) -> dict[str, dict]:
+    """Compact every year holding more than ``max_batches`` batches, so the
+    superseded-version set read by every silver load stays bounded (about
+    ``max_batches`` crawls of re-fetched sources). Decided from the file
+    listing alone; returns the counters per compacted year."""
+    if not has_dataset(spark, root, "observations"):
+        return {}
+    counts = (
+        bronze_inventory(spark, root)
+        .groupBy("year")
+        .agg(F.countDistinct("batch").alias("batches"))
+        .where(F.col("batches") > max_batches)
+        .collect()
+    )
+    return {r["year"]: compact_bronze(spark, root, r["year"]) for r in counts}
+
+
 def compact_bronze(spark: SparkSession, root: str, year: str) -> dict:
     """Rewrite one year's current rows as a single batch, then drop the
     year's older batch directories. Until the drop, the new batch already
