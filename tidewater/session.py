@@ -15,9 +15,6 @@ SESSION_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A year snapshot replaces a directory we own; a bronze rewrite replaces
-    # only the (buoy, year) partitions it touches.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
