@@ -57,3 +57,16 @@ def test_compaction_keeps_current_rows(spark, root):
     assert counters["batches_removed"] == 3
     assert read_bronze_batches(spark, root, "2020").select("batch").distinct().count() == 1
     assert sorted(tuple(r) for r in read_observations(spark, root).collect()) == before
+
+
+def test_later_ingest_wins_over_compacted_batch(spark, root):
+    import datetime as dt
+
+    from tidewater.sources.bronze import compact_bronze
+
+    write_text(spark, root, "41001", "2020", S.SENTINELS, stem="a")
+    write_text(spark, root, "41001", "2020", S.NO_MINUTE, stem="a")
+    compact_bronze(spark, root, "2020")
+    write_text(spark, root, "41001", "2020", S.MONTH_MINUTE.replace("2023", "2020"), stem="a")
+    got = [r["datetime"] for r in read_observations(spark, root).collect()]
+    assert got == [dt.datetime(2020, 5, 9, 3, 47)]

@@ -104,13 +104,19 @@ def compact_where_needed(spark: SparkSession, root: str, max_batches: int = 8) -
 
 def compact_bronze(spark: SparkSession, root: str, year: str) -> dict:
     """Rewrite one year's current rows as a single batch, then drop the
-    year's older batch directories. Until the drop, the new batch already
-    supersedes every older version, so readers see the same rows throughout;
-    a crash in between only leaves extra superseded files."""
-    from tidewater.sinks.bronze import ingest_batch_id, write_bronze_frame
+    batch directories it read. Until the drop, the new batch already
+    supersedes every version it holds, so readers see the same rows
+    throughout; a crash in between only leaves extra superseded files.
+
+    The new batch id is the newest id read plus a suffix: it sorts after
+    everything it rewrites and before any batch ingested meanwhile, so a
+    concurrent ingest is never overridden by the older rows."""
+    from tidewater.sinks.bronze import write_bronze_frame
 
     old_batches = [r["batch"] for r in read_bronze_batches(spark, root, year).select("batch").distinct().collect()]
-    new_batch = ingest_batch_id()
+    if not old_batches:
+        return {"rows_written": 0, "lines_flagged": 0, "batches_removed": 0}
+    new_batch = max(old_batches) + "c"
     counters = write_bronze_frame(read_bronze_observations(spark, root, year).drop("batch"), root, new_batch)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
