@@ -56,3 +56,20 @@ def test_convert_legacy_coordinates(spark, tmp_path):
     assert counters["stations"] == 2 and counters["coordinates_missing"] == 1
     got = {r["buoy_id"]: (r["latitude"], r["longitude"]) for r in read_coordinates(spark, str(tmp_path / "bronze")).collect()}
     assert got == {"41001": (12.3, -45.6), "0042": (None, None)}
+
+
+def test_header_only_legacy_file_stays_present(spark, tmp_path):
+    from tidewater.sources.bronze import current_sources, read_bronze_observations
+
+    legacy = str(tmp_path / "legacy")
+    d = os.path.join(legacy, "observations", "buoy_id=47072", "year=2003")
+    os.makedirs(d)
+    pd.DataFrame([], columns=["#YY", "MM", "DD", "hh", "WVHT"]).to_parquet(os.path.join(d, "47072h2003.parquet"), index=False)
+    _write_legacy(legacy, "41001", "2020", "41001h2020", S.SENTINELS)
+    out = str(tmp_path / "bronze")
+    convert_legacy_bronze(spark, legacy, out)
+    sources = {(r["buoy_id"], r["year"], r["source_stem"]) for r in current_sources(spark, out).collect()}
+    assert ("47072", "2003", "47072h2003") in sources
+    header = [r for r in read_bronze_observations(spark, out).collect() if r["buoy_id"] == "47072"]
+    assert len(header) == 1 and header[0]["line_no"] == 0 and header[0]["yy_hash"] == "#YY" and header[0]["minute_raw"] is None
+    assert read_observations(spark, out).count() == 2

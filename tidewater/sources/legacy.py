@@ -59,6 +59,34 @@ def _as_bronze(df: DataFrame) -> DataFrame:
     )
 
 
+def _header_rows(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """Row 0 of every file in a schema group: its header (the column names),
+    as the decoder keeps it for landed text. A header-only file therefore
+    stays present in bronze (and is not fetched again)."""
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    present = set(columns)
+
+    def name_or_null(raw: str):
+        return (F.lit(raw) if raw in present else F.lit(None).cast("string")).alias(
+            STRUCTURAL_COLUMNS.get(raw, raw)
+        )
+
+    return files.select(
+        F.lit(0).alias("line_no"),
+        *[name_or_null(raw) for raw in STRUCTURAL_COLUMNS],
+        *[name_or_null(raw) for raw in MEASUREMENT_NAMES],
+        F.lit(None).cast("map<string,string>").alias("extra"),
+        F.lit(None).cast("string").alias("decode_error"),
+        F.regexp_extract("path", r"buoy_id=([^/]+)", 1).alias("buoy_id"),
+        F.regexp_extract("path", r"year=([^/]+)", 1).alias("year"),
+        F.regexp_extract("path", _STEM, 1).alias("source_stem"),
+    )
+
+
+def _signature_columns(signature: str) -> list[str]:
+    return [field.rsplit(":", 1)[0] for field in signature.split(",") if field]
+
+
 def convert_legacy_bronze(spark: SparkSession, legacy_root: str, bronze_root: str) -> dict:
     """Rewrite a legacy bronze tree as text-typed bronze. Returns counters."""
     configure(spark)
@@ -69,10 +97,10 @@ def convert_legacy_bronze(spark: SparkSession, legacy_root: str, bronze_root: st
     previous = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
-        frames = [
-            _as_bronze(spark.read.option("basePath", base).parquet(*paths))
-            for paths in groups.values()
-        ]
+        frames = []
+        for signature, paths in groups.items():
+            frames.append(_as_bronze(spark.read.option("basePath", base).parquet(*paths)))
+            frames.append(_header_rows(spark, paths, _signature_columns(signature)))
         union = reduce(lambda a, b: a.unionByName(b), frames)
         counters = write_bronze_frame(union, bronze_root)
     finally:
