@@ -174,3 +174,17 @@ def test_published_silver_equals_flagship_query(spark, root):
     published = {tuple(r) for r in silver.read_published_observations(spark, silver_root).collect()}
     expected = {tuple(r) for r in QUERIES["dedup_keep_first"](spark, sf).collect()}
     assert report.rows_loaded == len(expected) and published == expected
+
+
+def test_vacuum_removes_only_old_superseded_snapshots(spark, root):
+    bronze_root = _bronze(spark, root)
+    silver_root = os.path.join(root, "silver")
+    run_silver(spark, bronze_root, silver_root)
+    run_silver(spark, bronze_root, silver_root, force=True)
+    assert silver.vacuum_snapshots(spark, silver_root, grace_hours=24) == []
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=2)
+    removed = silver.vacuum_snapshots(spark, silver_root, grace_hours=24, now=later)
+    # First run: three years plus its coordinate snapshot (2019 wrote no rows).
+    assert len(removed) == 4
+    assert all(not os.path.exists(p.replace("file:", "")) for p in removed)
+    assert silver.read_published_observations(spark, silver_root).count() == 4

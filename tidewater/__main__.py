@@ -4,6 +4,7 @@
     silver  --bronze <dir> --silver <dir> [--force]
     compact --bronze <dir> --year <yyyy>
     health  --silver <dir> [--as-of "YYYY-MM-DD HH:MM:SS"]
+    vacuum  --silver <dir> [--grace-hours 24]
 
 The session comes from ``spark-submit`` / the environment (master, memory,
 ``spark.checkpoint.dir``); the engine's own settings are applied on top.
@@ -57,6 +58,9 @@ def main(argv: list[str] | None = None) -> int:
     compact = sub.add_parser("compact")
     compact.add_argument("--bronze", required=True)
     compact.add_argument("--year", required=True)
+    vacuum = sub.add_parser("vacuum")
+    vacuum.add_argument("--silver", required=True)
+    vacuum.add_argument("--grace-hours", type=float, default=24.0)
     health = sub.add_parser("health")
     health.add_argument("--silver", required=True)
     health.add_argument("--as-of")
@@ -89,6 +93,12 @@ def main(argv: list[str] | None = None) -> int:
 
         print(json.dumps(compact_bronze(spark, args.bronze, args.year)))
         return 0
+    if args.command == "vacuum":
+        from tidewater.sinks.silver import vacuum_snapshots
+
+        removed = vacuum_snapshots(spark, args.silver, args.grace_hours)
+        print(json.dumps({"removed": removed}))
+        return 0
     return _health(spark, args.silver, args.as_of)
 
 

@@ -148,6 +148,37 @@ def superseded_snapshots(spark: SparkSession, silver_root: str) -> DataFrame:
     return rows.select("dataset", "year", "path", "run_token").join(current, "path", "left_anti")
 
 
+def vacuum_snapshots(spark: SparkSession, silver_root: str, grace_hours: float = 24.0, now=None) -> list[str]:
+    """Delete snapshot directories that were superseded more than
+    ``grace_hours`` ago (readers that resolved the old pointer have long
+    finished). The ledger rows stay as history. Returns the removed paths.
+
+    The ledger is small (one row per year per load), so the superseding
+    time of each row is a window over it; only the resulting paths reach
+    the driver, which deletes them through the Hadoop file system API.
+    """
+    from pyspark.sql import Window
+
+    ledger = read_ledger(spark, silver_root)
+    order = Window.partitionBy("dataset", "year").orderBy("loaded_at", "run_token")
+    cutoff = (now or dt.datetime.now(dt.timezone.utc)) - dt.timedelta(hours=grace_hours)
+    superseded = (
+        ledger.withColumn("_replaced_at", F.lead("loaded_at").over(order))
+        .where(F.col("_replaced_at").isNotNull() & (F.col("_replaced_at") < F.lit(cutoff)))
+        .select("path")
+        .distinct()
+    )
+    current = {r["path"] for r in ledger.groupBy("dataset", "year").agg(
+        F.max_by("path", F.struct("loaded_at", "run_token")).alias("path")).collect()}
+    paths = [r["path"] for r in superseded.collect() if r["path"] not in current]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return paths
+
+
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
     """Append to an external serving database. Spark's JDBC writer inserts
     by column name, so column order cannot corrupt the load."""
