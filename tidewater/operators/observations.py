@@ -25,7 +25,6 @@ from tidewater.schema import (
 # A plain decimal number (optionally signed, optional exponent). Guards the
 # double cast so words like "Infinity", "nan" or "1d" never become numbers.
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INTEGER = r"^[+-]?[0-9]+$"
 _YEAR_TEXT = r"^[0-9]{2,4}$"
 
 
@@ -56,7 +55,9 @@ def _four_digit_year_sql(c: str) -> str:
 
 
 def _safe_int_sql(c: str) -> str:
-    return f"CASE WHEN {c} RLIKE {_sql_literal(_INTEGER)} THEN try_cast({c} AS INT) END"
+    # ``try_cast`` to INT already yields NULL for every non-integer form
+    # (``10.0``, ``1e3``, ``0x10``, words, overflow): no regex needed.
+    return f"try_cast({c} AS INT)"
 
 
 def _safe_double_sql(c: str) -> str:
