@@ -22,9 +22,6 @@ from tidewater.schema import (
     YEAR_PIVOT,
 )
 
-# A plain decimal number (optionally signed, optional exponent). Guards the
-# double cast so words like "Infinity", "nan" or "1d" never become numbers.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _YEAR_TEXT = r"^[0-9]{2,4}$"
 
 
@@ -61,7 +58,12 @@ def _safe_int_sql(c: str) -> str:
 
 
 def _safe_double_sql(c: str) -> str:
-    return f"CASE WHEN {c} RLIKE {_sql_literal(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
+    # ``try_cast`` alone would also accept ``1d``, ``1f``, ``Infinity``,
+    # ``NaN`` and hex floats. Allowing only digits, ``.``, ``e``/``E`` and
+    # signs rules all of those out; ``try_cast`` rejects the remaining
+    # malformed strings (``1.5e``, ``--1``, ``.``). A character map, not a
+    # regex, per value.
+    return f"CASE WHEN translate({c}, '0123456789.eE+-', '') = '' THEN try_cast({c} AS DOUBLE) END"
 
 
 def _sentinel_sql(c: str, semantic_name: str) -> str:
