@@ -15,6 +15,11 @@ SESSION_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8,000 bytes of bytecode; a
+    # whole-stage-codegen method above that runs interpreted and is slower
+    # than Spark's per-operator code. At this limit Spark falls back for
+    # exactly those stages (the value Spark's docs suggest on HotSpot).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
