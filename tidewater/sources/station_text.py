@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions import sql
 from tidewater.schema import (
     MEASUREMENT_NAMES,
     NA_TOKENS,
@@ -56,23 +57,12 @@ def landed_station_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _token(tokens: Column, header: Column, name: Column | str) -> Column:
-    """Token under header ``name``; NULL when the header lacks it or the line
-    is short. Header names are matched case-sensitively (``MM`` != ``mm``)."""
-    name_col = F.lit(name) if isinstance(name, str) else name
-    return F.get(tokens, F.array_position(header, name_col).cast("int") - 1)
-
-
 def _strip(line: Column) -> Column:
     """Remove leading/trailing whitespace of any kind (``trim`` only strips
     spaces; a tab-indented line would otherwise gain an empty first token)."""
     return F.regexp_replace(line, r"^\s+|\s+$", "")
 
 
-def _missing_to_null(tok: Column) -> Column:
-    return F.when(~tok.isin(*NA_TOKENS), tok)
-
-
 def decode_station_text(
     text: DataFrame, keep: list[str] | None = None, keep_header: bool = False
 ) -> DataFrame:
@@ -139,35 +129,30 @@ def decode_station_text(
         F.col("pos").cast("int").alias("line_no"),
         F.split(_strip(F.col("line")), r"\s+").alias("tokens"),
     )
-    header, tokens = F.col("header"), F.col("tokens")
-    unknown, duplicate_header = F.col("unknown"), F.col("dup_header")
-    error = (
-        F.when(duplicate_header, F.lit("duplicate header name"))
-        .when(F.size(tokens) > F.col("n_header"), F.lit("more fields than header"))
+    na_words = ", ".join(sql.literal(w) for w in NA_TOKENS)
+    token_of = "get(tokens, CAST(array_position(header, h) AS INT) - 1)"
+    extra = (
+        "CASE WHEN NOT dup_header AND size(unknown) > 0 THEN map_from_entries(transform(unknown, h -> "
+        f"named_struct('key', h, 'value', CASE WHEN NOT ({token_of} IN ({na_words})) THEN {token_of} END))) END"
     )
-    extra = F.when(
-        ~duplicate_header & (F.size(unknown) > 0),
-        F.map_from_entries(
-            F.transform(
-                unknown,
-                lambda h: F.struct(h.alias("key"), _missing_to_null(_token(tokens, header, h)).alias("value")),
-            )
-        ),
+    error = (
+        "CASE WHEN dup_header THEN 'duplicate header name' "
+        "WHEN size(tokens) > n_header THEN 'more fields than header' END"
     )
-
-    def _field(raw: str) -> Column:
-        # Missing-value words (NA, nan, ...) stay text here; the typed stage
-        # turns every non-numeric token into NULL.
-        return F.expr(f"get(tokens, idx.i{_KNOWN_HEADERS.index(raw)})")
-
-    return rows.select(
+    # Missing-value words (NA, nan, ...) stay text in the fields; the typed
+    # stage turns every non-numeric token into NULL.
+    fields = [
+        f"get(tokens, idx.i{_KNOWN_HEADERS.index(raw)}) AS {sql.ident(col)}"
+        for raw, col in [*STRUCTURAL_COLUMNS.items(), *[(m, m) for m in MEASUREMENT_NAMES]]
+    ]
+    return rows.selectExpr(
         "source_stem",
         "line_no",
-        *[_field(raw).alias(col) for raw, col in STRUCTURAL_COLUMNS.items()],
-        *[_field(raw).alias(raw) for raw in MEASUREMENT_NAMES],
-        extra.alias("extra"),
-        error.alias("decode_error"),
+        *fields,
+        f"{extra} AS extra",
+        f"{error} AS decode_error",
         "buoy_id",
         "year",
-        *keep,
+        *[sql.ident(k) for k in keep],
     )
+
