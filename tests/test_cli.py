@@ -23,3 +23,6 @@ def test_cli_ingest_silver_health(spark, tmp_path, capsys):
     assert "FRESHNESS" in out and "no scrape run has ever been recorded" in out
     assert main(["compact", "--bronze", bronze, "--year", "2020"]) == 0
     assert os.path.isdir(os.path.join(bronze, "observations", "year=2020"))
+    assert main(["silver", "--bronze", bronze, "--silver", silver]) == 0
+    assert main(["vacuum", "--silver", silver, "--grace-hours", "0"]) == 0
+    assert '"removed": [' in capsys.readouterr().out
