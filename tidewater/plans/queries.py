@@ -47,8 +47,6 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs.clean_observations(_bronze_from_events(spark, sf_dir))
 
 
-
-
 # Fixed "now" of the registered queries: the events span January 2024 and
 # the orders 1995-2001, so the clock is a parameter, never the wall clock.
 EVENTS_AS_OF = "2024-02-01 00:00:00"
