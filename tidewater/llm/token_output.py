@@ -36,9 +36,11 @@ MAX_BITS = 20
 STRIDE = 128
 BLOCK_TOKENS = 1 << 18
 #: Pieces remembered per Python worker; beyond it the older half is forgotten.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 
 _CUT = re.compile(r" (?=\S)")
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
+_CLOSING = ".,!?;:"
 _IDS_SCHEMA = "doc_id bigint, ids binary"
 _BLOCK_SCHEMA = "part int, block int, first bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -47,7 +49,9 @@ class PieceEncoder:
     """Ids of a text, by pieces that the byte-level pre-tokenizer never joins.
 
     A space before a non-space always starts a new pre-token, so a text may be
-    cut there and its pieces encoded apart; frequent pieces are remembered.
+    cut there and its pieces encoded apart; so may a lone line feed within a
+    piece, and punctuation behind a plain letter. Pieces are remembered, and new
+    ones encoded many at a time as one text, cut again by their bytes.
     """
 
     def __init__(self, path: str):
@@ -56,43 +60,91 @@ class PieceEncoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.type = id_type(path)
+        names = self.model.get_vocab()
+        self.size = np.zeros(max(names.values()) + 1, np.int64)
+        for name, i in names.items():
+            self.size[i] = len(name)  # one character of the byte alphabet for each byte
+        self.spaced: dict[str, bytes] = {}  # of " " + piece
         self.older: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+
+    def _encode_plain(self, text: str) -> bytes:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type).tobytes()
+
+    def _encode_spaced(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 20_000):
+            some = pieces[at : at + 20_000]
+            ids = np.array(self.model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.type)
+            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(p.encode()) + 1 for p in some])) + 1
+            data, width = ids.tobytes(), ids.itemsize
+            low = 0
+            for p, high in zip(some, (ends * width).tolist(), strict=True):
+                self.spaced[p] = data[low:high]
+                low = high
+
+    def _parts(self, piece: str) -> list[str]:
+        """The piece cut where pre-tokens end: the first part follows the space."""
+        out = []
+        for k, line in enumerate(_LINE.split(piece)):
+            if k:
+                out.append("\n")
+            stem = line.rstrip(_CLOSING)
+            if stem != line and stem[-1:].isalpha() and stem[-1:] < "\u0250":
+                out += [stem, line[len(stem) :]]
+            else:
+                out.append(line)
+        return out
 
-    def _learn(self, pieces: set[str]) -> None:
-        missing = [p for p in pieces if p not in self.known]
-        if self.older:
-            older, found = self.older, []
-            for p in missing:
-                if p in older:
-                    self.known[p] = older[p]
-                else:
-                    found.append(p)
-            missing = found
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for p, e in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
+    def _learn(self, missing: set[str]) -> None:
+        spaced, older, plain = self.spaced, self.older, self.plain
+        for p in [p for p in missing if p in older]:
+            spaced[p] = older[p]
+            missing.discard(p)
+        parts = {p: self._parts(p) for p in missing}
+        new = {first for first, *_ in parts.values()} - spaced.keys()
+        self._encode_spaced(sorted(new))
+        for p, (first, *rest) in parts.items():
+            if rest:
+                for q in rest:
+                    if q not in plain:
+                        plain[q] = self._encode_plain(q)
+                spaced[p] = spaced[first] + b"".join([plain[q] for q in rest])
+        if len(plain) > CACHE_PIECES:
+            plain.clear()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, the end id appended."""
-        cut = []
+        """Little-endian ids of each text, the end id appended."""
+        get, rows, missing = self.spaced.get, [], set()
         for text in texts:
             first, *rest = _CUT.split(text or "")
-            cut.append((first, rest))
-        self._learn({" " + p for p in set().union(*(rest for _, rest in cut))} | {first for first, _ in cut})
-        known, end = self.known, np.array([END_ID], "<u4").tobytes()
-        out = [known[first] + b"".join([known[" " + p] for p in rest]) + end for first, rest in cut]
+            found = list(map(get, rest))
+            if None in found:
+                missing.update([p for p, f in zip(rest, found, strict=True) if f is None])
+            rows.append((first, rest, found))
+        self._learn(missing)
+        known, end, out = self.spaced, np.array([END_ID], self.type).tobytes(), []
+        for first, rest, found in rows:
+            if None in found:
+                found = [known[p] for p in rest]
+            out.append(self._encode_plain(first) + b"".join(found) + end)
         if len(known) > CACHE_PIECES:
-            self.older, self.known = known, {}
+            self.older, self.spaced = known, {}
         return out
 
 
+def id_type(tokenizer_path: str) -> str:
+    """The narrowest unsigned type that holds every id of the vocabulary."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(tokenizer_path).get_vocab().values()) < 1 << 16 else "<u4"
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, ids): every whole text as little-endian 32-bit ids with the end id."""
+    """(doc_id, ids): every whole text as little-endian ids of ``id_type``, with the end id."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer_path not in _ENCODERS:
@@ -105,19 +157,16 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return id_text(docs).mapInArrow(encode, _IDS_SCHEMA)
 
 
-def id_counts(ids: DataFrame) -> DataFrame:
+def id_counts(ids: DataFrame, kind: str) -> DataFrame:
     """(id, n) over the whole corpus: counted per task, then summed."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in sliced(batches, "ids", 16 << 20):
-            for value in part.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_py(), "<u4"))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), kind))
+            if len(found) > len(total):
+                total, found = found, total
+            total[: len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -211,8 +260,9 @@ class CanonicalCode:
 def write_corpus(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     """Tokenise, count, code and write the corpus to the folder ``path``."""
     spark = docs.sparkSession
+    kind = id_type(tokenizer_path)
     ids = written(tokenized(docs, tokenizer_path), "token-ids")
-    found = sorted((r["id"], r["n"]) for r in id_counts(ids).collect())  # one row per vocabulary entry
+    found = sorted((r["id"], r["n"]) for r in id_counts(ids, kind).collect())  # one row per vocabulary entry
     used = np.array([i for i, _ in found], np.int64)
     lengths = code_lengths(np.array([n for _, n in found], np.int64))
     spark.createDataFrame([(int(i), int(b)) for i, b in zip(used, lengths, strict=True)], "id int, bits int").coalesce(1).write.parquet(f"{path}/code")
@@ -231,7 +281,7 @@ def write_corpus(docs: DataFrame, path: str, tokenizer_path: str) -> None:
 
         for batch in batches:
             for name, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                one = np.frombuffer(value.as_py(), "<u4").astype(np.int64)
+                one = np.frombuffer(value.as_py(), kind).astype(np.int64)
                 if pieces and held + len(one) > BLOCK_TOKENS:
                     yield flush()
                     first, block = first + held, block + 1
