@@ -32,6 +32,8 @@ ROWS = 256
 #: Lead in probability over the second codeword below which a result is ambiguous.
 LEAD = 0.2
 UNKNOWN = "und"
+#: N-grams from which on an ambiguous text is rejected by ``told_apart``.
+EVIDENCE = 64
 
 #: ASCII letters and all bytes of longer characters stand; the rest is a blank.
 _BYTE = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint32)
@@ -115,13 +117,11 @@ def fit(labelled: DataFrame) -> Model:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for part in sliced(batches):
-            for at in range(0, part.num_rows, ROWS):
-                some = part.slice(at, ROWS)
-                counts = ngram_counts(some.column("text"))
-                names = np.array(some.column("lang").to_pylist(), object)
-                for name in set(names):
-                    total[name] = total.get(name, 0) + counts[names == name].sum(axis=0)
+        for part in _few(batches, "text"):
+            counts = ngram_counts(part.column("text"))
+            names = np.array(part.column("lang").to_pylist(), object)
+            for name in set(names):
+                total[name] = total.get(name, 0) + counts[names == name].sum(axis=0)
         for name, value in total.items():
             used = np.flatnonzero(value)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(used)), pa.array(used, pa.int64()), pa.array(value[used], pa.int64())], ["lang", "bucket", "n"])
@@ -134,29 +134,45 @@ def fit(labelled: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` plus lang_pred, score and ambiguous, in that order."""
-    out = docs.schema
-    names = [f.name for f in out.fields]
-    text_at = names.index("text")
+    """(doc_id, held_out, lang_pred, score, ambiguous) of (doc_id, held_out, text) rows."""
 
     def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches, text_at):
-            for at in range(0, part.num_rows, ROWS):
-                some = part.slice(at, ROWS)
-                texts = some.column(text_at)
-                lang, score, unsure = model.predict(ngram_counts(texts))
-                plain = [_has_letter(t) for t in texts]
-                lang = [x if ok else UNKNOWN for x, ok in zip(lang, plain, strict=True)]
-                score = np.where(plain, score, 0.0)
-                columns = [*some.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure & np.array(plain, bool), pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, [*names, *_ADDED])
+        for part in _few(batches, "text"):
+            lang, score, unsure, _ = _told(part.column("text"), model)
+            columns = [part.column("doc_id"), part.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
-    for name, kind in (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")):
-        out = type(out)(out.fields[:]).add(name, kind)
-    return docs.mapInArrow(tell, out)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(tell, "doc_id bigint, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-_ADDED = ["lang_pred", "score", "ambiguous"]
+def told_apart(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that have a language, all columns kept.
+
+    Those go that are ``und``, and those that stay ambiguous although at least
+    ``EVIDENCE`` n-grams speak; of a shorter text doubt says little.
+    """
+    text_at = docs.columns.index("text")
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _few(batches, text_at):
+            lang, _, unsure, n = _told(part.column(text_at), model)
+            ok = (np.array(lang, object) != UNKNOWN) & ~(unsure & (n >= EVIDENCE))
+            yield part.take(pa.array(np.flatnonzero(ok)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def _few(batches: Iterable[pa.RecordBatch], column: str | int) -> Iterator[pa.RecordBatch]:
+    for part in sliced(batches, column):
+        for at in range(0, part.num_rows, ROWS):
+            yield part.slice(at, ROWS)
+
+
+def _told(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    counts = ngram_counts(texts)
+    lang, score, unsure = model.predict(counts)
+    plain = np.array([_has_letter(t) for t in texts], bool)
+    return [x if ok else UNKNOWN for x, ok in zip(lang, plain, strict=True)], np.where(plain, score, 0.0), unsure & plain, counts.sum(axis=1)
 
 
 def _has_letter(value: pa.Scalar) -> bool:
@@ -174,4 +190,9 @@ def identify(docs: DataFrame) -> DataFrame:
     model = fit(training_rows(docs))
     held = F.coalesce(id_remainder(4) == 2, F.lit(False))
     rows = docs.select("doc_id", held.alias("held_out"), F.col("text").cast("string").alias("text"))
-    return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+    return predict(rows, model)
+
+
+def with_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language can be told, learned from ``docs`` itself."""
+    return told_apart(docs, fit(training_rows(docs)))
