@@ -59,3 +59,23 @@ def test_block_round_trip_and_checkpoints(n):
     payload, checkpoints = code.encode(ids)
     assert code.decode(payload, checkpoints, n).tolist() == ids.tolist()
     assert len(checkpoints) == -(-n // T.STRIDE)
+
+
+def test_pieces_against_the_plain_tokenizer():
+    """Odd spacing, punctuation and line ends, many times over so that every cache is used."""
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    r = random.Random(11)
+    bits = ["word", "Ünï", "x,", "end.\n", "\nNext", "a.\nB", "it's", "'s", " ", "  ", "\t", "　", " ", "\x1c", "...", "9.5", "é;", "²3", "ß!\n\n", "中文。", "<|endoftext|>", "a\n\nb", "-\n-", "A.", ":", ",\n.", "\r\n", "é.", "ǅ?", "q​."]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " ", " "]) for _ in range(r.randrange(30))) for _ in range(1500)]
+    encoder = T.PieceEncoder(tokenizer_path())
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        regular = pc.invert(pc.match_substring_regex(pa.array(some), T._IRREGULAR)).to_pylist()
+        got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(some, regular)]
+        assert got == brute(some)
+        if at == 500:
+            encoder.older, encoder.spaced = encoder.spaced, {}

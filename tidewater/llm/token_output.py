@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,10 @@ CACHE_PIECES = 600_000
 
 _CUT = re.compile(r" (?=\S)")
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
+_BLANK = re.compile(r"\s")
 _CLOSING = ".,!?;:"
+#: A space that doesn't stand before a non-space (for the regular-expression engine of Arrow).
+_IRREGULAR = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 _IDS_SCHEMA = "doc_id bigint, ids binary"
 _BLOCK_SCHEMA = "part int, block int, first bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -69,67 +73,75 @@ class PieceEncoder:
         self.older: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
 
-    def _encode_plain(self, text: str) -> bytes:
-        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type).tobytes()
+    def _cut_ids(self, text: str, sizes: list[int]) -> list[bytes]:
+        """The ids of ``text`` in runs of so many bytes, each a number of whole tokens."""
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
+        ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes)) + 1
+        data, edges = ids.tobytes(), [0, *(ends * ids.itemsize).tolist()]
+        return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def _encode_spaced(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 20_000):
             some = pieces[at : at + 20_000]
-            ids = np.array(self.model.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.type)
-            ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(p.encode()) + 1 for p in some])) + 1
-            data, width = ids.tobytes(), ids.itemsize
-            low = 0
-            for p, high in zip(some, (ends * width).tolist(), strict=True):
-                self.spaced[p] = data[low:high]
-                low = high
-
-    def _parts(self, piece: str) -> list[str]:
-        """The piece cut where pre-tokens end: the first part follows the space."""
-        out = []
-        for k, line in enumerate(_LINE.split(piece)):
-            if k:
-                out.append("\n")
-            stem = line.rstrip(_CLOSING)
-            if stem != line and stem[-1:].isalpha() and stem[-1:] < "\u0250":
-                out += [stem, line[len(stem) :]]
-            else:
-                out.append(line)
-        return out
+            found = self._cut_ids(" " + " ".join(some), [len(p.encode()) + 1 for p in some])
+            self.spaced.update(zip(some, found, strict=True))
+
+    def _encode_plain(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 20_000):
+            some = pieces[at : at + 20_000]  # without white space: a line feed between two is a token of its own
+            sizes = np.array([[len(p.encode()), 1] for p in some]).ravel().tolist()
+            found = self._cut_ids("\n".join([*some, "."]), [*sizes, 1])
+            self.plain.update(zip(some, found[::2], strict=False))
 
     def _learn(self, missing: set[str]) -> None:
         spaced, older, plain = self.spaced, self.older, self.plain
-        for p in [p for p in missing if p in older]:
-            spaced[p] = older[p]
-            missing.discard(p)
-        parts = {p: self._parts(p) for p in missing}
-        new = {first for first, *_ in parts.values()} - spaced.keys()
-        self._encode_spaced(sorted(new))
-        for p, (first, *rest) in parts.items():
-            if rest:
-                for q in rest:
-                    if q not in plain:
-                        plain[q] = self._encode_plain(q)
-                spaced[p] = spaced[first] + b"".join([plain[q] for q in rest])
-        if len(plain) > CACHE_PIECES:
-            plain.clear()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text, the end id appended."""
-        get, rows, missing = self.spaced.get, [], set()
-        for text in texts:
-            first, *rest = _CUT.split(text or "")
-            found = list(map(get, rest))
-            if None in found:
-                missing.update([p for p, f in zip(rest, found, strict=True) if f is None])
-            rows.append((first, rest, found))
-        self._learn(missing)
-        known, end, out = self.spaced, np.array([END_ID], self.type).tobytes(), []
-        for first, rest, found in rows:
-            if None in found:
-                found = [known[p] for p in rest]
-            out.append(self._encode_plain(first) + b"".join(found) + end)
-        if len(known) > CACHE_PIECES:
-            self.older, self.spaced = known, {}
+        if older:
+            fresh = missing.difference(older)
+            spaced.update([(p, older[p]) for p in missing.difference(fresh)])
+            missing = fresh
+        whole = [p for p in missing if p[-1] not in _CLOSING and "\n" not in p]
+        missing.difference_update(whole)
+        composed = []
+        for p in missing:
+            lines = [p] if "\n" not in p else _LINE.split(p)
+            parts = []
+            for k, line in enumerate(lines):
+                if k:
+                    parts.append("\n")
+                stem = line.rstrip(_CLOSING)
+                if stem != line and stem[-1:].isalpha() and stem[-1] < "\u0250":
+                    parts += stem, line[len(stem) :]
+                else:
+                    parts.append(line)
+            composed.append((p, parts))
+        self._encode_spaced([*whole, *{parts[0] for _, parts in composed}.difference(spaced).difference(whole)])
+        self._learn_plain({q for _, parts in composed for q in parts[1:]})
+        for p, parts in composed:
+            if len(parts) > 1:
+                spaced[p] = spaced[parts[0]] + b"".join([plain[q] for q in parts[1:]])
+
+    def _learn_plain(self, pieces: set[str]) -> None:
+        new = pieces.difference(self.plain)
+        self.plain[""] = b""
+        self._encode_plain([p for p in new if p and not _BLANK.search(p)])
+        for p in new.difference(self.plain):
+            self.plain[p] = self._cut_ids(p, [len(p.encode())])[0]
+
+    def encode(self, texts: list[str], regular: list[bool]) -> list[bytes]:
+        """Little-endian ids of each text, the end id appended. A text is
+        ``regular`` if each of its spaces stands before a non-space."""
+        if len(self.plain) > CACHE_PIECES:
+            self.plain = {}
+        rows = [text.split(" ") if plain else _CUT.split(text) for text, plain in zip(texts, regular, strict=True)]
+        firsts, missing = [row.pop(0) for row in rows], set()
+        for row in rows:
+            missing.update(row)
+        self._learn(missing.difference(self.spaced))
+        self._learn_plain(set(firsts))
+        ids, plain, end = self.spaced.__getitem__, self.plain, np.array([END_ID], self.type).tobytes()
+        out = [b"".join([plain[first], *map(ids, row), end]) for first, row in zip(firsts, rows, strict=True)]
+        if len(self.spaced) > CACHE_PIECES:
+            self.older, self.spaced = self.spaced, {}
         return out
 
 
@@ -151,7 +163,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             _ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
         encoder = _ENCODERS[tokenizer_path]
         for part in sliced(batches):
-            ids = encoder.encode(part.column("text").to_pylist())
+            texts = pc.fill_null(part.column("text"), "")
+            odd = pc.match_substring_regex(texts, _IRREGULAR)
+            ids = encoder.encode(texts.to_pylist(), pc.invert(odd).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return id_text(docs).mapInArrow(encode, _IDS_SCHEMA)
