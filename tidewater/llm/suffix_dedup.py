@@ -50,7 +50,7 @@ LENGTH, GRAM = 100, 50
 #: Text bytes hashed at once, and the longest stretch of one text.
 SLICE, STRETCH = 512 << 10, 8 << 20
 #: Names packed at once within a task.
-PACK_ROWS = 2_000_000
+PACK_ROWS = 750_000
 #: Bytes of (document, spans) that are sent to every task; beyond, a shuffled join.
 BROADCAST_BYTES = 64 << 20
 
@@ -228,13 +228,16 @@ def _string_names(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(name, _NAME_SCHEMA)
 
 
-def _judged(names: DataFrame) -> DataFrame:
+def _judged(names: DataFrame, single: bool = False) -> DataFrame:
     """(place, at, removed): entries whose strings start earlier elsewhere
-    (``removed``), and first entries of a g that holds several c (not removed)."""
+    (``removed``), and first entries of a g that holds several c (not removed).
+
+    Names of ``single`` strings leave nothing open, so they are dealt by (g, c).
+    """
     by_g, by_c = Window.partitionBy("g"), Window.partitionBy("g", "c")
-    found = names.withColumn("earliest", F.min("place").over(by_c)).withColumn("low", F.min("c").over(by_g)).withColumn("high", F.max("c").over(by_g))
-    found = found.where("low != high or place != earliest or more is not null or at % 2 = 1")
-    found = found.select("place", "at", "more", "earliest", (F.col("low") != F.col("high")).alias("several"))
+    several = F.lit(False) if single else F.min("c").over(by_g) != F.max("c").over(by_g)
+    found = names.withColumn("earliest", F.min("place").over(by_c)).withColumn("several", several)
+    found = found.where("several or place != earliest or more is not null or at % 2 = 1").select("place", "at", "more", "earliest", "several")
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +305,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """(place, spans) of every document of (place, text) that loses bytes."""
     whole = written(_judged(_names(texts.select("place", "text"))), "judged-names")
     opened = whole.where("not removed").groupBy("place").agg(F.collect_list("at").alias("open"))
-    rest = _judged(_string_names(_joined(texts.select("place", "text"), written(opened, "open-names"), "open", "inner")))
+    rest = _judged(_string_names(_joined(texts.select("place", "text"), written(opened, "open-names"), "open", "inner")), single=True)
     return written(_spans(whole.where("removed").unionByName(rest.where("removed")).select("place", "at")), "removed-spans")
 
 
