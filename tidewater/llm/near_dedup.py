@@ -11,10 +11,13 @@ its next arrival is later than the latest of all components kept so far.
 A candidate pair counts as a link if the Jaccard similarity of the two shingle
 sets, computed exactly, is at least ``SIMILARITY``; classes are the connected
 components. Identical sets are one node from the start. In each bucket all
-members are compared with one leader first; members that end up in one class
-need no more comparison, so a large group of copies costs a row per member and
-bucket. ``STAR_ROUNDS`` leaders are tried; what is then still in different
-classes within a bucket is compared pair by pair, where sizes allow a link.
+members are compared with one leader first, the member that meets most others;
+members that end up in one class need no more comparison, so a large group of
+copies costs a row per member and bucket. Of the members of buckets that still
+hold several classes, those go that can have no link at all: shingles that no
+other of these members has can't be common, and too many of them bound every
+similarity below ``SIMILARITY``. After ``STAR_ROUNDS`` leaders the rest is
+compared pair by pair, where that bound allows a link.
 
 Defined results: a text of fewer words than a shingle is one shingle; texts
 without a word (null, empty) are alone and never copies; ``class_id`` is the
@@ -38,7 +41,7 @@ from .graph import components
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 5, 24
 COMPONENTS = ROWS * BANDS
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 #: Texts handled at once: their number takes the top bits of a sort key.
 TEXTS = 1000
 _ROW_BITS = np.uint64(10)
@@ -166,8 +169,22 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common >= F.lit(SIMILARITY) * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-def _size_allows(a: str, b: str):
-    return F.least(a, b) >= F.lit(SIMILARITY) * F.greatest(a, b)
+def _may_link():
+    """Whether two sets of n_a and n shingles, s_a and s of them held by others, can be similar enough."""
+    common = F.least("s_a", "s")
+    return common >= F.lit(SIMILARITY) * (F.col("n_a") + F.col("n") - common)
+
+
+def _held_by_others(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, s): how many of a member's shingles at least one other member has."""
+    rows = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    held = rows.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("shingle")
+    return rows.join(held, "shingle").groupBy("node").agg(F.count("*").alias("s"))
+
+
+def _of_mixed_buckets(members: DataFrame) -> DataFrame:
+    mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
+    return members.join(mixed, "bucket")
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -175,26 +192,31 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = written(signed(docs), "signed")
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("text_key").alias("text_key"))
     members = nodes.select("node", "n", "text_key", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("bucket")
-    members = written(members.join(shared, "bucket"), "members")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low != high")
+    members = written(members.join(shared.select("bucket", "size"), "bucket"), "members")
     sets = written(node_sets(docs, members.select("node", "text_key")), "shingle-sets")
-    members = members.select("bucket", "node", "n").withColumn("label", F.col("node"))
+    met = members.groupBy("node").agg(F.sum("size").alias("met"))
+    members = members.select("bucket", "node", "n").join(met, "node").withColumn("s", F.col("n")).withColumn("label", F.col("node"))
     labels = None
     for turn in range(STAR_ROUNDS + 1):
         if turn:
             # only buckets that hold two classes still have something to compare
             members = members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
-            members = written(members.join(mixed, "bucket"), "mixed-members")
+            members = _of_mixed_buckets(members)
+            if turn == 1:
+                members = members.drop("s").join(_held_by_others(members, sets), "node").where(F.col("s") >= F.lit(SIMILARITY) * F.col("n"))
+                members = _of_mixed_buckets(written(members, "linkable-members"))
+            members = written(members, "mixed-members")
             if members.isEmpty():
                 break
         if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "label")
+            first = F.xxhash64("node", F.lit(turn)) if turn else -F.col("met")
+            order = F.struct(first.alias("at"), "node", "n", "s", "label")
             lead = members.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", "lead.*")
         else:
             lead = members
-        lead = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-        apart = (F.col("label") != F.col("label_a")) & _size_allows("n", "n_a")
+        lead = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("label").alias("label_a"))
+        apart = (F.col("label") != F.col("label_a")) & _may_link()
         if turn == STAR_ROUNDS:
             apart = apart & (F.col("a") < F.col("node"))
         pairs = members.join(lead, "bucket").where(apart).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
