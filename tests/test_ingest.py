@@ -5,8 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tests import snippets as S
-from tidewater.plans.ingest import archive_links, ingest_station_text, plan_fetch, track_crawl
-from tidewater.sinks.runs import current_runs
+from tidewater.plans.ingest import archive_links, ingest_station_text, landed_text_frame, plan_fetch
 from tidewater.sources.bronze import read_observations
 
 BASE = "/historical_data/view_text_file.php?dir=data/historical/stdmet/&filename="
@@ -17,15 +16,15 @@ def _index(spark, items):
         f'<li>{buoy}: ' + " ".join(f'<a href="/download_data.php?filename={buoy}h{y}.txt.gz&dir=x/">{y}</a>' for y in years) + "</li>"
         for buoy, years in items
     )
-    html = f'<p><a id="stdmet">Standard meteorological</a></p><ul class="histfiles">{lis}</ul>'
+    html = f'<p><a id="stdmet">Standard meteorological</a><ul class="histfiles">{lis}</ul></p>'
     return spark.createDataFrame([("https://example.org/historical", html)], "url string, html string")
 
 
 def test_ingest_then_plan_skips_closed_years(spark, root):
     responses = spark.createDataFrame(
         [
-            ("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2020", "2019")),
-            ("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2020", "2019")),
+            ("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2016", "2019")),
+            ("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2016", "2019")),
             ("41002", BASE + "41002h2019.txt.gz", S.HEADER_ONLY),
             ("41003", BASE + "41003h2019.txt.gz", "   \n"),
         ],
@@ -38,11 +37,13 @@ def test_ingest_then_plan_skips_closed_years(spark, root):
 
     index = _index(spark, [("41001", [2019, 2024]), ("41002", [2019]), ("41003", [2019])])
     plan = plan_fetch(spark, index, root, as_of_year=2024)
-    fetch = sorted((r["buoy_id"], r["year"]) for r in plan.collect())
+    fetch = sorted((r["buoy_id"], r["year"]) for r in plan.where("kind = 'observations'").collect())
+    pages = sorted(r["url"].split("=")[1] for r in plan.where("kind = 'station_page'").collect())
+    assert pages == ["41001", "41002", "41003"]
     # 41001/2019 and the header-only 41002/2019 are closed and readable; the
     # schema-less 41003 file was never written, the current year is always fetched.
     assert fetch == [("41001", "2024"), ("41003", "2019")]
-    full = plan_fetch(spark, index, root, as_of_year=2024, full_refresh=True).count()
+    full = plan_fetch(spark, index, root, as_of_year=2024, full_refresh=True).where("kind = 'observations'").count()
     assert full == 4
 
 
@@ -52,11 +53,10 @@ def test_empty_index_is_an_error(spark):
         archive_links(page)
 
 
-def test_crawl_status_recorded(spark, root):
-    track_crawl(spark, root, "memusage_exceeded", {"item_scraped_count": 3})
-    row = current_runs(spark, root).collect()[0]
-    assert (row["stage"], row["status"], row["rows_loaded"]) == ("scrape", "failed", 3)
-    assert row["error"] == "finish_reason=memusage_exceeded"
+def test_one_response_per_url_without_moving_the_others(spark):
+    rows = [("1", BASE + "1h2001.txt.gz", "b"), ("1", BASE + "1h2001.txt.gz", "a"), ("1", BASE + "1h2001.txt.gz", "a"), ("2", BASE + "2h2001.txt.gz", "c"), ("3", BASE + "3h2001.txt.gz", None)]
+    kept = [sorted((r["buoy_id"], r["value"] or "") for r in landed_text_frame(spark.createDataFrame(order, "buoy_id string, url string, value string")).collect()) for order in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and [b for b, _ in kept[0]] == ["1", "2", "3"]
 
 
 def test_landed_files_layout(spark, tmp_path):
@@ -92,17 +92,3 @@ def test_rescraped_station_replaces_position(spark, root):
     assert got == {"41001": (None, None), "41002": (-3.0, -4.0)}
     empty = write_bronze_coordinates(spark.createDataFrame([], "buoy_id string, latitude double, longitude double, status string"), root)
     assert empty["stations"] == 0
-
-
-def test_ingest_compacts_years_with_many_batches(spark, root):
-    from tidewater.sources.bronze import read_bronze_batches, read_observations
-
-    responses = spark.createDataFrame(
-        [("41001", BASE + "41001h2019.txt.gz", S.SENTINELS.replace("2020", "2019"))],
-        "buoy_id string, url string, value string",
-    )
-    for _ in range(3):
-        out = ingest_station_text(spark, responses, root, max_batches=2)
-    assert out["compacted_years"] == ["2019"]
-    assert read_bronze_batches(spark, root, "2019").select("batch").distinct().count() == 1
-    assert read_observations(spark, root).count() == 2

@@ -1,4 +1,4 @@
-"""Legacy per-file bronze (pandas-decoded, types drifting per file) -> bronze."""
+"""Legacy per-file bronze (types drifting per file) -> bronze."""
 
 from __future__ import annotations
 
@@ -10,66 +10,78 @@ import pandas as pd
 import pytest
 
 from tests import snippets as S
-from tidewater.sources.bronze import read_observations
-from tidewater.sources.legacy import convert_legacy_bronze
+from tidewater.sources.bronze import current_sources, read_bronze_observations, read_coordinates, read_observations
+from tidewater.sources.legacy import convert_legacy_bronze, convert_legacy_coordinates
 
 
-def _write_legacy(root, buoy_id, year, stem, text):
-    df = pd.read_csv(io.StringIO(text.strip() + "\n"), sep=r"\s+")
-    d = os.path.join(root, "observations", f"buoy_id={buoy_id}", f"year={year}")
-    os.makedirs(d, exist_ok=True)
-    df.to_parquet(os.path.join(d, f"{stem}.parquet"), index=False)
+def legacy_file(root, buoy_id, year, stem, text=None, frame=None):
+    frame = pd.read_csv(io.StringIO(text), sep=r"\s+") if frame is None else frame
+    folder = os.path.join(root, "observations", f"buoy_id={buoy_id}", f"year={year}")
+    os.makedirs(folder, exist_ok=True)
+    frame.to_parquet(os.path.join(folder, f"{stem}.parquet"), index=False)
+    return os.path.join(folder, f"{stem}.parquet")
 
 
 def test_convert_mixed_types(spark, tmp_path):
-    legacy = str(tmp_path / "legacy")
-    # Units row -> every column text; no units row -> integers and floats.
-    _write_legacy(legacy, "41001", "2020", "41001h2020", S.SENTINELS)
-    _write_legacy(legacy, "41009", "2023", "41009h2023", S.MONTH_MINUTE.replace(S.FULL_UNITS + "\n", ""))
-    _write_legacy(legacy, "41006", "2021", "41006h2021", S.WITH_PTDY)
-    pd.DataFrame([]).to_parquet(os.path.join(legacy, "observations", "buoy_id=41006", "year=2021", "broken.parquet"))
-    out = str(tmp_path / "bronze")
+    legacy, out = str(tmp_path / "legacy"), str(tmp_path / "bronze")
+    # a units row makes every column text; without one they are integers and floats
+    legacy_file(legacy, "62107", "2016", "62107h2016", S.SENTINELS)
+    legacy_file(legacy, "62112", "2019", "62112h2019", S.MONTH_MINUTE.replace(S.FULL_UNITS + "\n", ""))
+    legacy_file(legacy, "62111", "2018", "62111h2018", S.WITH_PTDY)
+    legacy_file(legacy, "62111", "2018", "no-columns", frame=pd.DataFrame([]))
+    cut = legacy_file(legacy, "62111", "2018", "cut-off", S.WITH_PTDY)
+    with open(cut, "r+b") as handle:
+        handle.truncate(40)
     counters = convert_legacy_bronze(spark, legacy, out)
-    assert counters["files"] == 3 and counters["groups"] == 3
+    assert (counters["files"], counters["unusable"]) == (3, 2)
     rows = {(r["buoy_id"], r["datetime"]): r for r in read_observations(spark, out).collect()}
-    assert set(rows) == {
-        ("41001", dt.datetime(2020, 1, 15, 10, 30)),
-        ("41001", dt.datetime(2020, 1, 15, 11, 0)),
-        ("41009", dt.datetime(2023, 5, 9, 3, 47)),
-        ("41006", dt.datetime(2021, 7, 4, 12, 0)),
-    }
-    assert rows[("41006", dt.datetime(2021, 7, 4, 12, 0))]["pressure_tendency"] == pytest.approx(0.5)
-    assert rows[("41001", dt.datetime(2020, 1, 15, 10, 30))]["wind_speed"] is None
-    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    assert sorted(rows) == [
+        ("62107", dt.datetime(2016, 9, 21, 18, 20)),
+        ("62107", dt.datetime(2016, 9, 21, 18, 50)),
+        ("62111", dt.datetime(2018, 4, 12, 9, 30)),
+        ("62112", dt.datetime(2019, 11, 6, 14, 52)),
+    ]
+    assert rows["62111", dt.datetime(2018, 4, 12, 9, 30)]["pressure_tendency"] == -1.6
 
 
-def test_convert_legacy_coordinates(spark, tmp_path):
-    from tidewater.sources.bronze import read_coordinates
-    from tidewater.sources.legacy import convert_legacy_coordinates
+def test_minutes_typed_as_floats_are_kept(spark, tmp_path):
+    """One short line makes the minute column a float: 50.0 is minute 50."""
+    legacy, out = str(tmp_path / "legacy"), str(tmp_path / "bronze")
+    frame = pd.DataFrame({"#YY": [2011, 2011, 2011], "MM": [5, 5, 5], "DD": [1.0, 2.0, 3.0], "hh": [3, 3, 3], "mm": [50.0, None, 20.0], "WSPD": [1.5, 2.0, 2.5]})
+    legacy_file(legacy, "62120", "2011", "62120h2011", frame=frame)
+    convert_legacy_bronze(spark, legacy, out)
+    got = sorted((r["datetime"], r["wind_speed"]) for r in read_observations(spark, out).collect())
+    assert got == [(dt.datetime(2011, 5, 1, 3, 50), 1.5), (dt.datetime(2011, 5, 2, 3, 0), 2.0), (dt.datetime(2011, 5, 3, 3, 20), 2.5)]
+
+
+def test_storage_errors_are_not_unusable_files(spark, tmp_path, monkeypatch):
+    from tidewater.sources import bronze
+
+    def broken(path):
+        raise PermissionError(path)
 
+    monkeypatch.setattr(bronze, "open_parquet", broken)
+    with pytest.raises(PermissionError):
+        list(bronze._probe_footers([pd.DataFrame({"path": ["file:/x"]})]))
+
+
+def test_convert_legacy_coordinates(spark, tmp_path):
     legacy = tmp_path / "legacy"
-    for buoy, lat, lon in [("41001", 12.3, -45.6), ("0042", None, None)]:
-        d = legacy / "coordinates" / f"buoy_id={buoy}"
-        d.mkdir(parents=True)
-        pd.DataFrame([{"latitude": lat, "longitude": lon}]).to_parquet(d / "part.parquet", index=False)
+    for buoy, lat, lon in [("62107", 51.1, -2.7), ("0078", None, None)]:
+        folder = legacy / "coordinates" / f"buoy_id={buoy}"
+        folder.mkdir(parents=True)
+        pd.DataFrame([{"latitude": lat, "longitude": lon}]).to_parquet(folder / "part.parquet", index=False)
     counters = convert_legacy_coordinates(spark, str(legacy), str(tmp_path / "bronze"))
-    assert counters["stations"] == 2 and counters["coordinates_missing"] == 1
+    assert (counters["stations"], counters["coordinates_missing"]) == (2, 1)
     got = {r["buoy_id"]: (r["latitude"], r["longitude"]) for r in read_coordinates(spark, str(tmp_path / "bronze")).collect()}
-    assert got == {"41001": (12.3, -45.6), "0042": (None, None)}
+    assert got == {"62107": (51.1, -2.7), "0078": (None, None)}
 
 
-def test_header_only_legacy_file_stays_present(spark, tmp_path):
-    from tidewater.sources.bronze import current_sources, read_bronze_observations
-
-    legacy = str(tmp_path / "legacy")
-    d = os.path.join(legacy, "observations", "buoy_id=47072", "year=2003")
-    os.makedirs(d)
-    pd.DataFrame([], columns=["#YY", "MM", "DD", "hh", "WVHT"]).to_parquet(os.path.join(d, "47072h2003.parquet"), index=False)
-    _write_legacy(legacy, "41001", "2020", "41001h2020", S.SENTINELS)
-    out = str(tmp_path / "bronze")
-    convert_legacy_bronze(spark, legacy, out)
-    sources = {(r["buoy_id"], r["year"], r["source_stem"]) for r in current_sources(spark, out).collect()}
-    assert ("47072", "2003", "47072h2003") in sources
-    header = [r for r in read_bronze_observations(spark, out).collect() if r["buoy_id"] == "47072"]
-    assert len(header) == 1 and header[0]["line_no"] == 0 and header[0]["yy_hash"] == "#YY" and header[0]["minute_raw"] is None
-    assert read_observations(spark, out).count() == 2
+def test_header_only_file_counts_as_held(spark, tmp_path):
+    legacy, out = str(tmp_path / "legacy"), str(tmp_path / "bronze")
+    legacy_file(legacy, "62121", "2012", "62121h2012", frame=pd.DataFrame([], columns=["#YY", "MM", "DD", "hh", "ATMP"]))
+    assert convert_legacy_bronze(spark, legacy, out)["rows_written"] == 1
+    assert [(r["buoy_id"], r["year"], r["source_stem"]) for r in current_sources(spark, out).collect()] == [("62121", "2012", "62121h2012")]
+    (header,) = read_bronze_observations(spark, out).collect()
+    assert (header["line_no"], header["yy_hash"], header["minute_raw"]) == (0, "#YY", None)
+    assert read_observations(spark, out).count() == 0

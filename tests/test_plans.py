@@ -21,13 +21,21 @@ def test_dedup_cuts_copies_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning(buoy_id") < plan.rindex("Partial")
 
 
-def test_superseded_versions_are_a_broadcast_anti_join(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS, stem="a")
-    write_text(spark, root, "41001", "2020", S.NO_MINUTE, stem="a")
-    df = read_bronze_observations(spark, root)
-    df.count()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "Broadcast" in plan
+def test_bronze_reads_leave_the_rows_where_they_are(spark, root):
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # everything is above it
+    try:
+        write_text(spark, root, "62107", "2016", S.SENTINELS, stem="a")
+        write_text(spark, root, "62107", "2016", S.NO_MINUTE, stem="b")
+        assert "Join" not in _plan(read_bronze_observations(spark, root))  # nothing superseded: a scan
+        write_text(spark, root, "62107", "2016", S.NO_MINUTE, stem="a")
+        frame = read_bronze_observations(spark, root)
+        assert frame.count() == 6
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert "LeftAnti" in plan
+    assert not any("Exchange hashpartitioning" in line and "WDIR" in line for line in plan.splitlines())
 
 
 def test_scans_read_only_needed_columns(spark):
@@ -35,11 +43,9 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
 
 
-def test_bronze_write_has_no_exchange(spark, root):
-    from tidewater.sinks.bronze import ingest_batch_id
-    from tidewater.sources.station_text import decode_station_text
+def test_bronze_write_has_no_exchange(spark):
     from tests.conftest import landed
+    from tidewater.sources.station_text import decode_station_text
 
-    decoded = decode_station_text(landed(spark, [("41001", "2020", "a", S.SENTINELS)]), keep_header=True)
-    shaped = decoded.selectExpr("*", f"'{ingest_batch_id()}' AS batch").sortWithinPartitions("year", "buoy_id")
-    assert "Exchange" not in _plan(shaped)
+    decoded = decode_station_text(landed(spark, [("62107", "2016", "a", S.SENTINELS)]), keep_header=True)
+    assert "Exchange" not in _plan(decoded.sortWithinPartitions("year", "buoy_id"))

@@ -9,140 +9,91 @@ import pytest
 from tests import snippets as S
 from tests.conftest import landed, write_text
 from tidewater.operators import observations as obs
-from tidewater.schema import OBSERVATION_COLUMNS
+from tidewater.schema import OBSERVATION_COLUMNS, SENTINELS
 from tidewater.sources.bronze import read_observations
 from tidewater.sources.station_text import decode_station_text
 
 
-def rows(spark, root, year=None):
-    return read_observations(spark, root, year).collect()
-
-
-def test_buoy_id_recovered_from_path(spark, root):
-    write_text(spark, root, "99999", "2020", S.NO_MINUTE)
-    result = rows(spark, root)
-    assert len(result) == 1 and result[0]["buoy_id"] == "99999"
-
-
-def test_leading_zeros_of_buoy_id_survive(spark, root):
-    write_text(spark, root, "0041", "2020", S.NO_MINUTE)
-    assert rows(spark, root)[0]["buoy_id"] == "0041"
-
-
-def test_units_row_is_dropped(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    assert len(rows(spark, root)) == 2
-
-
-def test_contract_columns_in_order(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    assert read_observations(spark, root).columns == OBSERVATION_COLUMNS
-
-
-@pytest.mark.parametrize(
-    "text,expected",
-    [(S.SENTINELS, [2020, 2020]), (S.FOUR_DIGIT, [2015]), (S.TWO_DIGIT, [1979, 2023]), (S.LEADING_ZERO, [2005])],
-)
-def test_year_header_variants(spark, root, text, expected):
-    write_text(spark, root, "41001", "unknown", text)
-    assert sorted(r["datetime"].year for r in rows(spark, root)) == expected
-
-
-def test_minute_folded_into_datetime(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    got = sorted(r["datetime"] for r in rows(spark, root))
-    assert got == [dt.datetime(2020, 1, 15, 10, 30), dt.datetime(2020, 1, 15, 11, 0)]
-
-
-def test_minute_absent_defaults_to_zero(spark, root):
-    write_text(spark, root, "41004", "2020", S.NO_MINUTE)
-    assert rows(spark, root)[0]["datetime"] == dt.datetime(2020, 3, 10, 5, 0)
-
-
-def test_month_and_minute_never_confused(spark, root):
-    write_text(spark, root, "41009", "2023", S.MONTH_MINUTE)
-    assert rows(spark, root)[0]["datetime"] == dt.datetime(2023, 5, 9, 3, 47)
-
-
-def test_newer_column_present_and_absent(spark, root):
-    write_text(spark, root, "41005", "2020", S.NO_MINUTE)
-    write_text(spark, root, "41006", "2021", S.WITH_PTDY)
-    by_buoy = {r["buoy_id"]: r for r in rows(spark, root)}
-    assert by_buoy["41006"]["pressure_tendency"] == pytest.approx(0.5)
-    assert by_buoy["41005"]["pressure_tendency"] is None
-
-
-def test_sentinels_are_per_column(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    first, second = sorted(rows(spark, root), key=lambda r: r["datetime"])
-    assert first["wind_direction"] == pytest.approx(99.0)
-    assert first["wind_speed"] is None
-    for name in (
-        "wind_direction", "mean_wave_direction", "pressure", "air_temperature",
-        "sea_surface_temperature", "dew_point_temperature", "visibility", "tide",
-    ):
-        assert second[name] is None, name
-    assert second["wind_speed"] == pytest.approx(8.0)
-    assert second["gust"] == pytest.approx(9.0)
-
-
-def test_dedup_keeps_first_row(spark, root):
-    write_text(spark, root, "41007", "2022", S.DUPLICATE)
-    result = rows(spark, root)
-    assert len(result) == 1
-    assert result[0]["wind_direction"] == pytest.approx(200.0)
-
-
-def test_year_scoped_read(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    write_text(spark, root, "41002", "2021", S.NO_MINUTE)
-    assert {r["buoy_id"] for r in rows(spark, root, "2021")} == {"41002"}
-    assert {r["buoy_id"] for r in rows(spark, root)} == {"41001", "41002"}
-
-
-def test_year_scoped_read_prunes_partitions(spark, root):
-    write_text(spark, root, "41001", "2020", S.SENTINELS)
-    plan = read_observations(spark, root, "2020")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "year" in plan
-
-
-def test_short_line_fills_null_and_long_line_is_flagged(spark):
+def decoded(spark, text):
+    return decode_station_text(landed(spark, [("7", "2020", "s", text)]))
+
+
+def typed(spark, text):
+    return obs.normalize(decoded(spark, text)).orderBy("line_no").collect()
+
+
+def test_tree_of_mixed_layouts(spark, root):
+    """Every layout of one tree in one read: keys, instants, absent columns."""
+    files = {
+        ("62107", "2016"): (S.SENTINELS, [(2016, 9, 21, 18, 20), (2016, 9, 21, 18, 50)]),
+        ("0078", "2017"): (S.NO_MINUTE, [(2017, 10, 4, 22, 0)]),
+        ("62108", "unknown"): (S.TWO_DIGIT, [(1984, 2, 17, 6, 40), (2031, 2, 17, 6, 40)]),
+        ("62109", "2008"): (S.FOUR_DIGIT, [(2008, 11, 30, 21, 10)]),
+        ("62110", "2007"): (S.LEADING_ZERO, [(2007, 8, 8, 13, 0)]),
+        ("62111", "2018"): (S.WITH_PTDY, [(2018, 4, 12, 9, 30)]),
+        ("62112", "2019"): (S.MONTH_MINUTE, [(2019, 11, 6, 14, 52)]),
+    }
+    for (buoy, year), (text, _) in files.items():
+        write_text(spark, root, buoy, year, text)
+    frame = read_observations(spark, root)
+    assert frame.columns == OBSERVATION_COLUMNS
+    got = {}
+    for r in frame.collect():
+        got.setdefault(r["buoy_id"], []).append((r["datetime"], r["pressure_tendency"]))
+    assert {b: sorted(t for t, _ in v) for b, v in got.items()} == {b: [dt.datetime(*x) for x in v] for (b, _), (_, v) in files.items()}
+    assert got["62111"][0][1] == -1.6 and all(p is None for b, v in got.items() if b != "62111" for _, p in v)
+    one = read_observations(spark, root, "2018")
+    assert [r["buoy_id"] for r in one.collect()] == ["62111"]
+    assert "2018" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_column_has_its_own_marker(spark):
+    first, second = typed(spark, S.SENTINELS)
+    assert (first["wind_direction"], first["wind_speed"], first["gust"]) == (99.0, None, 7.3)
+    # a column without a marker of its own keeps the value that marks others
+    fields = [n for n in OBSERVATION_COLUMNS[2:] if n != "pressure_tendency"]
+    kept = {n: second[n] for n in fields if second[n] is not None}
+    assert all(n not in SENTINELS or v not in SENTINELS[n] for n, v in kept.items())
+    assert second["wind_direction"] is None and second["pressure"] is None and second["tide"] is None
+
+
+def test_first_of_equal_instants_stays(spark, root):
+    write_text(spark, root, "62113", "2014", S.DUPLICATE)
+    (row,) = read_observations(spark, root).collect()
+    assert (row["wind_direction"], row["tide"]) == (333.0, 0.6)
+
+
+def test_lines_that_do_not_fit_the_header(spark):
     text = "#YY MM DD hh mm WDIR WSPD\n2020 01 01 00 00 100\n2020 01 01 01 00 100 5.0 7.7\n"
-    out = decode_station_text(landed(spark, [("1", "2020", "s", text)])).orderBy("line_no").collect()
-    assert out[0]["WSPD"] is None and out[0]["decode_error"] is None
-    assert out[1]["decode_error"] == "more fields than header"
-    typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).collect()
-    assert len(typed) == 1
+    short, long = decoded(spark, text).orderBy("line_no").collect()
+    assert short["WSPD"] is None and short["decode_error"] is None
+    assert long["decode_error"] == "more fields than header"
+    assert len(typed(spark, text)) == 1
 
 
-def test_duplicate_header_flags_file(spark):
-    text = "#YY MM DD hh mm WDIR WDIR\n2020 01 01 00 00 100 200\n"
-    out = decode_station_text(landed(spark, [("1", "2020", "s", text)])).collect()
-    assert out[0]["decode_error"] == "duplicate header name"
+def test_first_of_a_repeated_header_counts(spark):
+    text = "#YY MM DD hh mm WDIR ODD WDIR ODD\n2020 01 01 00 00 100 a 200 b\n"
+    (row,) = decoded(spark, text).collect()
+    assert (row["WDIR"], row["decode_error"], row["extra"]) == ("100", None, {"ODD": "a"})
 
 
-def test_unknown_header_kept_in_extra(spark):
-    text = "#YY MM DD hh mm WDIR NEWX\n2020 01 01 00 00 100 4.2\n"
-    out = decode_station_text(landed(spark, [("1", "2020", "s", text)])).collect()
-    assert out[0]["extra"] == {"NEWX": "4.2"}
+@pytest.mark.parametrize("word", ["NA", "NaN", "null", "n/a"])
+def test_missing_words_in_date_fields(spark, word):
+    minute, spelling = typed(spark, f"#YY MM DD hh mm WDIR\n2020 01 01 00 {word} 7\n"), typed(spark, f"#YY YYYY MM DD hh\n{word} 1999 03 04 05\n")
+    assert [r["datetime"] for r in minute] == [dt.datetime(2020, 1, 1)]
+    assert [r["datetime"] for r in spelling] == [dt.datetime(1999, 3, 4, 5)]
 
 
-def test_missing_words_and_markers_become_null(spark):
-    text = "#YY MM DD hh mm WDIR WSPD GST\n2020 01 01 00 00 MM NaN Infinity\n"
-    typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).collect()[0]
-    assert typed["wind_direction"] is None and typed["wind_speed"] is None and typed["gust"] is None
+def test_markers_and_words_in_measurements(spark):
+    (row,) = typed(spark, "#YY MM DD hh mm WDIR WSPD GST NEWX\n2020 01 01 00 00 MM NaN Infinity 4.2\n")
+    assert (row["wind_direction"], row["wind_speed"], row["gust"]) == (None, None, None)
 
 
 def test_impossible_dates_are_null_not_errors(spark):
-    text = "#YY MM DD hh mm WDIR\n2020 13 01 00 00 100\n2020 02 30 00 00 100\n2020 01 01 24 00 100\n"
-    typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).collect()
-    assert [r["datetime"] for r in typed] == [None, None, None]
+    rows = typed(spark, "#YY MM DD hh mm WDIR\n2020 13 01 00 00 100\n2020 02 30 00 00 100\n2020 01 01 24 00 100\n")
+    assert [r["datetime"] for r in rows] == [None, None, None]
 
 
 def test_tabs_and_crlf_are_whitespace(spark):
-    text = "\t#YY MM DD hh mm WDIR\r\n\t2020\t01 01  00 30\t100\r\n\r\n2020 01 01 01 00 200\r\n"
-    typed = obs.normalize(decode_station_text(landed(spark, [("1", "2020", "s", text)]))).orderBy("line_no").collect()
-    assert [(r["datetime"], r["wind_direction"]) for r in typed] == [
-        (dt.datetime(2020, 1, 1, 0, 30), 100.0),
-        (dt.datetime(2020, 1, 1, 1, 0), 200.0),
-    ]
+    rows = typed(spark, "\t#YY MM DD hh mm WDIR\r\n\t2020\t01 01  00 30\t100\r\n\r\n2020 01 01 01 00 200\r\n")
+    assert [(r["datetime"].hour, r["datetime"].minute, r["wind_direction"]) for r in rows] == [(0, 30, 100.0), (1, 0, 200.0)]

@@ -17,13 +17,12 @@ from tidewater.operators.observations import clean_observations, dedup_keep_firs
 from tidewater.plans.ingest import ingest_landed_files, ingest_station_pages, ingest_station_text, plan_fetch
 from tidewater.plans.silver_load import run_silver
 from tidewater.sinks.silver import read_published_coordinates, read_published_observations, vacuum_snapshots
-from tidewater.sources.bronze import compact_bronze, read_coordinates, read_observations
+from tidewater.sources.bronze import read_coordinates, read_observations
 from tidewater.sources.station_text import decode_station_text, landed_station_files
 
 __all__ = [
     "build_session",
     "clean_observations",
-    "compact_bronze",
     "configure",
     "decode_station_text",
     "dedup_keep_first",

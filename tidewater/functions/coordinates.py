@@ -52,7 +52,7 @@ def parse_coordinates(text_col: str) -> Column:
 
 # The first <p> of the station metadata block, and its bold items. An item's
 # text is what precedes its first child tag.
-_METADATA_PARAGRAPH = r'(?s)<div[^>]*id="stn_metadata"[^>]*>.*?<p[^>]*>(.*?)</p>'
+_METADATA_PARAGRAPH = r"""(?s)<div[^>]*\sid\s*=\s*["']stn_metadata["'][^>]*>.*?<p(?:\s[^>]*)?>(.*?)</p>"""
 _BOLD_TEXT = r"(?s)<b(?:\s[^>]*)?>([^<]*)"
 
 

@@ -67,24 +67,52 @@ def text_view_link(link: Column | str) -> Column:
     return F.replace(_lit(link), F.lit(DOWNLOAD_PATH_TOKEN), F.lit(TEXT_VIEW_PATH_TOKEN))
 
 
+def strip(text: Column | str) -> Column:
+    """Without white space of any kind at both ends (``trim`` knows spaces only)."""
+    return F.regexp_replace(_lit(text), r"^\s+|\s+$", "")
+
+
 def clean_buoy_id(text: Column | str) -> Column:
     """Strip, then drop every ``:``; NULL stays NULL (reported by the caller)."""
-    return F.replace(F.trim(_lit(text)), F.lit(":"), F.lit(""))
+    return F.replace(strip(text), F.lit(":"), F.lit(""))
+
+
+#: The five entities that every HTML text may hold (ampersand last).
+_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+
+
+def unescape(text: Column | str) -> Column:
+    """Numeric character references and the five basic entities decoded."""
+    out = _lit(text)
+    numeric = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});)"), F.lit(1)))
+
+    def decoded(ref: Column) -> Column:
+        digits = F.regexp_replace(ref, r"^&#[xX]?|;$", "")
+        in_hex = F.when(ref.rlike("^&#[xX]"), F.upper(digits)).otherwise(F.conv(digits, 10, 16))
+        return F.decode(F.unhex(F.lpad(in_hex, 8, "0")), "UTF-32")
+
+    out = F.aggregate(numeric, out, lambda done, ref: F.replace(done, ref, decoded(ref)))
+    for name, char in _ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return out
 
 
 def station_page_url(buoy_id: Column | str) -> Column:
     return F.concat(F.lit(STATION_PAGE_URL), _lit(buoy_id))
 
 
-# Archive index shape: an anchor with id="stdmet", then a list of class
-# "histfiles" whose items read "<id>: <a href=...>yyyy</a> ...".
-ARCHIVE_LIST_PATTERN = r'(?s)<a[^>]*id="stdmet"[^>]*>.*?<ul[^>]*class="histfiles"[^>]*>(.*?)</ul>'
+# Archive index shape: an anchor with id "stdmet", then lists of class
+# "histfiles" whose items read "<id>: <a href=...>yyyy</a> ...". The section of
+# the anchor ends where another anchor names a section or a heading opens.
+ARCHIVE_SECTION_PATTERN = r"""(?s)<a[^>]*\sid\s*=\s*["']stdmet["'][^>]*>(.*?)(?:<a[^>]*\sid\s*=|<h[1-6]\b|\z)"""
+ARCHIVE_LIST_PATTERN = r"""(?s)<ul[^>]*\sclass\s*=\s*["']histfiles["'][^>]*>(.*?)</ul>"""
+WHOLE_PAGE = r"(?s)^(.*)$"
 
 
-def list_items(html: Column | str, list_pattern: str) -> Column:
-    """Array of ``<li>`` bodies inside the first block matched by ``list_pattern``."""
-    block = F.regexp_extract(_lit(html), list_pattern, 1)
-    return F.regexp_extract_all(block, F.lit(r"(?s)<li[^>]*>(.*?)</li>"), F.lit(1))
+def list_items(html: Column | str, list_pattern: str, section_pattern: str = WHOLE_PAGE) -> Column:
+    """Array of ``<li>`` bodies of every list that matches within the section."""
+    lists = F.regexp_extract_all(F.regexp_extract(_lit(html), section_pattern, 1), F.lit(list_pattern), F.lit(1))
+    return F.flatten(F.transform(lists, lambda body: F.regexp_extract_all(body, F.lit(r"(?s)<li[^>]*>(.*?)</li>"), F.lit(1))))
 
 
 def item_label(item: Column) -> Column:
@@ -93,11 +121,15 @@ def item_label(item: Column) -> Column:
 
 
 def item_hrefs(item: Column) -> Column:
-    return F.regexp_extract_all(item, F.lit(r"""<a[^>]*href\s*=\s*["']([^"']*)["']"""), F.lit(1))
+    quoted = F.regexp_extract_all(item, F.lit(r"""<a[^>]*\shref\s*=\s*("[^"]*"|'[^']*')"""), F.lit(1))
+    return F.transform(quoted, lambda q: unescape(F.substring(q, F.lit(2), F.length(q) - 2)))
 
 
 def explode_archive_index(
-    pages: DataFrame, list_pattern: str = ARCHIVE_LIST_PATTERN, keep: list[str] | None = None
+    pages: DataFrame,
+    list_pattern: str = ARCHIVE_LIST_PATTERN,
+    keep: list[str] | None = None,
+    section_pattern: str = ARCHIVE_SECTION_PATTERN,
 ) -> DataFrame:
     """One row per (station, link) from landed index pages.
 
@@ -107,12 +139,13 @@ def explode_archive_index(
     A narrow transformation: no shuffle.
     """
     keep = keep or []
-    items = pages.select(*keep, "url", F.posexplode(list_items("html", list_pattern)).alias("item_pos", "item"))
+    items = pages.select(*keep, "url", F.posexplode(list_items("html", list_pattern, section_pattern)).alias("item_pos", "item"))
+    label = unescape(item_label(F.col("item")))
     links = items.select(
         *keep,
         "url",
         "item_pos",
-        F.when(F.trim(item_label(F.col("item"))) != "", clean_buoy_id(item_label(F.col("item")))).alias("buoy_id"),
+        F.when(strip(label) != "", clean_buoy_id(label)).alias("buoy_id"),
         F.posexplode(item_hrefs(F.col("item"))).alias("link_pos", "href"),
     )
     out = links.withColumn("link", text_view_link("href"))

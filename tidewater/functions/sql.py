@@ -11,13 +11,3 @@ def literal(text: str) -> str:
 def ident(name: str) -> str:
     """A quoted column name."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def observed(observation, names: list[str]) -> dict:
-    """Metrics of an ``Observation`` after its action; zeros when the action
-    processed no rows (Spark then reports no metrics at all)."""
-    try:
-        got = dict(observation.get)
-    except Exception:  # noqa: BLE001 -- empty input: nothing was observed
-        got = {}
-    return {n: got.get(n) or 0 for n in names}

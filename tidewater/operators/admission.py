@@ -38,3 +38,8 @@ def admission_counts(deduped: DataFrame, load_year: str = "load_year") -> DataFr
         .agg(F.count(F.lit(1)).alias("rows_total"), F.count_if(ok).alias("rows_loaded"))
         .withColumn("rows_rejected", F.col("rows_total") - F.col("rows_loaded"))
     )
+
+
+def dimension_count(stations: DataFrame) -> DataFrame:
+    """One row: stations of the dimension (one row each)."""
+    return stations.agg(F.count(F.lit(1)).alias("stations"))

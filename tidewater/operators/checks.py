@@ -19,11 +19,6 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
-def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: count of NULLs per column (each must be 0)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols])
-
-
 def outside_year(ts: Column, year: Column) -> Column:
     low, high = year_bounds(year)
     return (ts < low) | (ts >= high)
@@ -33,20 +28,35 @@ def status_outside_domain(status: Column) -> Column:
     return status.isNull() | ~status.isin(*RUN_STATUSES)
 
 
+def _named(check: str, counted: DataFrame) -> DataFrame:
+    return counted.select(F.lit(check).alias("check"), "violations")
+
+
+def unique_check(df: DataFrame, keys: list[str]) -> DataFrame:
+    return _named("unique_key", duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("violations")))
+
+
+def not_null_check(df: DataFrame, cols: list[str]) -> DataFrame:
+    missing = F.lit(False)
+    for c in cols:
+        missing = missing | F.col(c).isNull()
+    return _named("not_null", df.agg(F.count_if(missing).alias("violations")))
+
+
+def year_range_check(df: DataFrame, ts: Column, year: Column) -> DataFrame:
+    return _named("in_year_range", df.agg(F.count_if(outside_year(ts, year)).alias("violations")))
+
+
+def status_check(df: DataFrame, status: Column) -> DataFrame:
+    return _named("status_domain", df.agg(F.count_if(status_outside_domain(status)).alias("violations")))
+
+
 def integrity_report(
     df: DataFrame, keys: list[str], not_null: list[str], ts_col: str, year_col: str
 ) -> DataFrame:
     """``(check, violations)`` rows for uniqueness, not-null and range."""
-    dup = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("unique_key").alias("check"), "violations"
-    )
-    nulls = df.agg(
-        F.count_if(F.greatest(*[F.col(c).isNull() for c in not_null])).alias("violations")
-    ).select(F.lit("not_null").alias("check"), "violations")
-    rng = df.agg(
-        F.count_if(outside_year(F.col(ts_col), F.col(year_col))).alias("violations")
-    ).select(F.lit("in_year_range").alias("check"), "violations")
-    return dup.unionByName(nulls).unionByName(rng)
+    report = unique_check(df, keys).unionByName(not_null_check(df, not_null))
+    return report.unionByName(year_range_check(df, F.col(ts_col), F.col(year_col)))
 
 
 def assert_clean(report: DataFrame) -> None:

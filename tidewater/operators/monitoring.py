@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.schema import ERROR_CLIP_CHARS, MAX_AGE_HOURS, RUN_STATUSES, STAGES, STALE_RUN_HOURS
+from tidewater.schema import ERROR_CLIP_CHARS, MAX_AGE_HOURS, STAGES, STALE_RUN_HOURS
 
 
 def _ts(value: dt.datetime | str | Column) -> Column:
@@ -135,10 +135,6 @@ def stats_json(stats: Column) -> Column:
     return F.to_json(stats)
 
 
-def valid_status(status: Column) -> Column:
-    return status.isin(*RUN_STATUSES)
-
-
 def health_report(
     spark: SparkSession,
     observations: DataFrame,
@@ -161,10 +157,10 @@ def health_report(
     p_fresh = fresh.select(
         F.lit(1).alias("seq"),
         F.lit("FRESHNESS").alias("check"),
-        F.when(F.col("newest").isNull(), F.lit("observations are empty"))
+        F.when(F.col("newest").isNull(), F.lit("no observation is published"))
         .when(
             F.col("age_hours") > F.lit(max_age_hours),
-            F.format_string("newest observation is over %dh old", F.lit(int(max_age_hours))),
+            F.format_string("latest instant lies more than %d hours back", F.lit(int(max_age_hours))),
         )
         .alias("detail"),
         F.col("age_hours").alias("value"),
@@ -180,11 +176,11 @@ def health_report(
     p_runs = wanted.join(latest, "stage", "left").select(
         F.lit(2).alias("seq"),
         F.lit("RUNS").alias("check"),
-        F.when(F.col("run_token").isNull(), F.format_string("no %s run has ever been recorded", F.col("stage")))
+        F.when(F.col("run_token").isNull(), F.format_string("stage %s was never run", F.col("stage")))
         .when(
             F.col("status") == "failed",
             F.concat(
-                F.lit("last "), F.col("stage"), F.lit(" run failed at "),
+                F.lit("stage "), F.col("stage"), F.lit(" failed in its latest run, begun "),
                 F.date_format(F.col("started_at"), "yyyy-MM-dd HH:mm:ss"),
             ),
         )
@@ -197,14 +193,14 @@ def health_report(
         F.lit("RUNS").alias("check"),
         F.when(
             F.col("n") > 0,
-            F.format_string("runs stuck in 'running' for over %dh", F.lit(int(stale_hours))),
+            F.format_string("unfinished for more than %d hours", F.lit(int(stale_hours))),
         ).alias("detail"),
         F.col("n").cast("double").alias("value"),
     )
     p_parts = partition_count(ledger_current).select(
         F.lit(4).alias("seq"),
         F.lit("SCHEMA").alias("check"),
-        F.when(F.col("partitions") == 0, F.lit("no year partitions published")).alias("detail"),
+        F.when(F.col("partitions") == 0, F.lit("the ledger names no year")).alias("detail"),
         F.col("partitions").cast("double").alias("value"),
     )
     return p_fresh.unionByName(p_runs).unionByName(p_stuck).unionByName(p_parts).where(F.col("detail").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.schema import COORDINATE_COLUMNS
@@ -42,3 +42,12 @@ def distinct_by_url(df: DataFrame, url_col: str = "url", order_cols: list[str] |
     others = [c for c in df.columns if c != url_col]
     first = F.min_by(F.struct(*others), F.struct(*order_cols)).alias("_first")
     return df.groupBy(url_col).agg(first).select(url_col, "_first.*")
+
+
+def page_counters() -> dict[str, Column]:
+    """Counters of scraped station pages, by the status of their position."""
+    return {
+        "stations": F.count(F.lit(1)),
+        "coordinates_missing": F.count_if(F.col("status") == "missing"),
+        "coordinates_unparseable": F.count_if(F.col("status") == "unparseable"),
+    }

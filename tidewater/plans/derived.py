@@ -246,3 +246,56 @@ def coordinate_rows_from_supplier(supplier: DataFrame) -> DataFrame:
         "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal / 100 END AS latitude",
         "CASE WHEN s_suppkey % 4 = 1 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) / 10 END AS longitude",
     )
+
+
+def odd_station_text_from_orders(orders: DataFrame) -> DataFrame:
+    """Landed station files, one per order, each with a trap (``o_orderkey % 5``):
+    a missing-value word as minute, a short line, an over-long line, a repeated
+    header name, a missing-value word in the first spelling of the year."""
+    day = "date_format(o_orderdate, 'MM dd')"
+    year = "CAST(year(o_orderdate) AS STRING)"
+    wdir, wspd = "CAST(o_custkey % 360 AS STRING)", "CAST(o_orderkey % 60 AS STRING)"
+    plain = ("#YY MM DD hh mm WDIR WSPD", "#yr mo dy hr mn degT m/s")
+    layouts = [
+        (*plain, f"{year}, {day}, '05', 'NA', {wdir}, {wspd}"),
+        (*plain, f"{year}, {day}, '05', '30', {wdir}"),
+        (*plain, f"{year}, {day}, '05', '30', {wdir}, {wspd}, '7'"),
+        ("#YY MM DD hh mm WDIR WDIR WSPD", "#yr mo dy hr mn degT degT m/s", f"{year}, {day}, '05', '30', {wdir}, '1', {wspd}"),
+        ("#YY YYYY MM DD hh mm WDIR WSPD", "#yr yr mo dy hr mn degT m/s", f"'null', {year}, {day}, '05', '30', {wdir}, {wspd}"),
+    ]
+    cases = " ".join(
+        f"WHEN {k} THEN concat({sql.literal(head)}, '\\n', {sql.literal(units)}, '\\n', concat_ws(' ', {line}), '\\n')"
+        for k, (head, units, line) in enumerate(layouts)
+    )
+    return orders.selectExpr(
+        "format_string('%05d', o_custkey) AS buoy_id",
+        f"{year} AS year",
+        "concat('e', CAST(o_orderkey AS STRING)) AS source_stem",
+        f"CASE o_orderkey % 5 {cases} END AS value",
+    )
+
+
+#: Stations of one derived index page.
+INDEX_BLOCK = 50
+
+
+def index_pages_from_orders(orders: DataFrame) -> DataFrame:
+    """Archive index pages ``(url, html)`` over all (customer, order year)
+    pairs, ``INDEX_BLOCK`` stations a page: even stations in a first list, odd
+    ones in a second, white space around ids, escaped links, both quote kinds,
+    and a list of another section that doesn't belong."""
+    pairs = orders.selectExpr("o_custkey AS station", "year(o_orderdate) AS y").distinct()
+    buoy = "format_string('%05d', station)"
+    href = f"concat('/download_data.php?dir=d/&amp;filename=', {buoy}, 'h', CAST(y AS STRING), '&#46;txt.gz')"
+    link = f"CASE WHEN y % 2 = 0 THEN concat('<a href=\"', {href}, '\">', y, '</a>') ELSE concat('<a class=z href=\\'', {href}, '\\'>', y, '</a>') END"
+    items = pairs.selectExpr("station", f"{link} AS link").groupBy("station").agg(F.concat_ws(" ", F.sort_array(F.collect_list("link"))).alias("links"))
+    item = items.selectExpr(
+        f"station DIV {INDEX_BLOCK} AS page", "station % 2 AS odd",
+        f"concat('<li>\\n\\t ', {buoy}, ': ', links, '</li>') AS item",
+    )
+    lists = item.groupBy("page").agg(*[F.concat_ws("\n", F.sort_array(F.collect_list(F.when(F.col("odd") == k, F.col("item"))))).alias(f"list{k}") for k in (0, 1)])
+    return lists.selectExpr(
+        "concat('https://example.org/index/', page) AS url",
+        "concat('<div><a class=c id=\\'stdmet\\'>x</a><ul class=\"histfiles\">', list0, '</ul><p>and</p><ul class=\\'histfiles\\'>', list1, "
+        "'</ul></div><div><a id=\"other\">y</a><ul class=\"histfiles\"><li>99999: <a href=\"/q?filename=zh1999.txt.gz\">1999</a></li></ul></div>') AS html",
+    )

@@ -12,41 +12,40 @@ from pyspark.sql import functions as F
 from tidewater.functions import coordinates as coords
 from tidewater.functions import links
 from tidewater.operators import incremental
-from tidewater.sinks import bronze as bronze_sink
-from tidewater.sinks.runs import RunTracker, crawl_status
+from tidewater.operators.stations import distinct_by_url
 from tidewater.session import configure
+from tidewater.sinks import bronze as bronze_sink
 from tidewater.sources import bronze
 from tidewater.sources.station_text import landed_station_files
 
 
 def landed_text_frame(responses: DataFrame) -> DataFrame:
     """``(url, buoy_id, value)`` responses -> ``(buoy_id, year, source_stem,
-    value)``, each URL once (the first by URL order is kept)."""
-    once = responses.dropDuplicates(["url"])
+    value)``, each URL once.
+
+    Of several responses for one URL the one of smallest text hash is kept, so
+    a rerun keeps the same. Only the hashes are compared across tasks: texts
+    move only for the URLs that really occur more than once.
+    """
+    keyed = responses.select("url", "buoy_id", "value", F.xxhash64("buoy_id", "value").alias("_key"))
+    per_url = keyed.groupBy("url").agg(F.min("_key").alias("_keep"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = per_url.select("url", "_keep")
+    single = keyed.join(repeated, "url", "left_anti")
+    several = keyed.join(repeated, "url").where(F.col("_key") == F.col("_keep")).dropDuplicates(["url"])
+    once = single.select("url", "buoy_id", "value").unionByName(several.select("url", "buoy_id", "value"))
     return links.with_source_identity(once, "url").select("buoy_id", "year", "source_stem", "value")
 
 
-MAX_BATCHES_PER_YEAR = 8
-
-
-def ingest_station_text(
-    spark: SparkSession, responses: DataFrame, bronze_root: str, max_batches: int = MAX_BATCHES_PER_YEAR
-) -> dict:
-    """Responses ``(buoy_id, url, value)`` -> one bronze batch; then compact
-    any year that has collected more than ``max_batches`` batches."""
+def ingest_station_text(spark: SparkSession, responses: DataFrame, bronze_root: str) -> dict:
+    """Responses ``(buoy_id, url, value)`` -> one bronze batch."""
     configure(spark)
-    counters = bronze_sink.write_bronze_observations(landed_text_frame(responses), bronze_root)
-    return {**counters, "compacted_years": sorted(bronze.compact_where_needed(spark, bronze_root, max_batches))}
+    return bronze_sink.write_bronze_observations(landed_text_frame(responses), bronze_root)
 
 
-def ingest_landed_files(
-    spark: SparkSession, landed_root: str, bronze_root: str, max_batches: int = MAX_BATCHES_PER_YEAR
-) -> dict:
-    """Landed files ``<landed_root>/buoy_id=<id>/<stem>.txt[.gz]`` -> one
-    bronze batch; then compact years over ``max_batches`` batches."""
+def ingest_landed_files(spark: SparkSession, landed_root: str, bronze_root: str) -> dict:
+    """Landed files ``<landed_root>/buoy_id=<id>/<stem>.txt[.gz]`` -> one bronze batch."""
     configure(spark)
-    counters = bronze_sink.write_bronze_observations(landed_station_files(spark, landed_root), bronze_root)
-    return {**counters, "compacted_years": sorted(bronze.compact_where_needed(spark, bronze_root, max_batches))}
+    return bronze_sink.write_bronze_observations(landed_station_files(spark, landed_root), bronze_root)
 
 
 def ingest_station_pages(spark: SparkSession, pages: DataFrame, bronze_root: str) -> dict:
@@ -60,38 +59,25 @@ def archive_links(index_pages: DataFrame) -> DataFrame:
     link). An index with no station entries means the page layout moved:
     that is an error, not an empty crawl (checked with one tiny job)."""
     out = links.explode_archive_index(index_pages)
-    if out.limit(1).count() == 0:
-        raise ValueError("no station entries matched the archive index layout")
-    missing = out.where(F.col("buoy_id").isNull()).limit(1).count()
-    if missing:
-        raise ValueError("an archive index entry has no station id")
+    found = out.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("buoy_id").isNull()).alias("unnamed")).first()
+    if not found["n"]:
+        raise ValueError("the archive index lists no station: has its layout changed?")
+    if found["unnamed"]:
+        raise ValueError(f"{found['unnamed']} links of the archive index stand under no station id")
     return out
 
 
 def plan_fetch(
     spark: SparkSession, index_pages: DataFrame, bronze_root: str, as_of_year: int, full_refresh: bool = False
 ) -> DataFrame:
-    """Links to fetch: every archive link minus closed years already in
-    bronze as readable files. Unknown years and the current year are always
-    fetched; ``full_refresh`` fetches everything."""
+    """(kind, buoy_id, year, source_stem, url) to fetch: every archive link minus
+    closed years already in bronze as readable files, and the page of each
+    station. Unknown years and the current year are always fetched;
+    ``full_refresh`` fetches everything."""
     configure(spark)
-    wanted = archive_links(index_pages).select("buoy_id", "year", "source_stem", F.col("link").alias("url"))
-    if bronze.has_dataset(spark, bronze_root, "observations"):
-        cache = bronze.current_sources(spark, bronze_root)
-    else:  # nothing landed yet
-        cache = spark.createDataFrame([], "buoy_id string, year string, source_stem string, usable boolean")
-    return incremental.fetch_plan(wanted, cache, as_of_year, full_refresh)
-
-
-def track_crawl(spark: SparkSession, root: str, finish_reason: str, stats: dict) -> str:
-    """Record a finished crawl in the run log (status from the reason)."""
-    tracker = RunTracker(spark, root, "scrape")
-    tracker.start()
-    status = crawl_status(finish_reason)
-    tracker.finish(
-        status,
-        rows_loaded=int(stats.get("item_scraped_count", 0)),
-        stats=stats,
-        error=None if status == "ok" else f"finish_reason={finish_reason}",
-    )
-    return tracker.token
+    listed = archive_links(index_pages)
+    wanted = listed.select("buoy_id", "year", "source_stem", F.col("link").alias("url"))
+    cache = bronze.current_sources(spark, bronze_root)
+    files = incremental.fetch_plan(wanted, cache, as_of_year, full_refresh).select(F.lit("observations").alias("kind"), "*")
+    pages = distinct_by_url(listed.select("buoy_id", F.col("station_url").alias("url")), "url", ["buoy_id"])
+    return files.unionByName(pages.select(F.lit("station_page").alias("kind"), "buoy_id", "url"), allowMissingColumns=True)

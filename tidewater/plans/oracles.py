@@ -451,24 +451,24 @@ latest AS (
 wanted AS (SELECT * FROM (VALUES ('scrape'), ('silver')) AS t(stage)),
 problems AS (
   SELECT 1 AS seq, 'FRESHNESS' AS "check",
-    CASE WHEN newest IS NULL THEN 'observations are empty'
-         WHEN age > 36.0 THEN 'newest observation is over 36h old' END AS detail,
+    CASE WHEN newest IS NULL THEN 'no observation is published'
+         WHEN age > 36.0 THEN 'latest instant lies more than 36 hours back' END AS detail,
     age AS value
   FROM fresh
   UNION ALL
   SELECT 2, 'RUNS',
-    CASE WHEN l.stage IS NULL THEN 'no ' || w.stage || ' run has ever been recorded'
-         WHEN l.status = 'failed' THEN 'last ' || w.stage || ' run failed at ' || strftime(l.started_at, '%Y-%m-%d %H:%M:%S') END,
+    CASE WHEN l.stage IS NULL THEN 'stage ' || w.stage || ' was never run'
+         WHEN l.status = 'failed' THEN 'stage ' || w.stage || ' failed in its latest run, begun ' || strftime(l.started_at, '%Y-%m-%d %H:%M:%S') END,
     CAST(NULL AS DOUBLE)
   FROM wanted w LEFT JOIN latest l ON w.stage = l.stage
   UNION ALL
-  SELECT 3, 'RUNS', CASE WHEN n > 0 THEN 'runs stuck in ''running'' for over 12h' END, CAST(n AS DOUBLE)
+  SELECT 3, 'RUNS', CASE WHEN n > 0 THEN 'unfinished for more than 12 hours' END, CAST(n AS DOUBLE)
   FROM (
     SELECT count(*) AS n FROM runs
     WHERE status = 'running' AND epoch_us(started_at) < epoch_us({_EVENTS_AS_OF}) - 43200000000
   )
   UNION ALL
-  SELECT 4, 'SCHEMA', CASE WHEN p = 0 THEN 'no year partitions published' END, CAST(p AS DOUBLE)
+  SELECT 4, 'SCHEMA', CASE WHEN p = 0 THEN 'the ledger names no year' END, CAST(p AS DOUBLE)
   FROM (SELECT count(DISTINCT year) AS p FROM current_ledger)
 )
 SELECT * FROM problems WHERE detail IS NOT NULL
@@ -491,7 +491,64 @@ SELECT 'status_domain', count(*) FILTER (
 FROM orders
 """
 
+# FLT5: the ledger and the cache are ignored.
+_CHANGED_FORCED = f"""
+SELECT year, {_fp('count(*)', 'max(mtime_us)')} AS bronze_fingerprint, 'forced' AS reason
+FROM (
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'unknown'
+              ELSE CAST(year(o_orderdate) AS VARCHAR) END AS year,
+    epoch_us(o_orderdate) + (o_orderkey % 86400) * 1000000 AS mtime_us
+  FROM orders
+)
+WHERE regexp_matches(year, '^[0-9]{{4}}$') GROUP BY year
+"""
+
+_FETCH_FULL = _FETCH_CTES + """SELECT buoy_id, year, source_stem, url FROM l
+"""
+
+# Expected rows straight from the orders: no text is written or read here.
+_DECODE_EDGES = """
+SELECT 'e' || CAST(o_orderkey AS VARCHAR) AS source_stem,
+  CASE WHEN o_orderkey % 5 = 2 THEN NULL
+       ELSE CAST(o_orderdate AS TIMESTAMP) + INTERVAL 5 HOUR
+         + CASE WHEN o_orderkey % 5 = 0 THEN INTERVAL 0 MINUTE ELSE INTERVAL 30 MINUTE END END AS datetime,
+  CASE WHEN o_orderkey % 5 = 2 THEN NULL ELSE CAST(o_custkey % 360 AS DOUBLE) END AS wind_direction,
+  CASE WHEN o_orderkey % 5 IN (0, 3, 4) THEN CAST(o_orderkey % 60 AS DOUBLE) END AS wind_speed,
+  o_orderkey % 5 = 2 AS flagged
+FROM orders
+"""
+
+_INDEX_PARSE = """
+SELECT DISTINCT printf('%05d', o_custkey) AS buoy_id, CAST(year(o_orderdate) AS VARCHAR) AS year,
+  printf('%05d', o_custkey) || 'h' || CAST(year(o_orderdate) AS VARCHAR) AS source_stem,
+  '/view_text_file.php?dir=d/&filename=' || printf('%05d', o_custkey) || 'h' || CAST(year(o_orderdate) AS VARCHAR) || '.txt.gz' AS link
+FROM orders
+"""
+
+_ERROR_CLIP = "SELECT doc_id, substr(text, 1, 4000) AS error FROM documents"
+
+_RUN_STATS = """
+SELECT user_id, '{"events":"' || CAST(count(*) AS VARCHAR) || '","newest_event":"' || CAST(max(event_id) AS VARCHAR) || '"}' AS stats
+FROM events GROUP BY user_id
+"""
+
+_DIMENSION_COUNT = f"SELECT count(*) AS stations FROM ({_DIMENSION})"
+
+_PAGE_COUNTERS = f"""
+SELECT count(*) AS stations, count(*) FILTER (WHERE status = 'missing') AS coordinates_missing,
+  count(*) FILTER (WHERE status = 'unparseable') AS coordinates_unparseable
+FROM ({_COORDINATE_PARSE})
+"""
+
 ORACLES: dict[str, str] = {
+    "decode_edge_cases": _DECODE_EDGES,
+    "archive_index_parse": _INDEX_PARSE,
+    "changed_years_forced": _CHANGED_FORCED,
+    "fetch_plan_full": _FETCH_FULL,
+    "error_clip": _ERROR_CLIP,
+    "run_stats_json": _RUN_STATS,
+    "dimension_count": _DIMENSION_COUNT,
+    "page_counters": _PAGE_COUNTERS,
     "station_text_decode": _DECODE,
     "sentinel_nullify": _SENTINEL,
     "dedup_keep_first": _DEDUP,

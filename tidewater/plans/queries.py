@@ -140,7 +140,7 @@ _ORDERS_YEAR_TEXT = (
 )
 
 
-def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changed_years(spark: SparkSession, sf_dir: str, force: bool = False) -> DataFrame:
     """JOIN2, FLT3, FLT5, SORT1: years to rebuild. The ledger holds the
     fingerprints of the bronze as it stood before the cut-off (each behind
     an older, stale row); the current bronze is the whole table."""
@@ -157,7 +157,12 @@ def changed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1999-01-01 00:00:00").cast("timestamp_ntz").alias("loaded_at"), F.lit("r1").alias("run_token"),
     ))
     latest = monitoring.ledger_latest(ledger)
-    return incremental.changed_years(current, latest).select("year", "bronze_fingerprint", "reason").orderBy("year")
+    return incremental.changed_years(current, latest, force=force).select("year", "bronze_fingerprint", "reason").orderBy("year")
+
+
+def changed_years_forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT5: with ``force`` every loadable year is rebuilt, whatever the ledger says."""
+    return changed_years(spark, sf_dir, force=True)
 
 
 def _links_and_cache(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -174,6 +179,12 @@ def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.fetch_plan(wanted, cache, ORDERS_AS_OF_YEAR).select("buoy_id", "year", "source_stem", "url")
 
 
+def fetch_plan_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT5: a full refresh fetches every link, cached or not."""
+    wanted, cache = _links_and_cache(spark, sf_dir)
+    return incremental.fetch_plan(wanted, cache, ORDERS_AS_OF_YEAR, full_refresh=True).select("buoy_id", "year", "source_stem", "url")
+
+
 def fetch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG9: links seen, skipped as already cached, left to fetch."""
     wanted, cache = _links_and_cache(spark, sf_dir)
@@ -204,7 +215,7 @@ def page_links_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC6, STR4-STR6, STR8, SET2: list links of every landed page, one row
     per distinct link (kept from the lowest page id)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    exploded = links.explode_archive_index(pages, NAV_LIST_PATTERN, keep=["page_id"])
+    exploded = links.explode_archive_index(pages, NAV_LIST_PATTERN, keep=["page_id"], section_pattern=links.WHOLE_PAGE)
     # Navigation items carry no station label; the page itself is the station.
     named = exploded.withColumn(
         "buoy_id", F.coalesce("buoy_id", F.format_string("%05d", F.col("page_id")))
@@ -299,23 +310,53 @@ def integrity_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CHK1-CHK4 over orders and lineitem: violations per check."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
-    unique = checks.duplicate_keys(o, ["o_custkey", "o_orderdate"]).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("unique_key").alias("check"), "violations"
-    )
-    nulls = li.agg(F.count_if(F.col("l_orderkey").isNull() | F.col("l_shipdate").isNull()).alias("violations")).select(
-        F.lit("not_null").alias("check"), "violations"
-    )
     joined = li.select("l_orderkey", "l_shipdate").join(
         o.select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("order_year")), "l_orderkey"
     )
-    rng = joined.agg(
-        F.count_if(checks.outside_year(F.col("l_shipdate").cast("timestamp_ntz"), F.col("order_year"))).alias("violations")
-    ).select(F.lit("in_year_range").alias("check"), "violations")
     status = F.when(F.col("o_orderstatus") == "F", "ok").when(F.col("o_orderstatus") == "O", "running").otherwise("pending")
-    dom = o.agg(F.count_if(checks.status_outside_domain(status)).alias("violations")).select(
-        F.lit("status_domain").alias("check"), "violations"
-    )
-    return unique.unionByName(nulls).unionByName(rng).unionByName(dom)
+    report = checks.unique_check(o, ["o_custkey", "o_orderdate"])
+    report = report.unionByName(checks.not_null_check(li, ["l_orderkey", "l_shipdate"]))
+    report = report.unionByName(checks.year_range_check(joined, F.col("l_shipdate").cast("timestamp_ntz"), F.col("order_year")))
+    return report.unionByName(checks.status_check(o, status))
+
+
+def decode_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1, PRJ3, PRJ4: missing-value words in date fields, short lines,
+    over-long lines (flagged), repeated header names (the first counts)."""
+    decoded = decode_station_text(derived.odd_station_text_from_orders(table(spark, sf_dir, "orders")))
+    typed = obs.normalize(decoded).select("source_stem", "datetime", "wind_direction", "wind_speed", F.lit(False).alias("flagged"))
+    flagged = decoded.where(F.col("decode_error").isNotNull()).select("source_stem", F.lit(True).alias("flagged"))
+    return typed.unionByName(flagged, allowMissingColumns=True)
+
+
+def archive_index_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR4-STR8: index pages with two lists, white space around ids, escaped
+    links and both kinds of quotes."""
+    pages = derived.index_pages_from_orders(table(spark, sf_dir, "orders"))
+    return links.explode_archive_index(pages).select("buoy_id", "year", "source_stem", "link")
+
+
+def error_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR9: NUL characters removed, then clipped to the log's length (the operator's limit)."""
+    dirty = F.concat(F.lit("\u0000"), F.replace("text", F.lit("e"), F.lit("e\u0000")))
+    return table(spark, sf_dir, "documents").select("doc_id", monitoring.clip_error(dirty).alias("error"))
+
+
+def run_stats_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON1: run statistics as JSON text."""
+    per_user = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("newest"))
+    stats = F.create_map(F.lit("events"), F.col("n").cast("string"), F.lit("newest_event"), F.col("newest").cast("string"))
+    return per_user.select("user_id", monitoring.stats_json(stats).alias("stats"))
+
+
+def dimension_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8: stations of the reloaded dimension."""
+    return admission.dimension_count(dimension_collapse(spark, sf_dir))
+
+
+def page_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG9: station pages seen, without and with an unreadable position."""
+    return coordinate_parse(spark, sf_dir).agg(*[c.alias(k) for k, c in stations.page_counters().items()])
 
 
 def _configured(fn: Query) -> Query:
@@ -357,6 +398,14 @@ _REGISTRY: dict[str, Query] = {
     "partition_count": partition_count,
     "health_report": health_report,
     "integrity_checks": integrity_checks,
+    "decode_edge_cases": decode_edge_cases,
+    "archive_index_parse": archive_index_parse,
+    "changed_years_forced": changed_years_forced,
+    "fetch_plan_full": fetch_plan_full,
+    "error_clip": error_clip,
+    "run_stats_json": run_stats_json,
+    "dimension_count": dimension_count,
+    "page_counters": page_counters,
 }
 
 QUERIES: dict[str, Query] = {name: _configured(fn) for name, fn in _REGISTRY.items()}

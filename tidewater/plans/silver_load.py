@@ -7,53 +7,60 @@ load year, so results equal a year-at-a-time load); only small metadata
 
 from __future__ import annotations
 
-import traceback
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 from tidewater.operators import incremental
 from tidewater.operators import observations as obs
-from tidewater.sinks import silver as publish
-from tidewater.sinks.runs import RunTracker
 from tidewater.session import configure
+from tidewater.sinks import silver as publish
+from tidewater.sinks.runs import recorded
 from tidewater.sources import bronze
 
 
 @dataclass
 class LoadReport:
-    years_loaded: list[str] = field(default_factory=list)
+    """What a load did, year by year."""
+
+    rows: dict[str, tuple[int, int]] = field(default_factory=dict)  # loaded, rejected
+    flagged: dict[str, int] = field(default_factory=dict)
     years_skipped: list[str] = field(default_factory=list)
     unusable_years: list[str] = field(default_factory=list)
-    rows: dict[str, tuple[int, int]] = field(default_factory=dict)
     coordinates: int = 0
     run_token: str = ""
 
+    @property
+    def years_loaded(self) -> list[str]:
+        return sorted(self.rows)
+
+    def figures(self) -> dict[str, int]:
+        loaded, rejected = (sum(v[k] for v in self.rows.values()) for k in (0, 1))
+        return {"rows_loaded": loaded, "years_loaded": len(self.rows), "rows_rejected": rejected}
+
     @property
     def rows_loaded(self) -> int:
-        return sum(v[0] for v in self.rows.values())
+        return self.figures()["rows_loaded"]
 
     @property
     def rows_rejected(self) -> int:
-        return sum(v[1] for v in self.rows.values())
+        return self.figures()["rows_rejected"]
 
 
 def plan_years(spark: SparkSession, bronze_root: str, silver_root: str, force: bool = False):
     """(years to load with their fingerprints, unchanged years, unusable
     years). Fingerprints are taken before any data is read, so a file that
     changes during the load is picked up by the next run."""
-    inventory = bronze.bronze_inventory(spark, bronze_root)
-    fps = incremental.year_fingerprints(inventory)
-    rows = fps.select("year", "bronze_fingerprint").collect()  # one row per year
-    unusable = sorted(r["year"] for r in rows if not r["year"].isdigit() or len(r["year"]) != 4)
-    current = spark.createDataFrame(
-        [(r["year"], r["bronze_fingerprint"]) for r in rows], "year string, bronze_fingerprint string"
-    )
-    ledger = publish.current_ledger(spark, silver_root)
-    changed = incremental.changed_years(current, ledger, force=force).orderBy("year").collect()
-    to_load = {r["year"]: r["bronze_fingerprint"] for r in changed}
-    skipped = sorted(r["year"] for r in rows if r["year"] not in to_load and r["year"] not in unusable)
-    return to_load, skipped, unusable
+    if not bronze.has_dataset(spark, bronze_root, "observations"):
+        return {}, [], []
+    current = incremental.year_fingerprints(bronze.bronze_inventory(spark, bronze_root))
+    found = current.withColumn("usable", incremental.is_loadable_year()).select("year", "bronze_fingerprint", "usable").collect()
+    unusable = sorted(r["year"] for r in found if not r["usable"])
+    # one row per year from here on
+    listed = spark.createDataFrame([(r["year"], r["bronze_fingerprint"]) for r in found if r["usable"]], "year string, bronze_fingerprint string")
+    changed = incremental.changed_years(listed, publish.current_ledger(spark, silver_root), force=force)
+    to_load = {r["year"]: r["bronze_fingerprint"] for r in changed.collect()}
+    return to_load, sorted(r["year"] for r in found if r["usable"] and r["year"] not in to_load), unusable
 
 
 def run_silver(
@@ -61,40 +68,21 @@ def run_silver(
 ) -> LoadReport:
     """Rebuild every changed year and the station dimension."""
     configure(spark)
-    tracker = RunTracker(spark, silver_root, "silver")
-    if track:
-        tracker.start()
-    report = LoadReport(run_token=tracker.token)
-    try:
+    report = LoadReport()
+    with recorded(spark, silver_root if track else None, "silver") as run:
+        report.run_token = run.token
         to_load, report.years_skipped, report.unusable_years = plan_years(spark, bronze_root, silver_root, force)
+        run.stats = {"unusable_years": report.unusable_years, "skipped": report.years_skipped}
         if not to_load and not report.years_skipped:
-            raise RuntimeError(f"no bronze observation years found under {bronze_root!r}")
+            raise FileNotFoundError(f"{bronze_root} holds no year of observations")
         if to_load:
             raw = bronze.read_bronze_observations(spark, bronze_root, years=list(to_load))
             typed = obs.dedup_keep_first(obs.normalize(raw), ["load_year"])
-            report.rows = publish.publish_years(spark, typed, silver_root, tracker.token, to_load)
-            report.years_loaded = sorted(to_load)
+            report.flagged = bronze.flagged_lines(spark, bronze_root, list(to_load))
+            report.rows = publish.publish_years(spark, typed, silver_root, run.token, to_load, report.flagged)
+        run.figures = report.figures()
         if bronze.has_dataset(spark, bronze_root, "coordinates"):
-            report.coordinates = publish.publish_coordinates(
-                spark, bronze.read_coordinates(spark, bronze_root), silver_root, tracker.token
-            )
+            positions = bronze.read_coordinates(spark, bronze_root)
+            report.coordinates = publish.publish_coordinates(spark, positions, silver_root, run.token)
         # else: no station pages landed yet; the published dimension (if any) stays.
-        if track:
-            tracker.finish(
-                "ok",
-                rows_loaded=report.rows_loaded,
-                years_loaded=len(report.years_loaded),
-                rows_rejected=report.rows_rejected,
-                stats={"unusable_years": report.unusable_years, "skipped": report.years_skipped},
-            )
-        return report
-    except Exception:
-        if track:
-            tracker.finish(
-                "failed",
-                rows_loaded=report.rows_loaded,
-                years_loaded=len(report.years_loaded),
-                rows_rejected=report.rows_rejected,
-                error=traceback.format_exc(),
-            )
-        raise
+    return report

@@ -147,6 +147,8 @@ LEDGER = T.StructType(
         T.StructField("bronze_fingerprint", T.StringType()),
         T.StructField("rows_loaded", T.LongType()),
         T.StructField("rows_rejected", T.LongType()),
+        T.StructField("rows_flagged", T.LongType()),
+        T.StructField("max_datetime", T.TimestampNTZType()),
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("path", T.StringType()),
         T.StructField("run_token", T.StringType()),

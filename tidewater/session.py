@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -55,20 +54,3 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (tests, local runs) do we point it at ``fallback_root`` (or a fresh
-    scratch folder) so ``DataFrame.checkpoint()`` works.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
-        return current
-    root = fallback_root or tempfile.mkdtemp(prefix="tidewater-ckpt-")
-    sc.setCheckpointDir(root)
-    return root

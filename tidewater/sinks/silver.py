@@ -1,25 +1,26 @@
 """Silver publishing: versioned year snapshots behind an append-only ledger.
 
-Each run writes its years under ``<silver>/observations/run=<token>/`` (one
-``load_year=<y>`` directory per year) in ONE job, then appends one ledger
-row per year. Readers resolve the current snapshot of every year from the
-ledger (latest row per year), so a reader sees a year's old snapshot or its
-new one, never a mix: the ledger append is the atomic switch. A crash before
-the append leaves the previous snapshot current. Old run directories stay
-until an explicit clean-up.
+Each run writes its years under ``<silver>/observations/run=<token>/`` in ONE
+job, checks what it wrote, then appends one ledger row per year. Readers
+resolve the current snapshot of every year from the ledger (latest row per
+year), so a reader sees a year's old snapshot or its new one, never a mix: the
+ledger append is the atomic switch. A crash or a failed check before the append
+leaves the previous snapshot current. Old run directories stay until an
+explicit clean-up.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.sql import observed
-from tidewater.operators import admission
+from tidewater.operators import admission, checks
 from tidewater.operators.monitoring import ledger_latest
 from tidewater.schema import LEDGER, OBSERVATION_COLUMNS, SILVER_COORDINATES, SILVER_OBSERVATIONS
+from tidewater.sinks import journal
+from tidewater.sources import paths
 
 OBSERVATIONS = "observations"
 COORDINATES = "coordinates"
@@ -30,12 +31,8 @@ def ledger_path(silver_root: str) -> str:
 
 
 def read_ledger(spark: SparkSession, silver_root: str) -> DataFrame:
-    """All ledger rows (empty frame before the first publish)."""
-    path = ledger_path(silver_root)
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except Exception:  # no ledger yet
-        return spark.createDataFrame([], LEDGER)
+    """All ledger rows (no rows before the first publish)."""
+    return journal.read(spark, ledger_path(silver_root), LEDGER)
 
 
 def current_ledger(spark: SparkSession, silver_root: str, dataset: str = OBSERVATIONS) -> DataFrame:
@@ -47,7 +44,7 @@ def current_ledger(spark: SparkSession, silver_root: str, dataset: str = OBSERVA
 def append_ledger(spark: SparkSession, silver_root: str, rows: list[tuple]) -> None:
     """Append ledger rows (one per year published: a few dozen at most)."""
     if rows:
-        spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(ledger_path(silver_root))
+        journal.append(spark, ledger_path(silver_root), spark.createDataFrame(rows, LEDGER))
 
 
 def publish_years(
@@ -56,127 +53,131 @@ def publish_years(
     silver_root: str,
     run_token: str,
     fingerprints: dict[str, str],
+    flagged: dict[str, int] | None = None,
 ) -> dict[str, tuple[int, int]]:
-    """Write admitted rows of every year in ``fingerprints`` as new
-    snapshots and point the ledger at them. Returns ``{year: (loaded,
-    rejected)}``.
+    """Write the rows of every year in ``fingerprints`` as new snapshots, check
+    them, and point the ledger at them. Returns ``{year: (loaded, rejected)}``.
 
-    Totals come from the same job as the write: an ``Observation`` with two
-    conditional counts per year (a few dozen years at most), evaluated in
-    the writing stage, so the transform runs once.
+    Rows are range-partitioned by (year, station, instant), so a year is a few
+    files of adaptive size, each a range of stations, whatever the number of
+    tasks. Rejected rows are written beside the admitted ones: the counts come
+    from what was written, through ``admission_counts``.
     """
     years = sorted(fingerprints)
-    ok = admission.admissible("load_year")
-    metrics = []
-    for y in years:
-        in_year = F.col("load_year") == F.lit(y)
-        metrics.append(F.count_if(in_year).alias(f"total_{y}"))
-        metrics.append(F.count_if(in_year & ok).alias(f"loaded_{y}"))
-    counters = Observation(f"publish_{run_token}")
-    scoped = typed_deduped.where(F.col("load_year").isin(years))
-    watched = scoped.observe(counters, *metrics) if metrics else scoped
     out = f"{silver_root.rstrip('/')}/{OBSERVATIONS}/run={run_token}"
-    (
-        watched.where(ok)
-        .select(*OBSERVATION_COLUMNS, "load_year")
-        # Local sort only (no shuffle): files ordered by station and instant
-        # carry tight min/max statistics, so readers filtering on buoy_id or
-        # datetime skip row groups.
-        .sortWithinPartitions("load_year", "buoy_id", "datetime")
-        .write.mode("errorifexists")
-        .partitionBy("load_year")
-        .parquet(out)
+    scoped = typed_deduped.where(F.col("load_year").isin(years))
+    shaped = scoped.select(*OBSERVATION_COLUMNS, "load_year", admission.admissible("load_year").alias("admitted"))
+    order = ["load_year", "buoy_id", "datetime"]
+    shaped.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").partitionBy("load_year", "admitted").parquet(out)
+    snapshot = spark.read.schema(f"{_ddl()}, load_year string, admitted boolean").option("basePath", out).parquet(out)
+    counted = {
+        r["load_year"]: r
+        for r in admission.admission_counts(snapshot).join(
+            snapshot.where("admitted").groupBy("load_year").agg(F.max("datetime").alias("newest")), "load_year", "left"
+        ).collect()
+    }
+    checks.assert_clean(
+        checks.integrity_report(snapshot.where("admitted"), ["load_year", "buoy_id", "datetime"], ["buoy_id", "datetime"], "datetime", "load_year")
     )
-    got = observed(counters, [m for y in years for m in (f"total_{y}", f"loaded_{y}")]) if metrics else {}
     now = dt.datetime.now(dt.timezone.utc)
     result, rows = {}, []
     for y in years:
-        total, loaded = int(got.get(f"total_{y}", 0)), int(got.get(f"loaded_{y}", 0))
-        result[y] = (loaded, total - loaded)
-        rows.append((int(y), fingerprints[y], loaded, total - loaded, now, f"{out}/load_year={y}", run_token, OBSERVATIONS))
+        found = counted.get(y)
+        loaded, rejected = (found["rows_loaded"], found["rows_rejected"]) if found else (0, 0)
+        result[y] = (loaded, rejected)
+        newest = found["newest"] if found else None
+        rows.append((int(y), fingerprints[y], loaded, rejected, (flagged or {}).get(y, 0), newest, now, f"{out}/load_year={y}/admitted=true", run_token, OBSERVATIONS))
     append_ledger(spark, silver_root, rows)
     return result
 
 
+def _ddl() -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER_OBSERVATIONS.fields)
+
+
 def publish_coordinates(spark: SparkSession, coordinates: DataFrame, silver_root: str, run_token: str) -> int:
     """New dimension snapshot + pointer row; readers never see it empty."""
-    counters = Observation(f"coordinates_{run_token}")
     out = f"{silver_root.rstrip('/')}/{COORDINATES}/run={run_token}"
-    coordinates.select(*SILVER_COORDINATES.fieldNames()).observe(
-        counters, F.count(F.lit(1)).alias("rows")
-    ).write.mode("errorifexists").parquet(out)
-    n = int(observed(counters, ["rows"])["rows"])
-    append_ledger(
-        spark, silver_root, [(0, "", n, 0, dt.datetime.now(dt.timezone.utc), out, run_token, COORDINATES)]
-    )
+    coordinates.select(*SILVER_COORDINATES.fieldNames()).write.mode("errorifexists").parquet(out)
+    n = admission.dimension_count(spark.read.schema(SILVER_COORDINATES).parquet(out)).first()["stations"]
+    append_ledger(spark, silver_root, [(0, "", n, 0, 0, None, dt.datetime.now(dt.timezone.utc), out, run_token, COORDINATES)])
     return n
 
 
-def read_published_observations(spark: SparkSession, silver_root: str, year: int | None = None) -> DataFrame:
-    """Current snapshot of every published year (or one year).
-
-    Only the pointers (one per year) reach the driver; the data is read by
-    the executors. A year whose snapshot admitted no rows is empty.
+def read_published_observations(
+    spark: SparkSession,
+    silver_root: str,
+    year: int | None = None,
+    start: dt.datetime | None = None,
+    end: dt.datetime | None = None,
+) -> DataFrame:
+    """Current snapshot of every published year, of one year, or of the
+    instants in ``[start, end)``: only the years that can hold them are opened.
+
+    Only the pointers (one per year) reach the driver; the data is read by the
+    executors. A pointer whose files are gone raises, unless its year admitted
+    no row at all.
     """
     cur = current_ledger(spark, silver_root)
     if year is not None:
         cur = cur.where(F.col("year") == int(year))
-    paths = [r["path"] for r in cur.where(F.col("rows_loaded") > 0).select("path").collect()]
-    if not paths:
+    if start is not None:
+        cur = cur.where(F.col("year") >= start.year)
+    if end is not None:
+        last = end - dt.timedelta(microseconds=1)
+        cur = cur.where(F.col("year") <= last.year)
+    held = [r["path"] for r in cur.select("path", "rows_loaded").collect() if r["rows_loaded"] or paths.exists(spark, r["path"])]
+    if not held:
         return spark.createDataFrame([], SILVER_OBSERVATIONS)
-    return spark.read.schema(SILVER_OBSERVATIONS).parquet(*paths).select(*OBSERVATION_COLUMNS)
+    rows = spark.read.schema(SILVER_OBSERVATIONS).parquet(*held).select(*OBSERVATION_COLUMNS)
+    if start is not None:
+        rows = rows.where(F.col("datetime") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        rows = rows.where(F.col("datetime") < F.lit(end).cast("timestamp_ntz"))
+    return rows
+
+
+def published_newest(spark: SparkSession, silver_root: str) -> DataFrame:
+    """(datetime) newest instant of each published year, from the ledger: what a
+    freshness check needs, without opening the fact."""
+    return current_ledger(spark, silver_root).select(F.col("max_datetime").alias("datetime"))
 
 
 def read_published_coordinates(spark: SparkSession, silver_root: str) -> DataFrame:
     cur = current_ledger(spark, silver_root, COORDINATES)
-    paths = [r["path"] for r in cur.select("path").collect()]
-    if not paths:
+    held = [r["path"] for r in cur.select("path").collect()]
+    if not held:
         return spark.createDataFrame([], SILVER_COORDINATES)
-    return spark.read.schema(SILVER_COORDINATES).parquet(*paths)
+    return spark.read.schema(SILVER_COORDINATES).parquet(*held)
 
 
 def superseded_snapshots(spark: SparkSession, silver_root: str) -> DataFrame:
-    """Snapshot directories no reader resolves any more (every ledger row
-    that is not the latest for its dataset and year). The explicit clean-up
-    step deletes these; nothing is removed automatically."""
-    rows = read_ledger(spark, silver_root)
-    current = (
-        rows.groupBy("dataset", "year")
-        .agg(F.max_by("path", F.struct("loaded_at", "run_token")).alias("path"))
-        .select("path")
-    )
-    return rows.select("dataset", "year", "path", "run_token").join(current, "path", "left_anti")
+    """Snapshots no reader resolves any more, with the time they were replaced
+    (the next ledger row of their dataset and year)."""
+    order = Window.partitionBy("dataset", "year").orderBy("loaded_at", "run_token")
+    rows = read_ledger(spark, silver_root).withColumn("replaced_at", F.lead("loaded_at").over(order))
+    return rows.where("replaced_at is not null").select("dataset", "year", "path", "run_token", "replaced_at")
 
 
 def vacuum_snapshots(spark: SparkSession, silver_root: str, grace_hours: float = 24.0, now=None) -> list[str]:
-    """Delete snapshot directories that were superseded more than
-    ``grace_hours`` ago (readers that resolved the old pointer have long
-    finished). The ledger rows stay as history. Returns the removed paths.
+    """Delete snapshots replaced more than ``grace_hours`` ago, and folders of
+    runs that old which never reached the ledger (crashed or failed their
+    checks). The ledger rows stay as history. Returns the removed paths.
 
-    The ledger is small (one row per year per load), so the superseding
-    time of each row is a window over it; only the resulting paths reach
-    the driver, which deletes them through the Hadoop file system API.
+    The ledger is small (one row per year per load): only paths reach the driver.
     """
-    from pyspark.sql import Window
-
-    ledger = read_ledger(spark, silver_root)
-    order = Window.partitionBy("dataset", "year").orderBy("loaded_at", "run_token")
     cutoff = (now or dt.datetime.now(dt.timezone.utc)) - dt.timedelta(hours=grace_hours)
-    superseded = (
-        ledger.withColumn("_replaced_at", F.lead("loaded_at").over(order))
-        .where(F.col("_replaced_at").isNotNull() & (F.col("_replaced_at") < F.lit(cutoff)))
-        .select("path")
-        .distinct()
-    )
-    current = {r["path"] for r in ledger.groupBy("dataset", "year").agg(
-        F.max_by("path", F.struct("loaded_at", "run_token")).alias("path")).collect()}
-    paths = [r["path"] for r in superseded.collect() if r["path"] not in current]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    return paths
+    old = superseded_snapshots(spark, silver_root).where(F.col("replaced_at") < F.lit(cutoff))
+    removed = sorted({r["path"] for r in old.select("path").collect() if paths.exists(spark, r["path"])})
+    known = {r["run_token"] for r in read_ledger(spark, silver_root).select("run_token").distinct().collect()}
+    for dataset in (OBSERVATIONS, COORDINATES):
+        base = f"{silver_root.rstrip('/')}/{dataset}"
+        for name, changed in paths.children(spark, base):
+            if name.startswith("run=") and name.removeprefix("run=") not in known and changed / 1000 < cutoff.timestamp():
+                removed.append(f"{base}/{name}")
+    for path in removed:
+        paths.delete(spark, path)
+    return removed
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:

@@ -2,8 +2,9 @@
 
 Bronze layout (written by ``tidewater.sinks.bronze``)::
 
-    <root>/observations/year=<yyyy|unknown>/batch=<ingest id>/*.parquet
-    <root>/coordinates/*.parquet          (one table, appended per ingest batch)
+    <root>/observations/batch=<ingest id>/year=<yyyy|unknown>/*.parquet
+    <root>/manifests/batch=<ingest id>/*.parquet     (one row per source; commits the batch)
+    <root>/coordinates/batch=<ingest id>/*.parquet
 
 Every partition value is text: the session turns partition type inference
 off, and the readers pass explicit schemas, so ``0041`` stays ``0041``.
@@ -12,6 +13,7 @@ off, and the readers pass explicit schemas, so ``0041`` stays ``0041``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,110 +22,86 @@ from pyspark.sql import functions as F
 from tidewater.operators import observations as obs
 from tidewater.operators.stations import collapse_coordinates
 from tidewater.schema import BRONZE_COORDINATES, BRONZE_OBSERVATIONS
+from tidewater.sources import paths
+
+SOURCE_KEY = ["year", "buoy_id", "source_stem"]
+_MANIFEST = "buoy_id string, source_stem string, year string, lines_flagged bigint, batch string"
+#: Superseded source versions (a few short texts each) that are sent to the
+#: tasks; beyond that count the anti-join is left to the planner.
+BROADCAST_VERSIONS = 200_000
+
 
 def observations_path(root: str) -> str:
     return f"{root.rstrip('/')}/observations"
 
 
+def manifests_path(root: str) -> str:
+    return f"{root.rstrip('/')}/manifests"
+
+
 def coordinates_path(root: str) -> str:
     return f"{root.rstrip('/')}/coordinates"
 
 
 def has_dataset(spark: SparkSession, root: str, dataset: str) -> bool:
     """Whether ``<root>/<dataset>`` exists (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{dataset}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(path))
+    return paths.exists(spark, f"{root.rstrip('/')}/{dataset}")
 
 
-_SOURCE_KEY = ["year", "buoy_id", "source_stem"]
+def read_manifests(spark: SparkSession, root: str, years: list[str] | None = None) -> DataFrame:
+    """(year, buoy_id, source_stem, lines_flagged, batch) of every committed
+    source version: one small row per source and batch."""
+    path = manifests_path(root)
+    df = spark.read.schema(_MANIFEST).option("basePath", path).parquet(path)
+    return df if years is None else df.where(F.col("year").isin([str(y) for y in years]))
 
 
-def read_bronze_batches(
-    spark: SparkSession, root: str, year: str | None = None, years: list[str] | None = None
-) -> DataFrame:
-    """Every bronze row of every batch (superseded versions included).
-    ``year`` / ``years`` are partition filters: only those years'
-    directories are listed and read."""
-    path = observations_path(root)
-    df = spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", path).parquet(path)
-    if year is not None:
-        df = df.where(F.col("year") == F.lit(str(year)))
-    if years is not None:
-        df = df.where(F.col("year").isin([str(y) for y in years]))
-    return df
-
-
-def superseded_versions(batches: DataFrame) -> DataFrame:
+def superseded_versions(manifests: DataFrame) -> DataFrame:
     """(year, buoy_id, source_stem, batch) of every source version that a
-    later batch replaced. Reads only the key columns; one aggregate per
-    source (partial map-side: the batch set per source is tiny, and kept so
-    by ``compact_bronze``); the result holds only re-fetched sources."""
-    per_source = batches.groupBy(*_SOURCE_KEY).agg(
-        F.max("batch").alias("_newest"), F.collect_set("batch").alias("_batches")
-    )
-    return per_source.select(
-        *_SOURCE_KEY, F.explode(F.array_remove("_batches", F.col("_newest"))).alias("batch")
-    )
+    later batch replaced, from the manifests alone."""
+    newest = manifests.groupBy(*SOURCE_KEY).agg(F.max("batch").alias("_newest"))
+    return manifests.join(newest, SOURCE_KEY).where(F.col("batch") < F.col("_newest")).select(*SOURCE_KEY, "batch")
 
 
 def read_bronze_observations(
     spark: SparkSession, root: str, year: str | None = None, years: list[str] | None = None
 ) -> DataFrame:
-    """Current bronze rows: each source's newest batch only. The year
-    filters apply to both the data and the superseded-version side."""
-    batches = read_bronze_batches(spark, root, year, years)
-    return batches.join(superseded_versions(batches), [*_SOURCE_KEY, "batch"], "left_anti")
+    """Current bronze rows: each source's newest committed batch only.
+
+    ``year`` / ``years`` are partition filters. Without re-fetched sources the
+    plan is a plain scan; else the (counted) superseded versions are dropped by
+    an anti-join that leaves the bronze rows where they are.
+    """
+    wanted = [str(year)] if year is not None else years
+    batches = [n.removeprefix("batch=") for n, _ in paths.children(spark, manifests_path(root)) if n.startswith("batch=")]
+    if not batches:
+        return spark.createDataFrame([], BRONZE_OBSERVATIONS)
+    path = observations_path(root)
+    df = spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches])
+    if wanted is not None:
+        df = df.where(F.col("year").isin([str(y) for y in wanted]))
+    if len(batches) == 1:
+        return df
+    old = superseded_versions(read_manifests(spark, root, wanted))
+    n = old.count()
+    if not n:
+        return df
+    return df.join(F.broadcast(old) if n <= BROADCAST_VERSIONS else old, [*SOURCE_KEY, "batch"], "left_anti")
 
 
 def current_sources(spark: SparkSession, root: str) -> DataFrame:
     """``(buoy_id, year, source_stem, batch, usable)`` of every source file
-    held in bronze. Files appear only on job commit, so they are readable."""
-    batches = read_bronze_batches(spark, root)
-    versions = batches.select(*_SOURCE_KEY, "batch").distinct()
-    return versions.groupBy(*_SOURCE_KEY).agg(F.max("batch").alias("batch")).withColumn("usable", F.lit(True))
-
-
-def compact_where_needed(spark: SparkSession, root: str, max_batches: int = 8) -> dict[str, dict]:
-    """Compact every year holding more than ``max_batches`` batches, so the
-    superseded-version set read by every silver load stays bounded (about
-    ``max_batches`` crawls of re-fetched sources). Decided from the file
-    listing alone; returns the counters per compacted year."""
-    if not has_dataset(spark, root, "observations"):
-        return {}
-    counts = (
-        bronze_inventory(spark, root)
-        .groupBy("year")
-        .agg(F.countDistinct("batch").alias("batches"))
-        .where(F.col("batches") > max_batches)
-        .collect()
-    )
-    return {r["year"]: compact_bronze(spark, root, r["year"]) for r in counts}
-
-
-def compact_bronze(spark: SparkSession, root: str, year: str) -> dict:
-    """Rewrite one year's current rows as a single batch, then drop the
-    batch directories it read. Until the drop, the new batch already
-    supersedes every version it holds, so readers see the same rows
-    throughout; a crash in between only leaves extra superseded files.
+    held in bronze. A batch is committed after its files, so they are readable."""
+    if not paths.exists(spark, manifests_path(root)):
+        return spark.createDataFrame([], "year string, buoy_id string, source_stem string, batch string, usable boolean")
+    return read_manifests(spark, root).groupBy(*SOURCE_KEY).agg(F.max("batch").alias("batch")).withColumn("usable", F.lit(True))
 
-    The new batch id is the newest id read plus a suffix: it sorts after
-    everything it rewrites and before any batch ingested meanwhile, so a
-    concurrent ingest is never overridden by the older rows."""
-    from tidewater.sinks.bronze import write_bronze_frame
 
-    old_batches = [r["batch"] for r in read_bronze_batches(spark, root, year).select("batch").distinct().collect()]
-    if not old_batches:
-        return {"rows_written": 0, "lines_flagged": 0, "batches_removed": 0}
-    new_batch = max(old_batches) + "c"
-    counters = write_bronze_frame(read_bronze_observations(spark, root, year).drop("batch"), root, new_batch)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for b in old_batches:
-        path = jvm.org.apache.hadoop.fs.Path(f"{observations_path(root)}/year={year}/batch={b}")
-        path.getFileSystem(conf).delete(path, True)
-    return {**counters, "batches_removed": len(old_batches)}
+def flagged_lines(spark: SparkSession, root: str, years: list[str]) -> dict[str, int]:
+    """Lines per year that the decoder flagged in the current source versions."""
+    held = read_manifests(spark, root, years)
+    newest = held.groupBy(*SOURCE_KEY).agg(F.max_by("lines_flagged", "batch").alias("n"))
+    return {r["year"]: int(r["n"]) for r in newest.groupBy("year").agg(F.sum("n").alias("n")).collect()}
 
 
 def read_bronze_coordinates(spark: SparkSession, root: str) -> DataFrame:
@@ -175,23 +153,31 @@ def bronze_inventory(spark: SparkSession, root: str, dataset: str = "observation
 _PROBE_SCHEMA = "path string, usable boolean, num_columns int, schema_signature string"
 
 
-def _probe_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+@contextmanager
+def open_parquet(path: str):
+    """A Parquet file of any file system that Arrow knows, opened in a task."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
+    uri = "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
+    fs, inner = pafs.FileSystem.from_uri(uri)
+    with fs.open_input_file(inner) as handle:
+        yield pq.ParquetFile(handle)
+
+
+def _probe_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
+
     for batch in batches:
         out = []
         for p in batch["path"]:
             try:
-                uri = "file://" + p[len("file:"):] if p.startswith("file:/") and not p.startswith("file://") else p
-                fs, inner = pafs.FileSystem.from_uri(uri)
-                with fs.open_input_file(inner) as fh:
-                    meta = pq.ParquetFile(fh).metadata
-                    schema = meta.schema.to_arrow_schema()
-                ncols = meta.num_columns
-                sig = ",".join(f"{f.name}:{f.type}" for f in schema)
-                out.append((p, ncols > 0, ncols, sig))
-            except Exception:  # absent, truncated, not Parquet: all mean "fetch again"
+                with open_parquet(p) as file:
+                    schema = file.schema_arrow
+                    out.append((p, len(schema) > 0, len(schema), ",".join(f"{f.name}:{f.type}" for f in schema)))
+            except (FileNotFoundError, pa.ArrowInvalid):
+                # absent, cut off, not Parquet: "fetch again"; any other error
+                # (storage, permission) says nothing about the file and raises
                 out.append((p, False, 0, None))
         yield pd.DataFrame(out, columns=["path", "usable", "num_columns", "schema_signature"])
 
@@ -200,5 +186,6 @@ def probe_usable(inventory: DataFrame) -> DataFrame:
     """Per file: readable footer with at least one column -> usable. A
     header-only file (zero rows) is usable. Footers are read in the tasks,
     in Arrow batches; the inventory is partitioned like any other table."""
+    kept = [f for f in inventory.schema.fields if f.name != "path"]
     probed = inventory.select("path").mapInPandas(_probe_footers, _PROBE_SCHEMA)
-    return inventory.join(probed, "path", "left")
+    return inventory.join(probed, "path", "left") if kept else probed

@@ -7,123 +7,88 @@ with month ``MM`` and minute ``mm`` side by side. Such files cannot be read
 in one scan: schema merge fails on the type drift, and ``MM``/``mm`` collide
 under case-insensitive resolution.
 
-So the conversion is a job per *schema group*: files are grouped by their
-footer signature (read in the tasks by ``probe_usable``), each group is read
-with case-sensitive resolution and every column cast to text, and the groups
-are unioned by name and written once. Case sensitivity stays on through the
-write, and is restored afterwards. Only the signatures and file lists (file
-metadata, one entry per file) pass through the driver.
+So each task opens the files of its part of the inventory, turns every column
+into text and yields bronze rows: one job whatever the number of files or
+schemas, and no file list passes through the driver.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.schema import MEASUREMENT_NAMES, STRUCTURAL_COLUMNS
+from tidewater.schema import BRONZE_OBSERVATIONS, MEASUREMENT_NAMES, STRUCTURAL_COLUMNS
 from tidewater.session import configure
-from tidewater.sinks.bronze import write_bronze_frame
-from tidewater.sources.bronze import bronze_inventory, probe_usable
-
-_STEM = r"([^/]+)\.parquet$"
-
-
-def legacy_file_groups(spark: SparkSession, legacy_root: str) -> dict[str, list[str]]:
-    """Readable legacy files grouped by footer signature; unusable files
-    (zero columns, truncated) are left out, as the reference would refetch them."""
-    probed = probe_usable(bronze_inventory(spark, legacy_root))
-    rows = probed.where("usable").select("schema_signature", "path").collect()
-    groups: dict[str, list[str]] = {}
-    for r in rows:
-        groups.setdefault(r["schema_signature"], []).append(r["path"])
-    return groups
-
-
-def _as_bronze(df: DataFrame) -> DataFrame:
-    names = set(df.columns)
-    cols = []
-    for raw, target in STRUCTURAL_COLUMNS.items():
-        cols.append((F.col(f"`{raw}`").cast("string") if raw in names else F.lit(None).cast("string")).alias(target))
-    for raw in MEASUREMENT_NAMES:
-        cols.append((F.col(f"`{raw}`").cast("string") if raw in names else F.lit(None).cast("string")).alias(raw))
-    return df.select(
-        (F.col("_metadata.row_index") + 1).cast("int").alias("line_no"),
-        *cols,
-        F.lit(None).cast("map<string,string>").alias("extra"),
-        F.lit(None).cast("string").alias("decode_error"),
-        F.col("buoy_id").cast("string").alias("buoy_id"),
-        F.col("year").cast("string").alias("year"),
-        F.regexp_extract(F.col("_metadata.file_path"), _STEM, 1).alias("source_stem"),
-    )
-
-
-def _header_rows(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """Row 0 of every file in a schema group: its header (the column names),
-    as the decoder keeps it for landed text. A header-only file therefore
-    stays present in bronze (and is not fetched again)."""
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    present = set(columns)
-
-    def name_or_null(raw: str):
-        return (F.lit(raw) if raw in present else F.lit(None).cast("string")).alias(
-            STRUCTURAL_COLUMNS.get(raw, raw)
-        )
-
-    return files.select(
-        F.lit(0).alias("line_no"),
-        *[name_or_null(raw) for raw in STRUCTURAL_COLUMNS],
-        *[name_or_null(raw) for raw in MEASUREMENT_NAMES],
-        F.lit(None).cast("map<string,string>").alias("extra"),
-        F.lit(None).cast("string").alias("decode_error"),
-        F.regexp_extract("path", r"buoy_id=([^/]+)", 1).alias("buoy_id"),
-        F.regexp_extract("path", r"year=([^/]+)", 1).alias("year"),
-        F.regexp_extract("path", _STEM, 1).alias("source_stem"),
-    )
-
-
-def _signature_columns(signature: str) -> list[str]:
-    return [field.rsplit(":", 1)[0] for field in signature.split(",") if field]
+from tidewater.sinks.bronze import write_bronze_coordinates, write_bronze_frame
+from tidewater.sources.bronze import bronze_inventory, open_parquet, probe_usable
+
+#: Header name -> bronze column.
+_COLUMNS = {**STRUCTURAL_COLUMNS, **{m: m for m in MEASUREMENT_NAMES}}
+_PATH = re.compile(r"buoy_id=([^/]+)/year=([^/]+)/([^/]+)\.parquet$")
+_ROWS_SCHEMA = "buoy_id string, source_stem string, line_no int, " + ", ".join(f"`{c}` string" for c in _COLUMNS.values()) + ", year string"
+
+
+def _as_text(values: pa.Array, whole: bool) -> pa.Array:
+    """Text of a column. A date or time field that the file typed as a float
+    (one short line is enough) holds whole numbers: ``30.0`` is minute 30."""
+    if pa.types.is_floating(values.type):
+        values = pc.if_else(pc.is_nan(values), pa.scalar(None, values.type), values)
+        text = values.cast(pa.string())
+        if whole:
+            integral = pc.equal(values, pc.floor(values))
+            return pc.if_else(integral, pc.if_else(integral, values, 0).cast(pa.int64()).cast(pa.string()), text)
+        return text
+    return values.cast(pa.string())
+
+
+def _file_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bronze rows of every listed file: its header as row 0, then its rows."""
+    names = ["buoy_id", "source_stem", "line_no", *_COLUMNS.values(), "year"]
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            buoy, year, stem = _PATH.search(path).groups()
+            with open_parquet(path) as file:
+                present = set(file.schema_arrow.names)
+                at = 0
+                header = [[h if h in present else None] for h in _COLUMNS]
+                parts = [(1, [pa.array(v, pa.string()) for v in header])]
+                for rows in file.iter_batches():
+                    texts = [_as_text(rows.column(h), h in STRUCTURAL_COLUMNS) if h in present else pa.nulls(rows.num_rows, pa.string()) for h in _COLUMNS]
+                    parts.append((rows.num_rows, texts))
+            for n, texts in parts:
+                fixed = [pa.array([v] * n, pa.string()) for v in (buoy, stem, year)]
+                lines = pa.array(range(at, at + n), pa.int32())
+                at += n
+                yield pa.RecordBatch.from_arrays([fixed[0], fixed[1], lines, *texts, fixed[2]], names)
 
 
 def convert_legacy_bronze(spark: SparkSession, legacy_root: str, bronze_root: str) -> dict:
-    """Rewrite a legacy bronze tree as text-typed bronze. Returns counters."""
+    """Rewrite a legacy bronze tree as text-typed bronze. Returns counters:
+    files converted and unusable ones (no columns, cut off), which are left out."""
     configure(spark)
-    groups = legacy_file_groups(spark, legacy_root)
-    if not groups:
-        return {"files": 0, "groups": 0}
-    base = f"{legacy_root.rstrip('/')}/observations"
-    previous = spark.conf.get("spark.sql.caseSensitive")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        frames = []
-        for signature, paths in groups.items():
-            frames.append(_as_bronze(spark.read.option("basePath", base).parquet(*paths)))
-            frames.append(_header_rows(spark, paths, _signature_columns(signature)))
-        union = reduce(lambda a, b: a.unionByName(b), frames)
-        counters = write_bronze_frame(union, bronze_root)
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", previous)
-    return {"files": sum(len(p) for p in groups.values()), "groups": len(groups), **counters}
+    probed = probe_usable(bronze_inventory(spark, legacy_root))
+    counts = {r["usable"]: r["n"] for r in probed.groupBy("usable").agg(F.count("*").alias("n")).collect()}
+    files = {"files": counts.get(True, 0), "unusable": counts.get(False, 0)}
+    if not files["files"]:
+        return {**files, "rows_written": 0, "lines_flagged": 0}
+    rows = probed.where("usable").select("path").mapInArrow(_file_rows, _ROWS_SCHEMA)
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in BRONZE_OBSERVATIONS.fields if f.name in ("extra", "decode_error")}
+    return {**files, **write_bronze_frame(rows.withColumns(empty), bronze_root)}
 
 
 def convert_legacy_coordinates(spark: SparkSession, legacy_root: str, bronze_root: str) -> dict:
     """Legacy ``coordinates/buoy_id=<id>/part.parquet`` (hive key read as
     text, values cast strictly to double) -> one appended coordinate batch."""
-    from tidewater.sinks.bronze import write_bronze_coordinates
-
     configure(spark)
     base = f"{legacy_root.rstrip('/')}/coordinates"
     # Explicit schema: a page without a position was written with all-NULL
     # columns (no float type in the file), so the files' own types disagree.
     raw = spark.read.schema("latitude double, longitude double, buoy_id string").option("basePath", base).parquet(base)
-    positions = raw.select(
-        F.col("buoy_id").cast("string").alias("buoy_id"),
-        F.col("latitude").cast("double").alias("latitude"),
-        F.col("longitude").cast("double").alias("longitude"),
-    ).withColumn(
-        "status",
-        F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), F.lit("ok")).otherwise(F.lit("missing")),
-    )
+    found = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    positions = raw.select("buoy_id", "latitude", "longitude", F.when(found, F.lit("ok")).otherwise(F.lit("missing")).alias("status"))
     return write_bronze_coordinates(positions, bronze_root)

@@ -24,18 +24,6 @@ _KNOWN_HEADERS: list[str] = [*STRUCTURAL_COLUMNS.keys(), *MEASUREMENT_NAMES.keys
 _BLANK_LINE = r"^\s*$"
 
 
-def read_landed_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: ``(path, value)`` (gzip is decompressed by
-    the text source).
-
-    ``wholetext`` must be passed to ``text()`` itself; as an option it is
-    overridden by the method's default.
-    """
-    return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), "value"
-    )
-
-
 _LANDED_STEM = r"([^/]+?)(\.txt)?(\.gz)?$"
 
 
@@ -72,10 +60,11 @@ def decode_station_text(
     listed in ``keep``). Output: one row per line after the header with
     ``line_no`` (header is line 0), one text column per known header name, an
     ``extra`` map for other header names and ``decode_error`` (NULL when the
-    line is fine). A line longer than its header, or a file whose header
-    repeats a name, is flagged instead of shifted. A header-only file yields
-    no rows (one row, the header itself, with ``keep_header``); an empty
-    file yields none.
+    line is fine). A line longer than its header is flagged instead of
+    shifted; of a repeated header name the first column counts. Missing-value
+    words are NULL in the date and time fields. A header-only file yields no
+    rows (one row, the header itself, with ``keep_header``); an empty file
+    yields none.
     """
     keep = keep or []
     # Per file (not per line): split into non-blank lines, parse the header,
@@ -92,8 +81,7 @@ def decode_station_text(
         "lines",
         "header",
         F.size("header").alias("n_header"),
-        (F.size(F.array_distinct("header")) < F.size("header")).alias("dup_header"),
-        F.filter("header", lambda h: ~h.isin(*_KNOWN_HEADERS)).alias("unknown"),
+        F.array_distinct(F.filter("header", lambda h: ~h.isin(*_KNOWN_HEADERS))).alias("unknown"),
         # Position of every known header name in this file (-1 when absent),
         # computed once per file rather than once per line.
         F.expr(
@@ -109,7 +97,6 @@ def decode_station_text(
         *keep,
         "header",
         "n_header",
-        "dup_header",
         "unknown",
         "idx",
         F.posexplode("lines").alias("pos", "line"),
@@ -123,7 +110,6 @@ def decode_station_text(
         *keep,
         "header",
         "n_header",
-        "dup_header",
         "unknown",
         "idx",
         F.col("pos").cast("int").alias("line_no"),
@@ -132,19 +118,18 @@ def decode_station_text(
     na_words = ", ".join(sql.literal(w) for w in NA_TOKENS)
     token_of = "get(tokens, CAST(array_position(header, h) AS INT) - 1)"
     extra = (
-        "CASE WHEN NOT dup_header AND size(unknown) > 0 THEN map_from_entries(transform(unknown, h -> "
+        "CASE WHEN size(unknown) > 0 THEN map_from_entries(transform(unknown, h -> "
         f"named_struct('key', h, 'value', CASE WHEN NOT ({token_of} IN ({na_words})) THEN {token_of} END))) END"
     )
-    error = (
-        "CASE WHEN dup_header THEN 'duplicate header name' "
-        "WHEN size(tokens) > n_header THEN 'more fields than header' END"
-    )
-    # Missing-value words (NA, nan, ...) stay text in the fields; the typed
-    # stage turns every non-numeric token into NULL.
+    error = "CASE WHEN size(tokens) > n_header THEN 'more fields than header' END"
+    # The date and time fields are coalesced later (spellings of the year, an
+    # absent minute), so their missing-value words become NULL here; the typed
+    # stage turns every other non-numeric token into NULL.
+    token = {raw: f"get(tokens, idx.i{k})" for k, raw in enumerate(_KNOWN_HEADERS)}
     fields = [
-        f"get(tokens, idx.i{_KNOWN_HEADERS.index(raw)}) AS {sql.ident(col)}"
-        for raw, col in [*STRUCTURAL_COLUMNS.items(), *[(m, m) for m in MEASUREMENT_NAMES]]
-    ]
+        f"CASE WHEN NOT ({token[raw]} IN ({na_words})) THEN {token[raw]} END AS {sql.ident(col)}"
+        for raw, col in STRUCTURAL_COLUMNS.items()
+    ] + [f"{token[m]} AS {sql.ident(m)}" for m in MEASUREMENT_NAMES]
     return rows.selectExpr(
         "source_stem",
         "line_no",
