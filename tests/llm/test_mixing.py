@@ -12,12 +12,13 @@ SF = "/root/testdata/sf0.01"
 def plain_rates(p, tokens, target):
     """The same least squares by plain projected steps over an array."""
     w = np.array([target[d] for d in M.DOMAINS]) / sum(target.values())
-    gram = (p * tokens[:, None]).T @ p / tokens.sum()
     r = np.ones(len(p))
     for _ in range(M.STEPS):
         residual = (p * (tokens * r)[:, None]).sum(axis=0) / tokens.sum() - w
         if np.abs(residual).max() < M.TOLERANCE:
             break
+        free = np.where(r > 0, tokens, 0.0)
+        gram = (p * free[:, None]).T @ p / tokens.sum()
         r = np.maximum(0, r - p @ (np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ residual))
     return r, w
 

@@ -7,9 +7,10 @@ document then gets a rate r >= 0 (how often it should occur) so that the
 expected tokens of each domain, summed over all documents, match the target
 weights: least squares over the rates, minimised by projected gradient steps
 from r = 1. With the documents measured by their tokens and the residuals by the
-inverse of the domains' Gram matrix, a step is r <- max(0, r - p . lambda), and
-all that a step needs from the corpus is one vector of domain sums; the rates
-themselves stay expressions of a document's own posterior.
+inverse of the domains' Gram matrix over the documents whose rate isn't 0, a step
+is r <- max(0, r - p . lambda): few steps are enough, all that one needs from the
+corpus is the domain sums and that small matrix, and the rates themselves stay
+expressions of a document's own posterior.
 
 ``copies`` rounds the rate at random by a hash of id and text, so its mean is
 the rate.
@@ -36,7 +37,7 @@ BUCKETS = 1 << 14
 PSEUDO_WORDS = 20_000.0
 DOMAINS = ("poor", "poor_toxic", "good", "good_toxic")
 TARGET = {"good": 0.86, "good_toxic": 0.04, "poor": 0.08, "poor_toxic": 0.02}
-STEPS, TOLERANCE = 25, 1e-7
+STEPS, TOLERANCE = 12, 1e-6
 #: Log odds are held within this, so that no posterior is 0 or 1.
 MOST = 12.0
 
@@ -113,26 +114,27 @@ def solve(posteriors: DataFrame, target: dict[str, float] = TARGET) -> list[np.n
     """Projected-gradient steps for (mix_tokens, mix_p) rows; each step is one sum over all rows."""
     k = len(DOMAINS)
     p = [F.get("mix_p", F.lit(i)) for i in range(k)]
-    gram = posteriors.agg(
-        F.sum("mix_tokens").alias("n"), *(F.sum(F.col("mix_tokens") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k))
-    ).first()
-    total = float(gram["n"] or 0)
-    if not total:
-        return []
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            g[i, j] = g[j, i] = gram[f"g{i}_{j}"] / total
-    inverse = np.linalg.pinv(g, rcond=1e-9, hermitian=True)
+    cells = [(i, j) for i in range(k) for j in range(i, k)]
     weights = np.array([target[d] for d in DOMAINS]) / sum(target.values())
     steps: list[np.ndarray] = []
     for _ in range(STEPS):
-        r = rate(steps, F.col("mix_p"))
-        sums = posteriors.select("mix_tokens", "mix_p", r.alias("r")).agg(*(F.sum(F.col("mix_tokens") * F.col("r") * p[i]).alias(f"s{i}") for i in range(k))).first()
-        residual = np.array([sums[f"s{i}"] for i in range(k)]) / total - weights
+        rows = posteriors.select("mix_tokens", "mix_p", rate(steps, F.col("mix_p")).alias("r"))
+        free = F.when(F.col("r") > 0, F.col("mix_tokens")).otherwise(F.lit(0))
+        sums = rows.agg(
+            F.sum("mix_tokens"),
+            *(F.sum(F.col("mix_tokens") * F.col("r") * p[i]) for i in range(k)),
+            *(F.sum(free * p[i] * p[j]) for i, j in cells),
+        ).first()
+        if not sums[0]:
+            return []
+        found = np.array(sums[1:], float) / float(sums[0])
+        residual = found[:k] - weights
         if np.abs(residual).max() < TOLERANCE:
             break
-        steps.append(inverse @ residual)
+        gram = np.zeros((k, k))
+        for (i, j), value in zip(cells, found[k:], strict=True):
+            gram[i, j] = gram[j, i] = value
+        steps.append(np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ residual)
     return steps
 
 

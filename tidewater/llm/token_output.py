@@ -152,6 +152,16 @@ def id_type(tokenizer_path: str) -> str:
     return "<u2" if max(Tokenizer.from_file(tokenizer_path).get_vocab().values()) < 1 << 16 else "<u4"
 
 
+def id_type_from_task(spark: SparkSession, tokenizer_path: str) -> str:
+    """``id_type``, asked in a task: the driver never loads the vocabulary."""
+
+    def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([id_type(tokenizer_path)])], ["kind"])
+
+    return spark.range(1, numPartitions=1).mapInArrow(tell, "kind string").first()["kind"]
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -274,7 +284,7 @@ class CanonicalCode:
 def write_corpus(docs: DataFrame, path: str, tokenizer_path: str) -> None:
     """Tokenise, count, code and write the corpus to the folder ``path``."""
     spark = docs.sparkSession
-    kind = id_type(tokenizer_path)
+    kind = id_type_from_task(spark, tokenizer_path)
     ids = written(tokenized(docs, tokenizer_path), "token-ids")
     found = sorted((r["id"], r["n"]) for r in id_counts(ids, kind).collect())  # one row per vocabulary entry
     used = np.array([i for i, _ in found], np.int64)
