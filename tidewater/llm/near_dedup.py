@@ -17,7 +17,8 @@ copies costs a row per member and bucket. Of the members of buckets that still
 hold several classes, those go that can have no link at all: shingles that no
 other of these members has can't be common, and too many of them bound every
 similarity below ``SIMILARITY``. After ``STAR_ROUNDS`` leaders the rest is
-compared pair by pair, where that bound allows a link.
+compared pair by pair, where that bound allows a link, each pair in the first
+bucket that it shares.
 
 Defined results: a text of fewer words than a shingle is one shingle; texts
 without a word (null, empty) are alone and never copies; ``class_id`` is the
@@ -182,6 +183,11 @@ def _held_by_others(members: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(held, "shingle").groupBy("node").agg(F.count("*").alias("s"))
 
 
+def _bands_of(rows: DataFrame, members: DataFrame) -> DataFrame:
+    wanted = rows.join(members.select("node").distinct(), "node", "left_semi")
+    return wanted.groupBy("node").agg(F.first("bands").alias("bands"))
+
+
 def _of_mixed_buckets(members: DataFrame) -> DataFrame:
     mixed = members.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
     return members.join(mixed, "bucket")
@@ -206,6 +212,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             if turn == 1:
                 members = members.drop("s").join(_held_by_others(members, sets), "node").where(F.col("s") >= F.lit(SIMILARITY) * F.col("n"))
                 members = _of_mixed_buckets(written(members, "linkable-members"))
+                members = members.join(_bands_of(rows, members), "node")
             members = written(members, "mixed-members")
             if members.isEmpty():
                 break
@@ -215,10 +222,12 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             lead = members.groupBy("bucket").agg(F.min(order).alias("lead")).select("bucket", "lead.*")
         else:
             lead = members
-        lead = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("label").alias("label_a"))
+        again = [F.col("bands").alias("bands_a")] if turn == STAR_ROUNDS else []
+        lead = lead.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("label").alias("label_a"), *again)
         apart = (F.col("label") != F.col("label_a")) & _may_link()
         if turn == STAR_ROUNDS:
-            apart = apart & (F.col("a") < F.col("node"))
+            earlier = F.array_position("bands", F.col("bucket")).cast("int") - 1
+            apart = apart & (F.col("a") < F.col("node")) & ~F.arrays_overlap(F.slice("bands", 1, earlier), F.slice("bands_a", 1, earlier))
         pairs = members.join(lead, "bucket").where(apart).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
         links = written(verified(pairs, sets), "links")
         if labels is None:
