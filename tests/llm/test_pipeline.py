@@ -59,8 +59,20 @@ def test_each_stage_against_a_plain_version(spark, tmp_path):
         start += len(ids)
 
 
-def test_run_equals_the_stages(spark):
+def test_run_chains_the_stages(spark, monkeypatch):
+    """``run`` applies the stages in order, each to what the one before has written."""
     assert [n for n, _ in P.STAGES] == ["language_id", "near_duplicates", "decontamination", "source_mixing", "token_output"]
-    rows = sorted(P.run(spark, SF).collect(), key=lambda r: r.start)
-    assert rows and rows[0].start == 0
-    assert all(b.start == a.start + a.n_tokens and b.doc_id >= a.doc_id for a, b in zip(rows, rows[1:], strict=False))
+    seen = []
+
+    def cut(name):
+        def stage(spark, docs, sf_dir):
+            seen.append((name, len(docs.inputFiles()) > 0, docs.count(), sf_dir))
+            return docs.where(docs["doc_id"] % (len(seen) + 1) != 0)
+
+        return stage
+
+    monkeypatch.setattr(P, "STAGES", [(n, cut(n)) for n, _ in P.STAGES])
+    rows = P.run(spark, SF)
+    counts = [n for _, _, n, _ in seen]
+    assert [n for n, *_ in seen] == [n for n, _ in P.STAGES] and all(read and where == SF for _, read, _, where in seen)
+    assert counts == sorted(counts, reverse=True) and rows.count() <= counts[-1]

@@ -2,7 +2,7 @@
 
 Domains are the combinations of the two label columns. Two naive Bayes
 classifiers over hashed words, learned from a bounded sample of labelled rows
-(``SAMPLE`` ids of smallest hash), give each document a posterior of every domain. Each
+(about ``SAMPLE`` ids, chosen by hash), give each document a posterior of every domain. Each
 document then gets a rate r >= 0 (how often it should occur) so that the
 expected tokens of each domain, summed over all documents, match the target
 weights: least squares over the rates, minimised by projected gradient steps
@@ -66,16 +66,20 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
-    """Learn from at most ``SAMPLE`` labelled ids; only counts per bucket reach the driver."""
+    """Learn from about ``SAMPLE`` labelled ids; only counts per bucket reach the driver."""
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("own_id"))
     known = known.agg((F.avg("quality") >= 0.5).cast("int").alias("good"), (F.avg("toxic") >= 0.5).cast("int").alias("bad"))
-    known = known.orderBy(F.xxhash64("own_id"), "own_id").limit(SAMPLE)
-    # SAMPLE rows of three numbers at most
+    # the share of ids that SAMPLE stands for, by hash: no sort, and no more than that reaches the driver
+    share = min(1.0, SAMPLE / max(1, labels.count()))
+    known = written(known.where(F.pmod(F.xxhash64("own_id"), F.lit(1 << 30)) < int(share * (1 << 30))), "label-sample")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), "text").join(F.broadcast(known), "own_id")
-    counted = rows.select("good", "bad", F.explode(words(F.col("text"))).alias("word")).groupBy("good", "bad", bucket(F.col("word")).alias("bucket")).count()
+    spread = rows.select("good", "bad", F.explode(words(F.col("text"))).alias("word")).groupBy(bucket(F.col("word")).alias("bucket"))
+    classes = [(good, bad) for good in (0, 1) for bad in (0, 1)]
+    counted = spread.agg(*(F.count_if((F.col("good") == good) & (F.col("bad") == bad)).alias(f"n{good}{bad}") for good, bad in classes))
     counts = np.zeros((2, 2, BUCKETS))
-    for r in counted.collect():
-        counts[r["good"], r["bad"], r["bucket"]] = r["count"]
+    for r in counted.collect():  # a row per bucket
+        for good, bad in classes:
+            counts[good, bad, r["bucket"]] = r[f"n{good}{bad}"]
     per_class = {(r["good"], r["bad"]): r["count"] for r in known.groupBy("good", "bad").count().collect()}
     overall = counts.sum(axis=(0, 1))
     share = overall / max(1.0, overall.sum())
