@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidewater.llm import near_dedup as D
 from tidewater.llm.graph import components
@@ -97,6 +98,28 @@ def test_signature_depends_on_the_set_alone():
     assert (D.prob_minhash(row, shingle, 1 + np.log(count), 1)[0] == together[0]).all()
 
 
+def test_bands_of_a_node_do_not_depend_on_the_order_of_its_rows(spark):
+    """Rows of one node with other bands: each plan and each run takes the row of smallest key."""
+    rows = [(d, key, 5, 9, [key * 10 + k for k in range(3)]) for d, key in enumerate([4, 2, 7, 3, 2])] + [(9, 1, None, 0, [])]
+    schema = "doc_id bigint, text_key bigint, node bigint, n bigint, bands array<bigint>"
+    for some in (rows, rows[::-1]):
+        table = D.node_table(spark.createDataFrame(some, schema).coalesce(1))
+        assert [tuple(r) for r in table.collect()] == [(5, 2, 9, [20, 21, 22])]
+        assert sorted(r[0] for r in table.select(F.explode("bands")).collect()) == [20, 21, 22]
+
+
+def test_equal_sets_with_unequal_counts(frame):
+    """A paragraph repeated 2, 3 and more times is one set, and stays with its near copies."""
+    r = random.Random(23)
+    rows = []
+    for k in range(12):
+        words = [f"p{k}w{r.randrange(10**6)}" for _ in range(60)]
+        near = [*words[:30], f"edit{k}", *words[31:]]
+        rows += [(len(rows) + j, " ".join(w * n)) for j, (w, n) in enumerate([(words, 2), (words, 3), (words, 9), (near, 2), (near, 5)])]
+    got = {r.doc_id: r.class_id for r in D.near_duplicates(frame([(d, t, None, None) for d, t in rows]).repartition(5)).collect()}
+    assert got == plain_classes(rows)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 140)] + [(7, 3), (7, 3)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

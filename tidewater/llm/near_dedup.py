@@ -183,9 +183,10 @@ def _held_by_others(members: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(held, "shingle").groupBy("node").agg(F.count("*").alias("s"))
 
 
-def _bands_of(rows: DataFrame, members: DataFrame) -> DataFrame:
-    wanted = rows.join(members.select("node").distinct(), "node", "left_semi")
-    return wanted.groupBy("node").agg(F.first("bands").alias("bands"))
+def node_table(rows: DataFrame) -> DataFrame:
+    """(node, text_key, n, bands): of each node the row of smallest text key, whatever the order of rows."""
+    one = F.min(F.struct("text_key", "n", "bands")).alias("one")
+    return rows.where("node is not null").groupBy("node").agg(one).select("node", "one.*")
 
 
 def _of_mixed_buckets(members: DataFrame) -> DataFrame:
@@ -196,7 +197,7 @@ def _of_mixed_buckets(members: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): the signed rows, and (node, label) of nodes linked to others."""
     rows = written(signed(docs), "signed")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("text_key").alias("text_key"))
+    nodes = written(node_table(rows), "nodes")
     members = nodes.select("node", "n", "text_key", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low != high")
     members = written(members.join(shared.select("bucket", "size"), "bucket"), "members")
@@ -212,7 +213,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             if turn == 1:
                 members = members.drop("s").join(_held_by_others(members, sets), "node").where(F.col("s") >= F.lit(SIMILARITY) * F.col("n"))
                 members = _of_mixed_buckets(written(members, "linkable-members"))
-                members = members.join(_bands_of(rows, members), "node")
+                members = members.join(nodes.select("node", "bands"), "node")
             members = written(members, "mixed-members")
             if members.isEmpty():
                 break
