@@ -120,6 +120,27 @@ def test_equal_sets_with_unequal_counts(frame):
     assert got == plain_classes(rows)
 
 
+def test_much_repeated_lines_against_all_pairs(frame):
+    """Short texts and their copies with a line of six words appended 300 times."""
+    r = random.Random(31)
+    rows = []
+    for k in range(24):
+        text = " ".join(f"t{k}w{r.randrange(10**6)}" for _ in range(54))
+        line = " ".join(f"l{k}w{j}" for j in range(6))
+        rows += [(2 * k, text), (2 * k + 1, " ".join([text, *[line] * 300]))]
+    want = plain_classes(rows)
+    assert len(set(want.values())) == 24
+    got = {r.doc_id: r.class_id for r in D.near_duplicates(frame([(d, t, None, None) for d, t in rows])).collect()}
+    assert got == want
+
+
+def test_equal_sets_have_equal_bands(frame):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(n, " ".join([words] * n), None, None) for n in (2, 3, 50)]
+    signed = D.signed(frame(rows)).collect()
+    assert len({r.node for r in signed}) == 1 and len({tuple(r.bands) for r in signed}) == 1
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 140)] + [(7, 3), (7, 3)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -1,11 +1,13 @@
 """Near-duplicate classes by ProbMinHash, banding and exact verification.
 
-A text is the set of its ``SHINGLE``-word shingles, each weighted by 1 + ln of
-its count. Every shingle is a Poisson process: its arrivals come at exponential
-distances divided by its weight, each at a hashed component, and a component
-keeps the shingle of its earliest arrival, so two components agree with the
-probability Jaccard similarity of the weighted sets. A shingle stops as soon as
-its next arrival is later than the latest of all components kept so far.
+A text is the set of its ``SHINGLE``-word shingles. Every shingle is a Poisson
+process: its arrivals come at exponential distances divided by its weight, each
+at a hashed component, and a component keeps the shingle of its earliest
+arrival, so two components agree with the probability Jaccard similarity of the
+weighted sets. Each shingle has weight one, however often it occurs: that is the
+Jaccard similarity by which links are judged, and equal sets have equal bands. A
+shingle stops as soon as its next arrival is later than the latest of all
+components kept so far.
 
 ``BANDS`` bands of ``ROWS`` components name the buckets in which texts meet.
 A candidate pair counts as a link if the Jaccard similarity of the two shingle
@@ -123,9 +125,9 @@ def signed(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _by_texts(batches):
             size = part.num_rows
-            row, shingle, count = shingle_sets(part.column("text"))
+            row, shingle, _ = shingle_sets(part.column("text"))
             n = np.bincount(row, minlength=size)
-            bands = band_hashes(prob_minhash(row, shingle, 1 + np.log(count), size))
+            bands = band_hashes(prob_minhash(row, shingle, np.ones(len(row)), size))
             has = n > 0
             node = pa.array(set_names(row, shingle, size), mask=~has)
             at = np.concatenate([[0], np.cumsum(has) * BANDS]).astype(np.int32)
