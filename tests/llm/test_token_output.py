@@ -79,3 +79,37 @@ def test_pieces_against_the_plain_tokenizer():
         assert got == brute(some)
         if at == 500:
             encoder.older, encoder.spaced = encoder.spaced, {}
+
+
+def unmodified(texts):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(tokenizer_path())
+    return [[*model.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_added_tokens_against_the_unmodified_tokenizer(spark, frame):
+    """A spelled-out added token has its own id, and the starts of later documents follow."""
+    t = "<|endoftext|>"
+    texts = ["hello <|endoftext|> x", t, t + t + "b", f" {t}  y", f"end.\n{t}\nNext, a{t}.", "<|endoftext |> <|endoftext|", f"a  {t}" * 50, None, "plain words"]
+    got = sorted(T.coded_corpus(frame([(i, x, None, None) for i, x in enumerate(texts)]).repartition(3), tokenizer_path()).collect(), key=lambda r: r.start)
+    start = 0
+    for r, ids in zip(got, unmodified(texts), strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert unmodified(texts[:1]) == [[31373, 220, 50256, 2124, 0]]
+
+
+def test_pieces_around_added_tokens():
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    r = random.Random(12)
+    bits = ["word", "Ünï", "x,", "end.\n", "a.\nB", "it's", " ", "  ", "\t", "　", "...", "é;", "<|endoftext|>", "<|endoftext|>", "<|", "|>", "A.", ",\n.", "\r\n"]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randrange(30))) for _ in range(1500)]
+    encoder = T.PieceEncoder(tokenizer_path())
+    regular = pc.invert(pc.match_substring_regex(pa.array(texts), T._IRREGULAR)).to_pylist()
+    got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(texts, regular)]
+    assert got == unmodified(texts)

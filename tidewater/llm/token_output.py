@@ -11,7 +11,9 @@ File format (a folder): ``blocks/`` holds one row per block
 ``code/`` one row per used id with its code length; canonical codes follow
 from the lengths alone.
 
-Defined results: null text is the empty text (only the end id); null ``doc_id``
+Defined results: ids are those of the library's plain ``encode(text,
+add_special_tokens=False)``, so an added token that a text spells out has its own
+id; null text is the empty text (only the end id); null ``doc_id``
 sorts first; equal ``doc_id`` are all kept, ordered by a hash of their ids; an
 empty table gives empty files; other columns are ignored.
 """
@@ -55,7 +57,9 @@ class PieceEncoder:
     A space before a non-space always starts a new pre-token, so a text may be
     cut there and its pieces encoded apart; so may a lone line feed within a
     piece, and punctuation behind a plain letter. Pieces are remembered, and new
-    ones encoded many at a time as one text, cut again by their bytes.
+    ones encoded many at a time as one text, cut again by their bytes. Added tokens
+    of the vocabulary are cut out before, as the library does: their ids are pieces
+    of their own, and what stands between two of them is a text of its own.
     """
 
     def __init__(self, path: str):
@@ -63,8 +67,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.type = id_type(path)
+        added = self.model.get_added_tokens_decoder()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
+            raise ValueError("added tokens that depend on the text beside them can't be cut out")
+        self.added = {x.content: np.array([i], self.type).tobytes() for i, x in added.items()}
+        self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         names = self.model.get_vocab()
         self.size = np.zeros(max(names.values()) + 1, np.int64)
         for name, i in names.items():
@@ -130,6 +138,13 @@ class PieceEncoder:
     def encode(self, texts: list[str], regular: list[bool]) -> list[bytes]:
         """Little-endian ids of each text, the end id appended. A text is
         ``regular`` if each of its spaces stands before a non-space."""
+        cuts = [self.cut_added.split(text) if any(map(text.__contains__, self.added)) else [text] for text in texts]
+        runs = [run for cut in cuts for run in cut[::2]]
+        found = iter(self._encode_runs(runs, [plain and len(cut) == 1 for cut, plain in zip(cuts, regular, strict=True) for _ in cut[::2]]))
+        end = np.array([END_ID], self.type).tobytes()
+        return [b"".join([next(found), *(x for token in cut[1::2] for x in (self.added[token], next(found))), end]) for cut in cuts]
+
+    def _encode_runs(self, texts: list[str], regular: list[bool]) -> list[bytes]:
         if len(self.plain) > CACHE_PIECES:
             self.plain = {}
         rows = [text.split(" ") if plain else _CUT.split(text) for text, plain in zip(texts, regular, strict=True)]
@@ -138,8 +153,8 @@ class PieceEncoder:
             missing.update(row)
         self._learn(missing.difference(self.spaced))
         self._learn_plain(set(firsts))
-        ids, plain, end = self.spaced.__getitem__, self.plain, np.array([END_ID], self.type).tobytes()
-        out = [b"".join([plain[first], *map(ids, row), end]) for first, row in zip(firsts, rows, strict=True)]
+        ids, plain = self.spaced.__getitem__, self.plain
+        out = [b"".join([plain[first], *map(ids, row)]) for first, row in zip(firsts, rows, strict=True)]
         if len(self.spaced) > CACHE_PIECES:
             self.older, self.spaced = self.spaced, {}
         return out
