@@ -117,3 +117,17 @@ def test_defined_cases(frame):
     assert result(frame, []) == []
     kept = S.remove_repeats(frame([(1, text, None, None), (2, "ab" + text + "c", None, None)]), with_text=True).collect()
     assert {r.doc_id: bytes(r.kept) for r in kept} == {1: text.encode(), 2: b"abc"}
+
+
+def test_repeats_across_a_stretch_boundary(frame):
+    """One document longer than a stretch: a passage in both stretches, and another across their boundary."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 105, S.STRETCH + 300_000).astype(np.uint8)
+    first, second = rng.integers(105, 113, 300).astype(np.uint8), rng.integers(113, 121, 400).astype(np.uint8)
+    far, edge = S.STRETCH + 200_000, S.STRETCH - 150
+    for k, (at, passage) in enumerate([(5_000, first), (far, first), (far + 50_000, first), (9_000, second), (edge, second)]):
+        data[at - 1], data[at + len(passage)] = 48 + 2 * k, 49 + 2 * k  # other neighbours each time
+        data[at : at + len(passage)] = passage
+    rows = [(7, data.tobytes().decode(), None, None), (8, "Z" + first.tobytes().decode() + "Z", None, None)]
+    got = {r.doc_id: r.spans for r in S.remove_repeats(frame(rows)).collect()}
+    assert got == {7: [edge, edge + 400, far, far + 300, far + 50_000, far + 50_300], 8: [1, 301]}

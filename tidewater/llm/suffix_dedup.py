@@ -137,23 +137,15 @@ def _stretches(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, n
             yield some, np.array([0, len(some)]), places[k : k + 1], int(at - bounds[k])
 
 
-#: ``at`` holds the first start, how many more follow, and whether the same
-#: document has this name further left.
-def _at(first: np.ndarray, more: np.ndarray, again: np.ndarray) -> np.ndarray:
-    return (first.astype(np.int64) << 8) | (more.astype(np.int64) << 1) | again
-
-
-def _again(row: np.ndarray, name: np.ndarray) -> np.ndarray:
-    """Whether an entry's name stands at an earlier entry of the same row."""
-    order = np.lexsort((np.arange(len(row)), name, row))
-    out = np.zeros(len(row), bool)
-    out[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
-    return out
+#: ``at`` holds the first start and how many more follow; entries of one name have
+#: as many, so theirs are in the order of starts.
+def _at(first: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return (first.astype(np.int64) << 7) | more.astype(np.int64)
 
 
 class _Packer:
     """Collects (g, c, place, at) and gives one row for each (g, c), its earliest
-    place first and the others as bytes."""
+    (place, at) first and the others as bytes."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
@@ -190,7 +182,7 @@ def _names(texts: DataFrame) -> DataFrame:
         for part in sliced(batches, "text", SLICE):
             for data, bounds, places, offset in _stretches(part):
                 row, first, last, g, c, _ = sampled(data, bounds)
-                packer.add(g, c, places[row], _at(first - bounds[row] + offset, last - first, _again(row, c)))
+                packer.add(g, c, places[row], _at(first - bounds[row] + offset, last - first))
             if packer.rows >= PACK_ROWS:
                 yield from packer.flush()
         yield from packer.flush()
@@ -207,7 +199,7 @@ def _string_names(texts: DataFrame) -> DataFrame:
             opened = part.column("open")
             sizes = np.asarray(pa.compute.list_value_length(opened)).astype(np.int64)
             rows = np.repeat(np.arange(part.num_rows), sizes)
-            starts = np.asarray(opened.flatten()) >> 8
+            starts = np.asarray(opened.flatten()) >> 7
             wanted = np.unique(rows * (1 << 40) + starts)
             base = 0
             for data, bounds, places, offset in _stretches(part):
@@ -220,7 +212,7 @@ def _string_names(texts: DataFrame) -> DataFrame:
                 start = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
                 row, g = np.repeat(row, count), np.repeat(g, count)
                 c = string[start]
-                packer.add(g, c, places[row], _at(start - bounds[row] + offset, np.zeros(len(row), np.int64), _again(row, c)))
+                packer.add(g, c, places[row], _at(start - bounds[row] + offset, np.zeros(len(row), np.int64)))
             if packer.rows >= PACK_ROWS:
                 yield from packer.flush()
         yield from packer.flush()
@@ -231,29 +223,35 @@ def _string_names(texts: DataFrame) -> DataFrame:
 def _judged(names: DataFrame, single: bool = False) -> DataFrame:
     """(place, at, removed): entries whose strings start earlier elsewhere
     (``removed``), and first entries of a g that holds several c (not removed).
+    Earlier is a smaller (place, start) of the whole name, whichever stretch,
+    task or document it comes from.
 
     Names of ``single`` strings leave nothing open, so they are dealt by (g, c).
     """
     by_g, by_c = Window.partitionBy("g"), Window.partitionBy("g", "c")
     several = F.lit(False) if single else F.min("c").over(by_g) != F.max("c").over(by_g)
-    found = names.withColumn("earliest", F.min("place").over(by_c)).withColumn("several", several)
-    found = found.where("several or place != earliest or more is not null or at % 2 = 1").select("place", "at", "more", "earliest", "several")
+    found = names.withColumn("earliest", F.min(F.struct("place", "at")).over(by_c)).withColumn("several", several)
+    found = found.where("several or place != earliest.place or at != earliest.at or more is not null")
+    found = found.select("place", "at", "more", F.col("earliest.place").alias("first_place"), F.col("earliest.at").alias("first_at"), "several")
+
+    def later(place: np.ndarray, at: np.ndarray, first_place: np.ndarray, first_at: np.ndarray) -> np.ndarray:
+        return (place > first_place) | ((place == first_place) & (at > first_at))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place, at, earliest = (np.asarray(batch.column(k)) for k in ("place", "at", "earliest"))
+            place, at, *earliest = (np.asarray(batch.column(k)) for k in ("place", "at", "first_place", "first_at"))
             several = np.asarray(batch.column("several").to_numpy(zero_copy_only=False), bool)
-            places, ats, removed = [place], [at], [(place > earliest) | (at & 1 == 1)]
+            places, ats, removed = [place], [at], [later(place, at, *earliest)]
             keep = [removed[0] | several]
             more = batch.column("more")
             with_more = np.flatnonzero(~np.asarray(more.is_null()))
             if len(with_more):
                 values = [np.frombuffer(more[int(k)].as_py(), np.int64).reshape(-1, 2) for k in with_more]
-                first = np.repeat(earliest[with_more], [len(v) for v in values])
+                first = [np.repeat(x[with_more], [len(v) for v in values]) for x in earliest]
                 rest = np.concatenate(values)
                 places.append(rest[:, 0])
                 ats.append(rest[:, 1])
-                removed.append((rest[:, 0] > first) | (rest[:, 1] & 1 == 1))
+                removed.append(later(rest[:, 0], rest[:, 1], *first))
                 keep.append(removed[-1])
             keep = np.concatenate(keep)
             columns = np.concatenate(places)[keep], np.concatenate(ats)[keep], np.concatenate(removed)[keep]
@@ -270,7 +268,7 @@ def _spans(removed: DataFrame) -> DataFrame:
             out = []
             for value in batch.column("at"):
                 at = np.sort(np.asarray(value.values))
-                start, end = at >> 8, (at >> 8) + ((at >> 1) & 127) + LENGTH
+                start, end = at >> 7, (at >> 7) + (at & 127) + LENGTH
                 end = np.maximum.accumulate(end)
                 head = np.concatenate([[True], start[1:] > end[:-1]])
                 tail = np.concatenate([head[1:], [True]])
