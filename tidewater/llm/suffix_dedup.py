@@ -1,9 +1,10 @@
-"""Repeated-substring removal: suffixes sorted by a difference cover, to ``LENGTH`` bytes.
+"""Repeated-substring removal: strings of ``LENGTH`` bytes grouped by hash names at sampled positions.
 
 Every byte covered by a ``LENGTH``-byte string that also starts earlier (in a
 document of smaller id, or earlier in the same one) is removed; strings never
-cross documents and are judged on the input. The steps are those of a
-difference-cover suffix sort, bounded to the ``LENGTH``-byte prefixes that matter:
+cross documents and are judged on the input. The steps follow a difference-cover
+suffix sort, bounded to the ``LENGTH``-byte prefixes that matter, but groups of equal
+hashes stand for its sorting, its recursion and its comparison of adjacent prefixes:
 
 1. *Sample.* A difference cover is a set of positions that any two equal strings
    meet at one common offset. It is chosen by content: each ``LENGTH``-byte string
@@ -13,16 +14,16 @@ difference-cover suffix sort, bounded to the ``LENGTH``-byte prefixes that matte
    best and a row for each, several times the disk that is allowed.)
 2. *Name triples.* A sampled position is named by what it starts with (``g``), and
    by the triple of that, the text to its left and the text to its right, as
-   far as the strings reach that it answers for (``c``). Sorting by (g, c) brings
+   far as the strings reach that it answers for (``c``). A window by (g, c) brings
    equal names together; positions whose g is unique are discarded.
-3. *Recurse on names.* Where all positions of a g share one c, their strings
+3. *Group names.* Names are not ranked or recursed on. Where all positions of a g share one c, their strings
    agree as a whole, and so do those of equal c elsewhere: the first keeps
    them, the others lose them. Only first ones of a g with several c stay open.
-4. *Merge the remaining suffixes.* The strings that open positions answer for
-   are taken one by one, named by (g, their own hash), sorted, and neighbours
-   compared in the same way.
+4. *Take the remaining strings.* Those that open positions answer for are taken
+   one by one, named by (g, their own hash), and grouped in the same way.
 
-A name is a pair of 64-bit hashes of the same bytes. Equal names of one task are
+A name is a pair of 64-bit hashes of the same bytes; equality of bytes rests on
+them, no bytes are compared. Equal names of one task are
 packed into one row before the shuffle, so a group of copies costs a row per
 task. Rows of a name are streamed through a spilling window, never gathered.
 
