@@ -65,3 +65,16 @@ def test_fewer_candidates_and_empty(spark):
 
 def test_quantile():
     assert abs(N.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
+
+
+def test_equal_scores_of_different_vectors_go_by_id(spark):
+    """v, 2v, 4v, ... all at cosine 1: more than k + 1 tied vectors, the smallest ids count."""
+    import pandas as pd
+
+    v = np.random.default_rng(8).normal(size=16).astype(np.float32)
+    scaled = [(v * np.float32(2.0**j)).tolist() for j in range(30)]
+    points = pd.DataFrame({"vector": scaled, "ids": [[100 - j] for j in range(30)]})
+    got = N.search_cell(pd.DataFrame({"query": [1], "vector": [scaled[0]], "bound": [np.inf]}), points, 5)
+    assert got["vec_id"].tolist() == [71, 72, 73, 74, 75, 76]
+    rows = [(int(i), x) for i, x in zip(np.random.default_rng(9).permutation(30), scaled, strict=True)]
+    assert by_query(N.nearest(make(spark, rows), "vec_id % 1 = 0", k=5)) == plain(rows, 5)

@@ -133,6 +133,7 @@ def search_cell(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataF
     # the ids of a distinct vector share one score; the test needs whole vectors' ids
     ids = [list(x) for x in points["ids"]]
     sizes = np.array([len(x) for x in ids])
+    smallest = np.array([min(x) for x in ids], np.int64)
     flat_projection = projection(vectors.shape[1])
     projected = unit @ flat_projection
     out = []
@@ -149,7 +150,7 @@ def search_cell(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataF
                 break
             best_score = np.concatenate([best_score, _cosines(q, vectors[some], norms[some])])
             best_at = np.concatenate([best_at, some])
-            rank = np.argsort(-best_score, kind="stable")[: k + 1]
+            rank = np.lexsort((smallest[best_at], -best_score))[: k + 1]  # of equal scores the smallest ids
             best_score, best_at = best_score[rank], best_at[rank]
             reach = np.searchsorted(np.cumsum(sizes[best_at]), k + 1)
             if reach < len(best_score):
