@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, line_dedup, mixing, near_dedup, neighbours, quality, secrets, suffix_dedup, token_output
+from . import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, neighbours, quality, secrets, suffix_dedup, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.coded_corpus(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_token_output": op10_token_output,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE_SQL, "op13_exact_dedup": exact_dedup.ORACLE_SQL}
