@@ -46,7 +46,7 @@ FIRST, LAST = 1, 2
 
 def normalised(texts: pa.Array) -> pa.Array:
     """The texts as bytes, A-Z in lower case (null: empty)."""
-    return pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")).cast(pa.large_binary())
+    return pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.binary())
 
 
 def sort_key(norm: bytes, doc_id: int | None) -> tuple:
@@ -93,7 +93,7 @@ def _dealt(docs: DataFrame, cuts: list[tuple]) -> DataFrame:
             norm, ids = normalised(batch.column("text")), batch.column("doc_id")
             keys = [sort_key(t, i) for t, i in zip(norm.to_pylist(), ids.to_pylist(), strict=True)]
             part = pa.array([bisect.bisect_right(cuts, k) for k in keys], pa.int32())
-            yield pa.RecordBatch.from_arrays([part, pa.array([k[1] for k in keys], pa.binary()), ids, norm.cast(pa.binary())], ["part", "digest", "doc_id", "norm"])
+            yield pa.RecordBatch.from_arrays([part, pa.array([k[1] for k in keys], pa.binary()), ids, norm], ["part", "digest", "doc_id", "norm"])
 
     dealt = docs.mapInArrow(deal, "part int, digest binary, doc_id bigint, norm binary").repartitionById(len(cuts) + 1, F.col("part"))
     dealt = dealt.withColumn("head", F.substring("norm", 1, HEAD))
