@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, neighbours, quality, secrets, suffix_dedup, token_output
+from . import conversations, decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, neighbours, quality, secrets, suffix_dedup, token_output, tokenizer_alignment
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -59,6 +65,14 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.coded_corpus(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.link_strengths(_table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_token_output": op10_token_output,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
