@@ -30,16 +30,19 @@ import hashlib
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, sliced, written
+from .token_output import _IRREGULAR as IRREGULAR
 
 #: Words that a worker remembers; beyond it the older half is forgotten.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: Longer words (no space within) aren't remembered.
 CACHED_LENGTH = 80
 #: Words encoded as one text.
@@ -52,9 +55,11 @@ COUNT_BUFFER = 4_000_000
 B_BITS = 15
 
 _CUT = re.compile(r"(?<! ) (?=\S)")
-_REGULAR = re.compile(r" \S.*(?<! )\Z", re.S)
-#: (groups text, links as 32-bit pairs, tokens of A, tokens of B, groups) of a word.
-Aligned = tuple[str, bytes, int, int, int]
+_LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
+_CLOSING = ".,!?;:"
+_BLANK = re.compile(r"\s")
+#: (groups text, links as 32-bit pairs, tokens of A) of a stretch; False if it isn't given back.
+Aligned = tuple[str, bytes, int]
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -84,18 +89,27 @@ class Aligner:
             raise ValueError("a pair of ids needs more than 32 bits")
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("pieces of several words can't be aligned word by word")
+        # a letter and a closing mark, and a line feed and its neighbours, are tokens apart in both
+        self.closes = not any("\n" in p or any(a.isalpha() and b in _CLOSING for a, b in zip(p, p[1:], strict=False)) for p in pieces)
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.met: dict[str, Aligned | None] = {}
-        self.older: dict[str, Aligned | None] = {}
-
-    def _ends(self, offsets: list[tuple[int, int]], sizes: np.ndarray, at_byte: np.ndarray | None) -> np.ndarray | None:
-        """Byte ends of tokens from their character spans; None if the bytes of the tokens don't fit them."""
-        spans = np.array(offsets, np.int64).reshape(-1, 2)
-        ends = np.cumsum(sizes)
-        # coarse: the next token starts where this one ends, so its last character is whole
-        whole = np.append(spans[1:, 0] >= spans[:-1, 1], True)
-        coarse = spans[:, 1] if at_byte is None else at_byte[spans[:, 1]]
-        return ends if np.array_equal(ends[whole], coarse[whole]) else None
+        # decimal ids with what stands behind them in the groups text: the last of a group, and any other
+        self.a_text, self.b_text = (
+            np.array([f"{i}{mark}" for mark in marks for i in range(len(t))], object) for t, marks in ((self.a_bytes, "|,"), (self.b_bytes, ";,"))
+        )
+        self.a_width, self.b_width = (np.array([len(x) for x in t], np.int64) for t in (self.a_text, self.b_text))
+        self.met: dict[str, Aligned | bool] = {}  # words, without the space before them
+        self.older: dict[str, Aligned | bool] = {}
+        self.bare: dict[str, Aligned | bool] = {}  # parts behind the first
+
+    def _ends(self, offsets: list[tuple[int, int]], shift: int, ends: np.ndarray, at_byte: np.ndarray | None) -> bool:
+        """Whether byte ends by the lengths of the decoded tokens meet the coarse cuts: where a token has
+        characters and the next starts behind them, its last one is whole and its span says where it
+        ends. (Of the bytes of one character some tokens share its span, others have an empty one.)"""
+        spans = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)) + shift
+        starts, stops = spans[::2], spans[1::2]
+        whole = np.append(starts[1:] >= stops[:-1], True) & (stops > starts)
+        coarse = stops if at_byte is None else at_byte[stops]
+        return np.array_equal(ends[whole], coarse[whole])
 
     def _encoded(self, text: str) -> tuple | None:
         """(ids, byte ends) of A and B over ``text``, which begins with a space; None if it isn't given back."""
@@ -104,87 +118,143 @@ class Aligner:
         if len(data) != len(text):
             lead = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
             at_byte = np.append(np.flatnonzero(lead), len(data))
-        found = self.a.encode(text, add_special_tokens=False)
-        a_ids = np.array(found.ids, np.int64)
-        spans = self.b.encode(text[1:], return_type="offset_mapping")
-        b_ids = np.array(spans["ids"], np.int64)
-        if b"".join([self.a_bytes[i] for i in a_ids.tolist()]) != data or b"".join([self.b_bytes[i] for i in b_ids.tolist()]) != data:
+        found, spans = self.a.encode(text, add_special_tokens=False), self.b.encode(text[1:], return_type="offset_mapping")
+        a_ids, b_ids = found.ids, spans["ids"]
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != data or b"".join(map(self.b_bytes.__getitem__, b_ids)) != data:
             return None
-        b_offsets = [(s + 1, e + 1) for s, e in spans["offsets"]]  # behind the space that B adds
-        a_ends = self._ends(found.offsets, self.a_size[a_ids], at_byte)
-        b_ends = self._ends(b_offsets, self.b_size[b_ids], at_byte)
-        if a_ends is None or b_ends is None:  # spans of one library only in part: its bytes have proved right
-            a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        # B's spans count from behind the space that it adds
+        if not (self._ends(found.offsets, 0, a_ends, at_byte) and self._ends(spans["offsets"], 1, b_ends, at_byte)):
+            raise ValueError("spans and decoded bytes of a tokenizer disagree")
         return a_ids, a_ends, b_ids, b_ends
 
-    def _aligned(self, words: list[str]) -> list[Aligned] | None:
-        """The alignment of each of the words, encoded as one text."""
-        found = self._encoded("".join(words))
+    def _aligned(self, text: str, bounds: np.ndarray) -> list[Aligned] | None:
+        """The alignment of each stretch of ``text`` that ends at the byte ``bounds``."""
+        found = self._encoded(text)
         if found is None:
             return None
         a_ids, a_ends, b_ids, b_ends = found
-        ends = np.union1d(a_ends, b_ends)
-        links = (a_ids[np.searchsorted(a_ends, ends)] << B_BITS | b_ids[np.searchsorted(b_ends, ends)]).astype("<u4").tobytes()
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        bounds = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
         if not np.isin(bounds, common).all():
             return None
-        a_cut, b_cut = (np.searchsorted(x, common, side="right").tolist() for x in (a_ends, b_ends))
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        groups, x, y = [], 0, 0
-        for x2, y2 in zip(a_cut, b_cut, strict=True):
-            groups.append((a_text[x] if x2 == x + 1 else ",".join(a_text[x:x2])) + "|" + (b_text[y] if y2 == y + 1 else ",".join(b_text[y:y2])))
-            x, y = x2, y2
-        cuts = [np.searchsorted(x, bounds, side="right").tolist() for x in (ends, a_ends, b_ends, common)]
-        out, before = [], (0, 0, 0, 0)
-        for row in zip(*cuts, strict=True):
-            (l1, a1, b1, g1), (l2, a2, b2, g2) = before, row
-            out.append((";".join(groups[g1:g2]), links[4 * l1 : 4 * l2], a2 - a1, b2 - b1, g2 - g1))
-            before = row
+        ends = np.union1d(a_ends, b_ends)
+        links = (a_ids[np.searchsorted(a_ends, ends)] << B_BITS | b_ids[np.searchsorted(b_ends, ends)]).astype("<u4").tobytes()
+        # the groups text: of each group first its tokens of A, then those of B
+        a_last, b_last = np.isin(a_ends, common, assume_unique=True), np.isin(b_ends, common, assume_unique=True)
+        a_at, b_at = a_ids + np.where(a_last, 0, len(self.a_bytes)), b_ids + np.where(b_last, 0, len(self.b_bytes))
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        a_cut, b_cut = np.searchsorted(a_ends, common, side="right"), np.searchsorted(b_ends, common, side="right")
+        a_place = np.arange(len(a_ids)) + np.append(0, b_cut)[a_group]
+        b_place = np.arange(len(b_ids)) + a_cut[b_group]
+        tokens, widths = np.empty(len(a_ids) + len(b_ids), object), np.empty(len(a_ids) + len(b_ids), np.int64)
+        tokens[a_place], tokens[b_place] = self.a_text[a_at], self.b_text[b_at]
+        widths[a_place], widths[b_place] = self.a_width[a_at], self.b_width[b_at]
+        groups, reach = "".join(tokens.tolist()), np.cumsum(widths)
+        a_to, l_to = np.searchsorted(a_ends, bounds, side="right"), np.searchsorted(ends, bounds, side="right")
+        t_to = reach[a_to + np.searchsorted(b_ends, bounds, side="right") - 1].tolist()
+        out, t, a, l = [], 0, 0, 0
+        for t2, a2, l2 in zip(t_to, a_to.tolist(), l_to.tolist(), strict=True):
+            out.append((groups[t : t2 - 1], links[4 * l : 4 * l2], a2 - a))
+            t, a, l = t2, a2, l2
+        return out
+
+    def _whole(self, text: str) -> Aligned | bool:
+        """The alignment of a text of its own, which begins with a space."""
+        found = self._aligned(text, np.array([len(text.encode())]))
+        return found[0] if found else False
+
+    def _together(self, words: list[str], between: str, lead: str) -> list[Aligned | bool]:
+        """Each of ``words``, encoded as one text with ``between`` before each and ``lead`` before all."""
+        text = lead + between + between.join(words)
+        sizes = np.array([len(w) if w.isascii() else len(w.encode()) for w in words])
+        if between == " ":
+            found = self._aligned(text, np.cumsum(sizes + 1))
+        else:  # a stretch for what stands before each word
+            bounds = np.cumsum(np.column_stack([np.full(len(words), len(between)), sizes]).ravel()) + len(lead)
+            found = self._aligned(text, np.append(len(lead), bounds))
+            found = found and found[2::2]
+        if found is None:  # some word isn't given back
+            found = [self._together([w], between, lead)[0] for w in words] if len(words) > 1 else [False]
+        return found
+
+    def _parts(self, word: str) -> list[str]:
+        """``word`` cut where it surely is in both tokenizers: around a lone line feed, and between
+        a plain letter and the closing marks that end a line."""
+        out = []
+        for k, line in enumerate(_LINE.split(word) if "\n" in word else (word,)):
+            stem = line if k % 2 else line.rstrip(_CLOSING)
+            if stem != line and stem[-1:].isalpha() and stem[-1] < "\u0250":
+                out += stem, line[len(stem) :]
+            else:
+                out.append(line)
         return out
 
-    def _learn(self, words: list[str], into: dict[str, Aligned | None]) -> None:
-        for at in range(0, len(words), TOGETHER):
-            some = words[at : at + TOGETHER]
-            regular = [w for w in some if _REGULAR.match(w)]
-            for ascii_only in (True, False):
-                batch = [w for w in regular if w.isascii() == ascii_only]
-                found = self._aligned(batch) if batch else []
-                if found is None:  # some word isn't given back: each on its own
-                    found = [(self._aligned([w]) or [None])[0] for w in batch]
-                into.update(zip(batch, found, strict=True))
-            for w in some:
-                if w not in into:
-                    into[w] = (self._aligned([w]) or [None])[0]
-
-    def align(self, texts: list[str]) -> list[list[Aligned] | None]:
-        """The aligned words of each text; None if it has no tokens."""
-        rows = [_CUT.split(" " + text) if text else None for text in texts]
-        for row in rows:
-            if row is not None:  # the cut takes the space of each word but the first
-                row[1:] = [" " + w for w in row[1:]]
-                if row[0] == "":
-                    del row[0]
-        wanted: set[str] = set()
-        for row in rows:
-            if row is not None:
-                wanted.update(row)
-        missing = wanted.difference(self.met)
-        known = missing.intersection(self.older)
+    def _encode(self, words: Iterable[str], into: dict[str, Aligned | bool], between: str, lead: str) -> None:
+        """Learn ``words``, texts of ASCII apart from others (their spans need no map to bytes)."""
+        for ascii_only in (True, False):
+            some = [w for w in words if w.isascii() == ascii_only]
+            for at in range(0, len(some), TOGETHER):
+                batch = some[at : at + TOGETHER]
+                into.update(zip(batch, self._together(batch, between, lead), strict=True))
+
+    def _learn(self, words: Iterable[str], into: dict[str, Aligned | bool]) -> None:
+        """Align ``words`` (that stand behind a space), most of them as compositions of parts."""
+        heads, bare, composed = set(), set(), []
+        for w in words:
+            parts = self._parts(w) if self.closes and (w[-1] in _CLOSING or "\n" in w) else ()
+            if len(parts) > 1 and not any(_BLANK.search(p) for p in parts[1:] if p != "\n"):
+                composed.append((w, parts))
+                bare.update(parts[1:])
+                w = parts[0]
+            if w not in into:
+                heads.add(w)
+        self._encode([w for w in heads if w[-1] != " "], into, " ", "")
+        into.update([(w, self._whole(" " + w)) for w in heads if w[-1] == " "])
+        bare.difference_update(self.bare)
+        self._encode([p for p in bare if p != "\n"], self.bare, "\n", " .")
+        if "\n" in bare:
+            self.bare["\n"] = self._aligned(" .\n", np.array([2, 3]))[1]
+        for w, parts in composed:
+            records = [into[parts[0]], *map(self.bare.__getitem__, parts[1:])]
+            if False in records:
+                into[w] = False
+            else:
+                groups, links, n_a = zip(*records, strict=True)
+                into[w] = ";".join(groups), b"".join(links), sum(n_a)
+
+    def align(self, texts: list[str], regular: list[bool]) -> list[list[Aligned] | None]:
+        """The aligned stretches of each text; None if it has no tokens. A text is ``regular`` if
+        each of its spaces stands before a non-space."""
+        rows, firsts = [], []
+        for text, plain in zip(texts, regular, strict=True):
+            if plain and text[:1] != " ":
+                rows.append(text.split(" ") if text else [])
+                firsts.append("")
+            else:
+                row = _CUT.split(" " + text)
+                firsts.append(row.pop(0))
+                rows.append(row)
+        found = [list(map(self.met.get, row)) for row in rows]
+        again = [k for k, records in enumerate(found) if None in records]
+        missing = {w for k in again for w, r in zip(rows[k], found[k], strict=True) if r is None}
+        known = [w for w in missing if w in self.older]
         self.met.update([(w, self.older[w]) for w in known])
-        passing: dict[str, Aligned | None] = {}
-        new = missing.difference(known)
-        self._learn([w for w in new if len(w) <= CACHED_LENGTH], self.met)
-        for w in new:
-            if len(w) > CACHED_LENGTH:
-                self._learn([w], passing)
-        met = self.met
+        missing.difference_update(known)
+        passing: dict[str, Aligned | bool] = {}
+        self._learn([w for w in missing if len(w) <= CACHED_LENGTH], self.met)
+        self._learn([w for w in missing if len(w) > CACHED_LENGTH], passing)
+        for k in again:
+            found[k] = [self.met.get(w) or passing.get(w, False) for w in rows[k]]
         out: list[list[Aligned] | None] = []
-        for row in rows:
-            found = None if row is None else [met[w] if w in met else passing[w] for w in row]
-            out.append(None if found is None or None in found else found)
-        if len(met) > CACHE_WORDS:
-            self.older, self.met = met, {}
+        for text, first, records in zip(texts, firsts, found, strict=True):
+            if first:
+                records.insert(0, self._whole(first))
+            out.append(None if not text or False in records else records)
+        if len(self.met) > CACHE_WORDS:
+            self.older, self.met = self.met, {}
+        if len(self.bare) > CACHE_WORDS:
+            self.bare = {}
         return out
 
 
@@ -204,16 +274,19 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = Fa
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _ALIGNERS.get((a_path, b_path)) or _ALIGNERS.setdefault((a_path, b_path), Aligner(a_path, b_path))
         for part in sliced(batches):
-            rows = []
-            for found in aligner.align([t or "" for t in part.column("text").to_pylist()]):
+            rows, texts = [], pc.fill_null(part.column("text"), "")
+            odd = pc.match_substring_regex(texts, IRREGULAR)
+            for found in aligner.align(texts.to_pylist(), pc.invert(odd).to_pylist()):
                 if found is None:
                     rows.append((0, 0, 0, 0, "", b"", b"", ""))
                     continue
-                texts, links, n_a, n_b, n_groups = zip(*found, strict=True)
-                groups = ";".join(texts)
+                texts, links, n_a = zip(*found, strict=True)
+                groups, n_a, n_links = ";".join(texts), sum(n_a), sum(map(len, links)) // 4
+                n_groups = groups.count(";") + 1
                 pairs, times = np.unique(np.frombuffer(b"".join(links), "<u4"), return_counts=True)
                 digest = hashlib.sha256(groups.encode()).hexdigest()
-                rows.append((sum(n_a), sum(n_b), sum(n_groups), int(times.sum()), digest, pairs.tobytes(), times.astype("<u4").tobytes(), groups))
+                # every end of a token is an end of A, of B, or (a group's) of both
+                rows.append((n_a, n_links + n_groups - n_a, n_groups, n_links, digest, pairs.tobytes(), times.astype("<u4").tobytes(), groups))
             columns = [pa.array(c) for c in zip(*rows, strict=True)]
             names = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times", "groups"]
             kept = len(names) if with_groups else len(names) - 1
