@@ -5,14 +5,16 @@ classifiers over hashed words, learned from a bounded sample of labelled rows
 (about ``SAMPLE`` ids, chosen by hash), give each document a posterior of every domain. Each
 document then gets a rate r >= 0 (how often it should occur) so that the
 expected tokens of each domain, summed over all documents, match the target
-weights: least squares over the rates, minimised by projected gradient steps
-from r = 1. With the documents measured by their tokens and the residuals by the
-inverse of the domains' Gram matrix over the documents whose rate isn't 0, a step
-is r <- max(0, r - p . lambda): few steps are enough, all that one needs from the
-corpus is the domain sums and that small matrix, and the rates themselves stay
-expressions of a document's own posterior.
-
-``copies`` rounds the rate at random by a hash of id and text, so its mean is
+weights: least squares over nonnegative rates, of all solutions the one nearest to 1,
+by projected gradient steps. The gradient of a document is its posterior times one
+residual per domain, so the unprojected point after any number of steps is 1 - p . m with one
+multiplier m per domain, and the rate its projection max(0, 1 - p . m): all that a
+step needs from the corpus is the domain sums and, to measure residuals by its
+inverse, the Gram matrix of the domains over the documents whose rate isn't 0.
+Posteriors are written once: the words join a written table of the ratios, never a
+constant within the plan.
+
+``copies`` rounds the rate at random by a hash of id and text's hash, so its mean is
 the rate.
 
 Defined results: null and blank texts have no tokens, the prior as posterior and
@@ -25,8 +27,10 @@ each, and draw alike; an empty table gives no rows; other columns are kept by
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import written
@@ -37,7 +41,9 @@ BUCKETS = 1 << 14
 PSEUDO_WORDS = 20_000.0
 DOMAINS = ("poor", "poor_toxic", "good", "good_toxic")
 TARGET = {"good": 0.86, "good_toxic": 0.04, "poor": 0.08, "poor_toxic": 0.02}
-STEPS, TOLERANCE = 12, 1e-6
+STEPS, TOLERANCE = 60, 1e-6
+#: Weight of the distance to rate 1 against that to the targets (decides where many rates, or none, meet them).
+NEAR_ONE = 1e-9
 #: Log odds are held within this, so that no posterior is 0 or 1.
 MOST = 12.0
 
@@ -51,18 +57,18 @@ def bucket(word: Column) -> Column:
 
 
 class Classifier:
-    """Log-likelihood ratios of hashed words for both labels, and prior log odds."""
+    """Log-likelihood ratios of hashed words for both labels, as a table of ``BUCKETS`` rows
+    (bucket, ratio_good, ratio_bad) that joins to words, and prior log odds."""
 
-    def __init__(self, ratios: np.ndarray, prior: np.ndarray):
-        self.ratios, self.prior = ratios, prior
+    def __init__(self, spark: SparkSession, ratios: np.ndarray, prior: np.ndarray):
+        rows = [(k, float(g), float(b)) for k, (g, b) in enumerate(ratios)]
+        self.ratios = written(spark.createDataFrame(rows, "bucket int, ratio_good double, ratio_bad double").coalesce(1), "word-ratios")
+        self.prior = [float(x) for x in prior]
 
-    def log_odds(self, buckets: Column, n: Column, label: int) -> Column:
-        """Prior plus the summed ratios over the square root of the words."""
-        text = ",".join(f"{x:.4g}" for x in self.ratios[:, label])
-        table = F.split(F.lit(text), ",").cast("array<double>")  # a constant: folded by the optimiser
-        total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(table, b))
-        value = F.lit(float(self.prior[label])) + total / F.sqrt(F.greatest(n, F.lit(1)))
-        return F.greatest(F.lit(-MOST), F.least(F.lit(MOST), value))
+    def chance(self, mean_ratio: Column, n: Column, label: int) -> Column:
+        """Of prior plus the summed ratios over the square root of the words."""
+        value = F.lit(self.prior[label]) + F.coalesce(mean_ratio, F.lit(0.0)) * F.sqrt(n)
+        return 1 / (1 + F.exp(-F.greatest(F.lit(-MOST), F.least(F.lit(MOST), value))))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
@@ -91,76 +97,116 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
         ratios[used, k] = np.log(chance[1][used] / chance[0][used])
         n = [1 + sum(c for key, c in per_class.items() if key[k] == v) for v in (0, 1)]
         prior[k] = np.log(n[1] / n[0])
-    return Classifier(ratios, prior)
+    return Classifier(docs.sparkSession, ratios, prior)
+
+
+def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
+    """(own_id, own_key, mix_rows, mix_tokens, mix_p): a row for equal rows (id, text) of
+    ``docs``, their number, the words of each and its posterior of every domain."""
+    rows = docs.select(*_row_key(docs), words(docs["text"]).alias("words"))
+    each = rows.select("own_id", "own_key", F.size("words").alias("n"), F.explode_outer("words").alias("word"))
+    # a broadcast of BUCKETS rows; the means are summed in each task before the shuffle
+    known = each.withColumn("bucket", bucket(F.col("word"))).join(F.broadcast(model.ratios), "bucket", "left")
+    # a text without words stands as one row without a word
+    spread = F.greatest(F.col("n"), F.lit(1))
+    means = known.groupBy("own_id", "own_key").agg(
+        F.max("n").alias("mix_tokens"), F.sum(1 / spread).alias("rows"), F.sum(F.when(F.col("word").isNotNull(), F.col("ratio_good"))).alias("good"),
+        F.sum(F.when(F.col("word").isNotNull(), F.col("ratio_bad"))).alias("bad"), F.count("word").alias("words"),
+    )
+    n = F.col("mix_tokens")
+    good, bad = (model.chance(F.col(c) / F.col("words"), n, k) for k, c in enumerate(("good", "bad")))
+    out = means.select("own_id", "own_key", F.round("rows").cast("bigint").alias("mix_rows"), "mix_tokens", good.alias("good"), bad.alias("bad"))
+    good, bad = F.col("good"), F.col("bad")
+    p = F.array((1 - good) * (1 - bad), (1 - good) * bad, good * (1 - bad), good * bad)
+    return out.select("own_id", "own_key", "mix_rows", "mix_tokens", p.alias("mix_p"))
 
 
-def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """The rows of ``docs`` plus mix_tokens and mix_p (a posterior per domain)."""
-    # the ratios are looked up once per word, over an array of buckets
-    rows = docs.withColumn("mix_buckets", F.transform(words(F.col("text")), bucket)).withColumn("mix_tokens", F.size("mix_buckets"))
-    chance = [1 / (1 + F.exp(-model.log_odds(F.col("mix_buckets"), F.col("mix_tokens"), k))) for k in (0, 1)]
-    rows = rows.withColumn("mix_good", chance[0]).withColumn("mix_bad", chance[1]).drop("mix_buckets")
-    good, bad = F.col("mix_good"), F.col("mix_bad")
-    p = F.array((1 - good) * (1 - bad), (1 - good) * bad, good * (1 - bad), good * bad)
-    return rows.withColumn("mix_p", p).drop("mix_good", "mix_bad")
+def _row_key(docs: DataFrame) -> list[Column]:
+    return [docs["doc_id"].cast("bigint").alias("own_id"), F.xxhash64(docs["text"].cast("string")).alias("own_key")]
+
 
+def rate(multipliers: np.ndarray, p: Column) -> Column:
+    """The rate that follows from a document's posterior: the projection of 1 - p . multipliers to 0 and more."""
+    move = sum((F.get(p, F.lit(k)) * F.lit(float(x)) for k, x in enumerate(multipliers)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - move)
 
-def rate(steps: list[np.ndarray], p: Column) -> Column:
-    """The rate after the given steps, from a document's posterior."""
-    out = F.lit(1.0)
-    for step in steps:
-        move = sum((F.get(p, F.lit(k)) * F.lit(float(x)) for k, x in enumerate(step)), F.lit(0.0))
-        out = F.greatest(F.lit(0.0), out - move)
-    return out
 
+def solve(rows: DataFrame, target: dict[str, float] = TARGET) -> tuple[np.ndarray, float]:
+    """The multipliers for (mix_rows, mix_tokens, mix_p) rows, and the largest distance of
+    a domain's share from its target that is left; each step is one sum over all rows.
 
-def solve(posteriors: DataFrame, target: dict[str, float] = TARGET) -> list[np.ndarray]:
-    """Projected-gradient steps for (mix_tokens, mix_p) rows; each step is one sum over all rows."""
+    A step that overshoots (by the objective) is halved. If no rates can meet the
+    targets, the least squares stay apart from them, and the distance says so.
+    """
     k = len(DOMAINS)
     p = [F.get("mix_p", F.lit(i)) for i in range(k)]
     cells = [(i, j) for i in range(k) for j in range(i, k)]
     weights = np.array([target[d] for d in DOMAINS]) / sum(target.values())
-    steps: list[np.ndarray] = []
+    tokens = (F.col("mix_tokens") * F.col("mix_rows")).cast("double").alias("tokens")
+    at, step, gap = np.zeros(k), np.zeros(k), 0.0
+    value, slope = np.inf, 0.0
+    best = np.inf, at
     for _ in range(STEPS):
-        rows = posteriors.select("mix_tokens", "mix_p", rate(steps, F.col("mix_p")).alias("r"))
-        free = F.when(F.col("r") > 0, F.col("mix_tokens")).otherwise(F.lit(0))
-        sums = rows.agg(
-            F.sum("mix_tokens"),
-            *(F.sum(F.col("mix_tokens") * F.col("r") * p[i]) for i in range(k)),
+        tried = at + step
+        rated = rows.select(tokens, "mix_p", rate(tried, F.col("mix_p")).alias("r"))
+        free = F.when(F.col("r") > 0, F.col("tokens")).otherwise(F.lit(0.0))
+        sums = rated.agg(
+            F.sum("tokens"),
+            F.sum(F.col("tokens") * F.col("r") * F.col("r")),
+            *(F.sum(F.col("tokens") * F.col("r") * p[i]) for i in range(k)),
             *(F.sum(free * p[i] * p[j]) for i, j in cells),
         ).first()
         if not sums[0]:
-            return []
+            return at, 0.0
         found = np.array(sums[1:], float) / float(sums[0])
-        residual = found[:k] - weights
-        if np.abs(residual).max() < TOLERANCE:
+        residual = found[1 : k + 1] - weights
+        gap = float(np.abs(residual).max())
+        best = min(best, (gap, tried), key=lambda x: x[0])
+        now = found[0] / 2 + weights @ tried + NEAR_ONE / 2 * tried @ tried
+        if now > value + 1e-4 * slope + 1e-15:  # too far: half of it
+            step, slope = step / 2, slope / 2
+            continue
+        downhill = residual - NEAR_ONE * tried
+        if gap < TOLERANCE or np.abs(downhill).max() < NEAR_ONE:
             break
         gram = np.zeros((k, k))
-        for (i, j), value in zip(cells, found[k:], strict=True):
-            gram[i, j] = gram[j, i] = value
-        steps.append(np.linalg.pinv(gram, rcond=1e-9, hermitian=True) @ residual)
-    return steps
+        for (i, j), x in zip(cells, found[k + 1 :], strict=True):
+            gram[i, j] = gram[j, i] = x
+        at, value = tried, now
+        step = np.linalg.solve(gram + NEAR_ONE * np.eye(k), downhill)
+        slope = -float(step @ downhill)
+    gap, at = best
+    if gap >= TOLERANCE:
+        warnings.warn(f"mixing leaves a domain {gap:.2g} of all tokens from its target", stacklevel=2)
+    return at, gap
 
 
 def _rated(docs: DataFrame, labels: DataFrame, target: dict[str, float]) -> DataFrame:
-    rows = with_posteriors(docs, fit(docs, labels))
-    steps = solve(written(rows.select("mix_tokens", "mix_p"), "posteriors"), target)
-    rows = rows.withColumn("mix_rate", rate(steps, F.col("mix_p")))
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("draw")), F.lit(1 << 32)) / F.lit(float(1 << 32))
+    """(own_id, own_key, mix_rows, mix_tokens, mix_p, mix_rate, mix_copies, target_gap) of the distinct rows."""
+    found = written(posteriors(docs, fit(docs, labels)), "posteriors")
+    multipliers, gap = solve(found, target)
+    rows = found.withColumn("mix_rate", rate(multipliers, F.col("mix_p")))
+    draw = F.pmod(F.xxhash64("own_id", "own_key", F.lit("draw")), F.lit(1 << 32)) / F.lit(float(1 << 32))
     whole = F.floor("mix_rate")
-    return rows.withColumn("mix_copies", (whole + (draw < F.col("mix_rate") - whole).cast("bigint")).cast("bigint"))
+    copies = (whole + (draw < F.col("mix_rate") - whole).cast("bigint")).cast("bigint")
+    return rows.withColumn("mix_copies", copies).withColumn("target_gap", F.lit(gap))
 
 
 def document_rates(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>..., rate, copies) of every row of ``docs``."""
-    rows = _rated(docs.select("doc_id", "text"), labels, target)
+    """(doc_id, n_tokens, p_<domain>..., rate, copies, target_gap) of every row of ``docs``; the last is
+    the same everywhere: the largest distance of a domain's share of tokens from its target."""
+    rows = _rated(docs, labels, target)
+    rows = rows.withColumn("mix_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_rows"))))
     p = [F.get("mix_p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)]
-    return rows.select("doc_id", F.col("mix_tokens").cast("bigint").alias("n_tokens"), *p, F.col("mix_rate").alias("rate"), F.col("mix_copies").alias("copies"))
+    return rows.select(
+        F.col("own_id").alias("doc_id"), F.col("mix_tokens").cast("bigint").alias("n_tokens"), *p, F.col("mix_rate").alias("rate"), F.col("mix_copies").alias("copies"), "target_gap"
+    )
 
 
 def mixed(docs: DataFrame, labels: DataFrame, target: dict[str, float] = TARGET) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, all columns kept."""
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("own_row"))  # own names can't clash within
-    rows = _rated(packed, labels, target).where("mix_copies > 0")
+    kept = _rated(docs, labels, target).where("mix_copies > 0").select(F.col("own_id").alias("kept_id"), F.col("own_key").alias("kept_key"), "mix_copies")
+    packed = docs.select(*_row_key(docs), F.struct(*docs.columns).alias("own_row"))  # own names can't clash within
+    rows = packed.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_key") == F.col("kept_key")))
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_copies")))
-    return rows.withColumn("mix_copy", times).select("own_row.*")
+    return rows.select("own_row", "mix_copies").withColumn("mix_copy", times).select("own_row.*")
