@@ -247,3 +247,19 @@ def test_vacuum_removes_only_old_superseded_snapshots(spark, root):
     assert len(removed) == 3
     assert all(not paths.exists(spark, p) for p in removed)
     assert silver.read_published_observations(spark, silver_root).count() == 4
+
+
+@pytest.mark.parametrize("leaves", [KeyboardInterrupt, SystemExit, GeneratorExit, ValueError])
+def test_whatever_ends_a_run_early_is_a_failure(spark, root, leaves):
+    with pytest.raises(leaves), recorded(spark, root, "scrape"):
+        raise leaves
+    (row,) = current_runs(spark, root).collect()
+    assert (row["status"], leaves.__name__ in row["error"]) == ("failed", True)
+
+
+@pytest.mark.parametrize("reason, status", [("finished", "ok"), ("shutdown", "failed"), ("closespider_timeout", "failed")])
+def test_a_crawl_names_its_finish_reason(spark, root, reason, status):
+    with recorded(spark, root, "scrape") as run:
+        run.reason = reason
+    (row,) = current_runs(spark, root).collect()
+    assert row["status"] == status and (row["error"] is None) == (status == "ok")

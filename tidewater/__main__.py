@@ -2,10 +2,11 @@
 
     plan    --index <parquet of url, html> --bronze <dir> --out <dir> [--year <yyyy>] [--full-refresh]
     ingest  --landed <dir> --bronze <dir> [--pages <parquet of buoy_id, html>] [--silver <dir>]
+            [--finish-reason <why the crawl that fetched the files ended>]
     convert --legacy <dir> --bronze <dir>
     silver  --bronze <dir> --silver <dir> [--force]
     health  --silver <dir> [--as-of "YYYY-MM-DD HH:MM:SS"]
-    vacuum  --silver <dir> [--grace-hours 24]
+    vacuum  [--silver <dir>] [--bronze <dir>] [--grace-hours 24]
 
 ``ingest --silver`` records the ingest as a ``scrape`` run in the log that
 ``health`` reads. The session comes from ``spark-submit`` / the environment
@@ -22,6 +23,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tidewater.operators.monitoring import FINISHED
 from tidewater.session import configure
 
 
@@ -54,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     ingest.add_argument("--bronze", required=True)
     ingest.add_argument("--pages")
     ingest.add_argument("--silver")
+    ingest.add_argument("--finish-reason", default=FINISHED)
     plan = sub.add_parser("plan")
     for name in ("--index", "--bronze", "--out"):
         plan.add_argument(name, required=True)
@@ -67,7 +70,8 @@ def main(argv: list[str] | None = None) -> int:
     silver.add_argument("--silver", required=True)
     silver.add_argument("--force", action="store_true")
     vacuum = sub.add_parser("vacuum")
-    vacuum.add_argument("--silver", required=True)
+    vacuum.add_argument("--silver")
+    vacuum.add_argument("--bronze")
     vacuum.add_argument("--grace-hours", type=float, default=24.0)
     health = sub.add_parser("health")
     health.add_argument("--silver", required=True)
@@ -89,6 +93,7 @@ def main(argv: list[str] | None = None) -> int:
             out = {"observations": ingest_landed_files(spark, args.landed, args.bronze)}
             if args.pages:
                 out["coordinates"] = ingest_station_pages(spark, spark.read.parquet(args.pages), args.bronze)
+            run.reason = args.finish_reason
             run.figures, run.stats = {"rows_loaded": out["observations"]["rows_written"]}, out
         print(json.dumps(out))
         return 0
@@ -106,8 +111,10 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.command == "vacuum":
         from tidewater.sinks.silver import vacuum_snapshots
+        from tidewater.sources.bronze import vacuum_bronze
 
-        removed = vacuum_snapshots(spark, args.silver, args.grace_hours)
+        removed = vacuum_snapshots(spark, args.silver, args.grace_hours) if args.silver else []
+        removed += vacuum_bronze(spark, args.bronze, args.grace_hours) if args.bronze else []
         print(json.dumps({"removed": removed}))
         return 0
     return _health(spark, args.silver, args.as_of)

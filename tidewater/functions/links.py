@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import sql
+from tidewater.functions import html, sql
 from tidewater.schema import (
     DOWNLOAD_PATH_TOKEN,
     FILENAME_SUFFIX_PATTERN,
@@ -83,7 +83,11 @@ _ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 
 def unescape(text: Column | str) -> Column:
     """Numeric character references and the five basic entities decoded."""
-    out = _lit(text)
+    plain = _lit(text)
+    return F.when(plain.contains("&"), _unescaped(plain)).otherwise(plain)
+
+
+def _unescaped(out: Column) -> Column:
     numeric = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});)"), F.lit(1)))
 
     def decoded(ref: Column) -> Column:
@@ -101,17 +105,14 @@ def station_page_url(buoy_id: Column | str) -> Column:
     return F.concat(F.lit(STATION_PAGE_URL), _lit(buoy_id))
 
 
-# Archive index shape: an anchor with id "stdmet", then lists of class
-# "histfiles" whose items read "<id>: <a href=...>yyyy</a> ...". The section of
-# the anchor ends where another anchor names a section or a heading opens.
-ARCHIVE_SECTION_PATTERN = r"""(?s)<a[^>]*\sid\s*=\s*["']stdmet["'][^>]*>(.*?)(?:<a[^>]*\sid\s*=|<h[1-6]\b|\z)"""
-ARCHIVE_LIST_PATTERN = r"""(?s)<ul[^>]*\sclass\s*=\s*["']histfiles["'][^>]*>(.*?)</ul>"""
-WHOLE_PAGE = r"(?s)^(.*)$"
+# An anchor of this name stands beside the lists of this class, whose items
+# read "<id>: <a href=...>yyyy</a> ...".
+ARCHIVE_ANCHOR, ARCHIVE_LIST_CLASS = "stdmet", "histfiles"
 
 
-def list_items(html: Column | str, list_pattern: str, section_pattern: str = WHOLE_PAGE) -> Column:
-    """Array of ``<li>`` bodies of every list that matches within the section."""
-    lists = F.regexp_extract_all(F.regexp_extract(_lit(html), section_pattern, 1), F.lit(list_pattern), F.lit(1))
+def list_items(page: Column | str, list_pattern: str) -> Column:
+    """Array of ``<li>`` bodies of every list that matches."""
+    lists = F.regexp_extract_all(_lit(page), F.lit(list_pattern), F.lit(1))
     return F.flatten(F.transform(lists, lambda body: F.regexp_extract_all(body, F.lit(r"(?s)<li[^>]*>(.*?)</li>"), F.lit(1))))
 
 
@@ -125,28 +126,35 @@ def item_hrefs(item: Column) -> Column:
     return F.transform(quoted, lambda q: unescape(F.substring(q, F.lit(2), F.length(q) - 2)))
 
 
-def explode_archive_index(
-    pages: DataFrame,
-    list_pattern: str = ARCHIVE_LIST_PATTERN,
-    keep: list[str] | None = None,
-    section_pattern: str = ARCHIVE_SECTION_PATTERN,
-) -> DataFrame:
-    """One row per (station, link) from landed index pages.
-
-    Output: ``url`` (page), ``buoy_id``, ``link`` (text-view form),
-    ``source_stem``, ``year``, ``station_url``. Items without an id keep a
-    NULL ``buoy_id`` so the caller can fail loudly, as the reference does.
-    A narrow transformation: no shuffle.
-    """
-    keep = keep or []
-    items = pages.select(*keep, "url", F.posexplode(list_items("html", list_pattern, section_pattern)).alias("item_pos", "item"))
-    label = unescape(item_label(F.col("item")))
+def _linked(items: DataFrame, keep: list[str], label: Column, hrefs: Column) -> DataFrame:
+    """(keep..., url, item_pos, buoy_id, link_pos, href, link, source_stem, year, station_url)."""
     links = items.select(
         *keep,
         "url",
         "item_pos",
         F.when(strip(label) != "", clean_buoy_id(label)).alias("buoy_id"),
-        F.posexplode(item_hrefs(F.col("item"))).alias("link_pos", "href"),
+        F.posexplode(hrefs).alias("link_pos", "href"),
     )
     out = links.withColumn("link", text_view_link("href"))
     return with_source_identity(out, "link").withColumn("station_url", station_page_url("buoy_id"))
+
+
+def explode_list_links(pages: DataFrame, list_pattern: str, keep: list[str] | None = None) -> DataFrame:
+    """One row per link of every list that matches, anywhere in a page; columns as
+    ``explode_archive_index``. A narrow transformation: no shuffle."""
+    keep = keep or []
+    items = pages.select(*keep, "url", F.posexplode(list_items("html", list_pattern)).alias("item_pos", "item"))
+    return _linked(items, keep, unescape(item_label(F.col("item"))), item_hrefs(F.col("item")))
+
+
+def explode_archive_index(pages: DataFrame, anchor: str = ARCHIVE_ANCHOR, list_class: str = ARCHIVE_LIST_CLASS) -> DataFrame:
+    """One row per (station, link) from landed index pages, read by their element tree.
+
+    Output: ``url`` (page), ``item_pos``, ``buoy_id``, ``link_pos``, ``href``, ``link`` (text-view
+    form), ``source_stem``, ``year``, ``station_url``. Items without an id keep a
+    NULL ``buoy_id`` so the caller can fail loudly, as the reference does.
+    A narrow transformation: no shuffle.
+    """
+    # outer: else the optimiser would read every page two more times, to see whether it holds items
+    items = pages.select("url", F.posexplode_outer(html.marked_items(F.col("html"), anchor, list_class)).alias("item_pos", "item")).where("item_pos is not null")
+    return _linked(items, [], unescape(F.col("item.label")), F.transform(F.col("item.hrefs"), unescape))

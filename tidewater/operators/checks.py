@@ -61,6 +61,11 @@ def integrity_report(
 
 def assert_clean(report: DataFrame) -> None:
     """Raise if any check has violations (one small collect of ≤4 rows)."""
-    bad = [r for r in report.collect() if r["violations"]]
+    assert_none({r["check"]: r["violations"] for r in report.collect()})
+
+
+def assert_none(violations: dict[str, int]) -> None:
+    """Raise if any named check has violations."""
+    bad = {name: n for name, n in violations.items() if n}
     if bad:
-        raise ValueError(f"integrity checks failed: {[(r['check'], r['violations']) for r in bad]}")
+        raise ValueError(f"integrity checks failed: {sorted(bad.items())}")

@@ -24,6 +24,8 @@ def year_fingerprints(inventory: DataFrame, years: DataFrame | None = None) -> D
     """``count:newest-mtime`` per year over a file inventory
     ``(year, modificationTime, ...)``; ``empty`` for requested years without
     files. A deliberately cheap change detector: metadata only, never content.
+    For trees whose files become visible whole; our own bronze commits batches,
+    so its loads compare ``committed_fingerprints``.
     """
     fp = inventory.groupBy("year").agg(
         F.count(F.lit(1)).alias("file_count"), F.max("modificationTime").alias("newest")
@@ -43,6 +45,22 @@ def year_fingerprints(inventory: DataFrame, years: DataFrame | None = None) -> D
     )
 
 
+def committed_fingerprints(versions: DataFrame) -> DataFrame:
+    """(year, sources, bronze_fingerprint) over committed source versions ``(year, buoy_id,
+    source_stem, batch)``: how many sources a year holds, and a sum of hashes of each
+    source with its newest batch, so the order of rows doesn't count.
+
+    Only commits change it. Files of a batch that is still being written, or that
+    were cleaned away after their replacement, don't.
+    """
+    newest = versions.groupBy("year", "buoy_id", "source_stem").agg(F.max("batch").alias("batch"))
+    name = F.concat_ws("/", F.coalesce("buoy_id", F.lit("")), F.coalesce("source_stem", F.lit("")), "batch")
+    mark = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("decimal(38,0)")
+    return newest.groupBy("year").agg(F.count(F.lit(1)).alias("sources"), F.sum(mark).alias("marks")).select(
+        "year", "sources", F.concat(F.col("sources").cast("string"), F.lit(":"), F.col("marks").cast("string")).alias("bronze_fingerprint")
+    )
+
+
 def is_loadable_year(year: Column | str = "year") -> Column:
     c = F.col(year) if isinstance(year, str) else year
     return c.rlike(_FOUR_DIGITS)

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tidewater.schema import ERROR_CLIP_CHARS, MAX_AGE_HOURS, STAGES, STALE_RUN_HOURS
 
+#: Fixed value: the reason of a run that came to its end.
+FINISHED = "finished"
+
 
 def _ts(value: dt.datetime | str | Column) -> Column:
     if isinstance(value, Column):
@@ -121,8 +124,8 @@ def partition_count(ledger_current: DataFrame) -> DataFrame:
 
 
 def run_status_from_reason(reason: Column) -> Column:
-    """A crawl is ``ok`` only when it finished normally."""
-    return F.when(reason == "finished", F.lit("ok")).otherwise(F.lit("failed"))
+    """A run is ``ok`` only when it finished normally."""
+    return F.when(reason == FINISHED, F.lit("ok")).otherwise(F.lit("failed"))
 
 
 def clip_error(text: Column) -> Column:

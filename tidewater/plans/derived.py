@@ -281,9 +281,10 @@ INDEX_BLOCK = 50
 
 def index_pages_from_orders(orders: DataFrame) -> DataFrame:
     """Archive index pages ``(url, html)`` over all (customer, order year)
-    pairs, ``INDEX_BLOCK`` stations a page: even stations in a first list, odd
-    ones in a second, white space around ids, escaped links, both quote kinds,
-    and a list of another section that doesn't belong."""
+    pairs, ``INDEX_BLOCK`` stations a page: even stations in a list before the anchor, odd
+    ones in a list behind it and a heading, white space around ids, escaped links, both quote
+    kinds and none, tags in capitals, items without an end tag, a list within a comment
+    and a list of another section that don't belong."""
     pairs = orders.selectExpr("o_custkey AS station", "year(o_orderdate) AS y").distinct()
     buoy = "format_string('%05d', station)"
     href = f"concat('/download_data.php?dir=d/&amp;filename=', {buoy}, 'h', CAST(y AS STRING), '&#46;txt.gz')"
@@ -291,11 +292,32 @@ def index_pages_from_orders(orders: DataFrame) -> DataFrame:
     items = pairs.selectExpr("station", f"{link} AS link").groupBy("station").agg(F.concat_ws(" ", F.sort_array(F.collect_list("link"))).alias("links"))
     item = items.selectExpr(
         f"station DIV {INDEX_BLOCK} AS page", "station % 2 AS odd",
-        f"concat('<li>\\n\\t ', {buoy}, ': ', links, '</li>') AS item",
+        f"concat(CASE WHEN station % 4 = 1 THEN '<LI>' ELSE '<li>' END, '\\n\\t ', {buoy}, ': ', links, CASE WHEN station % 4 < 2 THEN '</li>' ELSE '' END) AS item",
     )
     lists = item.groupBy("page").agg(*[F.concat_ws("\n", F.sort_array(F.collect_list(F.when(F.col("odd") == k, F.col("item"))))).alias(f"list{k}") for k in (0, 1)])
     return lists.selectExpr(
         "concat('https://example.org/index/', page) AS url",
-        "concat('<div><a class=c id=\\'stdmet\\'>x</a><ul class=\"histfiles\">', list0, '</ul><p>and</p><ul class=\\'histfiles\\'>', list1, "
-        "'</ul></div><div><a id=\"other\">y</a><ul class=\"histfiles\"><li>99999: <a href=\"/q?filename=zh1999.txt.gz\">1999</a></li></ul></div>') AS html",
+        "concat('<DIV><!-- <ul class=\"histfiles\"><li>88888: <a href=\"/q?filename=zh1988.txt.gz\">1988</a></li></ul> -->"
+        "<UL CLASS=histfiles>', list0, '</UL><A class=c id=\\'stdmet\\'>x</A><h3>Years</h3><p>and<ul class=\\'histfiles\\'>', list1, "
+        "'</ul></DIV><div><a id=\"other\">y</a><ul class=\"histfiles\"><li>99999: <a href=\"/q?filename=zh1999.txt.gz\">1999</a></li></ul></div>') AS html",
     )
+
+
+def bronze_rows_from_orders(orders: DataFrame) -> DataFrame:
+    """Bronze-shaped rows, one per order: a customer's orders of a year are one source."""
+    return orders.selectExpr(
+        f"{_ORDER_BUOY} AS buoy_id",
+        f"concat({_ORDER_BUOY}, 'h', {_ORDER_YEAR}) AS source_stem",
+        "CAST(row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) AS INT) AS line_no",
+        f"{_ORDER_YEAR} AS yyyy",
+        "date_format(o_orderdate, 'MM') AS month_raw",
+        "date_format(o_orderdate, 'dd') AS day_raw",
+        "lpad(CAST(o_orderkey % 24 AS STRING), 2, '0') AS hour_raw",
+        "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS STRING) AS PRES",
+        f"{_ORDER_YEAR} AS year",
+    )
+
+
+def refetched_rows(rows: DataFrame, where: str, drop: str) -> DataFrame:
+    """The sources chosen by ``where``, fetched again without the rows of ``drop``."""
+    return rows.where(where).where(f"NOT ({drop})")

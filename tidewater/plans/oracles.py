@@ -540,7 +540,67 @@ SELECT count(*) AS stations, count(*) FILTER (WHERE status = 'missing') AS coord
 FROM ({_COORDINATE_PARSE})
 """
 
+_COMMITTED = """
+WITH v AS (
+  SELECT DISTINCT lpad(o_custkey::VARCHAR, greatest(5, length(o_custkey::VARCHAR))::INTEGER, '0') AS buoy,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN 'unknown' ELSE year(o_orderdate)::VARCHAR END AS year,
+         lpad((o_orderkey % 16)::VARCHAR, 20, '0') || '-orders' AS batch
+  FROM orders WHERE o_orderkey % 16 % 5 <> 4
+), newest AS (SELECT year, buoy, max(batch) AS batch FROM v GROUP BY year, buoy)
+SELECT year, count(*) AS sources,
+       count(*)::VARCHAR || ':' || sum(('0x' || substr(md5(buoy || '/' || buoy || 'h' || year || '/' || batch), 1, 15))::BIGINT)::VARCHAR AS bronze_fingerprint
+FROM newest GROUP BY year
+"""
+
+_ORDER_ROWS = """
+rows_ AS (
+  SELECT lpad(o_custkey::VARCHAR, greatest(5, length(o_custkey::VARCHAR))::INTEGER, '0') AS buoy_id, year(o_orderdate)::VARCHAR AS year,
+         row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey)::INTEGER AS line_no,
+         lpad((o_orderkey % 24)::VARCHAR, 2, '0') AS hour_raw, o_custkey, o_orderkey, o_orderdate,
+         o_totalprice::DECIMAL(18, 2)::VARCHAR AS "PRES"
+  FROM orders
+)"""
+
+_CURRENT = f"""
+WITH {_ORDER_ROWS}
+SELECT buoy_id, year, buoy_id || 'h' || year AS source_stem, line_no, hour_raw, "PRES" FROM rows_
+WHERE NOT (hour_raw < '06' AND (year >= '1999' OR (year = '1998' AND o_custkey % 2 = 0))
+           AND EXISTS (SELECT 1 FROM rows_ r WHERE r.o_custkey = rows_.o_custkey AND r.year = rows_.year AND r.hour_raw >= '06'))
+"""
+
+_VACUUMED = f"""
+WITH {_ORDER_ROWS}, kept AS (
+  SELECT *, (year >= '1999' OR (year = '1998' AND o_custkey % 2 = 0))
+            AND max(hour_raw) OVER (PARTITION BY o_custkey, year) >= '06' AS again FROM rows_
+)
+SELECT year, count(*) FILTER (NOT again OR hour_raw >= '06') AS row_count,
+       max(CASE WHEN NOT again THEN 1 ELSE 0 END) + max(CASE WHEN again THEN 1 ELSE 0 END) AS folders
+FROM kept GROUP BY year
+"""
+
+
+def _published(where: str, later: str) -> str:
+    return f"""
+WITH {_ORDER_ROWS}, kept AS (
+  SELECT *, {later} AND max(hour_raw) OVER (PARTITION BY o_custkey, year) >= '06' AS again FROM rows_
+), typed AS (
+  SELECT buoy_id, year, line_no, (o_orderdate::DATE)::TIMESTAMP + to_hours((o_orderkey % 24)::BIGINT) AS datetime, "PRES"::DOUBLE AS pressure
+  FROM kept WHERE NOT again OR hour_raw >= '06'
+)
+SELECT buoy_id, datetime, CASE WHEN pressure = 9999.0 THEN NULL ELSE pressure END AS pressure FROM typed
+QUALIFY row_number() OVER (PARTITION BY buoy_id, datetime ORDER BY line_no) = 1 {where}
+"""
+
+
+_RELOAD = f"SELECT * FROM ({_published('', "year >= '2000'")})"
+_WINDOW = f"SELECT * FROM ({_published('', 'false')}) WHERE buoy_id = '00007' AND datetime >= TIMESTAMP '1996-03-01' AND datetime < TIMESTAMP '1999-09-01'"
+
 ORACLES: dict[str, str] = {
+    "committed_fingerprint": _COMMITTED,
+    "bronze_current_versions": _CURRENT,
+    "bronze_vacuumed": _VACUUMED,
+    "silver_reload": _RELOAD,
+    "station_window_read": _WINDOW,
     "decode_edge_cases": _DECODE_EDGES,
     "archive_index_parse": _INDEX_PARSE,
     "changed_years_forced": _CHANGED_FORCED,

@@ -6,6 +6,7 @@ column names match the DuckDB oracle in ``tidewater.plans.oracles``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,13 @@ from tidewater.functions import links
 from tidewater.operators import admission, checks, incremental, monitoring, stations
 from tidewater.operators import observations as obs
 from tidewater.plans import derived
+from tidewater.plans.silver_load import run_silver
 from tidewater.plans.tables import table
 from tidewater.schema import BRONZE_VALUE_COLUMNS
 from tidewater.session import configure
+from tidewater.sinks import silver
+from tidewater.sinks.bronze import write_bronze_frame
+from tidewater.sources import bronze, paths
 from tidewater.sources.station_text import decode_station_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,7 +220,7 @@ def page_links_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC6, STR4-STR6, STR8, SET2: list links of every landed page, one row
     per distinct link (kept from the lowest page id)."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    exploded = links.explode_archive_index(pages, NAV_LIST_PATTERN, keep=["page_id"], section_pattern=links.WHOLE_PAGE)
+    exploded = links.explode_list_links(pages, NAV_LIST_PATTERN, keep=["page_id"])
     # Navigation items carry no station label; the page itself is the station.
     named = exploded.withColumn(
         "buoy_id", F.coalesce("buoy_id", F.format_string("%05d", F.col("page_id")))
@@ -359,6 +364,75 @@ def page_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coordinate_parse(spark, sf_dir).agg(*[c.alias(k) for k, c in stations.page_counters().items()])
 
 
+def committed_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG3 over commits (SRC7): the source versions of 16 ingest batches are committed but for
+    every fifth batch, whose files lie there without a manifest; fingerprints per year."""
+    root, orders = paths.scratch_root(spark, "fingerprints"), table(spark, sf_dir, "orders")
+    versions = orders.selectExpr(
+        "format_string('%05d', o_custkey) AS buoy_id", f"{_ORDERS_YEAR_TEXT} AS year",
+        f"concat(format_string('%05d', o_custkey), 'h', {_ORDERS_YEAR_TEXT}) AS source_stem",
+        "0L AS lines_flagged", "format_string('%020d-orders', o_orderkey % 16) AS batch", "o_orderkey % 16 AS k",
+    )
+    files = versions.select("buoy_id", "source_stem", "year", "batch").distinct()
+    files.write.partitionBy("batch", "year").parquet(bronze.observations_path(root))
+    committed = versions.where("k % 5 <> 4").drop("k").distinct()
+    committed.write.partitionBy("batch").parquet(bronze.manifests_path(root))
+    held = bronze.read_manifests(spark, root, batches=bronze.committed_batches(spark, root))
+    return incremental.committed_fingerprints(held)
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze written three times: everything; all sources of 1999 and later again; every second
+    source of 1998 again. The later versions lack the rows of hours 0 to 5."""
+    root, rows = paths.scratch_root(spark, "bronze"), derived.bronze_rows_from_orders(table(spark, sf_dir, "orders"))
+    write_bronze_frame(rows, root)
+    for where in ("year >= '1999'", "year = '1998' AND CAST(buoy_id AS INT) % 2 = 0"):
+        write_bronze_frame(derived.refetched_rows(rows, where, "hour_raw < '06'"), root)
+    return root
+
+
+def bronze_current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2, SNK1: bronze written, written again and read: each source's newest version,
+    whose folders the manifests choose."""
+    current = bronze.read_bronze_observations(spark, _versions(spark, sf_dir))
+    return current.select("buoy_id", "year", "source_stem", "line_no", "hour_raw", "PRES")
+
+
+def bronze_vacuumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2 after clean-up: folders whose sources were all replaced are deleted; rows per year and
+    the folders that stay are counted."""
+    root = _versions(spark, sf_dir)
+    bronze.vacuum_bronze(spark, root, grace_hours=0.0, now=dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1))
+    rows = bronze.read_bronze_observations(spark, root).groupBy("year").agg(F.count(F.lit(1)).alias("row_count"))
+    folders = bronze.bronze_inventory(spark, root).select("year", "batch").distinct().groupBy("year").agg(F.count(F.lit(1)).alias("folders"))
+    return rows.join(folders, "year")
+
+
+def silver_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4, SNK5, SRC9, AGG3, JOIN2: a full load, two later ingests, a load of what changed; the
+    published rows as the ledger then names them."""
+    root, silver_root = paths.scratch_root(spark, "bronze"), paths.scratch_root(spark, "silver")
+    rows = derived.bronze_rows_from_orders(table(spark, sf_dir, "orders"))
+    write_bronze_frame(rows, root)
+    run_silver(spark, root, silver_root)
+    write_bronze_frame(derived.refetched_rows(rows, "year >= '2000'", "hour_raw < '06'"), root)
+    run_silver(spark, root, silver_root)
+    return silver.read_published_observations(spark, silver_root).select("buoy_id", "datetime", "pressure")
+
+
+#: Station and instants of the registered window read.
+WINDOW_STATION, WINDOW = "00007", (dt.datetime(1996, 3, 1), dt.datetime(1999, 9, 1))
+
+
+def station_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC9: one station and a span of time out of a whole publish; the file index chooses the files."""
+    root, silver_root = paths.scratch_root(spark, "bronze"), paths.scratch_root(spark, "silver")
+    write_bronze_frame(derived.bronze_rows_from_orders(table(spark, sf_dir, "orders")), root)
+    run_silver(spark, root, silver_root)
+    found = silver.read_published_observations(spark, silver_root, start=WINDOW[0], end=WINDOW[1], buoy_id=WINDOW_STATION)
+    return found.select("buoy_id", "datetime", "pressure")
+
+
 def _configured(fn: Query) -> Query:
     """Every query runs under the engine's session settings (UTC clock,
     text partition values, AQE)."""
@@ -406,6 +480,11 @@ _REGISTRY: dict[str, Query] = {
     "run_stats_json": run_stats_json,
     "dimension_count": dimension_count,
     "page_counters": page_counters,
+    "committed_fingerprint": committed_fingerprint,
+    "bronze_current_versions": bronze_current_versions,
+    "bronze_vacuumed": bronze_vacuumed,
+    "silver_reload": silver_reload,
+    "station_window_read": station_window_read,
 }
 
 QUERIES: dict[str, Query] = {name: _configured(fn) for name, fn in _REGISTRY.items()}

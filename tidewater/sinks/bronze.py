@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.stations import page_counters
-from tidewater.schema import BRONZE_VALUE_COLUMNS
+from tidewater.schema import BRONZE_OBSERVATIONS, BRONZE_VALUE_COLUMNS
 from tidewater.sources import paths
 from tidewater.sources.bronze import SOURCE_KEY, coordinates_path, manifests_path, observations_path
 from tidewater.sources.station_text import decode_station_text
@@ -63,19 +63,21 @@ def write_bronze_observations(text: DataFrame, root: str) -> dict:
 
 
 def write_bronze_frame(decoded: DataFrame, root: str, batch: str | None = None) -> dict:
-    """Write bronze-shaped rows as one ingest batch and commit it.
+    """Write bronze-shaped rows (absent columns are NULL) as one ingest batch and commit it.
 
-    No shuffle and no directory per source: each task writes one file per
-    year it holds, locally sorted by (station, source, line) so the repeated
-    key columns compress to runs. A source written again in a later batch
+    Rows are rebalanced by year: adaptive execution puts small years together and cuts
+    large ones at the advisory partition size, so the number of files follows the
+    bytes, not tasks times years. Files are sorted by (station, source, line), so the
+    repeated key columns compress to runs. A source written again in a later batch
     supersedes its earlier version at read time (``read_bronze_observations``).
     """
     spark = decoded.sparkSession
     batch = batch or ingest_batch_id(spark, manifests_path(root))
-    shaped = decoded.select("buoy_id", "source_stem", "line_no", *BRONZE_VALUE_COLUMNS, "extra", "decode_error", "year")
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in BRONZE_OBSERVATIONS.fields if f.name not in {*decoded.columns, "batch"}}
+    shaped = decoded.withColumns(blank).select("buoy_id", "source_stem", "line_no", *BRONZE_VALUE_COLUMNS, "extra", "decode_error", "year")
     counted = Counted(shaped, rows_written=F.count(F.lit(1)), lines_flagged=F.count_if(F.col("decode_error").isNotNull()))
     out = f"{observations_path(root)}/batch={batch}"
-    ordered = counted.frame.sortWithinPartitions("year", "buoy_id", "source_stem", "line_no")
+    ordered = counted.frame.hint("rebalance", F.col("year")).sortWithinPartitions("year", "buoy_id", "source_stem", "line_no")
     ordered.write.mode("errorifexists").partitionBy("year").parquet(out)
     counters = counted.get()
     if counters["rows_written"]:

@@ -2,11 +2,16 @@
 
 Each run writes its years under ``<silver>/observations/run=<token>/`` in ONE
 job, checks what it wrote, then appends one ledger row per year. Readers
-resolve the current snapshot of every year from the ledger (latest row per
+resolve the current snapshot of every year from the ledger (its highest entry per
 year), so a reader sees a year's old snapshot or its new one, never a mix: the
-ledger append is the atomic switch. A crash or a failed check before the append
-leaves the previous snapshot current. Old run directories stay until an
-explicit clean-up.
+ledger append is the atomic switch. Entries are numbered, and a number is taken
+once: a loader that planned on an older state than it finds is refused if a year
+of its own has been published since (``LedgerConflict``), and has to plan
+again. A crash or a failed check before the append leaves the previous snapshot
+current. Old run directories stay until an explicit clean-up.
+
+Beside each run lies an index of its files (range of stations and instants), by
+which a read of one station opens only the files that hold it.
 """
 
 from __future__ import annotations
@@ -16,8 +21,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators import admission, checks
-from tidewater.operators.monitoring import ledger_latest
+from tidewater.operators import admission, checks, sorted_files
+from tidewater.operators.monitoring import latest_per_key
 from tidewater.schema import LEDGER, OBSERVATION_COLUMNS, SILVER_COORDINATES, SILVER_OBSERVATIONS
 from tidewater.sinks import journal
 from tidewater.sources import paths
@@ -30,21 +35,47 @@ def ledger_path(silver_root: str) -> str:
     return f"{silver_root.rstrip('/')}/_ledger"
 
 
+class LedgerConflict(RuntimeError):
+    """A year was published by another loader after this one had planned."""
+
+
 def read_ledger(spark: SparkSession, silver_root: str) -> DataFrame:
-    """All ledger rows (no rows before the first publish)."""
-    return journal.read(spark, ledger_path(silver_root), LEDGER)
+    """All ledger rows with their entry number (no rows before the first publish)."""
+    return journal.read_entries(spark, ledger_path(silver_root), LEDGER)
+
+
+def ledger_state(spark: SparkSession, silver_root: str) -> int:
+    """The newest entry: what a loader has seen before it plans."""
+    return journal.newest_entry(spark, ledger_path(silver_root))
 
 
 def current_ledger(spark: SparkSession, silver_root: str, dataset: str = OBSERVATIONS) -> DataFrame:
     """Latest ledger row per year for ``dataset``."""
     rows = read_ledger(spark, silver_root).where(F.col("dataset") == dataset).drop("dataset")
-    return ledger_latest(rows)
+    return latest_per_key(rows, "year", ["entry"])
+
 
+def append_ledger(spark: SparkSession, silver_root: str, rows: list[tuple], seen: int | None = None) -> None:
+    """Append ledger rows (one per year published: a few dozen at most) as the next entry.
 
-def append_ledger(spark: SparkSession, silver_root: str, rows: list[tuple]) -> None:
-    """Append ledger rows (one per year published: a few dozen at most)."""
-    if rows:
-        journal.append(spark, ledger_path(silver_root), spark.createDataFrame(rows, LEDGER))
+    ``seen``: the state that the rows were made from. Entries since then must not concern the
+    same years of the same dataset; without it the append only waits its turn.
+    """
+    if not rows:
+        return
+    folder = ledger_path(silver_root)
+    own = spark.createDataFrame(rows, LEDGER)
+    staged, known = journal.stage(own, folder), ledger_state(spark, silver_root) if seen is None else seen
+    while not journal.commit(spark, folder, known + 1, staged):
+        newest = ledger_state(spark, silver_root)
+        if seen is not None:
+            since = read_ledger(spark, silver_root).where((F.col("entry") > known) & (F.col("entry") <= newest))
+            named = {(r["dataset"], r["year"]) for r in since.select("dataset", "year").collect()}
+            whole = {r["entry"] for r in since.select("entry").distinct().collect()} == set(range(known + 1, newest + 1))
+            mine = {(r[LEDGER.fieldNames().index("dataset")], r[LEDGER.fieldNames().index("year")]) for r in rows}
+            if not whole or named & mine:
+                raise LedgerConflict(f"entries {known + 1} to {newest} published {sorted(named & mine) or 'rows not readable yet'}")
+        known = newest
 
 
 def publish_years(
@@ -54,31 +85,42 @@ def publish_years(
     run_token: str,
     fingerprints: dict[str, str],
     flagged: dict[str, int] | None = None,
+    seen: int | None = None,
 ) -> dict[str, tuple[int, int]]:
     """Write the rows of every year in ``fingerprints`` as new snapshots, check
     them, and point the ledger at them. Returns ``{year: (loaded, rejected)}``.
+    ``seen``: the ledger state that the fingerprints were compared with.
 
     Rows are range-partitioned by (year, station, instant), so a year is a few
     files of adaptive size, each a range of stations, whatever the number of
     tasks. Rejected rows are written beside the admitted ones: the counts come
-    from what was written, through ``admission_counts``.
+    from what was written. Two scans follow, neither shuffles rows: one aggregate per year
+    (counts, nulls, bounds), and a walk of the sorted keys (repeats, file index).
     """
     years = sorted(fingerprints)
     out = f"{silver_root.rstrip('/')}/{OBSERVATIONS}/run={run_token}"
     scoped = typed_deduped.where(F.col("load_year").isin(years))
     shaped = scoped.select(*OBSERVATION_COLUMNS, "load_year", admission.admissible("load_year").alias("admitted"))
-    order = ["load_year", "buoy_id", "datetime"]
-    shaped.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").partitionBy("load_year", "admitted").parquet(out)
+    ranges = shaped.repartitionByRange("load_year", "buoy_id", "datetime")
+    # the folder keys lead, so the writer needs no sort of its own that would undo this one
+    ranges.sortWithinPartitions("load_year", "admitted", "buoy_id", "datetime").write.mode("errorifexists").partitionBy("load_year", "admitted").parquet(out)
     snapshot = spark.read.schema(f"{_ddl()}, load_year string, admitted boolean").option("basePath", out).parquet(out)
+    admitted = F.col("admitted")
+    wrong = checks.outside_year(F.col("datetime"), F.col("load_year"))
     counted = {
         r["load_year"]: r
-        for r in admission.admission_counts(snapshot).join(
-            snapshot.where("admitted").groupBy("load_year").agg(F.max("datetime").alias("newest")), "load_year", "left"
+        for r in snapshot.groupBy("load_year").agg(
+            F.count_if(admitted).alias("rows_loaded"),
+            F.count_if(~admitted).alias("rows_rejected"),
+            F.max(F.when(admitted, F.col("datetime"))).alias("newest"),
+            F.count_if(admitted & (F.col("buoy_id").isNull() | F.col("datetime").isNull())).alias("not_null"),
+            F.count_if(admitted & wrong).alias("in_year_range"),
         ).collect()
     }
-    checks.assert_clean(
-        checks.integrity_report(snapshot.where("admitted"), ["load_year", "buoy_id", "datetime"], ["buoy_id", "datetime"], "datetime", "load_year")
-    )
+    checks.assert_none({c: sum(r[c] for r in counted.values()) for c in ("not_null", "in_year_range")})
+    index = index_path(silver_root, run_token)
+    sorted_files.stretches(snapshot.where("admitted")).write.mode("errorifexists").parquet(index)
+    checks.assert_clean(sorted_files.neighbour_check(spark.read.parquet(index)))
     now = dt.datetime.now(dt.timezone.utc)
     result, rows = {}, []
     for y in years:
@@ -87,10 +129,14 @@ def publish_years(
         result[y] = (loaded, rejected)
         newest = found["newest"] if found else None
         rows.append((int(y), fingerprints[y], loaded, rejected, (flagged or {}).get(y, 0), newest, now, f"{out}/load_year={y}/admitted=true", run_token, OBSERVATIONS))
-    append_ledger(spark, silver_root, rows)
+    append_ledger(spark, silver_root, rows, seen)
     return result
 
 
+def index_path(silver_root: str, run_token: str) -> str:
+    return f"{silver_root.rstrip('/')}/{OBSERVATIONS}_index/run={run_token}"
+
+
 def _ddl() -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER_OBSERVATIONS.fields)
 
@@ -110,13 +156,15 @@ def read_published_observations(
     year: int | None = None,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
+    buoy_id: str | None = None,
 ) -> DataFrame:
     """Current snapshot of every published year, of one year, or of the
-    instants in ``[start, end)``: only the years that can hold them are opened.
+    instants in ``[start, end)``: only the years that can hold them are opened. With
+    ``buoy_id`` only the files are opened whose range of stations (and instants) can hold it.
 
-    Only the pointers (one per year) reach the driver; the data is read by the
-    executors. A pointer whose files are gone raises, unless its year admitted
-    no row at all.
+    Only the pointers (one per year, or one per chosen file) reach the driver; the data is
+    read by the executors. A pointer whose files are gone raises, unless its year
+    admitted no row at all.
     """
     cur = current_ledger(spark, silver_root)
     if year is not None:
@@ -126,10 +174,15 @@ def read_published_observations(
     if end is not None:
         last = end - dt.timedelta(microseconds=1)
         cur = cur.where(F.col("year") <= last.year)
-    held = [r["path"] for r in cur.select("path", "rows_loaded").collect() if r["rows_loaded"] or paths.exists(spark, r["path"])]
+    pointers = cur.select("path", "rows_loaded", "run_token").collect()
+    held = [r["path"] for r in pointers if r["rows_loaded"] or paths.exists(spark, r["path"])]
+    if buoy_id is not None and held:
+        held = _files_of_station(spark, silver_root, [r for r in pointers if r["path"] in set(held)], buoy_id, start, end)
     if not held:
         return spark.createDataFrame([], SILVER_OBSERVATIONS)
     rows = spark.read.schema(SILVER_OBSERVATIONS).parquet(*held).select(*OBSERVATION_COLUMNS)
+    if buoy_id is not None:
+        rows = rows.where(F.col("buoy_id") == buoy_id)
     if start is not None:
         rows = rows.where(F.col("datetime") >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
@@ -137,6 +190,19 @@ def read_published_observations(
     return rows
 
 
+def _files_of_station(spark: SparkSession, silver_root: str, pointers: list, buoy_id: str, start, end) -> list[str]:
+    """Files of the current snapshots that can hold rows of the station within the instants."""
+    indexes = sorted({index_path(silver_root, r["run_token"]) for r in pointers})
+    folders = spark.createDataFrame([(r["path"].rsplit("/run=", 1)[1],) for r in pointers], "folder string")
+    files = sorted_files.file_index(spark.read.parquet(*indexes)).where((F.col("first_buoy") <= buoy_id) & (F.col("last_buoy") >= buoy_id))
+    if start is not None:
+        files = files.where(F.col("last_datetime") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        files = files.where(F.col("first_datetime") < F.lit(end).cast("timestamp_ntz"))
+    own = F.regexp_extract("file", r"^.*/run=(.*)/[^/]*$", 1).alias("folder")
+    return [r["file"] for r in files.select("file", own).join(F.broadcast(folders), "folder", "left_semi").select("file").collect()]
+
+
 def published_newest(spark: SparkSession, silver_root: str) -> DataFrame:
     """(datetime) newest instant of each published year, from the ledger: what a
     freshness check needs, without opening the fact."""
@@ -154,7 +220,7 @@ def read_published_coordinates(spark: SparkSession, silver_root: str) -> DataFra
 def superseded_snapshots(spark: SparkSession, silver_root: str) -> DataFrame:
     """Snapshots no reader resolves any more, with the time they were replaced
     (the next ledger row of their dataset and year)."""
-    order = Window.partitionBy("dataset", "year").orderBy("loaded_at", "run_token")
+    order = Window.partitionBy("dataset", "year").orderBy("entry")
     rows = read_ledger(spark, silver_root).withColumn("replaced_at", F.lead("loaded_at").over(order))
     return rows.where("replaced_at is not null").select("dataset", "year", "path", "run_token", "replaced_at")
 
@@ -170,7 +236,7 @@ def vacuum_snapshots(spark: SparkSession, silver_root: str, grace_hours: float =
     old = superseded_snapshots(spark, silver_root).where(F.col("replaced_at") < F.lit(cutoff))
     removed = sorted({r["path"] for r in old.select("path").collect() if paths.exists(spark, r["path"])})
     known = {r["run_token"] for r in read_ledger(spark, silver_root).select("run_token").distinct().collect()}
-    for dataset in (OBSERVATIONS, COORDINATES):
+    for dataset in (OBSERVATIONS, COORDINATES, f"{OBSERVATIONS}_index"):
         base = f"{silver_root.rstrip('/')}/{dataset}"
         for name, changed in paths.children(spark, base):
             if name.startswith("run=") and name.removeprefix("run=") not in known and changed / 1000 < cutoff.timestamp():

@@ -12,6 +12,7 @@ off, and the readers pass explicit schemas, so ``0041`` stays ``0041``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -48,14 +49,30 @@ def has_dataset(spark: SparkSession, root: str, dataset: str) -> bool:
     return paths.exists(spark, f"{root.rstrip('/')}/{dataset}")
 
 
-def read_manifests(spark: SparkSession, root: str, years: list[str] | None = None) -> DataFrame:
+def committed_batches(spark: SparkSession, root: str) -> list[str]:
+    """Names of the committed batches, oldest first. A job that reads bronze more
+    than once takes this list once and reads all of it as of then."""
+    return [n.removeprefix("batch=") for n, _ in paths.children(spark, manifests_path(root)) if n.startswith("batch=")]
+
+
+def read_manifests(
+    spark: SparkSession, root: str, years: list[str] | None = None, batches: list[str] | None = None
+) -> DataFrame:
     """(year, buoy_id, source_stem, lines_flagged, batch) of every committed
     source version: one small row per source and batch."""
     path = manifests_path(root)
-    df = spark.read.schema(_MANIFEST).option("basePath", path).parquet(path)
+    if batches is not None and not batches:
+        return spark.createDataFrame([], _MANIFEST)
+    df = spark.read.schema(_MANIFEST).option("basePath", path).parquet(*([path] if batches is None else [f"{path}/batch={b}" for b in batches]))
     return df if years is None else df.where(F.col("year").isin([str(y) for y in years]))
 
 
+def newest_versions(manifests: DataFrame) -> DataFrame:
+    """(year, buoy_id, source_stem, batch, lines_flagged): the version of each source that counts."""
+    newest = manifests.groupBy(*SOURCE_KEY).agg(F.max(F.struct("batch", "lines_flagged")).alias("_newest"))
+    return newest.select(*SOURCE_KEY, "_newest.*")
+
+
 def superseded_versions(manifests: DataFrame) -> DataFrame:
     """(year, buoy_id, source_stem, batch) of every source version that a
     later batch replaced, from the manifests alone."""
@@ -63,30 +80,64 @@ def superseded_versions(manifests: DataFrame) -> DataFrame:
     return manifests.join(newest, SOURCE_KEY).where(F.col("batch") < F.col("_newest")).select(*SOURCE_KEY, "batch")
 
 
+def version_folders(manifests: DataFrame) -> DataFrame:
+    """(batch, year, sources, current, replaced_by) of every bronze folder: how many source
+    versions it holds, how many of them still count, and the batch that replaced its
+    last one (NULL while one counts)."""
+    later = Window.partitionBy(*SOURCE_KEY).orderBy("batch")
+    versions = manifests.select(*SOURCE_KEY, "batch", F.lead("batch").over(later).alias("_next"))
+    return versions.groupBy("batch", "year").agg(
+        F.count(F.lit(1)).alias("sources"),
+        F.count_if(F.col("_next").isNull()).alias("current"),
+        F.when(F.count_if(F.col("_next").isNull()) == 0, F.max("_next")).alias("replaced_by"),
+    )
+
+
+#: Characters that Spark escapes in the name of a partition folder.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(k) for k in range(1, 32)}
+
+
+def folder_path(root: str, batch: str, year: str | None) -> str:
+    """Where a batch's rows of a year lie."""
+    name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in year) if year else "__HIVE_DEFAULT_PARTITION__"
+    return f"{observations_path(root)}/batch={batch}/year={name}"
+
+
 def read_bronze_observations(
-    spark: SparkSession, root: str, year: str | None = None, years: list[str] | None = None
+    spark: SparkSession,
+    root: str,
+    year: str | None = None,
+    years: list[str] | None = None,
+    batches: list[str] | None = None,
 ) -> DataFrame:
     """Current bronze rows: each source's newest committed batch only.
 
-    ``year`` / ``years`` are partition filters. Without re-fetched sources the
-    plan is a plain scan; else the (counted) superseded versions are dropped by
-    an anti-join that leaves the bronze rows where they are.
+    The manifests choose the folders: one whose sources were all replaced is not
+    opened, one that holds only current versions is scanned plainly, and only the rows
+    of mixed folders pass an anti-join with the (counted) replaced versions. A
+    row per folder reaches the driver. ``batches``: as of an earlier
+    ``committed_batches``.
     """
     wanted = [str(year)] if year is not None else years
-    batches = [n.removeprefix("batch=") for n, _ in paths.children(spark, manifests_path(root)) if n.startswith("batch=")]
-    if not batches:
+    held = committed_batches(spark, root) if batches is None else batches
+    manifests = read_manifests(spark, root, wanted, held)
+    folders = version_folders(manifests).where("current > 0").orderBy("year", "batch").collect() if held else []
+    if not folders:
         return spark.createDataFrame([], BRONZE_OBSERVATIONS)
-    path = observations_path(root)
-    df = spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", path).parquet(*[f"{path}/batch={b}" for b in batches])
-    if wanted is not None:
-        df = df.where(F.col("year").isin([str(y) for y in wanted]))
-    if len(batches) == 1:
-        return df
-    old = superseded_versions(read_manifests(spark, root, wanted))
-    n = old.count()
-    if not n:
-        return df
-    return df.join(F.broadcast(old) if n <= BROADCAST_VERSIONS else old, [*SOURCE_KEY, "batch"], "left_anti")
+
+    def scan(chosen: list) -> DataFrame:
+        found = [folder_path(root, r["batch"], r["year"]) for r in chosen]
+        return spark.read.schema(BRONZE_OBSERVATIONS).option("basePath", observations_path(root)).parquet(*found)
+
+    whole = [r for r in folders if r["current"] == r["sources"]]
+    mixed = [r for r in folders if r["current"] < r["sources"]]
+    if not mixed:
+        return scan(whole)
+    names = spark.createDataFrame([(r["batch"], r["year"]) for r in mixed], "batch string, year string")
+    old = superseded_versions(manifests).join(F.broadcast(names), ["batch", "year"], "left_semi")
+    few = sum(r["sources"] - r["current"] for r in mixed) <= BROADCAST_VERSIONS
+    rest = scan(mixed).join(F.broadcast(old) if few else old, [*SOURCE_KEY, "batch"], "left_anti").select(*BRONZE_OBSERVATIONS.fieldNames())
+    return scan(whole).unionByName(rest) if whole else rest
 
 
 def current_sources(spark: SparkSession, root: str) -> DataFrame:
@@ -97,11 +148,27 @@ def current_sources(spark: SparkSession, root: str) -> DataFrame:
     return read_manifests(spark, root).groupBy(*SOURCE_KEY).agg(F.max("batch").alias("batch")).withColumn("usable", F.lit(True))
 
 
-def flagged_lines(spark: SparkSession, root: str, years: list[str]) -> dict[str, int]:
+def flagged_lines(spark: SparkSession, root: str, years: list[str], batches: list[str] | None = None) -> dict[str, int]:
     """Lines per year that the decoder flagged in the current source versions."""
-    held = read_manifests(spark, root, years)
-    newest = held.groupBy(*SOURCE_KEY).agg(F.max_by("lines_flagged", "batch").alias("n"))
-    return {r["year"]: int(r["n"]) for r in newest.groupBy("year").agg(F.sum("n").alias("n")).collect()}
+    newest = newest_versions(read_manifests(spark, root, years, batches))
+    return {r["year"]: int(r["n"]) for r in newest.groupBy("year").agg(F.sum("lines_flagged").alias("n")).collect()}
+
+
+def vacuum_bronze(spark: SparkSession, root: str, grace_hours: float = 24.0, now: dt.datetime | None = None) -> list[str]:
+    """Delete what no reader chooses any more: folders whose sources were all replaced, the last
+    of them by a batch committed over ``grace_hours`` ago, and batches that old which were
+    never committed. Manifests stay. Returns the removed paths (one per folder)."""
+    cutoff = ((now or dt.datetime.now(dt.timezone.utc)) - dt.timedelta(hours=grace_hours)).timestamp() * 1000
+    committed = {n.removeprefix("batch="): changed for n, changed in paths.children(spark, manifests_path(root)) if n.startswith("batch=")}
+    gone = version_folders(read_manifests(spark, root, batches=sorted(committed))).where("current = 0").collect() if committed else []
+    removed = [folder_path(root, r["batch"], r["year"]) for r in gone if committed[r["replaced_by"]] < cutoff]
+    for name, changed in paths.children(spark, observations_path(root)):
+        if name.startswith("batch=") and name.removeprefix("batch=") not in committed and changed < cutoff:
+            removed.append(f"{observations_path(root)}/{name}")
+    removed = sorted(p for p in removed if paths.exists(spark, p))
+    for path in removed:
+        paths.delete(spark, path)
+    return removed
 
 
 def read_bronze_coordinates(spark: SparkSession, root: str) -> DataFrame:

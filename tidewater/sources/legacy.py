@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,19 +53,21 @@ def _file_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
             buoy, year, stem = _PATH.search(path).groups()
-            with open_parquet(path) as file:
+            with open_parquet(path) as file:  # row group by row group: no file is held whole
                 present = set(file.schema_arrow.names)
+                header = [pa.array([h if h in present else None], pa.string()) for h in _COLUMNS]
                 at = 0
-                header = [[h if h in present else None] for h in _COLUMNS]
-                parts = [(1, [pa.array(v, pa.string()) for v in header])]
-                for rows in file.iter_batches():
-                    texts = [_as_text(rows.column(h), h in STRUCTURAL_COLUMNS) if h in present else pa.nulls(rows.num_rows, pa.string()) for h in _COLUMNS]
-                    parts.append((rows.num_rows, texts))
-            for n, texts in parts:
-                fixed = [pa.array([v] * n, pa.string()) for v in (buoy, stem, year)]
-                lines = pa.array(range(at, at + n), pa.int32())
-                at += n
-                yield pa.RecordBatch.from_arrays([fixed[0], fixed[1], lines, *texts, fixed[2]], names)
+                for n, texts in chain([(1, header)], _texts(file, present)):
+                    fixed = [pa.array([v] * n, pa.string()) for v in (buoy, stem, year)]
+                    lines = pa.array(range(at, at + n), pa.int32())
+                    at += n
+                    yield pa.RecordBatch.from_arrays([fixed[0], fixed[1], lines, *texts, fixed[2]], names)
+
+
+def _texts(file, present: set[str]) -> Iterator[tuple[int, list[pa.Array]]]:
+    """(rows, bronze columns) of each batch of an open file."""
+    for rows in file.iter_batches():
+        yield rows.num_rows, [_as_text(rows.column(h), h in STRUCTURAL_COLUMNS) if h in present else pa.nulls(rows.num_rows, pa.string()) for h in _COLUMNS]
 
 
 def convert_legacy_bronze(spark: SparkSession, legacy_root: str, bronze_root: str) -> dict:
