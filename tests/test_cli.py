@@ -49,7 +49,7 @@ def test_crashed_ingest_is_seen(spark, tmp_path, monkeypatch):
 
 
 def test_fetch_plan_command(spark, tmp_path):
-    html = '<p><a id="stdmet">x</a><ul class="histfiles"><li>62107: <a href="/download_data.php?filename=62107h2016.txt.gz">2016</a></li></ul></p>'
+    html = '<div><a id="stdmet">x</a><ul class="histfiles"><li>62107: <a href="/download_data.php?filename=62107h2016.txt.gz">2016</a></li></ul></div>'
     index, out, bronze = str(tmp_path / "index"), str(tmp_path / "out"), str(tmp_path / "bronze")
     spark.createDataFrame([("u", html)], "url string, html string").write.parquet(index)
     args = ["plan", "--index", index, "--bronze", bronze, "--year", str(dt.date(2020, 1, 1).year)]

@@ -16,7 +16,7 @@ def _index(spark, items):
         f'<li>{buoy}: ' + " ".join(f'<a href="/download_data.php?filename={buoy}h{y}.txt.gz&dir=x/">{y}</a>' for y in years) + "</li>"
         for buoy, years in items
     )
-    html = f'<p><a id="stdmet">Standard meteorological</a><ul class="histfiles">{lis}</ul></p>'
+    html = f'<div><a id="stdmet">Standard meteorological</a><ul class="histfiles">{lis}</ul></div>'
     return spark.createDataFrame([("https://example.org/historical", html)], "url string, html string")
 
 
