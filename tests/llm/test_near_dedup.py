@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from tidewater.llm import near_dedup as D
 from tidewater.llm.graph import components
 
+from .test_decontamination import plain_words
+
 
 def plain_set(text):
-    words = "".join(ch if ch.isalnum() or ord(ch) > 127 else " " for ch in (text or "").lower()).split()
+    words = plain_words(text)
     if not words:
         return None
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)])

@@ -50,7 +50,6 @@ def test_each_stage_against_a_plain_version(spark, tmp_path):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(tokenizer_path())
-    model.encode_special_tokens = True
     tokens = sorted(P.STAGES[-1][1](spark, docs, SF).collect(), key=lambda r: r.start)
     start = 0
     for row, r in zip(sorted(after, key=lambda r: r.doc_id), tokens, strict=True):

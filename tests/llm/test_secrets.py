@@ -69,3 +69,55 @@ def test_spans_against_the_stated_patterns(frame):
 def test_empty_and_repeated(frame):
     assert S.scan(frame([])).collect() == []
     assert S.scan(frame([(None, "x", None, None), (1, "y", None, None), (1, "y", None, None)])).count() == 3
+
+
+def key_of(oid, payload):
+    return tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, bytes.fromhex(oid)) + tlv(5, b"")) + tlv(4, payload))
+
+
+RSA_OID, EC_OID, ED_OID = "2a864886f70d010101", "2a8648ce3d0201", "2b6570"
+EC = tlv(0x30, tlv(2, b"\1") + tlv(4, b"e" * 32))
+SEALED = tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex("2a864886f70d01050d")) + tlv(0x30, tlv(5, b""))) + tlv(4, b"c" * 64))
+
+
+def test_payloads_are_parsed_by_algorithm():
+    assert S.is_der_key(key_of(RSA_OID, RSA)) and S.is_der_key(key_of(EC_OID, EC)) and S.is_der_key(key_of(ED_OID, tlv(4, b"s" * 32))) and S.is_der_key(SEALED)
+    for oid in (RSA_OID, EC_OID, ED_OID, "2a8648ce380401", "2a0304"):
+        assert not S.is_der_key(key_of(oid, bytes(range(100, 140))))  # 40 arbitrary bytes
+    assert not S.is_der_key(key_of(RSA_OID, EC)) and not S.is_der_key(key_of(EC_OID, RSA)) and not S.is_der_key(key_of(ED_OID, tlv(4, b"s" * 31)))
+    point = lambda body: tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex(EC_OID))) + tlv(3, b"\0" + body))
+    assert S.is_der_key(point(b"\4" + b"p" * 64)) and not S.is_der_key(point(b"\7" + b"p" * 64))
+
+
+def kinds(text):
+    return {(k, text[a:b]) for k, a, b in S.confirmed_spans(text)}
+
+
+def test_wrapped_prefixed_escaped_and_sealed_candidates():
+    real = key_of(RSA_OID, RSA)
+    flat, wrapped = base64.b64encode(real).decode(), base64.encodebytes(real).decode().strip()
+    assert kinds(f"see\n{wrapped}\nend of it") == {("der", wrapped)}
+    assert kinds(f"https://host/url/{flat} x") == {("der", flat)}
+    assert kinds("a " + wrapped.replace("\n", "\\n") + " b") == {("der", wrapped.replace("\n", "\\n"))}
+    block = f"-----BEGIN PRIVATE KEY-----\n{wrapped}\n-----END PRIVATE KEY-----"
+    escaped = block.replace("\n", "\\n")
+    assert ("pem", block) in kinds(f'x {block} y') and ("pem", escaped) in kinds('{"key": "' + escaped + '\\n"}')
+    sealed = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n" + base64.encodebytes(b"x" * 64).decode() + "-----END RSA PRIVATE KEY-----"
+    assert kinds(sealed) == {("pem", sealed)} and not kinds(sealed.replace("DEK-Info", "Other"))
+    plain = "-----BEGIN RSA PRIVATE KEY-----\nComment: mine\n\n" + base64.encodebytes(RSA).decode() + "-----END RSA PRIVATE KEY-----"
+    assert ("pem", plain) in kinds(plain)
+    for body in ('{ "alg": "RS256"}', '{\n "alg":"none"}', '{"typ":"JWT","alg":"HS256"}'):
+        token = base64.urlsafe_b64encode(body.encode()).decode().rstrip("=") + ".e30.c2ln"
+        assert kinds(f"t={token}, x") == {("jwt", token)}
+    assert kinds("0" + real.hex()) == {("der", real.hex())} and kinds(real.hex() + "f") == {("der", real.hex())}
+    ssh = base64.b64encode(SSH).decode()
+    assert kinds(f"path/{ssh} me@host") == {("ssh", ssh)}
+    assert not kinds("M" + "A" * 400 + " AAAA" + "Q" * 300 + "\n" + "word " * 50)
+
+
+def test_many_openings_without_an_end_stay_linear():
+    import time
+
+    text = "-----BEGIN PRIVATE KEY----- " * 20_000 + "MIIE" * 20_000 + "AAAAB3NzaC1y" * 10_000
+    began = time.time()
+    assert S.confirmed_spans(text) == [] and time.time() - began < 20

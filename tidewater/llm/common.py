@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import unicodedata
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -19,10 +20,12 @@ SLICE_BYTES = 2 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests, one machine) is one made here.
+    Only where the session names none and is local (tests, one machine) is one made here.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tidewater-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -126,10 +129,31 @@ def words(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.
     return starts, ends, rows
 
 
-#: Bytes of a word: ASCII letters and digits, and every byte of a longer UTF-8 character.
-WORD_BYTE = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
-#: ASCII upper case folded; longer characters are folded before (``lowered``).
+#: Bytes of a word in a text of ASCII alone: letters and digits.
+WORD_BYTE = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
 BLANK_BYTE = np.array([b <= 32 for b in range(256)])
+# Blocks of scripts that are written without spaces between words (Thai, Lao,
+# Tibetan, Burmese, Khmer, Japanese syllables, Chinese characters with their extensions,
+# half-width katakana).
+UNSEGMENTED = (
+    (0x0E00, 0x0E7F), (0x0E80, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x323AF),
+)
+_SEPARATOR, _PART, _WHOLE, _UNKNOWN = range(4)
+#: What each code point is to a word; filled as code points are met.
+_CODE_KIND = np.full(0x110000, _UNKNOWN, np.uint8)
+
+
+def code_kinds(codes: np.ndarray) -> np.ndarray:
+    """Per code point: none of a word, part of a word, or a word of its own."""
+    kinds = _CODE_KIND[codes]
+    if (kinds == _UNKNOWN).any():
+        for c in np.unique(codes[kinds == _UNKNOWN]).tolist():
+            inside = unicodedata.category(chr(c))[0] in "LMN"
+            alone = any(low <= c <= high for low, high in UNSEGMENTED)
+            _CODE_KIND[c] = _SEPARATOR if not inside else _WHOLE if alone else _PART
+        kinds = _CODE_KIND[codes]
+    return kinds
 
 
 def lowered(column: pa.Array) -> pa.Array:
@@ -139,11 +163,23 @@ def lowered(column: pa.Array) -> pa.Array:
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of each text, in order, and row bounds in them.
 
-    A word is a maximal run of ASCII letters and digits and of characters
-    beyond ASCII; everything else separates words.
+    A word is a maximal run of letters, marks and digits of any script; in scripts
+    without spaces each character is a word. Everything else separates words.
     """
     data, bounds = joined_bytes(lowered(column))
-    starts, ends, rows = words(data, bounds, WORD_BYTE[data])
+    if not (data >= 128).any():
+        starts, ends, rows = words(data, bounds, WORD_BYTE[data])
+    else:
+        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+        bounds = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[bounds]
+        data, kinds = codes, code_kinds(codes)
+        starts, ends, rows = words(data, bounds, kinds == _PART)
+        alone = np.flatnonzero(kinds == _WHOLE)
+        if len(alone):
+            starts, ends = np.concatenate([starts, alone]), np.concatenate([ends, alone + 1])
+            order = np.argsort(starts, kind="stable")
+            starts, ends = starts[order], ends[order]
+            rows = np.searchsorted(bounds, starts, side="right") - 1
     return run_hashes(data, starts, ends), np.searchsorted(rows, np.arange(len(bounds)))
 
 

@@ -10,9 +10,12 @@ and items that share a masked hash are aligned at the hit and verified word by
 word, so no leak is missed and none is reported unverified.
 
 The items' hashes go to every task while they are at most ``BROADCAST_SEEDS``
-(counted first); beyond that both sides meet in a shuffled join of hashes.
+(counted first); beyond that a bit filter of bounded size goes there, and what passes
+it meets the items in a shuffled join of hashes.
 
-Words are lower-cased runs of letters and digits. Defined results: null and
+Words are lower-cased runs of letters, marks and digits of any script, so typography
+(quotes, dashes, spaces of any kind) doesn't count; in scripts without spaces each
+character is a word. Defined results: null and
 empty texts and items of fewer than ``SHORTEST`` words match nothing; repeated
 documents or items each give their rows (identical ones once); null ids are
 carried; empty tables give no rows; other columns are ignored.
@@ -24,11 +27,12 @@ from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, mix, sliced, word_hashes
+from .common import id_text, mix, sliced, word_hashes, written
 
 WINDOW, SHORTEST, SIMILARITY = 13, 5, 0.8
 #: 16 MB of hashes and as much of positions.
@@ -143,8 +147,46 @@ def _by_broadcast(docs: DataFrame, items: DataFrame) -> DataFrame:
     return id_text(docs).mapInArrow(find, LEAK_SCHEMA)
 
 
-def _seed_rows(texts: DataFrame, key: str, lengths: tuple[int, ...], own_only: bool) -> DataFrame:
-    """(seed, key) rows of every masked window of (key, text)."""
+class SeedFilter:
+    """Two bits for each hash of the benchmark: a hash whose bits are not both set is none of them."""
+
+    def __init__(self, bits: np.ndarray, size: int):
+        self.bits, self.size = bits, size
+
+    def may_hold(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for shift in (0, 31):
+            at = (h >> np.uint64(shift)) & np.uint64(self.size - 1)
+            out &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+
+#: Bits of the filter: 16 for each hash, in steps of two, and no more than these (128 MB).
+MOST_BITS = 1 << 30
+_CHUNK = 1 << 16
+
+
+def seed_filter(seeds_of_items: DataFrame) -> SeedFilter:
+    """Built in the tasks, chunk by chunk; what reaches the driver has a fixed bound."""
+    n = seeds_of_items.count()
+    size = min(MOST_BITS, max(_CHUNK, 1 << max(0, int(np.ceil(np.log2(16 * max(1, n)))))))
+    places = F.array(F.col("seed").bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned("seed", 31).bitwiseAND(F.lit(size - 1)))
+    places = seeds_of_items.select(F.explode(places).alias("at")).distinct()
+
+    def chunk(frame: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(_CHUNK, np.uint8)
+        flags[(frame["at"] % _CHUNK).to_numpy()] = 1
+        return pd.DataFrame({"chunk": [int(frame["at"].iloc[0]) // _CHUNK], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    bits = np.zeros(size // 8, np.uint8)
+    for r in places.groupBy(F.floor(F.col("at") / _CHUNK).alias("c")).applyInPandas(chunk, "chunk bigint, bits binary").collect():
+        bits[r["chunk"] * _CHUNK // 8 : (r["chunk"] + 1) * _CHUNK // 8] = np.frombuffer(r["bits"], np.uint8)
+    return SeedFilter(bits, size)
+
+
+def _seed_rows(texts: DataFrame, key: str, lengths: tuple[int, ...], own_only: bool, sent=None) -> DataFrame:
+    """(seed, key) rows of every masked window of (key, text); with a filter in ``sent`` only of
+    the windows that may meet the benchmark."""
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
@@ -152,26 +194,49 @@ def _seed_rows(texts: DataFrame, key: str, lengths: tuple[int, ...], own_only: b
             sizes = np.diff(bounds)
             for m in lengths:
                 for at, h in seeds(words, bounds, m):
+                    if sent is not None:
+                        maybe = sent.value.may_hold(h)
+                        at, h = at[maybe], h[maybe]
                     row = np.searchsorted(bounds, at, side="right") - 1
                     if own_only:
                         own = np.minimum(sizes[row], WINDOW) == m
                         row, h = row[own], h[own]
                     both = np.unique(np.column_stack([row.astype(np.uint64), h]), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 1].view(np.int64)), part.column(key).take(pa.array(both[:, 0].astype(np.int64)))], ["seed", key])
+                    if len(both):
+                        yield pa.RecordBatch.from_arrays([pa.array(both[:, 1].view(np.int64)), part.column(key).take(pa.array(both[:, 0].astype(np.int64)))], ["seed", key])
 
     return texts.select(key, "text").mapInArrow(emit, f"seed bigint, {key} bigint")
 
 
-def _by_join(docs: DataFrame, items: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """Both sides' hashes meet in a join; pairs of texts that share one are verified."""
-    docs = id_text(docs).withColumn("doc_key", F.xxhash64("text"))
-    items = items.withColumn("item_key", F.xxhash64("text"))
-    doc_texts = docs.where("text is not null").groupBy("doc_key").agg(F.first("text").alias("text"))
-    item_texts = items.where("text is not null").groupBy("item_key").agg(F.first("text").alias("item_text"))
-    left = _seed_rows(doc_texts, "doc_key", lengths, False)
-    right = _seed_rows(item_texts.select("item_key", F.col("item_text").alias("text")), "item_key", lengths, True)
-    pairs = left.join(right, "seed").select("doc_key", "item_key").distinct()
-    pairs = pairs.join(doc_texts, "doc_key").join(item_texts, "item_key")
+def _lengths(items: DataFrame) -> tuple[int, ...]:
+    """The window lengths that items have: nine at most."""
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            sizes = np.diff(word_hashes(part.column("text"))[1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.minimum(sizes[sizes >= SHORTEST], WINDOW)), pa.int64())], ["m"])
+
+    return tuple(sorted(r["m"] for r in items.select("text").mapInArrow(measure, "m bigint").distinct().collect()))
+
+
+def _by_join(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Both sides' hashes meet in a join; pairs of texts that share one are verified.
+
+    A filter of the items' hashes goes to the tasks first, so that only windows that may meet the
+    benchmark are shuffled, and only texts that do are fetched. Seeds that very many
+    documents share are split by adaptive execution; each pair is verified once.
+    """
+    spark = docs.sparkSession
+    docs = id_text(docs).where("text is not null").withColumn("doc_key", F.xxhash64("text"))
+    items = items.where("text is not null").withColumn("item_key", F.xxhash64("text"))
+    item_texts = written(items.groupBy("item_key").agg(F.first("text").alias("text")), "benchmark-texts")
+    lengths = _lengths(item_texts)
+    right = written(_seed_rows(item_texts, "item_key", lengths, True).distinct(), "benchmark-seeds")
+    sent = spark.sparkContext.broadcast(seed_filter(right))
+    left = _seed_rows(docs, "doc_key", lengths, False, sent)
+    pairs = written(left.join(right, "seed").select("doc_key", "item_key").distinct(), "benchmark-pairs")
+    doc_texts = docs.join(pairs.select("doc_key").distinct(), "doc_key", "left_semi").select("doc_key", "text").dropDuplicates(["doc_key"])
+    pairs = pairs.join(doc_texts, "doc_key").join(item_texts.withColumnRenamed("text", "item_text"), "item_key")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches):
@@ -199,7 +264,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAS
     size = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
     if size * len(masks(WINDOW)) <= broadcast_seeds:
         return _by_broadcast(docs, items).distinct()
-    return _by_join(docs, items, tuple(range(SHORTEST, WINDOW + 1))).distinct()
+    return _by_join(docs, items).distinct()
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
