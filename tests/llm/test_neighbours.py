@@ -78,3 +78,35 @@ def test_equal_scores_of_different_vectors_go_by_id(spark):
     assert got["vec_id"].tolist() == [71, 72, 73, 74, 75, 76]
     rows = [(int(i), x) for i, x in zip(np.random.default_rng(9).permutation(30), scaled, strict=True)]
     assert by_query(N.nearest(make(spark, rows), "vec_id % 1 = 0", k=5)) == plain(rows, 5)
+
+
+@pytest.mark.parametrize("n", [300, 1500, 4000])
+def test_recall_at_three_sizes(spark, monkeypatch, n):
+    monkeypatch.setattr(N, "CELL", 100)
+    rng = np.random.default_rng(n)
+    centres = rng.standard_normal((n // 50, 24))
+    rows = [(i, (centres[i % len(centres)] + 0.5 * rng.standard_normal(24)).tolist()) for i in range(n)]
+    want, got = plain(rows, 5, n // 20), by_query(N.nearest(make(spark, rows), f"vec_id % {n // 20} = 0", 5))
+    assert want.keys() == got.keys() and np.mean([len(set(want[q]) & set(got[q])) / 5 for q in want]) >= 0.9
+
+
+def test_vectors_of_extreme_size(spark):
+    """Finite vectors whose squares over- or underflow are as near as their directions are."""
+    base = [[1.0, 2.0, 0.0, 1.0], [0.0, 1.0, 1.0, 0.0], [1.0, 0.0, 0.0, 0.0], [3.0, -1.0, 2.0, 5.0]]
+    rows = [(4 * j + i, [x * scale for x in v]) for i, v in enumerate(base) for j, scale in enumerate([1.0, 2.0**-560, 2.0**600, 2.0**-1000, 2.0**900])]
+    rows += [(100, [1e-170, 2e-170, 0.0, 1e-170]), (101, [1e200, 1e200, 0.0, 1e200]), (102, [1e200, 1e-200, 5e-324, 0.0]), (103, [5e-324, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame([(i, v) for i, v in rows], "vec_id bigint, embedding array<double>")
+    got = by_query(N.nearest(frame, "true", 4))
+
+    def exact(a, b):
+        from fractions import Fraction
+        from math import sqrt
+
+        fa, fb = [Fraction(x) for x in a], [Fraction(x) for x in b]
+        dot, aa, bb = sum(x * y for x, y in zip(fa, fb)), sum(x * x for x in fa), sum(y * y for y in fb)
+        squared = dot * dot / (aa * bb)
+        return sqrt(float(squared)) * (1 if dot >= 0 else -1)
+
+    for q, v in rows:
+        want = sorted((-round(exact(v, w), 9), i) for i, w in rows if i != q)[:4]
+        assert [(round(s, 9), i) for s, i in got[q]] == want

@@ -7,9 +7,9 @@ projected points cuts the projected space into cells; every point is put into
 its cell. A query walks outward: it first searches the cells nearest to it,
 which bounds the distance of its k-th neighbour, then visits exactly those other
 cells whose projected box is near enough that the chi-square test (``STOP``)
-has not yet stopped. Within a cell points are verified in order of projected
+has not yet stopped; cells grow in number with the table. Within a cell points are verified in order of projected
 distance, in steps, until the same test stops the search. Found scores are exact
-cosines of the original vectors in double precision.
+cosines of the original vectors in double precision, whatever the vectors' size.
 
 Identical vectors are searched as one: a distinct vector keeps the k + 1
 smallest ids (no k nearest need more), and each distinct query vector is searched
@@ -34,12 +34,14 @@ from .common import written
 PROJECTED = 8
 #: Sampled points for the tree's cuts, the points meant for a cell, and most cells.
 #: With more points than these cells should hold, each cell is dealt to several blocks.
-TREE_SAMPLE, CELL, CELLS = 65_536, 2048, 4096
+TREE_SAMPLE, CELL, CELLS = 65_536, 1024, 32_768
 #: Chance that a true neighbour lies within the searched projected radius.
 STOP = 0.98
 #: Cells searched first by every query.
 FIRST_CELLS = 2
 STEP = 64
+#: Numbers that a batch of queries may hold at once within a cell.
+BATCH = 4 << 20
 
 
 def chi_square_quantile(p: float, k: int) -> float:
@@ -103,7 +105,7 @@ class Tree:
         return out
 
     def gaps(self, points: np.ndarray) -> np.ndarray:
-        """Squared distance of each point to each cell's box."""
+        """Squared distance of each point to each cell's box (of the points in it, once ``shrunk``)."""
         low, high = np.stack(self.low), np.stack(self.high)
         out = np.zeros((len(points), len(low)))
         for axis in range(PROJECTED):
@@ -111,52 +113,74 @@ class Tree:
             out += np.maximum(0, np.maximum(low[:, axis] - p, p - high[:, axis])) ** 2
         return out
 
+    def shrunk(self, boxes: dict[int, tuple[list[float], list[float]]]) -> None:
+        """Cells as small as the points in them; cells without points are infinitely far."""
+        far = np.full(PROJECTED, np.inf)
+        for cell in range(len(self.low)):
+            low, high = boxes.get(cell, (far, far))
+            self.low[cell], self.high[cell] = np.asarray(low, float), np.asarray(high, float)
+
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
+    """The vectors, each times the power of two that brings its largest component to between
+    1/2 and 1: cosines stay the same to the last bit, and no square over- or underflows."""
+    if not len(vectors):
+        return np.zeros((0, 0))
+    rows = np.stack([np.asarray(v, np.float64) for v in vectors])
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
 
 
-def _cosines(query: np.ndarray, points: np.ndarray, norms: np.ndarray) -> np.ndarray:
-    """Row by row, so that a score doesn't depend on which rows stand beside it."""
-    return (points * query).sum(axis=1) / (norms * np.sqrt((query * query).sum()))
-
-
 def search_cell(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best of one cell for each query: projected neighbours are verified
-    nearest first until the chi-square test holds against the k-th best so far."""
+    nearest first until the chi-square test holds against the k-th best so far.
+
+    The queries of a batch advance side by side, ``STEP`` neighbours at a time; one that has
+    stopped leaves the batch. A score is summed over its own row alone.
+    """
     vectors = _matrix(points["vector"])
-    norms, unit = np.sqrt((vectors * vectors).sum(axis=1)), _unit(vectors)
+    norms = np.sqrt((vectors * vectors).sum(axis=1))
     # the ids of a distinct vector share one score; the test needs whole vectors' ids
     ids = [list(x) for x in points["ids"]]
     sizes = np.array([len(x) for x in ids])
     smallest = np.array([min(x) for x in ids], np.int64)
     flat_projection = projection(vectors.shape[1])
-    projected = unit @ flat_projection
+    projected = (vectors / norms[:, None]) @ flat_projection
     out = []
-    for key, vector, bound in zip(queries["query"], queries["vector"], queries["bound"], strict=True):
-        q = np.asarray(vector, np.float64)
-        own = (q / np.sqrt((q * q).sum())) @ flat_projection
-        near = ((projected - own) ** 2).sum(axis=1)
-        order = np.argsort(near, kind="stable")
-        best_score, best_at = np.zeros(0), np.zeros(0, np.int64)
-        limit = bound if bound is not None and np.isfinite(bound) else np.inf
-        for at in range(0, len(order), STEP):
-            some = order[at : at + STEP]
-            if near[some[0]] > RADIUS * limit:
+    asked, names = _matrix(queries["vector"]), queries["query"].to_numpy()
+    limits = np.where(np.isfinite(bounds := queries["bound"].to_numpy(float)), bounds, np.inf)
+    width = max(1, BATCH // max(len(vectors) * PROJECTED, STEP * vectors.shape[1]))
+    for start in range(0, len(asked), width):
+        q, limit = asked[start : start + width], limits[start : start + width].copy()
+        length = np.sqrt((q * q).sum(axis=1))
+        own = (q / length[:, None]) @ flat_projection
+        near = ((projected[None] - own[:, None]) ** 2).sum(axis=2)
+        order = np.argsort(near, axis=1, kind="stable")
+        best_score, best_at = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64)
+        live, done = np.arange(len(q)), []
+        for at in range(0, len(vectors), STEP):
+            going = near[live, order[live, at]] <= RADIUS * limit[live]
+            done += zip(live[~going], best_score[~going], best_at[~going], strict=True)
+            live, best_score, best_at = live[going], best_score[going], best_at[going]
+            if not len(live):
                 break
-            best_score = np.concatenate([best_score, _cosines(q, vectors[some], norms[some])])
-            best_at = np.concatenate([best_at, some])
-            rank = np.lexsort((smallest[best_at], -best_score))[: k + 1]  # of equal scores the smallest ids
-            best_score, best_at = best_score[rank], best_at[rank]
-            reach = np.searchsorted(np.cumsum(sizes[best_at]), k + 1)
-            if reach < len(best_score):
-                limit = min(limit, max(0.0, 2 - 2 * best_score[reach]) + 1e-12)
-        for score, at in zip(best_score, best_at, strict=True):
-            out.extend((key, i, score) for i in ids[at])
+            some = order[live, at : at + STEP]
+            score = (vectors[some] * q[live][:, None, :]).sum(axis=2) / (norms[some] * length[live][:, None])
+            best_score, best_at = np.concatenate([best_score, score], axis=1), np.concatenate([best_at, some], axis=1)
+            rank = np.lexsort((smallest[best_at], -best_score), axis=1)[:, : k + 1]  # of equal scores the smallest ids
+            best_score, best_at = np.take_along_axis(best_score, rank, 1), np.take_along_axis(best_at, rank, 1)
+            held = np.cumsum(sizes[best_at], axis=1)
+            enough = held[:, -1] >= k + 1
+            reach = (held < k + 1).sum(axis=1)[enough]
+            kth = best_score[enough, reach]
+            limit[live[enough]] = np.minimum(limit[live[enough]], np.maximum(0.0, 2 - 2 * kth) + 1e-12)
+        done += zip(live, best_score, best_at, strict=True)
+        for place, scores, ats in done:
+            for score, at in zip(scores.tolist(), ats.tolist(), strict=True):
+                out.extend((names[start + place], i, score) for i in ids[at])
     return pd.DataFrame(out, columns=["query", "vec_id", "score"])
 
 
@@ -200,18 +224,22 @@ def _search(points: DataFrame, asked: DataFrame, dim: int, n: int, k: int) -> Da
     def place(batches):
         for batch in batches:
             if len(batch):
-                batch["cell"] = tree.cells(_unit(_matrix(batch["vector"])) @ matrix)
+                projected = _unit(_matrix(batch["vector"])) @ matrix
+                batch["cell"], batch["p"] = tree.cells(projected), list(projected)
                 yield batch
 
-    placed = written(points.select("vector", "ids").mapInPandas(place, "vector array<double>, ids array<bigint>, cell bigint"), "cells")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int"))
+    placed = written(points.select("vector", "ids").mapInPandas(place, "vector array<double>, ids array<bigint>, cell bigint, p array<double>"), "cells")
+    axes = range(PROJECTED)
+    low, high = (F.array(*(of(F.get("p", F.lit(a))) for a in axes)).alias(name) for of, name in ((F.min, "low"), (F.max, "high")))
+    tree.shrunk({r["cell"]: (r["low"], r["high"]) for r in placed.groupBy("cell").agg(low, high).collect()})  # a row per cell
+    placed = placed.drop("p").withColumn("block", F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int"))
     queries = written(asked.select("vector").distinct().withColumn("query", F.xxhash64("vector")), "queries")
 
     def first(batches):
         for batch in batches:
             if len(batch):
                 gaps = tree.gaps(_unit(_matrix(batch["vector"])) @ matrix)
-                batch["cell"] = list(np.argsort(gaps, axis=1, kind="stable")[:, :FIRST_CELLS])
+                batch["cell"] = list(np.argsort(gaps, axis=1, kind="stable")[:, :FIRST_CELLS])  # a cell without points finds nothing
                 batch["bound"] = np.inf
                 yield batch.explode("cell").astype({"cell": np.int64})
 
