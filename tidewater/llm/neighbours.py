@@ -138,49 +138,53 @@ def search_cell(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataF
     """The best of one cell for each query: projected neighbours are verified
     nearest first until the chi-square test holds against the k-th best so far.
 
-    The queries of a batch advance side by side, ``STEP`` neighbours at a time; one that has
-    stopped leaves the batch. A score is summed over its own row alone.
+    A query without a bound first verifies its ``STEP`` nearest projected points, which bounds the
+    distance of its k-th neighbour; what then passes the test is verified together with that of
+    the other queries, by one matrix product. The product only selects: of what comes within
+    rounding of the k-th best, each score is summed over its own row, so that it doesn't
+    depend on which rows stand beside it.
     """
     vectors = _matrix(points["vector"])
     norms = np.sqrt((vectors * vectors).sum(axis=1))
+    unit = vectors / norms[:, None]
     # the ids of a distinct vector share one score; the test needs whole vectors' ids
     ids = [list(x) for x in points["ids"]]
     sizes = np.array([len(x) for x in ids])
     smallest = np.array([min(x) for x in ids], np.int64)
     flat_projection = projection(vectors.shape[1])
-    projected = (vectors / norms[:, None]) @ flat_projection
-    out = []
+    projected = unit @ flat_projection
+    squares = (projected * projected).sum(axis=1)
     asked, names = _matrix(queries["vector"]), queries["query"].to_numpy()
-    limits = np.where(np.isfinite(bounds := queries["bound"].to_numpy(float)), bounds, np.inf)
-    width = max(1, BATCH // max(len(vectors) * PROJECTED, STEP * vectors.shape[1]))
+    bounds = queries["bound"].to_numpy(float)
+    limits = np.where(np.isfinite(bounds), bounds, np.inf)
+    out = []
+    width = max(1, BATCH // max(len(vectors), STEP * vectors.shape[1]))
     for start in range(0, len(asked), width):
         q, limit = asked[start : start + width], limits[start : start + width].copy()
         length = np.sqrt((q * q).sum(axis=1))
         own = (q / length[:, None]) @ flat_projection
-        near = ((projected[None] - own[:, None]) ** 2).sum(axis=2)
-        order = np.argsort(near, axis=1, kind="stable")
-        best_score, best_at = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64)
-        live, done = np.arange(len(q)), []
-        for at in range(0, len(vectors), STEP):
-            going = near[live, order[live, at]] <= RADIUS * limit[live]
-            done += zip(live[~going], best_score[~going], best_at[~going], strict=True)
-            live, best_score, best_at = live[going], best_score[going], best_at[going]
-            if not len(live):
-                break
-            some = order[live, at : at + STEP]
-            score = (vectors[some] * q[live][:, None, :]).sum(axis=2) / (norms[some] * length[live][:, None])
-            best_score, best_at = np.concatenate([best_score, score], axis=1), np.concatenate([best_at, some], axis=1)
-            rank = np.lexsort((smallest[best_at], -best_score), axis=1)[:, : k + 1]  # of equal scores the smallest ids
-            best_score, best_at = np.take_along_axis(best_score, rank, 1), np.take_along_axis(best_at, rank, 1)
-            held = np.cumsum(sizes[best_at], axis=1)
+        near = np.maximum(0, squares + (own * own).sum(axis=1)[:, None] - 2 * own @ projected.T)
+        fresh = np.flatnonzero(np.isinf(limit))
+        if len(fresh) and len(vectors) > STEP:
+            some = np.argpartition(near[fresh], STEP, axis=1)[:, :STEP]
+            score = (vectors[some] * q[fresh][:, None, :]).sum(axis=2) / (norms[some] * length[fresh][:, None])
+            rank = np.argsort(-score, axis=1)
+            held = np.cumsum(sizes[np.take_along_axis(some, rank, 1)], axis=1)
             enough = held[:, -1] >= k + 1
             reach = (held < k + 1).sum(axis=1)[enough]
-            kth = best_score[enough, reach]
-            limit[live[enough]] = np.minimum(limit[live[enough]], np.maximum(0.0, 2 - 2 * kth) + 1e-12)
-        done += zip(live, best_score, best_at, strict=True)
-        for place, scores, ats in done:
-            for score, at in zip(scores.tolist(), ats.tolist(), strict=True):
-                out.extend((names[start + place], i, score) for i in ids[at])
+            kth = np.take_along_axis(score, rank, 1)[enough, reach]
+            limit[fresh[enough]] = np.maximum(0.0, 2 - 2 * kth) + 1e-12
+        close = (q / length[:, None]) @ unit.T
+        close[near > RADIUS * limit[:, None] + 1e-9] = -np.inf
+        at_most = min(k + 1, len(vectors))
+        least = -np.partition(-close, at_most - 1, axis=1)[:, at_most - 1] - 1e-9
+        rows, at = np.nonzero((close >= least[:, None]) & (close > -np.inf))
+        score = (vectors[at] * q[rows]).sum(axis=1) / (norms[at] * length[rows])
+        order = np.lexsort((smallest[at], -score, rows))  # of equal scores the smallest ids
+        rows, at, score = rows[order], at[order], score[order]
+        kept = np.arange(len(rows)) - np.searchsorted(rows, rows) <= k
+        for row, place, value in zip(rows[kept].tolist(), at[kept].tolist(), score[kept].tolist(), strict=True):
+            out.extend((names[start + row], i, value) for i in ids[place])
     return pd.DataFrame(out, columns=["query", "vec_id", "score"])
 
 
