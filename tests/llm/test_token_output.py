@@ -11,11 +11,10 @@ from tidewater.llm.queries import tokenizer_path
 TEXTS = ["a b", "", None, "  two  spaces\n\n and lines \t tab", "x's 's don't <|endoftext|> é　ü 中文 " * 5, "same", "same", "w" * 5000, "ok " * 3000, "  nb \x1c sep"]
 
 
-def brute(texts):
+def unmodified(texts):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(tokenizer_path())
-    model.encode_special_tokens = True
     return [[*model.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
 
 
@@ -23,7 +22,7 @@ def test_whole_corpus_against_the_plain_tokenizer(spark, frame, tmp_path):
     rows = [(i, t, None, None) for i, t in enumerate(TEXTS)]
     T.write_corpus(frame(rows).repartition(3), str(tmp_path / "c"), tokenizer_path())
     got = sorted(T.read_corpus(spark, str(tmp_path / "c")).collect(), key=lambda r: r.start)
-    want, start = brute(TEXTS), 0
+    want, start = unmodified(TEXTS), 0
     assert [r.doc_id for r in got] == list(range(len(TEXTS)))
     for r, ids in zip(got, want, strict=True):
         assert np.frombuffer(r.ids, "<u4").tolist() == ids
@@ -76,18 +75,11 @@ def test_pieces_against_the_plain_tokenizer():
         some = texts[at : at + 100]
         regular = pc.invert(pc.match_substring_regex(pa.array(some), T._IRREGULAR)).to_pylist()
         got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(some, regular)]
-        assert got == brute(some)
+        assert got == unmodified(some)
         if at == 500:
             encoder.older, encoder.spaced = encoder.spaced, {}
 
 
-def unmodified(texts):
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(tokenizer_path())
-    return [[*model.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
-
-
 def test_added_tokens_against_the_unmodified_tokenizer(spark, frame):
     """A spelled-out added token has its own id, and the starts of later documents follow."""
     t = "<|endoftext|>"

@@ -39,7 +39,7 @@ MAX_BITS = 20
 STRIDE = 128
 BLOCK_TOKENS = 1 << 18
 #: Pieces remembered per Python worker; beyond it the older half is forgotten.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 
 _CUT = re.compile(r" (?=\S)")
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
@@ -148,13 +148,21 @@ class PieceEncoder:
         if len(self.plain) > CACHE_PIECES:
             self.plain = {}
         rows = [text.split(" ") if plain else _CUT.split(text) for text, plain in zip(texts, regular, strict=True)]
-        firsts, missing = [row.pop(0) for row in rows], set()
-        for row in rows:
-            missing.update(row)
-        self._learn(missing.difference(self.spaced))
+        firsts = [row.pop(0) for row in rows]
+        # one look-up a piece; only texts with new pieces are looked up again
+        get, missing = self.spaced.get, set()
+        found = [list(map(get, row)) for row in rows]
+        again = [k for k, ids in enumerate(found) if None in ids]
+        for k in again:
+            missing.update([p for p, ids in zip(rows[k], found[k], strict=True) if ids is None])
+        if missing:
+            self._learn(missing)
+            known = self.spaced.__getitem__
+            for k in again:
+                found[k] = list(map(known, rows[k]))
         self._learn_plain(set(firsts))
-        ids, plain = self.spaced.__getitem__, self.plain
-        out = [b"".join([plain[first], *map(ids, row)]) for first, row in zip(firsts, rows, strict=True)]
+        plain = self.plain
+        out = [plain[first] + b"".join(ids) for first, ids in zip(firsts, found, strict=True)]
         if len(self.spaced) > CACHE_PIECES:
             self.older, self.spaced = self.spaced, {}
         return out
