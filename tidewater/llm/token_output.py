@@ -149,17 +149,17 @@ class PieceEncoder:
             self.plain = {}
         rows = [text.split(" ") if plain else _CUT.split(text) for text, plain in zip(texts, regular, strict=True)]
         firsts = [row.pop(0) for row in rows]
-        # one look-up a piece; only texts with new pieces are looked up again
-        get, missing = self.spaced.get, set()
+        # one look-up a piece; only new ones are looked up again
+        get = self.spaced.get
         found = [list(map(get, row)) for row in rows]
-        again = [k for k, ids in enumerate(found) if None in ids]
-        for k in again:
-            missing.update([p for p, ids in zip(rows[k], found[k], strict=True) if ids is None])
-        if missing:
-            self._learn(missing)
-            known = self.spaced.__getitem__
-            for k in again:
-                found[k] = list(map(known, rows[k]))
+        gaps = {k: [i for i, x in enumerate(ids) if x is None] for k, ids in enumerate(found) if None in ids}
+        if gaps:
+            self._learn({rows[k][i] for k, places in gaps.items() for i in places})
+            known = self.spaced
+            for k, places in gaps.items():
+                row, ids = rows[k], found[k]
+                for i in places:
+                    ids[i] = known[row[i]]
         self._learn_plain(set(firsts))
         plain = self.plain
         out = [plain[first] + b"".join(ids) for first, ids in zip(firsts, found, strict=True)]

@@ -236,16 +236,19 @@ class Aligner:
                 firsts.append(row.pop(0))
                 rows.append(row)
         found = [list(map(self.met.get, row)) for row in rows]
-        again = [k for k, records in enumerate(found) if None in records]
-        missing = {w for k in again for w, r in zip(rows[k], found[k], strict=True) if r is None}
+        gaps = {k: [i for i, r in enumerate(records) if r is None] for k, records in enumerate(found) if None in records}
+        missing = {rows[k][i] for k, places in gaps.items() for i in places}
         known = [w for w in missing if w in self.older]
         self.met.update([(w, self.older[w]) for w in known])
         missing.difference_update(known)
         passing: dict[str, Aligned | bool] = {}
         self._learn([w for w in missing if len(w) <= CACHED_LENGTH], self.met)
         self._learn([w for w in missing if len(w) > CACHED_LENGTH], passing)
-        for k in again:
-            found[k] = [self.met.get(w) or passing.get(w, False) for w in rows[k]]
+        for k, places in gaps.items():
+            row, records = rows[k], found[k]
+            for i in places:
+                w = row[i]
+                records[i] = self.met[w] if w in self.met else passing[w]
         out: list[list[Aligned] | None] = []
         for text, first, records in zip(texts, firsts, found, strict=True):
             if first:
