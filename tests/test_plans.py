@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from tests import snippets as S
-from tests.conftest import write_text
+from tests.conftest import landed, write_text
 from tidewater.plans.queries import QUERIES
+from tidewater.sinks.bronze import write_bronze_observations
 from tidewater.sources.bronze import read_bronze_observations
 
 SF = "/root/testdata/sf0.001"
@@ -25,8 +26,8 @@ def test_bronze_reads_leave_the_rows_where_they_are(spark, root):
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # everything is above it
     try:
-        write_text(spark, root, "62107", "2016", S.SENTINELS, stem="a")
-        write_text(spark, root, "62107", "2016", S.NO_MINUTE, stem="b")
+        # two sources in one folder, one of them fetched again: only then rows pass a join
+        write_bronze_observations(landed(spark, [("62107", "2016", "a", S.SENTINELS), ("62107", "2016", "b", S.NO_MINUTE)]), root)
         assert "Join" not in _plan(read_bronze_observations(spark, root))  # nothing superseded: a scan
         write_text(spark, root, "62107", "2016", S.NO_MINUTE, stem="a")
         frame = read_bronze_observations(spark, root)

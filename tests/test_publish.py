@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,12 +122,16 @@ def test_unreadable_ledger_raises(spark, root):
     bronze_root, silver_root = _bronze(spark, root), os.path.join(root, "silver")
     run_silver(spark, bronze_root, silver_root)
     folder = os.path.join(silver_root, "_ledger")
-    for name in os.listdir(folder):
-        for part in os.listdir(os.path.join(folder, name)):
-            if part.endswith(".parquet"):
-                open(os.path.join(folder, name, part), "wb").write(b"damaged")
+    parts = [os.path.join(at, f) for at, _, files in os.walk(folder) for f in files if f.endswith(".parquet")]
+    assert parts
+    for part in parts:
+        with open(part, "wb") as handle:
+            handle.write(b"damaged")
     with pytest.raises(Exception, match="(?i)parquet|footer|damaged"):
         silver.read_published_observations(spark, silver_root).count()
+    shutil.rmtree(os.path.join(folder, "rows"))
+    with pytest.raises(FileNotFoundError, match="lost the rows"):
+        silver.read_published_observations(spark, silver_root)
 
 
 def test_violation_stops_the_publish(spark, root):
@@ -137,7 +142,7 @@ def test_violation_stops_the_publish(spark, root):
         silver.publish_years(spark, typed, root, "t", {"2020": "f"})
     assert silver.current_ledger(spark, root).count() == 0
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(days=2)
-    assert len(silver.vacuum_snapshots(spark, root, 24, later)) == 1  # the folder of the failed run
+    assert len(silver.vacuum_snapshots(spark, root, 24, later)) == 2  # the folder of the failed run and its file index
 
 
 def test_files_follow_the_data_not_the_tasks(spark, root):

@@ -57,5 +57,9 @@ def read_entries(spark: SparkSession, folder: str, schema: StructType) -> DataFr
         return spark.createDataFrame([], StructType([*schema.fields]).add("entry", "long"))
     number = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).cast("bigint")
     commits = spark.read.text(f"{folder}/commits").select(F.col("value").alias("staged"), number.alias("entry"))
+    held = {name.removeprefix("staged=") for name, _ in paths.children(spark, f"{folder}/rows")}
+    lost = sorted({r["staged"] for r in commits.select("staged").collect()} - held)  # one name per append
+    if lost:
+        raise FileNotFoundError(f"{folder} has lost the rows of {len(lost)} entries: {lost[:3]}")
     rows = spark.read.schema(StructType([*schema.fields]).add("staged", "string")).option("basePath", f"{folder}/rows").parquet(f"{folder}/rows")
     return rows.join(commits, "staged").select(*schema.fieldNames(), "entry")
