@@ -105,3 +105,50 @@ def test_pieces_around_added_tokens():
     regular = pc.invert(pc.match_substring_regex(pa.array(texts), T._IRREGULAR)).to_pylist()
     got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(texts, regular)]
     assert got == unmodified(texts)
+
+
+def test_pre_tokens_are_cut_as_the_library_cuts_them():
+    import random
+
+    r = random.Random(13)
+    encoder = T.PieceEncoder(tokenizer_path())
+    signs = "aZs'trevlmd  \t\n\r\x0b\x1c\x85\xa0\u3000\u2028.,-9\xb2\u0660\xe9\xdf\u0301\u4e2d\U0001f600\U00010400\u200b_"
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(25))) for _ in range(4000)]
+    data, bounds = T.joined_bytes(T.pa.array(texts))
+    got = encoder._cuts(data, bounds).tolist()
+    want = {0, len(data)}
+    for text, base in zip(texts, bounds.tolist(), strict=False):
+        want |= {base + len(text[:a].encode()) for _, (a, _) in encoder.cutter.pre_tokenize_str(text)}
+    assert got == sorted(want | set(bounds.tolist()))
+
+
+def test_each_distinct_pre_token_is_encoded_once():
+    """Not once for each mark behind it, nor for each line end beside it."""
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.seen = model, []
+
+        def tokenize(self, name):
+            self.seen.append(name)
+            return self.model.tokenize(name)
+
+    encoder = T.PieceEncoder(tokenizer_path())
+    encoder.model = Counted(encoder.model)
+    texts = [f"x word{a} word{b} Xyqz{a}" for a in (",", ".", "!", "\n", "?\n") for b in (";", ":", "\nx", "")]
+    got = [np.frombuffer(x, encoder.type).tolist() for x in encoder.encode(texts, [True] * len(texts))]
+    assert got == unmodified(texts)
+    distinct = {name for text in texts for name, _ in encoder.cutter.pre_tokenize_str(text)}
+    assert sorted(encoder.model.seen) == sorted(distinct)
+
+
+def test_blocks_are_decoded_side_by_side(monkeypatch):
+    """Blocks whose last runs are short, beside others, and ids beyond one packing step."""
+    monkeypatch.setattr(T, "_CODED_AT_ONCE", 256)
+    rng = np.random.default_rng(3)
+    blocks = [np.minimum(rng.zipf(1.3, n), 50_000) for n in (1, 255, 256, 257, 1000, 127)]
+    used, counts = np.unique(np.concatenate(blocks), return_counts=True)
+    code = T.CanonicalCode(used, T.code_lengths(counts))
+    coded = [code.encode(b) for b in blocks]
+    got = code.decode_blocks([p for p, _ in coded], [c for _, c in coded], [len(b) for b in blocks])
+    assert [x.tolist() for x in got] == [b.tolist() for b in blocks]

@@ -24,149 +24,209 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, id_text, sliced, written
+from .common import fresh_path, id_text, joined_bytes, sliced, written
 
 END_ID = 0
 MAX_BITS = 20
 STRIDE = 128
+_LENGTH_BITS = 5  # of a code length, which stands below the id or code it belongs to
+_LENGTH_MASK = np.uint32((1 << _LENGTH_BITS) - 1)
+#: Ids packed at once (a multiple of ``STRIDE``): their arrays stay in the processor's cache.
+_CODED_AT_ONCE = 1 << 15
+#: Ids of the blocks decoded side by side (one larger block is decoded alone).
+DECODED_TOKENS = 1 << 20
 BLOCK_TOKENS = 1 << 18
 #: Pieces remembered per Python worker; beyond it the older half is forgotten.
-CACHE_PIECES = 400_000
-
-_CUT = re.compile(r" (?=\S)")
-_LINE = re.compile(r"(?<=\S)\n(?=\S)")
-_BLANK = re.compile(r"\s")
-_CLOSING = ".,!?;:"
+CACHE_PIECES = 600_000
+#: Text bytes encoded at once: the more, the fewer look-ups of distinct pieces.
+ENCODE_BYTES = 8 << 20
+
+#: Kinds of characters to the pre-tokenizer.
+_LETTER, _DIGIT, _OTHER, _BLANK, _UNKNOWN = range(5)
+_BESIDE = ((_LETTER, "a"), (_DIGIT, "1"), (_OTHER, "."))
+#: Letters that an apostrophe takes with it alone.
+_SHORT = np.isin(np.arange(256), list(b"stmd"))
 #: A space that doesn't stand before a non-space (for the regular-expression engine of Arrow).
 _IRREGULAR = r" ([\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 _IDS_SCHEMA = "doc_id bigint, ids binary"
 _BLOCK_SCHEMA = "part int, block int, first bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
 
+def _byte_alphabet() -> np.ndarray:
+    """The code point that the byte-level alphabet has for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = np.zeros(256, "<u4")
+    out[shown] = shown
+    out[[b for b in range(256) if b not in shown]] = np.arange(256, 512 - len(shown))
+    return out
+
+
+_ALPHABET = _byte_alphabet()
+_ID = attrgetter("id")
+
+
 class PieceEncoder:
-    """Ids of a text, by pieces that the byte-level pre-tokenizer never joins.
+    """Ids of texts by their pre-tokens, each distinct one encoded once by the library's model.
 
-    A space before a non-space always starts a new pre-token, so a text may be
-    cut there and its pieces encoded apart; so may a lone line feed within a
-    piece, and punctuation behind a plain letter. Pieces are remembered, and new
-    ones encoded many at a time as one text, cut again by their bytes. Added tokens
-    of the vocabulary are cut out before, as the library does: their ids are pieces
+    Pre-tokens are cut for a whole column at once, by the byte-level rule (``'s|'t|'re|'ve|'m|'ll|'d|
+    ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``): wherever the kind of the
+    characters changes, but for a space that goes with what follows. What kind a character is, the
+    library's own pre-tokenizer says. Equal pre-tokens are found by dictionary coding and remembered.
+    Added tokens of the vocabulary are cut out before, as the library does: their ids are pieces
     of their own, and what stands between two of them is a text of its own.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        model = Tokenizer.from_file(path)
+        self.cutter = model.pre_tokenizer
+        if not isinstance(self.cutter, pre_tokenizers.ByteLevel) or self.cutter.add_prefix_space or not self.cutter.use_regex:
+            raise ValueError("the tokenizer must cut texts by the byte-level rule")
+        if model.normalizer is not None or model.truncation is not None or model.padding is not None:
+            raise ValueError("a tokenizer that changes, cuts or pads texts can't be applied by pieces")
+        self.model = model.model
         self.type = id_type(path)
-        added = self.model.get_added_tokens_decoder()
+        added = model.get_added_tokens_decoder()
         if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
             raise ValueError("added tokens that depend on the text beside them can't be cut out")
-        self.added = {x.content: np.array([i], self.type).tobytes() for i, x in added.items()}
-        self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        names = self.model.get_vocab()
-        self.size = np.zeros(max(names.values()) + 1, np.int64)
-        for name, i in names.items():
-            self.size[i] = len(name)  # one character of the byte alphabet for each byte
-        self.spaced: dict[str, bytes] = {}  # of " " + piece
-        self.older: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
-
-    def _cut_ids(self, text: str, sizes: list[int]) -> list[bytes]:
-        """The ids of ``text`` in runs of so many bytes, each a number of whole tokens."""
-        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.type)
-        ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(sizes)) + 1
-        data, edges = ids.tobytes(), [0, *(ends * ids.itemsize).tolist()]
-        return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-
-    def _encode_spaced(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
-            found = self._cut_ids(" " + " ".join(some), [len(p.encode()) + 1 for p in some])
-            self.spaced.update(zip(some, found, strict=True))
-
-    def _encode_plain(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]  # without white space: a line feed between two is a token of its own
-            sizes = np.array([[len(p.encode()), 1] for p in some]).ravel().tolist()
-            found = self._cut_ids("\n".join([*some, "."]), [*sizes, 1])
-            self.plain.update(zip(some, found[::2], strict=False))
-
-    def _learn(self, missing: set[str]) -> None:
-        spaced, older, plain = self.spaced, self.older, self.plain
-        if older:
-            fresh = missing.difference(older)
-            spaced.update([(p, older[p]) for p in missing.difference(fresh)])
-            missing = fresh
-        whole = [p for p in missing if p[-1] not in _CLOSING and "\n" not in p]
-        missing.difference_update(whole)
-        composed = []
-        for p in missing:
-            lines = [p] if "\n" not in p else _LINE.split(p)
-            parts = []
-            for k, line in enumerate(lines):
-                if k:
-                    parts.append("\n")
-                stem = line.rstrip(_CLOSING)
-                if stem != line and stem[-1:].isalpha() and stem[-1] < "\u0250":
-                    parts += stem, line[len(stem) :]
-                else:
-                    parts.append(line)
-            composed.append((p, parts))
-        self._encode_spaced([*whole, *{parts[0] for _, parts in composed}.difference(spaced).difference(whole)])
-        self._learn_plain({q for _, parts in composed for q in parts[1:]})
-        for p, parts in composed:
-            if len(parts) > 1:
-                spaced[p] = spaced[parts[0]] + b"".join([plain[q] for q in parts[1:]])
-
-    def _learn_plain(self, pieces: set[str]) -> None:
-        new = pieces.difference(self.plain)
-        self.plain[""] = b""
-        self._encode_plain([p for p in new if p and not _BLANK.search(p)])
-        for p in new.difference(self.plain):
-            self.plain[p] = self._cut_ids(p, [len(p.encode())])[0]
-
-    def encode(self, texts: list[str], regular: list[bool]) -> list[bytes]:
-        """Little-endian ids of each text, the end id appended. A text is
-        ``regular`` if each of its spaces stands before a non-space."""
-        cuts = [self.cut_added.split(text) if any(map(text.__contains__, self.added)) else [text] for text in texts]
-        runs = [run for cut in cuts for run in cut[::2]]
-        found = iter(self._encode_runs(runs, [plain and len(cut) == 1 for cut, plain in zip(cuts, regular, strict=True) for _ in cut[::2]]))
-        end = np.array([END_ID], self.type).tobytes()
-        return [b"".join([next(found), *(x for token in cut[1::2] for x in (self.added[token], next(found))), end]) for cut in cuts]
-
-    def _encode_runs(self, texts: list[str], regular: list[bool]) -> list[bytes]:
-        if len(self.plain) > CACHE_PIECES:
-            self.plain = {}
-        rows = [text.split(" ") if plain else _CUT.split(text) for text, plain in zip(texts, regular, strict=True)]
-        firsts = [row.pop(0) for row in rows]
-        # one look-up a piece; only new ones are looked up again
-        get = self.spaced.get
-        found = [list(map(get, row)) for row in rows]
-        gaps = {k: [i for i, x in enumerate(ids) if x is None] for k, ids in enumerate(found) if None in ids}
-        if gaps:
-            self._learn({rows[k][i] for k, places in gaps.items() for i in places})
-            known = self.spaced
-            for k, places in gaps.items():
-                row, ids = rows[k], found[k]
-                for i in places:
-                    ids[i] = known[row[i]]
-        self._learn_plain(set(firsts))
-        plain = self.plain
-        out = [plain[first] + b"".join(ids) for first, ids in zip(firsts, found, strict=True)]
-        if len(self.spaced) > CACHE_PIECES:
-            self.older, self.spaced = self.spaced, {}
+        self.added = {x.content.encode(): np.array([i], self.type).tobytes() for i, x in added.items()}
+        self.cut_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))))
+        self.kind = np.full(0x110000, _UNKNOWN, np.uint8)
+        self._ask(np.arange(128))
+        self.byte_kind = np.concatenate([self.kind[:128], np.full(128, _UNKNOWN, np.uint8)])
+        self.spaced: dict[bytes, bytes] = dict(self.added)  # and pre-tokens, with the space before them
+        self.older: dict[bytes, bytes] = {}
+
+    def _ask(self, codes: np.ndarray) -> None:
+        """Learn the kinds of characters: each goes on with its own kind alone."""
+        for code in codes.tolist():
+            alike = [kind for kind, beside in _BESIDE if len(self.cutter.pre_tokenize_str(beside + chr(code))) == 1]
+            self.kind[code] = alike[0] if alike else _BLANK
+
+    def _kinds(self, data: np.ndarray) -> np.ndarray:
+        """The kind of the character that each byte belongs to."""
+        out = self.byte_kind[data]
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            code = data[lead].astype(np.uint32)
+            size = 2 + (code >= 0xE0) + (code >= 0xF0)
+            code &= (0x7F >> size).astype(np.uint32)
+            for k in (1, 2, 3):
+                longer = size > k
+                code[longer] = (code[longer] << 6) | (data[lead[longer] + k] & 0x3F)
+            kinds = self.kind[code]
+            if (kinds == _UNKNOWN).any():
+                self._ask(np.unique(code[kinds == _UNKNOWN]))
+                kinds = self.kind[code]
+            out[lead] = kinds
+            for k in (1, 2, 3):
+                longer = size > k
+                out[lead[longer] + k] = kinds[longer]
         return out
 
+    def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where pre-tokens start, and the end: texts lie between ``bounds``."""
+        n = len(data)
+        spans = self._added_spans(data, bounds)
+        kinds = self._kinds(data)
+        edge = np.zeros(n + 3, bool)
+        edge[bounds] = True
+        edge[spans.ravel()] = True
+        edge[n:] = True
+        cut = edge.copy()
+        cut[1:n] |= kinds[1:] != kinds[:-1]
+        # of white space before something else, the last character stands apart; a space goes with what follows
+        blank = kinds == _BLANK
+        ends = np.flatnonzero(blank[:-1] & ~blank[1:] & ~edge[1:n]) + 1
+        last = ends - 1
+        while (inside := (data[last] & 0xC0) == 0x80).any():
+            last = last - inside
+        cut[last] = True
+        cut[ends[data[last] == ord(" ")]] = False
+        # an apostrophe that starts a pre-token takes certain letters with it, and no more
+        mark = np.flatnonzero(data == ord("'"))
+        mark = mark[cut[mark] & ~edge[mark + 1]]
+        if len(mark):
+            one, two = data[mark + 1], data[np.minimum(mark + 2, n - 1)]
+            short = _SHORT[one]
+            long = ~edge[mark + 2] & ((((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l"))))
+            cut[mark[short | long] + 1] = False
+            cut[mark[short] + 2] = True
+            cut[mark[long] + 3] = True
+        for a, b in spans.tolist():
+            cut[a + 1 : b] = False
+        return np.flatnonzero(cut[: n + 1])
+
+    def _added_spans(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Start and end of every added token that a text spells out."""
+        whole, out = data.tobytes(), []
+        if self.added and self.cut_added.search(whole):
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+                out += [x.span() for x in self.cut_added.finditer(whole, a, b)]
+        return np.array(out, np.int64).reshape(-1, 2)
+
+    def _learn(self, missing: list[bytes]) -> None:
+        spaced, older = self.spaced, self.older
+        spaced.update([(p, older[p]) for p in missing if p in older])
+        new = [p for p in missing if p not in spaced]
+        names = _ALPHABET[np.frombuffer(b"".join(new), np.uint8)].tobytes().decode("utf-32-le")
+        tokenize, ids, sizes, at = self.model.tokenize, [], [], 0
+        for p in new:
+            to = at + len(p)
+            found = tokenize(names[at:to])
+            ids += map(_ID, found)
+            sizes.append(len(found))
+            at = to
+        data = np.array(ids, self.type).tobytes()
+        edges = (np.cumsum([0, *sizes]) * np.dtype(self.type).itemsize).tolist()
+        spaced.update(zip(new, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """Little-endian ids of each text (null: empty), the end id appended."""
+        texts.validate(full=True)
+        data, bounds = joined_bytes(texts)
+        if not len(data):
+            starts = np.zeros(1, np.int64)
+        else:
+            starts = self._cuts(data, bounds)
+        narrow = len(data) < 1 << 31
+        offsets = pa.py_buffer(starts.astype(np.int32) if narrow else starts)
+        pieces = pa.Array.from_buffers(pa.binary() if narrow else pa.large_binary(), len(starts) - 1, [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.spaced.get, names))
+        if None in found:
+            gaps = [i for i, x in enumerate(found) if x is None]
+            self._learn([names[i] for i in gaps])
+            for i in gaps:
+                found[i] = self.spaced[names[i]]
+        if len(self.spaced) > CACHE_PIECES:
+            self.older, self.spaced = self.spaced, dict(self.added)
+        flat = np.frombuffer(b"".join(found), self.type)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // flat.itemsize
+        first = np.cumsum(sizes) - sizes
+        codes = np.asarray(pieces.indices)
+        size = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat(first[codes] - ends[:-1], size) + np.arange(ends[-1])]
+        stops = ends[np.searchsorted(starts, bounds[1:])]
+        ids = np.insert(ids, stops, END_ID)
+        offsets = np.concatenate([[0], stops + np.arange(1, len(stops) + 1)]) * ids.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
+
+    def encode(self, texts: list[str], regular: list[bool] | None = None) -> list[bytes]:
+        """``encode_column`` of a list; ``regular`` is no longer needed."""
+        return self.encode_column(pa.array(texts, pa.string())).to_pylist()
+
 
 def id_type(tokenizer_path: str) -> str:
     """The narrowest unsigned type that holds every id of the vocabulary."""
@@ -195,11 +255,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         if tokenizer_path not in _ENCODERS:
             _ENCODERS[tokenizer_path] = PieceEncoder(tokenizer_path)
         encoder = _ENCODERS[tokenizer_path]
-        for part in sliced(batches):
-            texts = pc.fill_null(part.column("text"), "")
-            odd = pc.match_substring_regex(texts, _IRREGULAR)
-            ids = encoder.encode(texts.to_pylist(), pc.invert(odd).to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for part in sliced(batches, limit=ENCODE_BYTES):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), encoder.encode_column(part.column("text"))], ["doc_id", "ids"])
 
     return id_text(docs).mapInArrow(encode, _IDS_SCHEMA)
 
@@ -260,48 +317,58 @@ class CanonicalCode:
         width = np.uint64(1) << (MAX_BITS - self.lengths).astype(np.uint64)
         self.first = np.concatenate([np.zeros(1, np.uint64), np.cumsum(width, dtype=np.uint64)])[:-1]
         size = int(self.ids.max()) + 1 if len(ids) else 0
-        self.code = np.zeros(size, np.uint64)
-        self.bits = np.zeros(size, np.int64)
-        self.code[self.ids] = self.first >> (MAX_BITS - self.lengths).astype(np.uint64)
-        self.bits[self.ids] = self.lengths
+        self.coded = np.zeros(size, np.uint32)  # code and length of each id
+        self.coded[self.ids] = (self.first >> (MAX_BITS - self.lengths).astype(np.uint64) << np.uint64(_LENGTH_BITS)) | self.lengths.astype(np.uint64)
         self.table: np.ndarray | None = None
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Packed bits, and the bit offset of every ``STRIDE``-th id."""
-        bits = self.bits[ids]
-        at = np.cumsum(bits) - bits
-        total = int(at[-1] + bits[-1]) if len(ids) else 0
-        out = np.zeros(total // 64 + 2, np.uint64)
-        word, room = at >> 6, 64 - (at & 63) - bits
-        code = self.code[ids]
-        fits = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
-        heads = np.flatnonzero(np.diff(word, prepend=-1))
-        if len(ids):
-            out[word[heads]] = np.bitwise_or.reduceat(fits, heads)
-        over = np.flatnonzero(room < 0)  # at most one code crosses each word's end
-        out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-        return out.astype(">u8").tobytes()[: (total + 7) // 8], at[::STRIDE]
+        total, out, checkpoints = 0, np.zeros(len(ids) * MAX_BITS // 64 + 2, np.uint64), []
+        for start in range(0, len(ids), _CODED_AT_ONCE):
+            found = self.coded[ids[start : start + _CODED_AT_ONCE]]
+            if len(found) % 2:
+                found = np.append(found, np.uint32(0))  # an odd last id gets a partner of no bits
+            code, bits = (found >> _LENGTH_BITS).reshape(-1, 2), (found & _LENGTH_MASK).reshape(-1, 2)
+            # ids go in pairs: of at most 2 * MAX_BITS bits, and STRIDE is even
+            code = (code[:, 0].astype(np.uint64) << bits[:, 1]) | code[:, 1]
+            bits = (bits[:, 0] + bits[:, 1]).astype(np.int64)
+            at = np.cumsum(bits)
+            at += total - bits
+            total = int(at[-1] + bits[-1])
+            word, room = at >> 6, 64 - (at & 63) - bits
+            fits = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
+            heads = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[heads]] |= np.bitwise_or.reduceat(fits, heads)
+            over = np.flatnonzero(room < 0)  # at most one pair crosses each word's end
+            out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+            checkpoints.append(at[:: STRIDE // 2])
+        return out[: total // 64 + 1].astype(">u8").tobytes()[: (total + 7) // 8], np.concatenate([np.zeros(0, np.int64), *checkpoints])
 
     def decode(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
-        """All ids of a block; the runs between checkpoints advance side by side."""
+        """All ids of a block."""
+        return self.decode_blocks([payload], [checkpoints], [n])[0]
+
+    def decode_blocks(self, payloads: list[bytes], checkpoints: list[np.ndarray], counts: list[int]) -> list[np.ndarray]:
+        """All ids of each block; the runs between checkpoints advance side by side."""
         if self.table is None:
-            self.table = np.zeros(1 << MAX_BITS, np.int64)
-            packed = (self.ids << 5) | self.lengths
+            self.table = np.zeros(1 << MAX_BITS, np.uint32)
+            packed = (self.ids << _LENGTH_BITS) | self.lengths
             spread = np.repeat(packed, (1 << (MAX_BITS - self.lengths)))
             self.table[: len(spread)] = spread
-        data = np.frombuffer(payload + b"\0" * 8, np.uint8).astype(np.int64)
-        at, out = checkpoints.astype(np.int64).copy(), np.zeros((len(checkpoints), STRIDE), np.int64)
+        # the last run of a block may be short: what is read beyond it goes
+        data = np.frombuffer(b"".join([*payloads, bytes(MAX_BITS * STRIDE // 8 + 8)]), np.uint8).astype(np.uint32)
+        ahead = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]  # four bytes from each on
+        bases = np.cumsum([0, *map(len, payloads)]) * 8
+        at = np.concatenate([c.astype(np.int64) + base for c, base in zip(checkpoints, bases, strict=False)])
+        out = np.zeros((STRIDE, len(at)), np.uint32)
         for step in range(STRIDE):
-            live = slice(0, (n - step + STRIDE - 1) // STRIDE)
-            p = at[live]
-            if not len(p):
-                break
-            byte = p >> 3
-            seen = (data[byte] << 24) | (data[byte + 1] << 16) | (data[byte + 2] << 8) | data[byte + 3]
-            entry = self.table[(seen >> (32 - MAX_BITS - (p & 7))) & ((1 << MAX_BITS) - 1)]
-            out[live, step] = entry >> 5
-            at[live] = p + (entry & 31)
-        return out.reshape(-1)[:n]
+            place = (ahead[at >> 3] << (at & 7).astype(np.uint32)) >> (32 - MAX_BITS)
+            entry = self.table[place.astype(np.int64)]
+            out[step] = entry
+            at += entry & _LENGTH_MASK
+        ids = (out >> _LENGTH_BITS).T.reshape(-1)
+        firsts = np.cumsum([0, *map(len, checkpoints)]) * STRIDE
+        return [ids[first : first + n] for first, n in zip(firsts.tolist(), counts, strict=False)]
 
 
 def write_corpus(docs: DataFrame, path: str, tokenizer_path: str) -> None:
@@ -328,7 +395,7 @@ def write_corpus(docs: DataFrame, path: str, tokenizer_path: str) -> None:
 
         for batch in batches:
             for name, value in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
-                one = np.frombuffer(value.as_py(), kind).astype(np.int64)
+                one = np.frombuffer(value.as_buffer(), kind)
                 if pieces and held + len(one) > BLOCK_TOKENS:
                     yield flush()
                     first, block = first + held, block + 1
@@ -360,17 +427,26 @@ def read_corpus(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 
     def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                part, _, first, n, doc_ids, doc_tokens, checkpoints, payload = (batch.column(k)[row] for k in range(8))
-                ids = code.decode(payload.as_py(), np.asarray(checkpoints.values), n.as_py()).astype("<u4")
-                ends = np.cumsum(np.asarray(doc_tokens.values))
-                starts = ends - np.asarray(doc_tokens.values)
-                each = [ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-                columns = [doc_ids.values, pa.array(starts + first.as_py() + before[part.as_py()], pa.int64()), pa.array(ends - starts, pa.int64()), pa.array([zlib.crc32(x) for x in each], pa.int64())]
-                names = ["doc_id", "start", "n_tokens", "ids_crc32"]
-                if with_ids:
-                    columns, names = [*columns, pa.array(each, pa.binary())], [*names, "ids"]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            group = np.cumsum(batch.column("n_tokens").to_numpy()) // DECODED_TOKENS
+            for rows in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(group)) + 1):
+                if len(rows):
+                    yield from unpack_rows(batch.slice(rows[0], len(rows)))
+
+    def unpack_rows(some: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        payloads, counts = some.column("payload").to_pylist(), some.column("n_tokens").to_pylist()
+        checkpoints = [np.asarray(c.values) for c in some.column("checkpoints")]
+        for row, ids in enumerate(code.decode_blocks(payloads, checkpoints, counts)):
+            ids = ids.astype("<u4", copy=False)
+            doc_ids, sizes = some.column("doc_ids")[row].values, np.asarray(some.column("doc_tokens")[row].values)
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            each = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            start = starts + some.column("first")[row].as_py() + before[some.column("part")[row].as_py()]
+            columns = [doc_ids, pa.array(start, pa.int64()), pa.array(sizes, pa.int64()), pa.array([zlib.crc32(x) for x in each], pa.int64())]
+            names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+            if with_ids:
+                columns, names = [*columns, pa.array([x.tobytes() for x in each], pa.binary())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     # blocks are large rows: a few at a time are enough for a Python task
