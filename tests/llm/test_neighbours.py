@@ -110,3 +110,103 @@ def test_vectors_of_extreme_size(spark):
     for q, v in rows:
         want = sorted((-round(exact(v, w), 9), i) for i, w in rows if i != q)[:4]
         assert [(round(s, 9), i) for s, i in got[q]] == want
+
+
+def spread(n, dim=16, seed=3):
+    return np.random.default_rng(seed).standard_normal((n, dim)).astype(np.float32)
+
+
+def most_shuffled(frame):
+    """Rows of the largest exchange of a collected frame's last plan."""
+    frame.collect()
+    most, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name, children = node.getClass().getSimpleName(), node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        todo += [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+        if node.metrics().contains("shuffleRecordsWritten"):
+            most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+    return most
+
+
+def test_a_query_goes_to_a_bin_once(spark, monkeypatch):
+    """However many of its cells it visits: on evenly spread vectors that is nearly every cell."""
+    monkeypatch.setattr(N, "CELL", 10)
+    monkeypatch.setattr(N, "BINS", 8, raising=False)
+    rows = list(enumerate(spread(2000).tolist()))
+    assert most_shuffled(N.nearest(make(spark, rows), "true", 5)) <= 2000 * 16 + 2000
+
+
+def test_routing_holds_few_numbers_at_once():
+    """10,000 queries and 4,096 cells, of which nearly all are visited: a table of both, or a row for each pair, is never held."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    space = N.Space(16, "f4")
+    vectors = spread(10_000)
+    places = N._projected(N._unit(N._scaled(vectors)), space.matrix)
+    space.tree = N.Tree(places, 4096)
+    cells = space.tree.cells(places)
+    assert cells.max() == len(space.tree.low) - 1 == 4095
+    space.bins = N.Bins(np.bincount(cells, minlength=4096), 208, 8192)
+    column = pa.array([v.tobytes() for v in vectors])
+    batch = pa.RecordBatch.from_arrays([column, pa.array(np.arange(10_000)), pa.array(np.full(10_000, 1.0))], ["v", "query", "bound"])
+    sent = 0
+    tracemalloc.start()
+    for out in space.routed([batch], True):
+        sent += out.num_rows
+        assert out.nbytes < 32 << 20
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 10_000 < sent <= 10_000 * len(space.bins.sizes) and peak < 96 << 20  # the gaps alone would take 328 MB
+
+
+def test_bins_share_and_split():
+    bins = N.Bins(np.array([5, 3, 50, 0, 4, 9]), 8, 20)
+    assert bins.first.tolist() == [0, 0, 1, 4, 4, 5] and bins.parts.tolist() == [1, 1, 3, 1, 1, 1]
+    assert bins.sizes.tolist() == [8, 17, 17, 17, 4, 9] and bins.starts.tolist() == [0, 2, 3, 5]
+    rows, cells, to = bins.dealt(np.array([7, 8, 9]), np.array([0, 2, 5]))
+    assert rows.tolist() == [7, 8, 8, 8, 9] and cells.tolist() == [0, 2, 2, 2, 5] and to.tolist() == [0, 1, 2, 3, 5]
+
+
+@pytest.mark.parametrize("cell", [64, 1024])
+def test_cells_larger_than_a_bin(spark, monkeypatch, cell):
+    """Bins of 32 vectors: every cell is dealt to several; parallel vectors, which no cut separates, too."""
+    monkeypatch.setattr(N, "CELL", cell)
+    monkeypatch.setattr(N, "BIN_BYTES", 32 * 24 * 4, raising=False)
+    v = spread(800, 24)
+    rows = list(enumerate(v.tolist())) + [(800 + j, (v[0] * np.float32(2.0 ** (j - 60))).tolist()) for j in range(100)]
+    want, got = plain(rows, 5, 20), by_query(N.nearest(make(spark, rows), "vec_id % 20 = 0", 5))
+    assert want.keys() == got.keys() and np.mean([len(set(want[q]) & set(got[q])) / 5 for q in want]) >= 0.9
+    assert got[0] == want[0]
+
+
+def test_small_batches_give_the_same_rows(spark, monkeypatch):
+    """Runs of copies, bins and queries go on across batches."""
+    monkeypatch.setattr(N, "CELL", 40)
+    v = spread(60, 12)
+    v = v[np.random.default_rng(4).integers(0, 60, 500)] + np.where(np.arange(500) % 3 == 0, 0.3, 0)[:, None] * spread(500, 12, 5)
+    frame = make(spark, [(i // 2 if i > 450 else i, x) for i, x in enumerate(v.astype(np.float32).tolist())] * 2)
+    want = sorted(map(tuple, N.nearest(frame, "vec_id % 7 = 0", 5).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert sorted(map(tuple, N.nearest(frame, "vec_id % 7 = 0", 5).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_smallest_ids_of_each_vector():
+    import pyarrow as pa
+
+    kinds = pa.schema([("vec_id", pa.int64()), ("vector", pa.list_(pa.float32()))])
+    rows = [(9, [1, 2]), (3, [1, 2]), (3, [1, 2]), (7, [1, 2]), (1, [-0.0, 1]), (2, [0.0, 1]), (4, [1]), (5, []), (6, [0, 0]), (8, [None, 1])]
+    batch = pa.RecordBatch.from_pylist([{"vec_id": i, "vector": v} for i, v in rows], kinds)
+    out = [(i, np.frombuffer(v, np.float32).tolist()) for part in N.packed([batch.slice(0, 4), batch.slice(4)], "f4", 2) for i, v in zip(*(x.to_pylist() for x in part.columns), strict=True)]
+    assert sorted(out) == [(1, [0, 1]), (2, [0, 1]), (3, [1, 2]), (4, [1]), (7, [1, 2])]
+    ordered = sorted((v, i) for i, v in [(i, bytes([v])) for v, ids in ((1, [5, 5, 6, 8, 9, 9]), (2, [4]), (3, [1, 1, 1])) for i in ids])
+    for size in (1, 2, 4, 20):
+        parts = [pa.RecordBatch.from_pydict({"vec_id": [i for _, i in ordered[a : a + size]], "v": [v for v, _ in ordered[a : a + size]]}) for a in range(0, 10, size)]
+        found = [(v, ids) for part in N.gathered(parts, 3) for v, ids in zip(*(x.to_pylist() for x in part.columns), strict=True)]
+        assert found == [(b"\x01", [5, 6, 8]), (b"\x02", [4]), (b"\x03", [1])]
